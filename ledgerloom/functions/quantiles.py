@@ -37,8 +37,10 @@ def exact_quantiles(
     """
     if not wanted:
         return {}
+    # Below a few rows per unit of accuracy, the sketch's margins are less than one rank wide.
+    window = max(window, 4 * accuracy)
     values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in wanted])
-    brackets = _sketch_columns(values, wanted, accuracy)
+    brackets = _sketch_columns(values, wanted, accuracy, window)
     while wide := {c: b for c, b in brackets.items() if b.between > window}:
         brackets.update(_narrow(values, wide, accuracy, window))
     result: dict[str, float | None] = dict.fromkeys(wanted)
@@ -69,7 +71,9 @@ def _shrunk(rows: int, accuracy: int) -> int:
     return math.ceil(rows * 6 / accuracy)
 
 
-def _sketch_columns(values: DataFrame, wanted: Mapping[str, float], accuracy: int) -> dict[str, _Bracket]:
+def _sketch_columns(
+    values: DataFrame, wanted: Mapping[str, float], accuracy: int, window: int
+) -> dict[str, _Bracket]:
     aggregates = []
     for i, (column, p) in enumerate(wanted.items()):
         aggregates += [
@@ -82,7 +86,9 @@ def _sketch_columns(values: DataFrame, wanted: Mapping[str, float], accuracy: in
     brackets = {}
     for i, (column, p) in enumerate(wanted.items()):
         n = row[f"n{i}"]
-        if n:
+        if 0 < n <= window:
+            brackets[column] = _Bracket(p * (n - 1), row[f"min{i}"], row[f"max{i}"], n)
+        elif n:
             ends = _ends(p, accuracy)
             low = row[f"min{i}"] if ends[0] == 0 else row[f"q{i}"][0]
             high = row[f"max{i}"] if ends[1] == 1 else row[f"q{i}"][1]
@@ -124,36 +130,35 @@ def _narrow(values: DataFrame, wide: dict[str, _Bracket], accuracy: int, window:
 def _count_inside(
     values: DataFrame, brackets: dict[str, _Bracket]
 ) -> dict[str, tuple[int, list[tuple[float, int]]]]:
-    """Per column: how many values lie below its bracket, and the sorted counts inside it."""
+    """Per column: how many values lie below its bracket, and the sorted counts inside it.
+
+    The values below a bracket fall into one group with a null value. A plain aggregation is used
+    for that count, as an accumulator could count the rows of a repeated task twice.
+    """
     if not brackets:
         return {}
-    entries = []
-    for column, b in brackets.items():
-        value = F.col(column)
-        entries.append(
-            F.struct(
-                F.lit(column).alias("name"),
-                F.when(value < b.low, -1).when(value > b.high, 1).when(value.isNotNull(), 0).alias("side"),
-                F.when(value.between(b.low, b.high), value).alias("value"),
-            )
+    names = list(brackets)
+    entries = [
+        F.when(
+            F.col(c) <= b.high,
+            F.struct(F.lit(i).alias("i"), F.when(F.col(c) >= b.low, F.col(c)).alias("value")),
         )
-    counted = (
-        values.select(F.explode(F.array(*entries)).alias("entry"))
-        .select("entry.*")
-        .filter("side <= 0")
-        .groupBy("name", "side", "value")
+        for i, (c, b) in enumerate(brackets.items())
+    ]
+    rows = (
+        values.select(F.explode(F.array_compact(F.array(*entries))).alias("entry"))
+        .groupBy("entry.i", "entry.value")
         .agg(F.count(F.lit(1)).alias("rows"))
         .collect()
     )
-    result: dict[str, tuple[int, list[tuple[float, int]]]] = {c: (0, []) for c in brackets}
-    for row in counted:
-        below, inside = result[row["name"]]
-        if row["side"] < 0:
-            below += row["rows"]
+    below = dict.fromkeys(range(len(names)), 0)
+    inside: dict[int, list[tuple[float, int]]] = {i: [] for i in range(len(names))}
+    for row in rows:
+        if row["value"] is None:
+            below[row["i"]] = row["rows"]
         else:
-            inside.append((row["value"], row["rows"]))
-        result[row["name"]] = (below, inside)
-    return {c: (below, sorted(inside)) for c, (below, inside) in result.items()}
+            inside[row["i"]].append((row["value"], row["rows"]))
+    return {c: (below[i], sorted(inside[i])) for i, c in enumerate(names)}
 
 
 def _interpolate(position: float, counted: list[tuple[float, int]]) -> float:

@@ -48,30 +48,50 @@ def path_correction(n: np.ndarray | float) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, large))
 
 
-def grow_tree(points: np.ndarray, tree_id: int, seed: int, depth_limit: int) -> list[tuple]:
-    """Nodes of one tree over ``points`` (rows x features); leaves have feature -1."""
+def grow_tree(points: np.ndarray, tree_id: int, seed: int, depth_limit: int) -> pd.DataFrame:
+    """Node table of one tree over ``points`` (rows x features); leaves have feature -1.
+
+    All nodes of a level are split at once: the rows stay sorted by node, so each node is a slice.
+    A right child always has the number after its left sibling.
+    """
     random = np.random.default_rng([seed, tree_id])
-    nodes: list[tuple] = []
-    open_nodes = [(0, np.arange(len(points)), 0)]
-    next_id = 1
-    while open_nodes:
-        node, rows, depth = open_nodes.pop()
-        inside = points[rows]
-        low, high = inside.min(axis=0), inside.max(axis=0)
-        splittable = np.flatnonzero(high > low)
-        if depth >= depth_limit or len(rows) <= 1 or not len(splittable):
-            nodes.append((tree_id, node, -1, 0.0, -1, -1, len(rows), depth))
-            continue
-        feature = int(random.choice(splittable))
-        at = float(random.uniform(low[feature], high[feature]))
-        at = min(max(at, low[feature]), np.nextafter(high[feature], low[feature]))
-        goes_left = inside[:, feature] <= at
-        left, right = next_id, next_id + 1
-        next_id += 2
-        nodes.append((tree_id, node, feature, at, left, right, len(rows), depth))
-        open_nodes.append((right, rows[~goes_left], depth + 1))
-        open_nodes.append((left, rows[goes_left], depth + 1))
-    return nodes
+    levels = []
+    node, starts, next_id = np.array([0]), np.array([0]), 1
+    for depth in range(depth_limit + 1):
+        sizes = np.diff(np.append(starts, len(points)))
+        low, high = np.minimum.reduceat(points, starts), np.maximum.reduceat(points, starts)
+        varies = high > low
+        splits = varies.any(axis=1) & (depth < depth_limit)
+        turn, place = random.random((2, len(starts)))
+        feature = (np.cumsum(varies, axis=1) > np.floor(turn * varies.sum(axis=1))[:, None]).argmax(axis=1)
+        each = np.arange(len(starts))
+        bottom, top = low[each, feature], high[each, feature]
+        at = np.clip(bottom + place * (top - bottom), bottom, np.nextafter(top, bottom))
+        left = np.where(splits, next_id + 2 * (np.cumsum(splits) - 1), -1)
+        levels.append(
+            pd.DataFrame(
+                {
+                    "tree_id": tree_id,
+                    "node_id": node,
+                    "feature": np.where(splits, feature, -1),
+                    "split": np.where(splits, at, 0.0),
+                    "left_node": left,
+                    "right_node": np.where(splits, left + 1, -1),
+                    "size": sizes,
+                    "depth": depth,
+                }
+            )
+        )
+        if not splits.any():
+            break
+        owner = np.repeat(each, sizes)
+        child = left[owner] + (points[np.arange(len(points)), feature[owner]] > at[owner])
+        stays = splits[owner]
+        order = np.argsort(child[stays], kind="stable")
+        points = points[stays][order]
+        node, starts = np.unique(child[stays][order], return_index=True)
+        next_id += 2 * int(splits.sum())
+    return pd.concat(levels, ignore_index=True)
 
 
 def tree_samples(df: DataFrame, features: list[str], rows: int, trees: int, sample: int, seed: int) -> DataFrame:
@@ -111,10 +131,12 @@ def fit_nodes(
         order = group.assign(turn=pd.util.hash_array(group["row_hash"].to_numpy() + tree_id))
         order = order.sort_values(["turn", "row_hash"])
         chosen = np.repeat(order[features].to_numpy("float64"), order["copies"].clip(upper=size), axis=0)[:size]
-        return pd.DataFrame(grow_tree(chosen, tree_id, seed, depth_limit), columns=columns)
+        return grow_tree(chosen, tree_id, seed, depth_limit)
 
-    columns = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
-    return tree_samples(df, features, rows, trees, size, seed).groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA)
+    samples = tree_samples(df, features, rows, trees, size, seed)
+    # A stated number keeps the few small trees from being grown in one or two coalesced tasks.
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+    return samples.repartition(tasks, "tree_id").groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA)
 
 
 @dataclass(frozen=True)
@@ -126,8 +148,7 @@ class Forest:
     sample: int
     feature: np.ndarray
     split: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    child: np.ndarray  # the left child; the right one has the next number
     path: np.ndarray  # path length credited to a row that ends in this leaf
 
     @classmethod
@@ -144,31 +165,29 @@ class Forest:
 
         node = table["node_id"].to_numpy()
         leaf = table["feature"].to_numpy() < 0
-        # A finished row stays on its leaf: both branches lead back to it.
+        # A row that has reached its leaf stays there: nothing is greater than infinity.
         return cls(
             tuple(features),
             dict(fill),
             sample,
-            grid(np.where(leaf, 0, table["feature"]).astype("int64"), 0),
-            grid(table["split"].to_numpy("float64"), 0.0),
-            grid(np.where(leaf, node, table["left_node"]).astype("int64"), 0),
-            grid(np.where(leaf, node, table["right_node"]).astype("int64"), 0),
+            grid(np.where(leaf, 0, table["feature"]).astype("intp"), 0),
+            grid(np.where(leaf, np.inf, table["split"]), np.inf),
+            grid(np.where(leaf, node, table["left_node"]).astype("intp"), 0),
             grid(table["depth"].to_numpy("float64") + path_correction(table["size"].to_numpy()), 0.0),
         )
 
     def mean_path(self, points: np.ndarray) -> np.ndarray:
         """Mean path length of each row over all trees."""
-        total = np.zeros(len(points))
-        index = np.arange(len(points))
+        rows, width = points.shape
+        values, start = points.ravel(), np.arange(rows) * width
+        total = np.zeros(rows)
         levels = math.ceil(math.log2(max(self.sample, 2)))
-        for tree in range(len(self.feature)):
-            feature, split = self.feature[tree], self.split[tree]
-            left, right = self.left[tree], self.right[tree]
-            node = np.zeros(len(points), dtype="int64")
+        for feature, split, child, path in zip(self.feature, self.split, self.child, self.path, strict=True):
+            node = np.zeros(rows, dtype="intp")
             for _ in range(levels):
-                goes_left = points[index, feature[node]] <= split[node]
-                node = np.where(goes_left, left[node], right[node])
-            total += self.path[tree][node]
+                value = values.take(start + feature.take(node))
+                node = child.take(node) + (value > split.take(node))
+            total += path.take(node)
         return total / len(self.feature)
 
     def score(self, spark: SparkSession) -> Column:
