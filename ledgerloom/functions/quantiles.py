@@ -1,10 +1,10 @@
-"""Exact quantiles of large columns without gathering a column in one task.
+"""Quantiles of large columns without gathering a column in one task.
 
-The built-in exact ``percentile`` keeps every distinct value of a group in one aggregation buffer,
-which cannot work for a column of a trillion doubles. Here ``approx_percentile`` (a mergeable
-sketch) brackets the wanted rank, and the values inside that narrow bracket are counted exactly.
-Each step is an aggregation with map-side combining; at most ``window`` distinct values per column
-come back to the driver.
+The built-in exact ``percentile`` keeps every distinct value of a group in one buffer, and the
+buffers of the approximate one all meet in a single task, one per input partition. Here each pass
+counts the rows per bin of a histogram, an ordinary shuffled aggregation that combines on the map
+side, and the next pass looks inside the one bin that holds the wanted rank. Every pass is exact,
+and at most ``BINS`` rows per column reach the driver.
 """
 
 from __future__ import annotations
@@ -13,166 +13,146 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 50_000
-ACCURACY = 10_000
+from ledgerloom.functions.numeric import as_number
+
+BINS = 4096
+# A bracket with at most this many rows is read value by value.
+WINDOW = 20_000
 
 
 @dataclass
 class _Bracket:
-    position: float  # fractional zero-based rank in the whole column
+    """Where the wanted ranks lie: ``below`` rows are smaller than ``low``, ``rows`` are inside."""
+
+    position: float
     low: float
     high: float
-    between: int  # bound on the rows strictly between ``low`` and ``high``
+    below: int
+    rows: int
 
 
 def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, float], accuracy: int = ACCURACY, window: int = WINDOW
+    df: DataFrame, wanted: Mapping[str, float], bins: int = BINS, window: int = WINDOW
 ) -> dict[str, float | None]:
-    """Linearly interpolated quantile of each column, or None when it has no value.
+    """Linearly interpolated quantile of each column, or None when it has no finite value.
 
-    ``wanted`` maps a numeric column to a probability. Nulls and NaN are skipped.
+    ``wanted`` maps a numeric column to a probability. Nulls, NaN and infinities are skipped.
     """
-    if not wanted:
-        return {}
-    # Below a few rows per unit of accuracy, the sketch's margins are less than one rank wide.
-    window = max(window, 4 * accuracy)
-    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in wanted])
-    brackets = _sketch_columns(values, wanted, accuracy, window)
-    while wide := {c: b for c, b in brackets.items() if b.between > window}:
-        brackets.update(_narrow(values, wide, accuracy, window))
-    result: dict[str, float | None] = dict.fromkeys(wanted)
-    for column, (below, counted) in _count_inside(values, brackets).items():
-        result[column] = _interpolate(brackets[column].position - below, counted)
-    return result
-
+    return _select(df, wanted, 0.0, bins, window)
 
-def approx_quantiles(
-    df: DataFrame, wanted: Mapping[str, float], accuracy: int = ACCURACY
-) -> dict[str, float | None]:
-    """One-pass quantiles with a rank error of at most 1/accuracy."""
-    if not wanted:
-        return {}
-    row = df.agg(
-        *[F.percentile_approx(F.nanvl(F.col(c).cast("double"), F.lit(None)), p, accuracy).alias(c) for c, p in wanted.items()]
-    ).first()
-    return row.asDict()
 
+def approx_quantiles(df: DataFrame, wanted: Mapping[str, float], tolerance: float = 1e-4) -> dict[str, float | None]:
+    """As :func:`exact_quantiles`, but any value whose rank is off by ``tolerance`` of the rows will do."""
+    return _select(df, wanted, tolerance, BINS, WINDOW)
 
-def _ends(p: float, accuracy: int) -> list[float]:
-    """Probabilities two sketch errors (1/accuracy each) below and above ``p``."""
-    return [max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy)]
 
-
-def _shrunk(rows: int, accuracy: int) -> int:
-    """Rows that can lie strictly between the sketched ends: margins plus both ends' errors."""
-    return math.ceil(rows * 6 / accuracy)
+def _select(
+    df: DataFrame, wanted: Mapping[str, float], tolerance: float, bins: int, window: int
+) -> dict[str, float | None]:
+    result: dict[str, float | None] = dict.fromkeys(wanted)
+    if not wanted:
+        return result
+    values = df.select(*[as_number(F.col(c)).alias(c) for c in wanted])
+    brackets = _whole_columns(values, wanted)
+    enough = {c: tolerance * b.rows for c, b in brackets.items()}
+    while brackets:
+        for column, b in list(brackets.items()):
+            if b.low == b.high or b.rows <= enough[column]:
+                result[column] = b.low
+                del brackets[column]
+        counted = _count(values, brackets, bins, window)
+        for column, cells in counted.items():
+            found = _locate(brackets[column], cells)
+            if isinstance(found, _Bracket):
+                brackets[column] = found
+            else:
+                result[column] = found
+                del brackets[column]
+    return result
 
 
-def _sketch_columns(
-    values: DataFrame, wanted: Mapping[str, float], accuracy: int, window: int
-) -> dict[str, _Bracket]:
+def _whole_columns(values: DataFrame, wanted: Mapping[str, float]) -> dict[str, _Bracket]:
     aggregates = []
-    for i, (column, p) in enumerate(wanted.items()):
-        aggregates += [
-            F.count(column).alias(f"n{i}"),
-            F.percentile_approx(column, _ends(p, accuracy), accuracy).alias(f"q{i}"),
-            F.min(column).alias(f"min{i}"),
-            F.max(column).alias(f"max{i}"),
-        ]
+    for i, column in enumerate(wanted):
+        aggregates += [f(column).alias(f"{name}{i}") for name, f in (("n", F.count), ("low", F.min), ("high", F.max))]
     row = values.agg(*aggregates).first()
-    brackets = {}
-    for i, (column, p) in enumerate(wanted.items()):
-        n = row[f"n{i}"]
-        if 0 < n <= window:
-            brackets[column] = _Bracket(p * (n - 1), row[f"min{i}"], row[f"max{i}"], n)
-        elif n:
-            ends = _ends(p, accuracy)
-            low = row[f"min{i}"] if ends[0] == 0 else row[f"q{i}"][0]
-            high = row[f"max{i}"] if ends[1] == 1 else row[f"q{i}"][1]
-            brackets[column] = _Bracket(p * (n - 1), low, high, _shrunk(n, accuracy))
-    return brackets
-
-
-def _narrow(values: DataFrame, wide: dict[str, _Bracket], accuracy: int, window: int) -> dict[str, _Bracket]:
-    """Count the rows strictly inside each bracket and sketch again within the crowded ones.
-
-    Copies of an end value do not matter: they count as one value in the last step.
-    """
-    aggregates = []
-    for i, (column, b) in enumerate(wide.items()):
-        value = F.col(column)
-        aggregates += [
-            F.count_if(value <= b.low).alias(f"upto{i}"),
-            F.count_if((value > b.low) & (value < b.high)).alias(f"between{i}"),
-        ]
-    counts = values.agg(*aggregates).first()
-    result, aggregates, ranks = {}, [], {}
-    for i, (column, b) in enumerate(wide.items()):
-        between = counts[f"between{i}"]
-        result[column] = _Bracket(b.position, b.low, b.high, between)
-        if between > window:
-            ranks[column] = min(1.0, max(0.0, (b.position - counts[f"upto{i}"]) / (between - 1)))
-            inside = F.when((F.col(column) > b.low) & (F.col(column) < b.high), F.col(column))
-            aggregates.append(F.percentile_approx(inside, _ends(ranks[column], accuracy), accuracy).alias(column))
-    if aggregates:
-        sketched = values.agg(*aggregates).first()
-        for column, p in ranks.items():
-            b, ends = result[column], _ends(p, accuracy)
-            low = b.low if ends[0] == 0 else sketched[column][0]
-            high = b.high if ends[1] == 1 else sketched[column][1]
-            result[column] = _Bracket(b.position, low, high, _shrunk(b.between, accuracy))
-    return result
+    return {
+        column: _Bracket(p * (row[f"n{i}"] - 1), row[f"low{i}"], row[f"high{i}"], 0, row[f"n{i}"])
+        for i, (column, p) in enumerate(wanted.items())
+        if row[f"n{i}"]
+    }
 
 
-def _count_inside(
-    values: DataFrame, brackets: dict[str, _Bracket]
-) -> dict[str, tuple[int, list[tuple[float, int]]]]:
-    """Per column: how many values lie below its bracket, and the sorted counts inside it.
+def _scale(value: Column, low: float, high: float) -> tuple[Column, float, float]:
+    """A non-decreasing function of the value, and its ends.
 
-    The values below a bracket fall into one group with a null value. A plain aggregation is used
-    for that count, as an accumulator could count the rows of a repeated task twice.
+    Bins are equally wide on this scale. It is logarithmic where the bracket spans magnitudes, so
+    that a few huge values do not push all others into one bin.
     """
+    if low > 0 and high / low > 2:
+        return F.ln(value), math.log(low), math.log(high)
+    if high < 0 and low / high > 2:
+        return -F.ln(-value), -math.log(-low), -math.log(-high)
+    if low <= 0 <= high and high - low > 1:
+        return F.signum(value) * F.log1p(F.abs(value)), -math.log1p(-low), math.log1p(high)
+    return value, low, high
+
+
+def _cell(value: Column, b: _Bracket, bins: int, window: int) -> Column:
+    """Bin number of a value inside the bracket, or the value itself where few rows are left."""
+    if b.rows <= window:
+        return value
+    scaled, start, end = _scale(value, b.low, b.high)
+    number = F.floor((scaled - start) / (end - start) * bins)
+    return F.greatest(F.lit(0.0), F.least(F.lit(bins - 1.0), number.cast("double")))
+
+
+def _count(
+    values: DataFrame, brackets: dict[str, _Bracket], bins: int, window: int
+) -> dict[str, list[tuple[float, float, int]]]:
+    """Per column, the (smallest, largest, rows) of each occupied bin of its bracket, in order."""
     if not brackets:
         return {}
     names = list(brackets)
     entries = [
         F.when(
-            F.col(c) <= b.high,
-            F.struct(F.lit(i).alias("i"), F.when(F.col(c) >= b.low, F.col(c)).alias("value")),
+            F.col(c).between(b.low, b.high),
+            F.struct(F.lit(i).alias("i"), _cell(F.col(c), b, bins, window).alias("cell"), F.col(c).alias("value")),
         )
         for i, (c, b) in enumerate(brackets.items())
     ]
     rows = (
         values.select(F.explode(F.array_compact(F.array(*entries))).alias("entry"))
-        .groupBy("entry.i", "entry.value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("entry.i", "entry.cell")
+        .agg(
+            F.min("entry.value").alias("low"),
+            F.max("entry.value").alias("high"),
+            F.count(F.lit(1)).alias("rows"),
+        )
         .collect()
     )
-    below = dict.fromkeys(range(len(names)), 0)
-    inside: dict[int, list[tuple[float, int]]] = {i: [] for i in range(len(names))}
+    cells: dict[str, list[tuple[float, float, int]]] = {c: [] for c in names}
     for row in rows:
-        if row["value"] is None:
-            below[row["i"]] = row["rows"]
-        else:
-            inside[row["i"]].append((row["value"], row["rows"]))
-    return {c: (below[i], sorted(inside[i])) for i, c in enumerate(names)}
-
-
-def _interpolate(position: float, counted: list[tuple[float, int]]) -> float:
-    lower, upper = math.floor(position), math.ceil(position)
-    total = sum(rows for _, rows in counted)
-    if lower < 0 or upper >= total:
-        raise ArithmeticError("the sketch bracket misses the wanted rank; raise the accuracy")
-    first, second = _at(lower, counted), _at(upper, counted)
-    return first + (second - first) * (position - lower)
-
-
-def _at(rank: int, counted: list[tuple[float, int]]) -> float:
-    for value, rows in counted:
-        if rank < rows:
-            return value
-        rank -= rows
-    raise IndexError(rank)
+        cells[names[row["i"]]].append((row["low"], row["high"], row["rows"]))
+    return {c: sorted(found) for c, found in cells.items()}
+
+
+def _locate(b: _Bracket, cells: list[tuple[float, float, int]]) -> _Bracket | float:
+    """The bracket of the cell with the wanted rank, or the quantile if it is decided already."""
+    lower, upper = math.floor(b.position), math.ceil(b.position)
+    below, first = b.below, None
+    for low, high, rows in cells:
+        if lower < below + rows and first is None:
+            if upper < below + rows:
+                if low == high:
+                    return low
+                return _Bracket(b.position, low, high, below, rows)
+            # The two ranks lie in neighbouring cells: the last row of one, the first of the next.
+            first = high
+        elif first is not None:
+            return first + (low - first) * (b.position - lower)
+        below += rows
+    raise ArithmeticError("the counted rows do not cover the wanted rank")

@@ -35,18 +35,31 @@ def medians(df: DataFrame, features: list[str], exact: bool = True) -> dict[str,
     return {c: 0.0 if found[c] is None else found[c] for c in features}
 
 
+def usable_rows(df: DataFrame, features: list[str]) -> tuple[int, list[str]]:
+    """Number of rows, and the features that some row lacks. Raises below :data:`MIN_ROWS` rows."""
+    numbers = [F.count(as_number(F.col(c))).alias(f"n{i}") for i, c in enumerate(features)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *numbers).first()
+    if row["rows"] < MIN_ROWS:
+        raise TooFewRows(f"{MIN_ROWS} rows needed, {row['rows']} found")
+    return row["rows"], [c for i, c in enumerate(features) if row[f"n{i}"] < row["rows"]]
+
+
 def filled(features: list[str], fill: dict[str, float]) -> list[Column]:
-    """Complete double features, named as their source columns."""
-    return [F.coalesce(as_number(F.col(c)), F.lit(fill[c])).alias(c) for c in features]
+    """Double features, named as their source columns; a gap takes the fill value if there is one."""
+    return [
+        (F.coalesce(as_number(F.col(c)), F.lit(fill[c])) if c in fill else as_number(F.col(c))).alias(c)
+        for c in features
+    ]
+
 
+def prepare(df: DataFrame, features: list[str], keep: list[str], exact: bool = True) -> DataFrame:
+    """``keep`` columns beside the cleaned, median-filled features.
 
-def prepare(
-    df: DataFrame, features: list[str], keep: list[str], exact: bool = True, min_rows: int = MIN_ROWS
-) -> DataFrame:
-    """``keep`` columns beside the cleaned, median-filled features."""
+    A median is only looked for where a feature has gaps.
+    """
     usable = with_any_feature(df, features)
-    require_rows(usable, min_rows)
-    return usable.select(*keep, *filled(features, medians(usable, features, exact)))
+    _, gaps = usable_rows(usable, features)
+    return usable.select(*keep, *filled(features, medians(usable, gaps, exact)))
 
 
 def split(df: DataFrame, flag: str = "is_anomaly") -> tuple[DataFrame, DataFrame]:

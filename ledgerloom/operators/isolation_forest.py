@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.quantiles import approx_quantiles, exact_quantiles
-from ledgerloom.operators.features import MIN_ROWS, filled, medians, require_rows, with_any_feature
+from ledgerloom.operators.features import filled, medians, usable_rows, with_any_feature
 from ledgerloom.session import scratch_dir
+from ledgerloom.sources.files import spread
 
 # Settings of the detection job.
 TREES = 200
@@ -177,17 +178,25 @@ class Forest:
         )
 
     def mean_path(self, points: np.ndarray) -> np.ndarray:
-        """Mean path length of each row over all trees."""
+        """Mean path length of each row over all trees.
+
+        All rows step down one level at a time; the buffers are reused, as allocating them anew
+        costs more than the steps.
+        """
         rows, width = points.shape
         values, start = points.ravel(), np.arange(rows) * width
-        total = np.zeros(rows)
+        node, step, place = (np.empty(rows, dtype="intp") for _ in range(3))
+        value, limit, total = np.empty(rows), np.empty(rows), np.zeros(rows)
+        right = np.empty(rows, dtype=bool)
         levels = math.ceil(math.log2(max(self.sample, 2)))
         for feature, split, child, path in zip(self.feature, self.split, self.child, self.path, strict=True):
-            node = np.zeros(rows, dtype="intp")
+            node.fill(0)
             for _ in range(levels):
-                value = values.take(start + feature.take(node))
-                node = child.take(node) + (value > split.take(node))
-            total += path.take(node)
+                np.add(feature.take(node, out=place, mode="clip"), start, out=place)
+                values.take(place, out=value, mode="clip")
+                np.greater(value, split.take(node, out=limit, mode="clip"), out=right)
+                np.add(child.take(node, out=step, mode="clip"), right, out=node)
+            total += path.take(node, out=value, mode="clip")
         return total / len(self.feature)
 
     def score(self, spark: SparkSession) -> Column:
@@ -198,7 +207,8 @@ class Forest:
         def mean_path(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             forest = shared.value
             for batch in batches:
-                yield pd.Series(forest.mean_path(np.column_stack([c.to_numpy("float64") for c in batch])))
+                points = np.column_stack([c.to_numpy("float64") for c in batch])
+                yield pd.Series(forest.mean_path(np.ascontiguousarray(points)))
 
         length = mean_path(*filled(list(self.features), self.fill))
         return -F.pow(F.lit(2.0), -length / float(path_correction(self.sample)))
@@ -212,11 +222,13 @@ def fit(
     seed: int = SEED,
     exact: bool = True,
 ) -> Forest:
-    """Fit on the rows that have any feature; missing features are filled with the median."""
+    """Fit on the rows that have any feature; gaps are filled with the median.
+
+    The forest remembers fill values only for the features that had gaps.
+    """
     usable = with_any_feature(df, features)
-    require_rows(usable, MIN_ROWS)
-    fill = medians(usable, features, exact)
-    rows = usable.count()
+    rows, gaps = usable_rows(usable, features)
+    fill = medians(usable, gaps, exact)
     others = [F.col(c) for c in usable.columns if c not in features]
     complete = usable.select(*others, *filled(features, fill))
     nodes = fit_nodes(complete, features, rows, trees, sample, seed)
@@ -249,7 +261,7 @@ def detect(
         raise ValueError(f"contamination must lie in [{smallest}, {largest}]")
     spark = df.sparkSession
     model = forest or fit(df, features, exact=exact)
-    usable = _spread(with_any_feature(df, features))
+    usable = spread(with_any_feature(df, features))
     path = location or scratch_dir(spark, "scores")
     usable.withColumn("raw_score", model.score(spark)).write.parquet(path)
     scored = spark.read.parquet(path)
@@ -261,12 +273,6 @@ def detect(
     )
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a small input that was read as fewer partitions than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def ranked(detected: DataFrame, key: str) -> DataFrame:
     """Flagged rows, most anomalous first."""
     return detected.filter("is_anomaly").orderBy("anomaly_score", key)

@@ -17,6 +17,7 @@ from ledgerloom.queries.loading import new_lake
 from ledgerloom.queries.standins import dim_date, event_calendar, raw, silver, staged, table
 from ledgerloom.schemas import PRIMARY_KEYS
 from ledgerloom.schemas import RAW as DECLARED
+from ledgerloom.sources.files import spread
 
 REGISTRY = Registry({}, {})
 query = REGISTRY.add
@@ -343,7 +344,7 @@ def sql_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("```\nselect 1 from silver."), lang, F.lit("\n```"), text),
     ]
     shape = F.coalesce(*[F.when(F.col("doc_id") % 8 == i, s) for i, s in enumerate(shapes)])
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), shape.alias("sql_text"))
+    texts = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("query_id"), shape.alias("sql_text"))
     audited = audit(texts)
     return audited.select(
         "query_id",

@@ -56,8 +56,11 @@ def test_too_few_rows(spark):
     df = spark.range(9).selectExpr("id", "double(id) as a")
     with pytest.raises(features.TooFewRows):
         features.prepare(df, ["a"], ["id"])
+    with pytest.raises(features.TooFewRows):
+        isolation_forest.detect(df, ["a"])
     with pytest.raises(features.TooFewRows):
         features.require_rows(df.limit(0))
+    features.require_rows(df, 9)
 
 
 def test_path_correction():
@@ -80,6 +83,22 @@ def test_tree_shape():
     assert len(constant) == 1 and constant["size"][0] == 50
 
 
+def test_paths_equal_a_walk_of_the_node_table(planted, spark):
+    forest = isolation_forest.fit(planted, NAMES, trees=7)
+    nodes = isolation_forest.fit_nodes(planted, NAMES, 1010, trees=7).toPandas().set_index(["tree_id", "node_id"])
+    points = planted.orderBy("id").limit(40).toPandas()[NAMES].to_numpy()
+
+    def walk(point, tree):
+        node = nodes.loc[tree, 0]
+        while node.feature >= 0:
+            side = node.left_node if point[int(node.feature)] <= node.split else node.right_node
+            node = nodes.loc[tree, int(side)]
+        return node.depth + float(isolation_forest.path_correction(node["size"]))
+
+    expected = [np.mean([walk(point, tree) for tree in range(7)]) for point in points]
+    assert forest.mean_path(points) == pytest.approx(expected)
+
+
 def test_model_is_the_same_for_any_partitioning(planted):
     tables = [
         values(isolation_forest.fit_nodes(planted.repartition(n), NAMES, 1010, trees=20)) for n in (1, 3, 9)

@@ -22,26 +22,46 @@ def test_small_columns(spark, values, p):
 
 
 @pytest.mark.parametrize("p", PROBABILITIES)
-def test_narrowing_on_a_tight_window(spark, p):
-    """A coarse sketch and a tiny window force several narrowing rounds."""
+def test_many_passes(spark, p):
+    """Few bins and a tiny window force several passes, over values of very different size."""
     random = np.random.default_rng(1)
-    values = np.concatenate([random.normal(size=4000), np.full(2000, 0.25), random.lognormal(8, 3, size=500), [1e300, -1e300]])
-    found = exact_quantiles(frame(spark, values), {"v": p}, accuracy=20, window=25)["v"]
+    parts = [random.normal(size=4000), np.full(2000, 0.25), random.lognormal(8, 3, size=500), [1e300, -1e300, 5e-324, 1e-200]]
+    values = np.concatenate(parts)
+    found = exact_quantiles(frame(spark, values), {"v": p}, bins=16, window=25)["v"]
     assert found == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
+@pytest.mark.parametrize("sign", [1, -1])
+def test_values_of_one_sign(spark, sign):
+    values = sign * np.random.default_rng(2).lognormal(0, 40, size=3000)
+    found = exact_quantiles(frame(spark, values), {"v": 0.37}, bins=8, window=10)["v"]
+    assert found == pytest.approx(np.quantile(values, 0.37), rel=1e-12)
+
+
 def test_two_hot_values(spark):
     values = [1.0] * 500 + [2.0] * 500
-    assert exact_quantiles(frame(spark, values), {"v": 0.5}, accuracy=50, window=10)["v"] == 1.5
+    assert exact_quantiles(frame(spark, values), {"v": 0.5}, bins=4, window=10)["v"] == 1.5
+
+
+def test_neighbouring_doubles(spark):
+    values = [1.0] * 30 + [float(np.nextafter(1.0, 2.0))] * 30
+    assert exact_quantiles(frame(spark, values), {"v": 0.9}, bins=4, window=10)["v"] == values[-1]
 
 
 def test_nulls_nan_and_empty(spark):
-    assert exact_quantiles(frame(spark, [None, float("nan"), 3.0, 5.0]), {"v": 0.5}) == {"v": 4.0}
+    rows = [None, float("nan"), float("inf"), 3.0, 5.0]
+    assert exact_quantiles(frame(spark, rows), {"v": 0.5}) == {"v": 4.0}
     assert exact_quantiles(frame(spark, [None]), {"v": 0.5}) == {"v": None}
     assert exact_quantiles(frame(spark, [1.0]), {}) == {}
 
 
 def test_several_columns_at_once(spark):
     df = spark.range(1001).selectExpr("double(id) as a", "double(id * id) as b", "cast(null as double) as c")
-    assert exact_quantiles(df, {"a": 0.5, "b": 0.5, "c": 0.5}) == {"a": 500.0, "b": 250000.0, "c": None}
-    assert approx_quantiles(df, {"a": 0.5})["a"] == pytest.approx(500, abs=1)
+    wanted = {"a": 0.5, "b": 0.5, "c": 0.5}
+    assert exact_quantiles(df, wanted) == {"a": 500.0, "b": 250000.0, "c": None}
+    assert exact_quantiles(df, wanted, bins=8, window=4) == {"a": 500.0, "b": 250000.0, "c": None}
+
+
+def test_tolerance(spark):
+    df = spark.range(100_000).selectExpr("double(id) as a")
+    assert approx_quantiles(df, {"a": 0.5}, 0.01)["a"] == pytest.approx(50_000, abs=1000)

@@ -80,12 +80,26 @@ def test_layer_names():
     assert ddl_columns(RAW["transactions"])[4] == "transaction_type"
 
 
+def checkpoint_dir(monkeypatch, spark, path):
+    real = type(spark.conf).get
+    monkeypatch.setattr(
+        type(spark.conf), "get", lambda self, key, *rest: path if key == "spark.checkpoint.dir" else real(self, key, *rest)
+    )
+
+
 def test_scratch_follows_the_session(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: "/shared/x/" if key == "spark.checkpoint.dir" else default)
+    checkpoint_dir(monkeypatch, spark, "/shared/x/")
     assert session.scratch_dir(spark, "a").startswith("/shared/x/a-")
 
 
+def test_local_scratch_where_nothing_is_set(spark, monkeypatch):
+    checkpoint_dir(monkeypatch, spark, None)
+    assert session.scratch_base(spark) == session.scratch_base(spark)
+    assert session.scratch_base(spark).startswith("/tmp/run-")
+
+
 def test_no_local_scratch_on_a_cluster(spark, monkeypatch):
+    checkpoint_dir(monkeypatch, spark, None)
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_base(spark)
