@@ -11,19 +11,26 @@ BROADCAST_ROWS = 1_000_000
 HOT_SHARE = 0.005
 SALTS = 64
 _SALT = "__salt"
+_TRACKED = 4096
+_MERGERS = 256
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Non-null keys that hold more than ``share`` of the rows; there are fewer than 1/share.
+    """The keys that hold more than about ``share`` of the rows, null among them; at most 1/share.
 
-    The count is combined on the map side, so a hot key reaches the shuffle as one row per task.
+    Found with the built-in top-k sketch, whose buffers have a fixed size, so no key is shuffled.
+    Buffers are merged in groups first, as there is one per input partition.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    largest = counts.orderBy(F.col("__rows").desc(), key).limit(math.ceil(1 / share)).collect()
-    if not largest:
-        return []
-    total = df.count()
-    return [r[key] for r in largest if r[key] is not None and r["__rows"] > share * total]
+    column, most = f"`{key}`", math.ceil(1 / share)
+    merged = df.groupBy((F.spark_partition_id() % _MERGERS).alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate({column}, {_TRACKED})").alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+    # Grouped by a constant, an empty input gives no row; the sketch cannot combine nothing.
+    found = merged.groupBy(F.lit(0).alias("all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED}), {most})").alias("top"),
+        F.sum("n").alias("rows"),
+    ).first()
+    return [t["item"] for t in found["top"] if t["count"] > share * found["rows"]] if found else []
 
 
 def key_join(
@@ -38,20 +45,23 @@ def key_join(
     """Equi-join of many ``left`` rows to ``right``, with how in inner, left, left_semi, left_anti.
 
     ``right`` is counted first. Up to ``broadcast_rows`` it is broadcast, and no left row moves.
-    Beyond that both sides shuffle: left rows of a hot key, and left rows with a null key, are
-    spread over ``salts`` partitions, and only the hot keys' right rows are repeated to meet them.
+    Beyond that both sides shuffle by key. If the left side has hot keys, their rows are spread over
+    ``salts`` partitions, and only the hot keys' right rows are repeated to meet them there. Which
+    keys count as hot affects the balance only, never the result.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     if right.count() <= broadcast_rows:
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left, key, share)
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    if not hot:
+        return left.join(right, key, how)
+    named = [k for k in hot if k is not None]
+    is_hot = F.col(key).isin(named) if named else F.lit(False)
     # A hash of the whole row is the same on every retry of a task, unlike a random number.
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     none = F.lit(0)
     salted_left = left.withColumn(_SALT, F.when(F.col(key).isNull() | is_hot, spread).otherwise(none))
     repeats = F.when(is_hot, F.sequence(none, F.lit(salts - 1))).otherwise(F.array(none))
-    salted_right = right.withColumn(_SALT, F.explode(repeats))
-    joined = salted_left.join(salted_right, [key, _SALT], how)
-    return joined.drop(_SALT)
+    salted_right = right.withColumn(_SALT, F.explode(repeats)) if named else right.withColumn(_SALT, none)
+    return salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)

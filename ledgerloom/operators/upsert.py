@@ -77,11 +77,13 @@ def upsert(
 ) -> DataFrame:
     """Target after the merge: rows with a matching key replaced, others inserted, none deleted.
 
-    A null key never matches, so such change rows are inserted every time.
+    A null key never matches, so such change rows are inserted every time. Target rows without a key
+    bypass the join; in it, they would all meet in one task.
     """
-    fresh = one_per_key(changes, key, order, on_duplicate)
-    kept = target.join(fresh.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(fresh.select(*target.columns))
+    fresh = one_per_key(changes, key, order, on_duplicate).select(*target.columns)
+    keyed, unkeyed = target.filter(F.col(key).isNotNull()), target.filter(F.col(key).isNull())
+    kept = keyed.join(fresh.select(key), key, "left_anti").select(*target.columns)
+    return kept.unionByName(unkeyed).unionByName(fresh)
 
 
 def merge_increment(

@@ -18,20 +18,29 @@ def sides(spark):
 
 
 def test_hot_keys(sides):
-    assert hot_keys(sides[0], "k", 0.05) == [7]
+    assert hot_keys(sides[0], "k", 0.05) == [7, None]
+    assert hot_keys(sides[0].selectExpr("cast(k as string) as k"), "k", 0.1) == ["7"]
     assert hot_keys(sides[0].limit(0), "k", 0.05) == []
+    assert hot_keys(sides[1], "k", 0.05) == []
 
 
+@pytest.mark.parametrize("share", [0.05, 0.2, 0.9])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(sides, how):
+def test_salted_join_equals_plain_join(sides, how, share):
     left, right = sides
     plain = left.join(right, "k", how)
-    salted = key_join(left, right, "k", how, broadcast_rows=0, share=0.05, salts=8)
+    salted = key_join(left, right, "k", how, broadcast_rows=0, share=share, salts=8)
     assert salted.columns == plain.columns
     assert values(salted) == values(plain)
     assert values(key_join(left, right, "k", how)) == values(plain)
 
 
+def test_only_nulls_are_hot(sides):
+    left = sides[0].selectExpr("id", "if(id % 3 = 0, null, id) as k")
+    salted = key_join(left, sides[1], "k", "left", broadcast_rows=0, share=0.05)
+    assert values(salted) == values(left.join(sides[1], "k", "left"))
+
+
 def test_repeated_right_rows_of_a_hot_key_all_match(sides):
     left, right = sides
     twice = right.unionByName(right.filter("k = 7"))
