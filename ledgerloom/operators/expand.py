@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,9 +75,9 @@ def lifecycle_events(transactions: DataFrame) -> DataFrame:
     )
 
 
-def first_transactions(transactions: DataFrame, n: int, key: str = "transaction_id") -> DataFrame:
-    """The first ``n`` transactions by id, for a trial expansion."""
-    return transactions.orderBy(key).limit(n)
+def first_transactions(transactions: DataFrame, n: int, order: Sequence[str] = ("transaction_id",)) -> DataFrame:
+    """The first ``n`` transactions in a stated order, for a trial expansion."""
+    return transactions.orderBy(*order).limit(n)
 
 
 def currency_grid(days: DataFrame, first: dt.date, day: str = "rate_date") -> DataFrame:

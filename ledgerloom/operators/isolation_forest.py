@@ -204,13 +204,13 @@ class Forest:
         shared = spark.sparkContext.broadcast(self)
 
         @F.pandas_udf("double")
-        def mean_path(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        def mean_path(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             forest = shared.value
             for batch in batches:
-                points = np.column_stack([c.to_numpy("float64") for c in batch])
-                yield pd.Series(forest.mean_path(np.ascontiguousarray(points)))
+                yield pd.Series(forest.mean_path(np.ascontiguousarray(batch.to_numpy("float64"))))
 
-        length = mean_path(*filled(list(self.features), self.fill))
+        # One struct rather than several columns, as a lone column would arrive in another form.
+        length = mean_path(F.struct(*filled(list(self.features), self.fill)))
         return -F.pow(F.lit(2.0), -length / float(path_correction(self.sample)))
 
 

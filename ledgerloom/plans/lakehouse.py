@@ -1,4 +1,4 @@
-"""The batch run: raw files to Bronze, Silver, star schema and marts."""
+"""The runs of the lakehouse: batch load to marts, stream load to Bronze, detection to incidents."""
 
 from __future__ import annotations
 
@@ -6,14 +6,18 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
+from ledgerloom.functions.numeric import recommended_features
+from ledgerloom.operators import incidents, isolation_forest
 from ledgerloom.operators.quality import GOLD_CONTRACTS, bronze_report, run_contracts
 from ledgerloom.operators.standardize import SILVER_RULES, to_silver
 from ledgerloom.operators.upsert import merge_increment
 from ledgerloom.plans import calendar, marts, star
 from ledgerloom.plans.staging import stage
-from ledgerloom.schemas import PRIMARY_KEYS, RAW
-from ledgerloom.sources.files import scan_parquet, stamp
+from ledgerloom.schemas import PRIMARY_KEYS, RAW, STREAM_TRANSACTION
+from ledgerloom.sources.files import require_landed, scan_parquet, stamp
 from ledgerloom.sources.lake import Lake, load_tables
+from ledgerloom.streaming import bronze
+from ledgerloom.streaming.landing import read_landing
 
 # The incrementally merged dimensions and their datasets.
 DIMENSIONS = {"dim_customer": "customers", "dim_account": "accounts", "dim_merchant": "merchants"}
@@ -80,3 +84,39 @@ def run(lake: Lake, raw: str, first: dt.date = calendar.FIRST_DAY, last: dt.date
     build_gold(lake, first, last)
     build_marts(lake)
     return bronze.unionByName(check_gold(lake))
+
+
+def run_stream(lake: Lake, landed: str, state: str, max_files: int | None = None) -> DataFrame:
+    """Load newly landed transactions into Bronze, then check it; for a scheduler to repeat.
+
+    ``state`` keeps the progress and the rejected records. Fails if nothing has landed at all.
+    """
+    require_landed(lake.spark, landed)
+    records = read_landing(lake.spark, landed, STREAM_TRANSACTION, max_files, keep_corrupt=True)
+    loading = bronze.load_stream(
+        lake,
+        bronze.typed_transactions(records),
+        "transactions",
+        PRIMARY_KEYS["transactions"],
+        f"{state}/progress",
+        f"{state}/rejects",
+        ["transaction_timestamp"],
+    )
+    loading.awaitTermination()
+    return check_bronze(lake)
+
+
+def run_detection(
+    lake: Lake, features: list[str] | None = None, contamination: float = isolation_forest.CONTAMINATION
+) -> DataFrame:
+    """Score the transaction fact and store ``ai.scored_transactions`` and ``ai.incidents``.
+
+    Features default to the fact's first numeric columns that are no ids.
+    """
+    facts = lake.read("gold", "fact_transaction")
+    chosen = features or recommended_features(facts)
+    lake.replace("ai", "scored_transactions", isolation_forest.detect(facts, chosen, contamination))
+    scored = lake.read("ai", "scored_transactions")
+    base = incidents.baseline(scored, incidents.measured_columns(scored))
+    lake.replace("ai", "incidents", incidents.incident_table(scored.filter("is_anomaly"), "transaction_id", base))
+    return lake.read("ai", "incidents")

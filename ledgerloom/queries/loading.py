@@ -362,3 +362,14 @@ def lifecycle_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         "transaction_id", "step", "event_type", "event_status", F.col("failure_reason").isNotNull().alias("has_reason")
     )
+
+
+@query(
+    "first_transactions",
+    "SELECT transaction_id, transaction_status, amount FROM "
+    "(SELECT * FROM raw_transactions ORDER BY transaction_id, amount, description, transaction_status LIMIT 100)",
+)
+def first_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["transaction_id", "amount", "description", "transaction_status"]
+    first = expand.first_transactions(raw(spark, sf_dir, "transactions"), 100, order)
+    return first.select("transaction_id", "transaction_status", "amount")

@@ -2,10 +2,15 @@ from __future__ import annotations
 
 import datetime as dt
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.features import TooFewRows
 from ledgerloom.plans import lakehouse
-from tests.conftest import utc
+from ledgerloom.schemas import RAW
+from tests.conftest import utc, values
 
 
 def write_raw(tables, folder):
@@ -46,3 +51,43 @@ def test_batch_run_twice(spark, lake, raw_tables, tmp_path):
     customers = lake.read("gold", "dim_customer")
     assert customers.count() == 3 and customers.filter("updated_at is null").count() == 1
     assert lake.read("bronze", "accounts").count() == 4
+
+
+def test_stream_run(spark, lake, raw_tables, tmp_path):
+    write_raw(raw_tables, str(tmp_path / "raw"))
+    lakehouse.load_bronze(lake, str(tmp_path / "raw"))
+    landed, state = tmp_path / "landed", str(tmp_path / "state")
+    landed.mkdir()
+    with pytest.raises(FileNotFoundError):
+        lakehouse.run_stream(lake, str(landed), state)
+    row = {"transaction_id": "t1", "account_id": "acc_00000001", "transaction_timestamp": "2024-03-08T00:00:00Z", "amount": 1.0}
+    lines = [json.dumps({**row, "transaction_id": t}) for t in ("t1", "s1", "s1", "s2")]
+    (landed / "a.jsonl").write_text("\n".join(lines))
+    for _ in range(2):
+        checks = lakehouse.run_stream(lake, str(landed), state)
+        found = [r[0] for r in values(lake.read("bronze", "transactions"), "transaction_id")]
+        assert found == [None, None, "s1", "s2", "t1", "t2", "t3", "t4", "t4"]
+    assert checks.count() == 18
+
+
+def test_detection_run(spark, lake):
+    rows = 400
+    amount = F.expr("cast(if(id = 7, 90000, 100 + id % 50) as decimal(18,2))")
+    facts = spark.range(rows).select(
+        F.format_string("t%03d", "id").alias("transaction_id"), F.lit(20240305).alias("date_key"), amount.alias("amount")
+    )
+    lake.replace("gold", "fact_transaction", facts)
+    found = lakehouse.run_detection(lake)
+    scored = lake.read("ai", "scored_transactions")
+    assert scored.count() == rows
+    assert found.count() == scored.filter("is_anomaly").count() >= 1
+    incident = found.filter("affected_record = 't007'").first()
+    assert incident.transaction_context.startswith("amount = 90000.00")
+    assert incident.next_step == "Review the transaction and related account activity."
+    lake.replace("gold", "fact_transaction", facts.limit(9))
+    with pytest.raises(TooFewRows):
+        lakehouse.run_detection(lake)
+
+
+def test_raw_schemas_cover_the_lake(raw_tables):
+    assert set(RAW) == set(raw_tables)
