@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +27,7 @@ def require_rows(df: DataFrame, n: int = 1) -> None:
 
 def with_any_feature(df: DataFrame, features: list[str]) -> DataFrame:
     """Rows where at least one feature is neither null nor infinite."""
-    return df.filter(F.coalesce(*[finite(F.col(c)).cast("string") for c in features]).isNotNull())
+    return df.filter(reduce(or_, [finite(F.col(c)).isNotNull() for c in features]))
 
 
 def medians(df: DataFrame, features: list[str], exact: bool = True) -> dict[str, float]:

@@ -221,15 +221,17 @@ def fit(
     sample: int = SAMPLE,
     seed: int = SEED,
     exact: bool = True,
+    identity: list[str] | None = None,
 ) -> Forest:
     """Fit on the rows that have any feature; gaps are filled with the median.
 
-    The forest remembers fill values only for the features that had gaps.
+    Rows are told apart by their features and the ``identity`` columns, by default all columns; no
+    other column is read. The forest remembers fill values only for the features that had gaps.
     """
     usable = with_any_feature(df, features)
     rows, gaps = usable_rows(usable, features)
     fill = medians(usable, gaps, exact)
-    others = [F.col(c) for c in usable.columns if c not in features]
+    others = [F.col(c) for c in identity or usable.columns if c not in features]
     complete = usable.select(*others, *filled(features, fill))
     nodes = fit_nodes(complete, features, rows, trees, sample, seed)
     return Forest.from_nodes(nodes, features, fill, min(sample, rows))
@@ -249,9 +251,11 @@ def detect(
     exact: bool = True,
     forest: Forest | None = None,
     location: str | None = None,
+    identity: list[str] | None = None,
 ) -> DataFrame:
     """Usable rows with ``anomaly_score`` (negative = anomalous) and ``is_anomaly``.
 
+    ``identity`` names the columns that tell rows apart when the forest is fitted, such as the key.
     Scoring is the costly step and both the threshold and the result need it, so the scored rows are
     written once to ``location`` (by default a new folder of the shared scratch area). The threshold
     then reads a single column of that table.
@@ -260,7 +264,7 @@ def detect(
     if not smallest <= contamination <= largest:
         raise ValueError(f"contamination must lie in [{smallest}, {largest}]")
     spark = df.sparkSession
-    model = forest or fit(df, features, exact=exact)
+    model = forest or fit(df, features, exact=exact, identity=identity)
     usable = spread(with_any_feature(df, features))
     path = location or scratch_dir(spark, "scores")
     usable.withColumn("raw_score", model.score(spark)).write.parquet(path)

@@ -115,7 +115,8 @@ def run_detection(
     """
     facts = lake.read("gold", "fact_transaction")
     chosen = features or recommended_features(facts)
-    lake.replace("ai", "scored_transactions", isolation_forest.detect(facts, chosen, contamination))
+    detected = isolation_forest.detect(facts, chosen, contamination, identity=["transaction_id"])
+    lake.replace("ai", "scored_transactions", detected)
     scored = lake.read("ai", "scored_transactions")
     base = incidents.baseline(scored, incidents.measured_columns(scored))
     lake.replace("ai", "incidents", incidents.incident_table(scored.filter("is_anomaly"), "transaction_id", base))

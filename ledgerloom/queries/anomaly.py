@@ -35,7 +35,7 @@ def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detected(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = measures(spark, sf_dir)
-    return isolation_forest.detect(found, recommended_features(found))
+    return isolation_forest.detect(found, recommended_features(found), identity=["transaction_id"])
 
 
 RULED = """

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import profile, quality
 from ledgerloom.operators.sql_audit import audit
 from ledgerloom.operators.standardize import merchant_id_valid
-from ledgerloom.plans import star
 from ledgerloom.plans.staging import COLUMNS
 from ledgerloom.queries import Registry
 from ledgerloom.queries.loading import new_lake
-from ledgerloom.queries.standins import dim_date, event_calendar, raw, silver, staged, table
+from ledgerloom.queries.standins import dim_date, event_facts, facts, raw, silver, staged, table
 from ledgerloom.schemas import PRIMARY_KEYS
 from ledgerloom.schemas import RAW as DECLARED
 from ledgerloom.sources.files import spread
@@ -235,17 +234,17 @@ GOLD_PARENTS = [
     ),
 )
 def contract_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The star schema is written first, so each check reads the columns it needs from a table."""
+    """The transaction fact is written first, as eight checks read columns of it."""
     lake = new_lake(spark, "contracts")
-    dimensions = {"dim_customer": "customers", "dim_account": "accounts", "dim_merchant": "merchants"}
-    for name, dataset in dimensions.items():
-        lake.replace("gold", name, staged(spark, sf_dir, dataset))
-    lake.replace("gold", "dim_date", dim_date(spark))
-    transactions, events = staged(spark, sf_dir, "transactions"), staged(spark, sf_dir, "transaction_events")
-    facts = star.fact_transaction(transactions, lake.read("gold", "dim_account"), dim_date(spark))
-    lake.replace("gold", "fact_transaction", facts)
-    lake.replace("gold", "fact_transaction_event", star.fact_transaction_event(events, event_calendar(spark)))
-    return quality.run_contracts({t: lake.read("gold", t) for t in GOLD_SOURCES}, quality.GOLD_CONTRACTS)
+    tables = {
+        "dim_customer": staged(spark, sf_dir, "customers"),
+        "dim_account": staged(spark, sf_dir, "accounts"),
+        "dim_merchant": staged(spark, sf_dir, "merchants"),
+        "dim_date": dim_date(spark),
+        "fact_transaction_event": event_facts(spark, sf_dir),
+    }
+    lake.replace("gold", "fact_transaction", facts(spark, sf_dir))
+    return quality.run_contracts({**tables, "fact_transaction": lake.read("gold", "fact_transaction")}, quality.GOLD_CONTRACTS)
 
 
 @query(

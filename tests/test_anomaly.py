@@ -115,6 +115,17 @@ def test_every_tree_gets_a_full_sample(spark, rows):
     assert values(roots.groupBy("size").count()) == [(min(rows, 256), 200)]
 
 
+def test_only_identity_and_features_are_read(planted, tmp_path, spark):
+    path = str(tmp_path / "wide")
+    planted.withColumn("note", F.repeat(F.lit("x"), 50)).write.parquet(path)
+    wide = spark.read.parquet(path)
+    with_key = isolation_forest.fit(wide, NAMES, trees=5, identity=["id"])
+    plain = isolation_forest.fit(planted.select("id", *NAMES), NAMES, trees=5)
+    assert (with_key.split == plain.split).all()
+    samples = isolation_forest.tree_samples(wide.select("id", *NAMES), NAMES, 10_000, 5, 256, 42)
+    assert samples.columns == ["tree_id", "row_hash", *NAMES, "copies"]
+
+
 def test_copies_travel_as_one_row(spark):
     df = spark.range(30_000).selectExpr("if(id < 10000, 0, id) as id", "if(id < 10000, 1.0D, double(id)) as a")
     samples = isolation_forest.tree_samples(df, ["a"], 30_000, 200, 256, 42)
