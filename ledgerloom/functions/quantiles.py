@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,21 +118,17 @@ def _count(
     if not brackets:
         return {}
     names = list(brackets)
-    entries = [
-        F.when(
-            F.col(c).between(b.low, b.high),
-            F.struct(F.lit(i).alias("i"), _cell(F.col(c), b, bins, window).alias("cell"), F.col(c).alias("value")),
-        )
+    # One narrow scan per column: together they read what a scan of all columns would.
+    parts = [
+        values.select(F.col(c).alias("value"))
+        .filter(F.col("value").between(b.low, b.high))
+        .select(F.lit(i).alias("i"), _cell(F.col("value"), b, bins, window).alias("cell"), "value")
         for i, (c, b) in enumerate(brackets.items())
     ]
     rows = (
-        values.select(F.explode(F.array_compact(F.array(*entries))).alias("entry"))
-        .groupBy("entry.i", "entry.cell")
-        .agg(
-            F.min("entry.value").alias("low"),
-            F.max("entry.value").alias("high"),
-            F.count(F.lit(1)).alias("rows"),
-        )
+        reduce(DataFrame.unionAll, parts)
+        .groupBy("i", "cell")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("rows"))
         .collect()
     )
     cells: dict[str, list[tuple[float, float, int]]] = {c: [] for c in names}

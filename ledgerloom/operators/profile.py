@@ -10,23 +10,16 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.numeric import finite, numeric_columns
 
 
-def _long(row: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
+def _long(row: DataFrame, measures: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One-row frame with columns ``<measure>|<column>`` -> one row per column."""
-    first = next(iter(groups.values()))
-    entries = [
-        F.struct(
-            F.lit(column).alias("column_name"),
-            *[F.col(f"`{measure}|{column}`").alias(measure) for measure in groups],
-        )
-        for column in first
-    ]
-    return row.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*")
+    entries = ", ".join(f"'{c}', " + ", ".join(f"`{m}|{c}`" for m in measures) for c in columns)
+    return row.selectExpr(f"stack({len(columns)}, {entries}) AS (column_name, {', '.join(measures)})")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
     """(column_name, null_rows) for every column."""
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_rows|{c}") for c in df.columns])
-    return _long(row, {"null_rows": df.columns})
+    row = df.selectExpr(*[f"count_if(`{c}` IS NULL) AS `null_rows|{c}`" for c in df.columns])
+    return _long(row, ["null_rows"], df.columns)
 
 
 def null_counts_by(df: DataFrame, group: str, column: str) -> DataFrame:
@@ -76,7 +69,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     measures = {"non_null": F.count, "minimum": F.min, "maximum": F.max, "mean": F.avg}
     clean = df.select(*[finite(F.col(c)).cast("double").alias(c) for c in chosen])
     row = clean.agg(*[f(F.col(c)).alias(f"{m}|{c}") for m, f in measures.items() for c in chosen])
-    return _long(row, dict.fromkeys(measures, chosen))
+    return _long(row, list(measures), chosen)
 
 
 def detection_metrics(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,19 +132,12 @@ def schema_check(spark: SparkSession, tables: Mapping[str, DataFrame], declared:
     )
 
 
-def _result(check: str, table: str, column: str, failing: Column) -> Column:
-    failing = F.coalesce(failing, F.lit(0)).cast("bigint")
-    return F.struct(
-        F.lit(check).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        failing.alias("failing_rows"),
-        (failing == 0).alias("passed"),
-    )
-
-
-def _rows(one_row: DataFrame, results: list[Column]) -> DataFrame:
-    return one_row.select(F.explode(F.array(*results)).alias("result")).select("result.*")
+def _rows(one_row: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Result rows from a one-row frame; each check is (name, table, column, failing-rows column)."""
+    entries = ", ".join(f"'{name}', '{table}', '{c}', bigint(coalesce(`{n}`, 0))" for name, table, c, n in checks)
+    return one_row.selectExpr(
+        f"stack({len(checks)}, {entries}) AS (check_name, table_name, column_name, failing_rows)"
+    ).selectExpr("*", "failing_rows = 0 AS passed")
 
 
 def run_contracts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]) -> DataFrame:
@@ -159,9 +152,9 @@ def run_contracts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]
     unique = {(c.table, c.column) for c in contracts if isinstance(c, Unique)}
     not_null = [c for c in contracts if isinstance(c, NotNull)]
     for table, column in sorted(unique):
-        results = [_result("unique", table, column, F.col("repeated_keys"))]
+        results = [("unique", table, column, "repeated_keys")]
         if NotNull(table, column) in not_null:
-            results.append(_result("not_null", table, column, F.col("null_keys")))
+            results.append(("not_null", table, column, "null_keys"))
         parts.append(_rows(key_report(tables[table], column, table), results))
     plain: dict[str, list[str]] = {}
     for c in not_null:
@@ -169,11 +162,11 @@ def run_contracts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]
             plain.setdefault(c.table, []).append(c.column)
     for table, columns in plain.items():
         counted = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        parts.append(_rows(counted, [_result("not_null", table, c, F.col(c)) for c in columns]))
+        parts.append(_rows(counted, [("not_null", table, c, c) for c in columns]))
     for c in contracts:
         if isinstance(c, Relationship):
             counted = orphan_count(tables[c.table], tables[c.parent], c.column, c.parent_column, c.null_is_orphan)
-            parts.append(_rows(counted, [_result("relationship", c.table, c.column, F.col("orphan_rows"))]))
+            parts.append(_rows(counted, [("relationship", c.table, c.column, "orphan_rows")]))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -183,11 +176,11 @@ def rule_results(transactions: DataFrame, events: DataFrame) -> DataFrame:
     unexplained = F.count_if((F.col("event_type") == "failed") & F.col("failure_reason").isNull())
     return _rows(
         transactions.agg(missing.alias("n")),
-        [_result("merchant_required", "transactions", "merchant_id", F.col("n"))],
+        [("merchant_required", "transactions", "merchant_id", "n")],
     ).unionByName(
         _rows(
             events.agg(unexplained.alias("n")),
-            [_result("reason_required", "transaction_events", "failure_reason", F.col("n"))],
+            [("reason_required", "transaction_events", "failure_reason", "n")],
         )
     )
 

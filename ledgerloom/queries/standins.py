@@ -17,6 +17,7 @@ from ledgerloom.operators.standardize import to_silver
 from ledgerloom.plans import calendar, star
 from ledgerloom.plans.staging import stage
 from ledgerloom.session import pin_utc
+from ledgerloom.sources.files import scan_parquet
 
 FIRST_DAY = dt.date(1995, 1, 1)
 LAST_DAY = dt.date(2001, 12, 31)
@@ -32,8 +33,29 @@ METHODS = ["card", "upi", "bank_transfer", "cash", "online"]
 COUNTRIES = list(COUNTRY_CURRENCY)
 
 
+# The schemas of the shared test tables that are used.
+TEST_TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table with its declared schema, so no job is spent on reading footers first."""
+    return scan_parquet(pin_utc(spark), f"{sf_dir}/{name}.parquet", TEST_TABLES[name])
 
 
 def messy(column: Column) -> Column:

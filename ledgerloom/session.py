@@ -21,6 +21,8 @@ def local_session(cores: int | str = 8, app: str = "ledgerloom", **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording a Python stack for every column expression slows plan building down.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
