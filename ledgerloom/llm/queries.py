@@ -7,20 +7,31 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe
+from ledgerloom.llm import bpe, langid, secrets
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan_documents(table(spark, sf_dir, "documents")))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode_documents(encoded, ranks))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.learn(docs))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_secrets": op1_secrets,
     "op4_bpe": op4_bpe,
+    "op10_langid": op10_langid,
 }
 
 #: DuckDB SQL of the queries that SQL can state over whole tables.
