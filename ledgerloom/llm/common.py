@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import scratch_base
+
 #: Rows of one Arrow batch between the JVM and Python. Texts of 100 KB then make batches of some 25 MB.
 BATCH_ROWS = 256
 
@@ -45,3 +47,11 @@ def partitions(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written to the checkpoint folder all executors share, so that a lost one costs no recomputation."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_base(df.sparkSession))
+    return df.checkpoint(eager=True)
