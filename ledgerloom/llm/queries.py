@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, langid, secrets, simhash
+from ledgerloom.llm import bpe, decontaminate, langid, secrets, simhash
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan_documents(table(spark, sf_dir, "documents")))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -34,6 +38,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
+    "op2_decontaminate": op2_decontaminate,
     "op4_bpe": op4_bpe,
     "op8_simhash": op8_simhash,
     "op10_langid": op10_langid,
