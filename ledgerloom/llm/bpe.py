@@ -184,11 +184,12 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return map_batches(own, work, "doc_id long, ids binary, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of what :func:`decode_documents` returns."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of what :func:`decode_documents` returns, and columns of it."""
     return decoded.select(
         "doc_id",
         F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )

@@ -28,10 +28,11 @@ BLOCK_CHARS = 4_000_000
 MIN_CHARS = 24
 ERROR_RATE = 0.08
 
-_OTHER_BREAKS = re.compile("[\x80-\xa0«»  -⁯　]+")
+_OTHER = "\x80-\xa0\xab\xbb\u2000-\u206f\u3000"
+_OTHER_BREAKS = re.compile(f"[{_OTHER}]+")
 _ASCII_BREAKS = bytes(b for b in range(128) if not chr(b).isalnum())
 _TO_BLANK = bytes.maketrans(_ASCII_BREAKS, b" " * len(_ASCII_BREAKS))
-_WORD = re.compile("[^" + re.escape(_ASCII_BREAKS.decode()) + "\x80-\xa0«»  -⁯　]+")
+_WORD = re.compile("[^" + re.escape(_ASCII_BREAKS.decode()) + _OTHER + "]+")
 
 
 def normal(text: str) -> str:

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, langid, secrets, simhash
+import corpus_pipeline
+
+from ledgerloom.llm import bpe, decontaminate, langid, secrets, simhash, topk
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +30,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_documents(encoded, ranks))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
 
@@ -40,9 +47,29 @@ QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
     "op4_bpe": op4_bpe,
+    "op6_topk": op6_topk,
     "op8_simhash": op8_simhash,
     "op10_langid": op10_langid,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL of the queries that SQL can state over whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_topk": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, o.vec_id, CAST(list_inner_product(q.c, o.c) AS BIGINT) AS score
+            FROM v q JOIN v o ON q.vec_id <> o.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
