@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from ledgerloom.llm import bpe, decontaminate, langid, secrets, simhash, topk
+from ledgerloom.llm import bpe, decontaminate, langid, secrets, seqfile, simhash, topk
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
 
 
+def op9_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seqfile.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.learn(docs))
@@ -49,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op6_topk": op6_topk,
     "op8_simhash": op8_simhash,
+    "op9_sequences": op9_sequences,
     "op10_langid": op10_langid,
     "pipeline": corpus_pipeline.run,
 }
