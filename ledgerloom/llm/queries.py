@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from ledgerloom.llm import bpe, decontaminate, langid, secrets, seqfile, simhash, topk
+from ledgerloom.llm import bpe, decontaminate, html, langid, secrets, seqfile, simhash, topk
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.counted(html.extract(table(spark, sf_dir, "pages")))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_bpe": op4_bpe,
     "op6_topk": op6_topk,
+    "op7_html": op7_html,
     "op8_simhash": op8_simhash,
     "op9_sequences": op9_sequences,
     "op10_langid": op10_langid,
