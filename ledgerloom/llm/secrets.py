@@ -279,7 +279,7 @@ def _spelled(spans: str) -> Column:
 
 def digests(scanned: DataFrame) -> DataFrame:
     """Counts of the base matches, their digest, and all spans spelled out."""
-    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) AS long)").alias(f"n_{kind}") for kind in KINDS]
     return scanned.select("doc_id", *counts, F.sha2(_spelled("base"), 256).alias("base_sha256"), _spelled("spans").alias("spans"), "n_refused")
 
 
