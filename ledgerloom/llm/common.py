@@ -8,11 +8,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import scratch_base
+from ledgerloom.session import scratch_dir
 
 #: Rows of one Arrow batch between the JVM and Python. Texts of 100 KB then make batches of some 25 MB.
 BATCH_ROWS = 256
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -49,9 +51,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the checkpoint folder all executors share, so that a lost one costs no recomputation."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_base(df.sparkSession))
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, label: str = "step") -> DataFrame:
+    """The rows, written to the folder that all executors share and read again.
+
+    What comes after starts from that table, so a lost executor costs no recomputation beyond it, and the shuffle files
+    that made it can go at once.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
