@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from ledgerloom.llm import bpe, decontaminate, html, langid, secrets, seqfile, simhash, suffixdedup, topk
+from ledgerloom.llm import bpe, decontaminate, html, langid, quality, secrets, seqfile, simhash, suffixdedup, topk
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_documents(encoded, ranks))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The site of a document is its source as host and its language there as path."""
+    docs = table(spark, sf_dir, "documents").withColumnsRenamed({"source": "host", "lang": "path"})
+    return quality.score(docs, table(spark, sf_dir, "labels"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -60,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
     "op6_topk": op6_topk,
     "op7_html": op7_html,
     "op8_simhash": op8_simhash,
