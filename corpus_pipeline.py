@@ -21,8 +21,7 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from their labels; null texts and texts without letters go."""
-    judged = langid.judged_documents(docs, langid.learn(docs))
-    return judged.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(docs.columns)
+    return langid.confident_documents(docs, langid.learn(docs), MIN_LANGUAGE_SCORE)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts masked and n_chars counted again."""
-    return secrets.mask_documents(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return secrets.mask_documents(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

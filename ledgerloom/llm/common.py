@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.session import scratch_dir
 
@@ -34,7 +35,21 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return own.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of the table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_ids(df: DataFrame, id_col: str, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of a table with the one column of ``ids``, nulls equal, whatever the table's columns are called."""
+    key = free_name(df, "id_")
+    return df.join(ids.toDF(key), column(id_col).cast("long").eqNullSafe(F.col(key)), how)
+
+
+def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str | T.StructType, rows: int = BATCH_ROWS) -> DataFrame:
     """``mapInArrow`` over batches of few rows, so that long texts stay within a worker's memory.
 
     The batch size is a setting of the session and stays set: it is read when the plan is run.
@@ -43,6 +58,18 @@ def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str,
     return df.mapInArrow(work, schema)
 
 
+def map_whole_rows(df: DataFrame, work: Callable[[pa.RecordBatch, int], pa.RecordBatch], text_col: str) -> DataFrame:
+    """Batches of all columns through ``work``, which also gets the place of ``text_col``; names and types stay."""
+    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema.fields)])
+    at = df.columns.index(text_col)
+
+    def each(batches: Batches) -> Batches:
+        return (work(batch, at) for batch in batches)
+
+    # Under plain names, as a name with a dot in it cannot be passed on.
+    return map_batches(df.toDF(*schema.names), each, schema).toDF(*df.columns)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

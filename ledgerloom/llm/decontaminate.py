@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Batches, cut, map_batches, narrow, texts_of
+from ledgerloom.llm.common import Batches, cut, map_batches, narrow, texts_of, with_ids
 
 #: Characters of the items that one automaton holds; some 40 bytes of memory each.
 BLOCK_CHARS = 4_000_000
@@ -183,5 +183,4 @@ def _matches(docs: DataFrame, items: tuple[tuple[int, str], ...], rate: float) -
 def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """The rows and columns of ``docs`` whose whole ``text`` holds no test item; null texts hold none."""
     items = narrow(benchmark, item_id="item_id", text="text")
-    leaks = find_leaks(docs, items, rate).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").cast("long").eqNullSafe(F.col("_leak")), "left_anti")
+    return with_ids(docs, "doc_id", find_leaks(docs, items, rate).select("doc_id").distinct(), "left_anti")

@@ -33,6 +33,8 @@ BROADCAST_BYTES = 16 << 20
 MAX_NODES = 4000
 #: Elements nested deeper are read as if they stood side by side.
 MAX_DEPTH = 200
+#: Texts that a node remembers between two trims.
+MAX_SEEN = 128
 #: Page shapes that a task holds before it merges them.
 HELD_SHAPES = 1000
 #: A text is constant if this share of at least CONSTANT_PAGES pages has it.
@@ -71,12 +73,15 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """An element; ``parts`` are its texts, child elements, and True and False where a link begins and ends."""
+    """An element; ``parts`` are its texts, child elements, and True and False where a link begins and ends.
 
-    __slots__ = ("group", "label", "parts", "tag")
+    ``code`` stands for the element's own text.
+    """
+
+    __slots__ = ("code", "group", "label", "parts", "tag")
 
     def __init__(self, tag: str, label: str) -> None:
-        self.tag, self.label, self.parts, self.group = tag, label, [], None
+        self.tag, self.label, self.parts, self.group, self.code = tag, label, [], None, 0
 
 
 @lru_cache(maxsize=4096)
@@ -147,16 +152,29 @@ def parse(html: str) -> Node:
 
 
 class Group:
-    """A node of a page's tree or of a wrapper: siblings of one kind, seen together."""
+    """A node of a page's tree or of a wrapper: siblings of one kind, seen together.
+
+    ``seen`` has the frequent texts of single elements, by code: on how many pages, and how long.
+    """
 
-    __slots__ = ("children", "constants", "label", "links", "pages", "role", "text")
+    __slots__ = ("children", "label", "links", "pages", "role", "seen", "text")
 
     def __init__(self, label: str) -> None:
         self.label, self.children = label, []
         self.pages = self.text = self.links = 0
-        self.constants: dict[int, int] = {}
+        self.seen: dict[int, tuple[int, int]] = {}
         self.role = ""
 
+    def constants(self) -> frozenset[int]:
+        """Texts that are the same on nearly all pages."""
+        if self.pages < CONSTANT_PAGES:
+            return frozenset()
+        return frozenset(code for code, (n, _) in self.seen.items() if n >= CONSTANT_SHARE * self.pages)
+
+    def varying(self) -> int:
+        """Text that is neither constant nor link."""
+        return max(0, self.text - self.links - sum(n * size for n, size in (self.seen[code] for code in self.constants())))
+
     def walk(self) -> Iterator[Group]:
         yield self
         for child in self.children:
@@ -168,18 +186,15 @@ def grouped(node: Node, group: Group | None = None) -> Group:
     group = group or Group(node.label)
     group.pages = 1
     node.group = group
-    place, in_link = 0, False
+    place, in_link, size = 0, False, 0
     for part in node.parts:
         if part is True or part is False:
             in_link = part
         elif isinstance(part, str):
-            size = len(part) if part.strip() else 0
-            if size:
-                group.text += size
-                group.links += size * in_link
-                code = zlib.crc32(_SPACE.sub(" ", part.strip()).encode("utf-8", "replace"))
-                seen = next(iter(group.constants), 0)
-                group.constants = {zlib.crc32(code.to_bytes(4, "little"), seen): 1}
+            if own := part.strip():
+                size += len(part)
+                group.links += len(part) * in_link
+                node.code = zlib.crc32(own.encode("utf-8", "replace"), node.code)
         else:
             known = group.children
             while place < len(known) and known[place].label != part.label:
@@ -189,6 +204,9 @@ def grouped(node: Node, group: Group | None = None) -> Group:
             if place == len(known):
                 known.append(Group(part.label))
             grouped(part, known[place])
+    if size:
+        group.text += size
+        group.seen[node.code] = 1, size
     return group
 
 
@@ -230,11 +248,11 @@ def merge(wrapper: Group, page: Group, sizes: dict[tuple[int, int], int] | None
     wrapper.pages += page.pages
     wrapper.text += page.text
     wrapper.links += page.links
-    for code, n in page.constants.items():
-        wrapper.constants[code] = wrapper.constants.get(code, 0) + n
-    if len(wrapper.constants) > 8:  # counts of the frequent texts stay right but for a ninth of the pages
-        least = sorted(wrapper.constants.values(), reverse=True)[8]
-        wrapper.constants = {code: n - least for code, n in wrapper.constants.items() if n > least}
+    for code, (n, size) in page.seen.items():
+        wrapper.seen[code] = wrapper.seen.get(code, (0, 0))[0] + n, size
+    if len(wrapper.seen) > 2 * MAX_SEEN:  # the rest of the counts falls short by what is taken off here
+        least = sorted((n for n, _ in wrapper.seen.values()), reverse=True)[MAX_SEEN]
+        wrapper.seen = {code: (n - least, size) for code, (n, size) in wrapper.seen.items() if n > least}
     if page.children:
         _, pairs = _align(wrapper, page, sizes) if wrapper.children else (0, [])
         children, i, j = [], 0, 0
@@ -257,17 +275,20 @@ def pruned(wrapper: Group) -> Group:
 
 
 def pack(group: Group) -> list:
-    return [group.label, group.pages, group.text, group.links, list(group.constants.items()), [pack(c) for c in group.children]]
+    return [group.label, group.pages, group.text, group.links, [[code, n, size] for code, (n, size) in group.seen.items()], [pack(c) for c in group.children]]
 
 
 def unpack(packed: list) -> Group:
     group = Group(packed[0])
     group.pages, group.text, group.links = packed[1:4]
-    group.constants = {int(code): n for code, n in packed[4]}
+    group.seen = {code: (n, size) for code, n, size in packed[4]}
     group.children = [unpack(c) for c in packed[5]]
     return group
 
 
+KEPT = ("keep", "slots")
+
+
 def _words(label: str) -> tuple[str, set[str]]:
     tag, *words = label.split(".")
     return tag, set(words)
@@ -283,17 +304,12 @@ def _unwanted(group: Group, in_root: bool) -> bool:
     return bool(words & _DROP_WORDS) and not any(_words(g.label)[0] in ("article", "main", "h1") for g in group.walk())
 
 
-def _constant(group: Group) -> bool:
-    return group.pages >= CONSTANT_PAGES and max(group.constants.values(), default=0) >= CONSTANT_SHARE * group.pages
-
-
 def assign_roles(wrapper: Group) -> Group:
-    """Mark each node: ``keep`` its own text, ``pass`` (look below only), or ``drop`` with all below."""
+    """Mark each node: ``keep`` its own texts, keep them but for constant ones (``slots``), ``pass`` (look below only), or ``drop`` with all below."""
     mass: dict[int, int] = {}  # varying text that is no link, by node
 
     def weigh(group: Group) -> int:
-        own = 0 if _constant(group) else group.text - group.links
-        mass[id(group)] = 0 if _unwanted(group, False) else own + sum(map(weigh, group.children))
+        mass[id(group)] = 0 if _unwanted(group, False) else group.varying() + sum(map(weigh, group.children))
         return mass[id(group)]
 
     weigh(wrapper)
@@ -324,10 +340,10 @@ def assign_roles(wrapper: Group) -> Group:
             role = "pass"
         elif _words(group.label)[0] == "header":
             role = "pass"  # of an article's header only the headings
-        elif not named and (_constant(group) or group.links > LINK_SHARE * group.text):
+        elif not named and group.links > LINK_SHARE * group.text:
             role = "pass"
         else:
-            role = "keep"
+            role = "keep" if named else "slots"
         group.role = role
         for child in group.children:
             mark(child, inside)
@@ -338,27 +354,30 @@ def assign_roles(wrapper: Group) -> Group:
 
 def _inherit(page: Group, wrapper: Group | None, above: str) -> None:
     """Roles of the page's nodes from the wrapper's nodes they align with; of others by kind and surroundings."""
-    page.role = wrapper.role if wrapper else "drop" if _unwanted(page, above == "keep") else above
+    page.role = wrapper.role if wrapper else "drop" if _unwanted(page, above in KEPT) else above
+    page.seen = wrapper.seen if wrapper else {}
+    page.pages = wrapper.pages if wrapper else 0
     pairs = dict((j, i) for i, j in _align(wrapper, page, {})[1]) if wrapper and page.children else {}
     for j, child in enumerate(page.children):
         _inherit(child, wrapper.children[pairs[j]] if j in pairs else None, page.role)
 
 
-def blocks(node: Node, roles: dict[int, str]) -> Iterator[str]:
+def blocks(node: Node, roles: dict[int, tuple[str, frozenset[int]]]) -> Iterator[str]:
     """Texts of the kept blocks in page order."""
-    role = roles[id(node.group)]
+    role, constants = roles[id(node.group)]
     if role == "drop":
         return
+    keep = role == "keep" or (role == "slots" and node.code not in constants)
     line: list[str] = []
     for part in node.parts:
         if isinstance(part, str):
             line.append(part)
         elif isinstance(part, Node):
-            if role == "keep":
+            if keep:
                 yield "".join(line)
             line = []
             yield from blocks(part, roles)
-    if role == "keep":
+    if keep:
         yield "".join(line)
 
 
@@ -372,22 +391,24 @@ class Extractor:
 
     def __init__(self, packed: str | None) -> None:
         self.wrapper = assign_roles(unpack(json.loads(packed))) if packed else None
-        self.shapes: dict[str, list[str]] = {}
+        self.shapes: dict[str, list[tuple[str, frozenset[int]]]] = {}
+
+    def _roles(self, tree: Group) -> list[tuple[str, frozenset[int]]]:
+        if self.wrapper is not None:
+            _inherit(tree, self.wrapper, "pass")
+        if not any(g.role in KEPT for g in tree.walk()):  # a page of another kind than its host's others
+            assign_roles(tree)
+        return [(g.role, g.constants() if g.role == "slots" else frozenset()) for g in tree.walk()]
 
     def text(self, html: str) -> str:
         page = parse(html)
         tree = grouped(page)
         key = shape(tree)
-        roles = self.shapes.get(key)
-        if roles is None:
-            if self.wrapper is None:
-                assign_roles(tree)
-            else:
-                _inherit(tree, self.wrapper, "pass")
+        if key not in self.shapes:
             if len(self.shapes) >= HELD_SHAPES:
                 self.shapes.clear()
-            roles = self.shapes[key] = [g.role for g in tree.walk()]
-        return cleaned(blocks(page, dict(zip(map(id, tree.walk()), roles, strict=True))))
+            self.shapes[key] = self._roles(tree)
+        return cleaned(blocks(page, dict(zip(map(id, tree.walk()), self.shapes[key], strict=True))))
 
 
 @lru_cache(maxsize=64)
@@ -432,18 +453,20 @@ def induce(pages: DataFrame) -> DataFrame:
         rows = [(host, part, json.dumps(pack(tree))) for host, tree in wrappers.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.string()))], ["host", "part", "wrapper"])
 
-    def combine(rows: pa.Table) -> pa.Table:
+    def combine(rows: pa.Table, last: bool) -> pa.Table:
         rows = rows.sort_by("part")  # the same wrapper whatever order the parts arrive in
         whole = None
         for packed in rows.column("wrapper").to_pylist():
             tree = unpack(json.loads(packed))
             whole = tree if whole is None else pruned(merge(whole, tree))
+        for group in whole.walk() if last else ():
+            group.seen = {code: group.seen[code] for code in group.constants()}  # pages need no more of it
         return pa.table({"host": rows.column("host")[:1], "part": rows.column("part")[:1], "wrapper": pa.array([json.dumps(pack(whole))])})
 
     schema = "host string, part long, wrapper string"
     parts = map_batches(pages.select("host", "html"), work, schema)
-    some = parts.groupBy("host", F.pmod("part", F.lit(64))).applyInArrow(lambda rows: combine(rows), schema)
-    return some.groupBy("host").applyInArrow(lambda rows: combine(rows), schema).select("host", "wrapper")
+    some = parts.groupBy("host", F.pmod("part", F.lit(64))).applyInArrow(lambda rows: combine(rows, False), schema)
+    return some.groupBy("host").applyInArrow(lambda rows: combine(rows, True), schema).select("host", "wrapper")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -17,9 +17,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerloom.llm.common import Batches, map_batches, narrow, texts_of
+from ledgerloom.llm.common import Batches, map_batches, map_whole_rows, narrow, texts_of
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -81,8 +80,9 @@ def windows_of(text: str) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::step]
 
 
-def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 8, batch: int = 64, seed: int = 7) -> Network:
-    """Adam on the cross entropy, with a fixed seed."""
+def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 8, batch: int = 64, steps: int = 600, seed: int = 7) -> Network:
+    """Adam on the cross entropy, with a fixed seed; more epochs if few windows would give fewer steps."""
+    epochs = max(epochs, -(-steps // -(-len(windows) // batch)))
     random = np.random.default_rng(seed)
     size, filters = EMBEDDING * max(WIDTHS), FILTERS * len(WIDTHS)
     open_rows = np.zeros((size, filters), dtype=np.float32)
@@ -98,17 +98,17 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs:
         np.zeros(len(languages), dtype=np.float32),
     )
     weights = [net.embedding, net.filters, net.shift, net.dense, net.bias]
-    first, second, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
+    first, second, at_step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
     for _ in range(epochs):
         order = random.permutation(len(windows))
         for at in range(0, len(order), batch):
             own = order[at : at + batch]
             grads = _gradients(net, windows[own], labels[own], open_rows)
-            step += 1
+            at_step += 1
             for w, g, a, b in zip(weights, grads, first, second, strict=True):
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
-                w -= 0.01 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
+                w -= 0.01 * (a / (1 - 0.9**at_step)) / (np.sqrt(b / (1 - 0.999**at_step)) + 1e-8)
     return net
 
 
@@ -202,13 +202,11 @@ def predict(docs: DataFrame, network: Network | None, id_col: str = "doc_id", te
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def judged_documents(docs: DataFrame, network: Network | None, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with lang_pred and score added, for filters; both names must be free."""
+def confident_documents(docs: DataFrame, network: Network | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` whose whole text is in a learned language with a score of at least ``least``."""
 
-    def work(batches: Batches) -> Batches:
-        for batch in batches:
-            judged = _judged(network, batch.column(batch.schema.get_field_index(text_col)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *judged], [*batch.schema.names, "lang_pred", "score"])
+    def work(batch: pa.RecordBatch, at: int) -> pa.RecordBatch:
+        judged = [language_of(network, text) for text in batch.column(at).to_pylist()]
+        return batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in judged], pa.bool_()))
 
-    fields = [*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return map_batches(docs, work, T.StructType(fields))
+    return map_whole_rows(docs, work, text_col)

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Batches, column, map_batches, texts_of
+from ledgerloom.llm.common import Batches, map_batches, map_whole_rows, texts_of
 
 KINDS = ("assign", "access", "hex")
 
@@ -295,13 +295,8 @@ def mask(text: str, found: dict[tuple[int, int, int], str], label: str) -> str:
 
 def mask_documents(docs: DataFrame, text_col: str = "text", label: str = "[secret]") -> DataFrame:
     """The same rows and columns with every found span of ``text_col`` masked; a null text stays null."""
-    schema = docs.withColumn(text_col, column(text_col).cast("string")).schema
+    def work(batch: pa.RecordBatch, at: int) -> pa.RecordBatch:
+        texts = [None if text is None else mask(text, scan(text)[1], label) for text in batch.column(at).to_pylist()]
+        return batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    def work(batches: Batches) -> Batches:
-        for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            texts = [None if text is None else mask(text, scan(text)[1], label) for text in batch.column(at).to_pylist()]
-            columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
-
-    return map_batches(docs, work, schema)
+    return map_whole_rows(docs, work, text_col)

@@ -3,8 +3,8 @@
 A text's fingerprint has a bit set where more than half of its shingles' hashes have it set. Copies of a fingerprint
 are one node. To find nodes within ``max_distance`` bits, the 64 bits are cut into blocks; two such nodes differ by at
 most t = max_distance // blocks bits in one of them. The anchors of a block are the words of a covering code: a
-Hamming code over its first 2^r - 1 bits, all values of the others, so each value lies within R = 1 of exactly one
-anchor, its home. A node is copied to every anchor within R + t of its value; whoever is at home at an anchor is
+Hamming code over its first 2^r - 1 bits, all values of the others, so each value lies within R = 1 of an anchor that
+equals it in the other bits, its home. A node is copied to every anchor within R + t of its value; whoever is at home at an anchor is
 compared with all that were copied there. That misses no pair: if x is at home at c, and y differs from x by t, then
 y lies within R + t of c.
 
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Batches, column, cut, map_batches, partitions, texts_of
+from ledgerloom.llm.common import Batches, column, cut, map_batches, partitions, texts_of, with_ids
 from ledgerloom.llm.components import components
 
 BITS, SEED = 64, 42
@@ -197,6 +197,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, id
 
 def first_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stand for their component, one for each; rows without id are left as they are."""
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.join(keep, column(id_col).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([id_col])
+    keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    known = with_ids(docs, id_col, keep, "left_semi").dropDuplicates([id_col])
     return known.unionByName(docs.filter(column(id_col).isNull()))

@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import os
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import suffixdedup, suffixsort
+
+LENGTH, SPAN = 40, 20
+
+
+def test_loser_tree_sorts_and_knows_common_prefixes():
+    random.seed(5)
+    for _ in range(200):
+        runs, everything = [], []
+        for _ in range(random.randint(1, 9)):
+            run = sorted(("".join(random.choice("ab") for _ in range(random.randint(0, 12))) * random.choice([1, 1, 9])).encode() for _ in range(random.randint(0, 12)))
+            everything += run
+            runs.append(iter(suffixsort.front_coded([(s, i) for i, s in enumerate(run)])))
+        before, merged = b"", list(suffixsort.LoserTree(runs))
+        assert [s for _, s, _ in merged] == sorted(everything)
+        for same, string, _ in merged:
+            assert same == len(os.path.commonprefix([before, string]))
+            before = string
+
+
+def test_longest_shared_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(suffixsort, "RUN", 40)
+    random.seed(6)
+    strings = {i: ("".join(random.choice("ab") for _ in range(random.randint(0, 20)))).encode() for i in range(400)}
+    distinct = {s: i for i, s in strings.items()}
+    rows = [(distinct[s], bytearray(s)) for s in strings.values()]
+    df = spark.createDataFrame(rows, "id long, s binary").repartition(6)
+    found = {r.id: r.shared for r in suffixsort.longest_shared(df).collect()}
+    copies = Counter(strings.values())
+    for s, i in distinct.items():
+        assert found[i] == (len(s) if copies[s] > 1 else max(len(os.path.commonprefix([s, o])) for o in distinct if o != s))
+    assert len(found) == len(distinct)
+
+
+def brute(rows, length):
+    raws = [(doc_id, (text or "").encode()) for doc_id, text in rows]
+    counts = Counter(raw[p : p + length] for _, raw in raws for p in range(len(raw) - length + 1))
+    out = []
+    for doc_id, raw in raws:
+        gone = np.zeros(len(raw) + 2, dtype=bool)
+        for p in range(len(raw) - length + 1):
+            if counts[raw[p : p + length]] > 1:
+                gone[p + 1 : p + 1 + length] = True
+        edges = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
+        out.append((doc_id, len(raw), tuple(zip(edges[::2], edges[1::2], strict=True)), bytes(b for b, g in zip(raw, gone[1:], strict=False) if not g)))
+    return out
+
+
+def run(docs, length=LENGTH, span=SPAN):
+    found = suffixdedup.remove_repeats(docs, length, span).collect()
+    return [(r.doc_id, r.n_bytes, tuple((s.start, s.stop) for s in r.spans), bytes(r.kept)) for r in found]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(make_docs, clashing, seed, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "SEGMENT", 64)  # texts of several segments
+    random.seed(seed)
+    words = ["".join(random.choice("abcde") for _ in range(random.randint(2, 6))) for _ in range(60)]
+    prose = lambda n: " ".join(random.choice(words) for _ in range(n))
+    passages = [prose(n) for n in (7, 8, 9, 10, 12, 15, 30, 60)]
+    rows = []
+    for i in range(250):
+        text = prose(random.randint(0, 25))
+        for _ in range(random.randint(0, 2)):
+            text += " " + random.choice(passages) + " " + prose(random.randint(0, 6))
+        if random.random() < 0.15:
+            text = text[:5] + "é" + text[5:]
+        if rows and random.random() < 0.1:
+            text = random.choice(rows)[1]
+        if random.random() < 0.08:
+            text = random.choice(["ab", "x"]) * random.randint(10, 90)
+        rows.append((i, text))
+    rows += [(1000, None), (1001, ""), (7, rows[7][1]), (None, prose(20)), (None, rows[3][1])]
+    expected = brute(rows, LENGTH)
+    assert 0 < sum(len(kept) for *_, kept in expected) < sum(n for _, n, *_ in expected)
+    assert sorted(map(repr, run(clashing(make_docs(rows), "k", "h", "f", "s", "d")))) == sorted(map(repr, expected))
+
+
+def test_production_length(make_docs):
+    random.seed(9)
+    prose = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    rows = []
+    for i, n in enumerate((399, 400, 401, 460, 900)):
+        passage = prose(n)
+        rows += [(10 * i + j, prose(random.randint(0, 700)) + passage + prose(random.randint(0, 700))) for j in range(3)]
+    rows.append((99, (p := prose(410)) + prose(50) + p))
+    rows.append((100, "w" * 2000))
+    assert sorted(run(make_docs(rows), 400, 300)) == sorted(brute(rows, 400))
+
+
+def test_empty_table(make_docs):
+    assert run(make_docs([(1, "x")]).limit(0)) == []
