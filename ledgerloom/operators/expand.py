@@ -1,42 +1,16 @@
-"""Row expansion by fixed tables: lifecycle events of a transaction, currency pairs of a day."""
+"""Fixed tables of the domain as lookups, and the first transactions of a table."""
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import lookup, nth
+from ledgerloom.functions.text import lookup
 
-# Transaction status -> its events in order.
-EVENT_SEQUENCE = {
-    "completed": ["initiated", "authorized", "completed"],
-    "pending": ["initiated", "authorized"],
-    "failed": ["initiated", "failed"],
-    "reversed": ["initiated", "authorized", "completed", "reversed"],
-}
-FAILURE_REASONS = [
-    "insufficient_funds",
-    "merchant_declined",
-    "fraud_detected",
-    "network_error",
-    "invalid_credentials",
-]
-MAX_STEP_SECONDS = 120
-
-# Currencies, merchant country -> currency, and the base rate of each ordered pair.
+# Currencies, and merchant country -> currency.
 CURRENCIES = ["INR", "USD", "EUR", "GBP", "AED", "SGD"]
 COUNTRY_CURRENCY = {"IN": "INR", "US": "USD", "GB": "GBP", "DE": "EUR", "AE": "AED", "SG": "SGD"}
-BASE_RATES = {
-    "INR": {"USD": 0.0120, "EUR": 0.0110, "GBP": 0.0095, "AED": 0.0440, "SGD": 0.0160},
-    "USD": {"INR": 83.0, "EUR": 0.92, "GBP": 0.79, "AED": 3.67, "SGD": 1.34},
-    "EUR": {"INR": 90.0, "USD": 1.09, "GBP": 0.86, "AED": 4.00, "SGD": 1.46},
-    "GBP": {"INR": 105.0, "USD": 1.27, "EUR": 1.16, "AED": 4.65, "SGD": 1.70},
-    "AED": {"INR": 22.6, "USD": 0.272, "EUR": 0.250, "GBP": 0.215, "SGD": 0.365},
-    "SGD": {"INR": 62.0, "USD": 0.746, "EUR": 0.685, "GBP": 0.588, "AED": 2.74},
-}
 # Transaction type -> smallest and largest amount.
 AMOUNT_RANGE = {
     "purchase": (50, 50_000),
@@ -47,68 +21,11 @@ AMOUNT_RANGE = {
 }
 
 
-def lifecycle_events(transactions: DataFrame) -> DataFrame:
-    """The ordered lifecycle events of every transaction.
-
-    Time offsets and failure reasons come from a hash of id and step, so a rerun gives the same
-    rows. An unknown status fails the job, it is not dropped.
-    """
-    sequences = {status: F.array(*[F.lit(e) for e in events]) for status, events in EVENT_SEQUENCE.items()}
-    pairs = [part for status, events in sequences.items() for part in (F.lit(status), events)]
-    known = F.try_element_at(F.create_map(*pairs), F.col("transaction_status"))
-    unknown = F.raise_error(F.concat(F.lit("no events for status "), F.col("transaction_status")))
-    events = F.when(known.isNull(), unknown.cast("array<string>")).otherwise(known)
-    picked = F.xxhash64("transaction_id", "step")
-    seconds = (F.pmod(picked, F.lit(MAX_STEP_SECONDS)) + 1) * (F.col("step") + 1)
-    failed = F.col("event_type") == "failed"
-    reason = nth(FAILURE_REASONS, F.pmod(F.shiftright(picked, 8), F.lit(len(FAILURE_REASONS))))
-    return transactions.select(
-        "transaction_id", "transaction_timestamp", F.posexplode(events).alias("step", "event_type")
-    ).select(
-        F.concat_ws("_", F.lit("evt"), "transaction_id", "step").alias("event_id"),
-        "transaction_id",
-        "step",
-        "event_type",
-        F.timestamp_add("SECOND", seconds, "transaction_timestamp").alias("event_timestamp"),
-        F.when(failed, "failure").otherwise("success").alias("event_status"),
-        F.when(failed, reason).alias("failure_reason"),
-    )
-
-
 def first_transactions(transactions: DataFrame, n: int, order: Sequence[str] = ("transaction_id",)) -> DataFrame:
     """The first ``n`` transactions in a stated order, for a trial expansion."""
     return transactions.orderBy(*order).limit(n)
 
 
-def currency_grid(days: DataFrame, first: dt.date, day: str = "rate_date") -> DataFrame:
-    """Every ordered pair of different currencies for each day, with base and daily rate.
-
-    ``days`` holds one row per day. The 30 pairs are a literal array that each day row is expanded
-    by, so no join is involved. The daily rate lies within half a percent of the base rate.
-    """
-    pairs = [
-        F.struct(
-            F.lit(i).alias("pair"),
-            F.lit(base).alias("base_currency"),
-            F.lit(target).alias("target_currency"),
-            F.lit(float(BASE_RATES[base][target])).alias("base_rate"),
-        )
-        for i, (base, target) in enumerate((b, t) for b in CURRENCIES for t in CURRENCIES if b != t)
-    ]
-    expanded = days.select(F.col(day).alias("rate_date"), F.explode(F.array(*pairs)).alias("p")).select("rate_date", "p.*")
-    number = F.datediff("rate_date", F.lit(first)) * len(pairs) + F.col("pair") + 1
-    noise = F.pmod(F.xxhash64("rate_date", "base_currency", "target_currency"), F.lit(10_001)) / 1_000_000
-    return expanded.select(
-        F.format_string("fx_%08d", number).alias("exchange_rate_id"),
-        "base_currency",
-        "target_currency",
-        "base_rate",
-        F.round(F.col("base_rate") * (F.lit(0.995) + noise), 6).alias("rate"),
-        "rate_date",
-        F.lit("synthetic_provider").alias("source"),
-    )
-
-
 def with_country_currency(df: DataFrame, country: str = "country") -> DataFrame:
     """Add the currency of a country, null if the country is unknown."""
     return df.withColumn("country_currency", lookup(country, COUNTRY_CURRENCY))

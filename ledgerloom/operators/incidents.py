@@ -13,6 +13,12 @@ BASELINE_SCHEMA = "column_name string, mean double, median double, std double"
 
 Baseline = dict[str, tuple[float, float, float]]
 
+# How a context names its dimension.
+DIMENSION = "Transaction anomaly based on: "
+# Deviations from which on a value counts as unusual.
+UNUSUAL = 2
+_DEVIATION = "struct<column_name:string,value:double,mean:double,median:double,std:double,deviation:double>"
+
 
 def measured_columns(df: DataFrame) -> list[str]:
     """Numeric columns that describe the record rather than the detection."""
@@ -71,7 +77,7 @@ def context(flagged: DataFrame, columns: list[str], base: Baseline, features: li
     """Context of every flagged row, as nested columns. The baseline is a literal of the plan."""
     values = [part for c in columns for part in (F.lit(c), F.col(c).cast("double"))]
     return flagged.select(
-        F.lit("Transaction anomaly based on: " + ", ".join(features)).alias("dimension"),
+        F.lit(DIMENSION + ", ".join(features)).alias("dimension"),
         F.struct(*flagged.columns).alias("flagged_row"),
         F.create_map(*values).alias("flagged_values"),
         _baseline_map(base).alias("baseline_from_normal_data"),
@@ -84,7 +90,8 @@ def context_json(contexts: DataFrame) -> DataFrame:
     return contexts.select(F.to_json(F.struct(*contexts.columns), {"ignoreNullFields": "false"}).alias("context"))
 
 
-def _deviation_structs(base: Baseline) -> list[Column]:
+def _deviations(base: Baseline) -> Column:
+    """One struct for each column of the baseline; an empty array without any."""
     structs = []
     for column, (mean, median, std) in base.items():
         value = F.col(column).cast("double")
@@ -98,7 +105,7 @@ def _deviation_structs(base: Baseline) -> list[Column]:
                 F.try_divide(value - mean, F.lit(std)).alias("deviation"),
             )
         )
-    return structs
+    return F.array(*structs).cast(f"array<{_DEVIATION}>")
 
 
 def deviations(flagged: DataFrame, key: str, base: Baseline) -> DataFrame:
@@ -106,7 +113,7 @@ def deviations(flagged: DataFrame, key: str, base: Baseline) -> DataFrame:
 
     The deviation is null where the baseline does not vary.
     """
-    entries = F.array(*_deviation_structs(base))
+    entries = _deviations(base)
     return flagged.select(key, F.explode(entries).alias("d")).select(key, "d.*")
 
 
@@ -115,7 +122,7 @@ def incident_table(flagged: DataFrame, key: str, base: Baseline) -> DataFrame:
 
     Works row by row: the largest deviation is picked from an array, so nothing is shuffled.
     """
-    entries = F.array(*_deviation_structs(base))
+    entries = _deviations(base)
     ordered = F.transform(
         entries, lambda d: F.struct(F.coalesce(F.abs(d["deviation"]), F.lit(-1.0)).alias("size"), d.alias("d"))
     )
@@ -123,7 +130,7 @@ def incident_table(flagged: DataFrame, key: str, base: Baseline) -> DataFrame:
         F.col(key).cast("string").alias("affected_record"),
         _score(flagged).alias("anomaly_score"),
         F.array_max(ordered)["d"].alias("lead"),
-        F.filter(entries, lambda d: F.abs(d["deviation"]) >= 2).alias("unusual"),
+        F.filter(entries, lambda d: F.abs(d["deviation"]) >= UNUSUAL).alias("unusual"),
     )
     lead = F.col("lead")
     measured = F.format_string(
@@ -139,7 +146,9 @@ def incident_table(flagged: DataFrame, key: str, base: Baseline) -> DataFrame:
     return rows.select(
         "affected_record",
         "anomaly_score",
-        F.lit("Unusual transaction behavior detected.").alias("what_happened"),
+        F.format_string(f"%d of {len(base)} measured values lie {UNUSUAL} or more standard deviations from normal.", F.size("unusual")).alias(
+            "what_happened"
+        ),
         F.when(lead["deviation"].isNull(), "The evidence is weak: no measured value deviates from a varying baseline.")
         .otherwise(strength)
         .alias("why_anomalous"),
@@ -147,5 +156,7 @@ def incident_table(flagged: DataFrame, key: str, base: Baseline) -> DataFrame:
         .otherwise(F.concat(F.lit("Values far from normal: "), names))
         .alias("possible_impact"),
         measured.alias("transaction_context"),
-        F.lit("Review the transaction and related account activity.").alias("next_step"),
+        F.when(lead["deviation"].isNull(), "Check how the record was captured.")
+        .otherwise(F.format_string("Check %s against the account's other records.", lead["column_name"]))
+        .alias("next_step"),
     )

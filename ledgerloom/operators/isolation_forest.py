@@ -15,12 +15,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.functions.quantiles import approx_quantiles, exact_quantiles
 from ledgerloom.operators.features import filled, medians, usable_rows, with_any_feature
 from ledgerloom.session import scratch_dir
-from ledgerloom.sources.files import spread
 
 # Settings of the detection job.
 TREES = 200
@@ -29,10 +27,8 @@ SAMPLE = 256
 CONTAMINATION = 0.05
 CONTAMINATION_RANGE = (0.01, 0.20)
 
-# Draws per row that a tree keeps: with 1.5 x 256 of them a tree hardly ever falls short of 256.
+# Draws that a tree gets for each row it keeps: with 1.5 x 256 of them it hardly ever falls short of 256.
 OVERSAMPLE = 1.5
-# Tables up to this many samples long are offered to every tree as a whole.
-EVERYWHERE = 8
 _BUCKETS = 1 << 30
 
 NODE_SCHEMA = (
@@ -95,33 +91,42 @@ def grow_tree(points: np.ndarray, tree_id: int, seed: int, depth_limit: int) ->
     return pd.concat(levels, ignore_index=True)
 
 
-def tree_samples(df: DataFrame, features: list[str], rows: int, trees: int, sample: int, seed: int) -> DataFrame:
-    """(tree_id, row_hash, copies, features): the candidate rows of each tree.
+def tree_samples(
+    df: DataFrame, features: list[str], rows: int, trees: int, sample: int, seed: int, identity: list[str] | None = None
+) -> DataFrame:
+    """(tree_id, row_hash, copies, features): the candidate rows of each tree, some 1.5 samples for each.
 
-    Every row draws its share of tree numbers, which is a small fraction of one draw on a large
-    table. The draws come from a hash of the whole row, so they are the same for any partitioning
-    and any task retry. Rows that are equal in every column travel as one row with a count.
+    Every physical row is offered to its share of the trees, to each at most once; where a table has no more than 1.5
+    samples of rows, that is all of them. The draws come from a hash of the identity and the features, so they are the
+    same for any partitioning and any task retry. With ``identity`` the rows count as different and only drawn ones
+    move. Without it equal rows are first reduced to one with a count, and draw as often as they are.
     """
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    hashed = df.select(F.xxhash64(F.lit(seed), *[F.col(c) for c in hashable]).alias("row_hash"), *features)
-    if rows <= EVERYWHERE * sample:
-        drawn = F.sequence(F.lit(0), F.lit(trees - 1))
-    else:
-        share = trees * OVERSAMPLE * sample / rows
-        whole, rest = int(share), int(_BUCKETS * (share % 1))
-        extra = F.pmod(F.xxhash64("row_hash", F.lit(-1)), F.lit(_BUCKETS)) < rest
-        turns = F.sequence(F.lit(0), F.lit(whole)) if whole else F.array(F.lit(0))
-        turns = F.when(extra, turns).otherwise(F.slice(turns, 1, whole))
-        tree = lambda turn: F.pmod(F.xxhash64("row_hash", turn), F.lit(trees)).cast("int")
-        drawn = F.array_distinct(F.transform(turns, tree))
-        if not whole:
-            hashed = hashed.filter(extra)
-    placed = hashed.withColumn("tree_id", F.explode(drawn))
+    keys = [*(c for c in identity or () if c not in features), *features]
+    hashed = df.select(F.xxhash64(F.lit(seed), *[F.col(c) for c in keys]).alias("row_hash"), *features)
+    share = min(trees, trees * OVERSAMPLE * sample / max(1, rows))
+    n = F.lit(1)
+    if identity is None:
+        hashed = hashed.groupBy("row_hash", *features).agg(F.count(F.lit(1)).alias("n"))
+        n = F.col("n")
+    wanted = n * F.lit(share)
+    rest = F.pmod(F.xxhash64("row_hash", F.lit(-1)), F.lit(_BUCKETS)) / F.lit(float(_BUCKETS)) < wanted - F.floor(wanted)
+    drawn = hashed.withColumn("draws", (F.floor(wanted) + rest.cast("int")).cast("int")).filter("draws > 0")
+    # The draws of a row go to neighbouring trees from a hashed one on: no tree twice before all had one.
+    first = F.pmod(F.xxhash64("row_hash", F.lit(-2)), F.lit(trees))
+    turn = F.explode(F.sequence(F.lit(0), F.col("draws") - 1))
+    placed = drawn.withColumn("first", first).withColumn("turn", turn)
+    placed = placed.withColumn("tree_id", F.pmod(F.col("first") + F.col("turn"), F.lit(trees)).cast("int"))
     return placed.groupBy("tree_id", "row_hash", *features).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def fit_nodes(
-    df: DataFrame, features: list[str], rows: int, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
+    df: DataFrame,
+    features: list[str],
+    rows: int,
+    trees: int = TREES,
+    sample: int = SAMPLE,
+    seed: int = SEED,
+    identity: list[str] | None = None,
 ) -> DataFrame:
     """Forest as a node table; ``df`` holds complete double features, ``rows`` is its row count."""
     size = min(sample, rows)
@@ -129,12 +134,15 @@ def fit_nodes(
 
     def grow(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         tree_id = int(key[0])
-        order = group.assign(turn=pd.util.hash_array(group["row_hash"].to_numpy() + tree_id))
-        order = order.sort_values(["turn", "row_hash"])
-        chosen = np.repeat(order[features].to_numpy("float64"), order["copies"].clip(upper=size), axis=0)[:size]
-        return grow_tree(chosen, tree_id, seed, depth_limit)
-
-    samples = tree_samples(df, features, rows, trees, size, seed)
+        group = group.sort_values("row_hash")
+        copies = group["copies"].to_numpy()
+        row = np.repeat(np.arange(len(group)), copies)
+        copy = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)
+        mixed = group["row_hash"].to_numpy()[row] + copy * 7_919 + tree_id
+        chosen = row[np.argsort(pd.util.hash_array(mixed), kind="stable")[:size]]
+        return grow_tree(group[features].to_numpy("float64")[chosen], tree_id, seed, depth_limit)
+
+    samples = tree_samples(df, features, rows, trees, size, seed, identity)
     # A stated number keeps the few small trees from being grown in one or two coalesced tasks.
     tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
     return samples.repartition(tasks, "tree_id").groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA)
@@ -153,9 +161,20 @@ class Forest:
     path: np.ndarray  # path length credited to a row that ends in this leaf
 
     @classmethod
-    def from_nodes(cls, nodes: DataFrame, features: list[str], fill: dict[str, float], sample: int) -> Forest:
-        """Collect the node table; its size is bounded by trees and sample, not by the data."""
+    def from_nodes(
+        cls, nodes: DataFrame, features: list[str], fill: dict[str, float], sample: int, trees: int | None = None
+    ) -> Forest:
+        """Collect the node table; its size is bounded by trees and sample, not by the data.
+
+        Raises if one of ``trees`` is missing or grew from fewer than ``sample`` rows.
+        """
         table = nodes.toPandas().sort_values(["tree_id", "node_id"])
+        roots = table.loc[table["node_id"] == 0, "size"]
+        if trees is not None and (len(roots) != trees or (roots != sample).any()):
+            raise ValueError(
+                f"{len(roots)} of {trees} trees, the smallest from {roots.min() if len(roots) else 0} of {sample} rows: "
+                "the identity does not tell rows apart, or the row count is wrong"
+            )
         tree = pd.factorize(table["tree_id"], sort=True)[0]
         shape = (tree.max() + 1, table["node_id"].max() + 1)
 
@@ -225,16 +244,17 @@ def fit(
 ) -> Forest:
     """Fit on the rows that have any feature; gaps are filled with the median.
 
-    Rows are told apart by their features and the ``identity`` columns, by default all columns; no
-    other column is read. The forest remembers fill values only for the features that had gaps.
+    ``identity`` names the columns that tell rows apart, such as the key; without it equal rows are counted, which
+    moves every distinct row once. No other column is read. The forest remembers fill values only for the features
+    that had gaps.
     """
     usable = with_any_feature(df, features)
     rows, gaps = usable_rows(usable, features)
     fill = medians(usable, gaps, exact)
-    others = [F.col(c) for c in identity or usable.columns if c not in features]
+    others = [F.col(c) for c in identity or () if c not in features]
     complete = usable.select(*others, *filled(features, fill))
-    nodes = fit_nodes(complete, features, rows, trees, sample, seed)
-    return Forest.from_nodes(nodes, features, fill, min(sample, rows))
+    nodes = fit_nodes(complete, features, rows, trees, sample, seed, identity)
+    return Forest.from_nodes(nodes, features, fill, min(sample, rows), trees)
 
 
 def threshold(scores: DataFrame, column: str, contamination: float, exact: bool = True) -> float:
@@ -265,7 +285,7 @@ def detect(
         raise ValueError(f"contamination must lie in [{smallest}, {largest}]")
     spark = df.sparkSession
     model = forest or fit(df, features, exact=exact, identity=identity)
-    usable = spread(with_any_feature(df, features))
+    usable = with_any_feature(df, features)
     path = location or scratch_dir(spark, "scores")
     usable.withColumn("raw_score", model.score(spark)).write.parquet(path)
     scored = spark.read.parquet(path)

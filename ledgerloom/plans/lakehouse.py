@@ -118,6 +118,6 @@ def run_detection(
     detected = isolation_forest.detect(facts, chosen, contamination, identity=["transaction_id"])
     lake.replace("ai", "scored_transactions", detected)
     scored = lake.read("ai", "scored_transactions")
-    base = incidents.baseline(scored, incidents.measured_columns(scored))
+    base = incidents.baseline(scored, chosen)
     lake.replace("ai", "incidents", incidents.incident_table(scored.filter("is_anomaly"), "transaction_id", base))
     return lake.read("ai", "incidents")

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import features, incidents, isolation_forest, profile
-from ledgerloom.functions.numeric import recommended_features
-from ledgerloom.queries import Registry
+from ledgerloom.queries import Registry, money
 from ledgerloom.queries.standins import table
 
 REGISTRY = Registry({}, {})
@@ -33,11 +32,66 @@ def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures(spark, sf_dir).withColumn("is_anomaly", flag).withColumn("anomaly_score", -F.col("discount"))
 
 
+# A small forest written out, so that SQL can state it too. Inner nodes are (feature, split, left, right), leaves the
+# number of sample rows that ended there.
+FOREST = [
+    ("amount", 55_000.0, ("quantity", 45.0, 200, 40), ("discount", 0.05, 10, 6)),
+    ("quantity", 48.0, ("discount", 0.08, 190, 50), ("amount", 80_000.0, 12, 4)),
+    ("discount", 0.095, ("amount", 90_000.0, 220, 20), ("quantity", 47.0, 14, 2)),
+]
+ROWS = 256
+
+
+def _size(node: int | tuple) -> int:
+    return node if isinstance(node, int) else _size(node[2]) + _size(node[3])
+
+
+def literal_forest(spark: SparkSession) -> isolation_forest.Forest:
+    rows = []
+    for tree, root in enumerate(FOREST):
+        level, number = [root], 0
+        for depth in range(3):
+            after = [child for node in level if isinstance(node, tuple) for child in node[2:]]
+            left = number + len(level)
+            for node in level:
+                if isinstance(node, tuple):
+                    rows.append((tree, number, FEATURES.index(node[0]), node[1], left, left + 1, _size(node), depth))
+                    left += 2
+                else:
+                    rows.append((tree, number, -1, 0.0, -1, -1, node, depth))
+                number += 1
+            level = after
+    nodes = spark.createDataFrame(rows, isolation_forest.NODE_SCHEMA)
+    return isolation_forest.Forest.from_nodes(nodes, FEATURES, {}, ROWS, len(FOREST))
+
+
+def _path_sql(node: int | tuple, depth: int = 0) -> str:
+    if isinstance(node, int):
+        return repr(depth + float(isolation_forest.path_correction(node)))
+    low, high = (_path_sql(child, depth + 1) for child in node[2:])
+    return f"CASE WHEN {node[0]} <= {node[1]} THEN {low} ELSE {high} END"
+
+
 def detected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = measures(spark, sf_dir)
-    return isolation_forest.detect(found, recommended_features(found), identity=["transaction_id"])
+    return isolation_forest.detect(measures(spark, sf_dir), FEATURES, forest=literal_forest(spark))
 
 
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in columns})
+
+
+MEASURED = """
+    measured AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS transaction_id,
+                        l_orderkey AS account_id, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+                        l_quantity AS quantity, l_discount AS discount FROM lineitem)"""
+DETECTED = f"""{MEASURED},
+    scored AS (SELECT *, -pow(2.0, -(({" + ".join(_path_sql(t) for t in FOREST)}) / {len(FOREST)})
+                              / {float(isolation_forest.path_correction(ROWS))!r}) AS raw FROM measured),
+    detected AS (SELECT transaction_id, account_id, amount, quantity, discount,
+                        raw - (SELECT quantile_cont(raw, 0.05) FROM scored) AS anomaly_score,
+                        raw < (SELECT quantile_cont(raw, 0.05) FROM scored) AS is_anomaly FROM scored)"""
+SCORES = "SELECT transaction_id, account_id, amount, quantity, discount, round(anomaly_score, 9) AS anomaly_score, is_anomaly FROM detected"
+
 RULED = """
     ruled AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS transaction_id,
                      CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount, l_quantity AS quantity,
@@ -78,29 +132,53 @@ def feature_prep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.prepare(dirty, FEATURES, ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
-@query("iforest_model")
+ROOTS = "SELECT CAST(range AS INTEGER) AS tree_id, least(256, n) AS rows FROM range(200), (SELECT count(*) AS n FROM lineitem)"
+
+
+def roots(nodes: DataFrame) -> DataFrame:
+    """The rows that each tree grew from."""
+    return nodes.groupBy("tree_id").agg(F.max(F.when(F.col("node_id") == 0, F.col("size"))).cast("bigint").alias("rows"))
+
+
+@query("iforest_model", ROOTS)
 def iforest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = measures(spark, sf_dir)
-    complete = features.prepare(found, FEATURES, ["transaction_id", "account_id"])
-    return isolation_forest.fit_nodes(complete, FEATURES, complete.count())
+    complete = features.prepare(measures(spark, sf_dir), FEATURES, ["transaction_id"])
+    return roots(isolation_forest.fit_nodes(complete, FEATURES, complete.count(), identity=["transaction_id"]))
+
 
+@query("iforest_repeated", ROOTS)
+def iforest_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantity and discount alone have a few hundred different rows."""
+    pairs = features.prepare(measures(spark, sf_dir), FEATURES[1:], [])
+    return roots(isolation_forest.fit_nodes(pairs, FEATURES[1:], pairs.count()))
 
-@query("anomaly_scores")
+
+@query("anomaly_scores", f"WITH {DETECTED} {SCORES}")
 def anomaly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detected(spark, sf_dir)
+    return rounded(money(detected(spark, sf_dir), "amount"), "anomaly_score")
 
 
-@query("anomaly_top")
+@query("anomaly_top", f"WITH {DETECTED} {SCORES} WHERE is_anomaly ORDER BY detected.anomaly_score, transaction_id")
 def anomaly_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return isolation_forest.ranked(detected(spark, sf_dir), "transaction_id")
+    return rounded(money(isolation_forest.ranked(detected(spark, sf_dir), "transaction_id"), "amount"), "anomaly_score")
 
 
-@query("anomaly_metrics")
+@query(
+    "anomaly_metrics",
+    f"""WITH {DETECTED}
+    SELECT count(*) AS analysed, count(*) FILTER (is_anomaly) AS anomalies,
+           round(100.0 * count(*) FILTER (is_anomaly) / count(*), 2) AS anomaly_rate FROM detected""",
+)
 def anomaly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.detection_metrics(detected(spark, sf_dir))
 
 
-@query("anomaly_split")
+@query(
+    "anomaly_split",
+    f"""WITH {DETECTED}
+    SELECT CASE WHEN is_anomaly THEN 'flagged' ELSE 'normal' END AS side, count(*) AS rows,
+           round(min(anomaly_score), 9) AS lowest, round(max(anomaly_score), 9) AS highest FROM detected GROUP BY is_anomaly""",
+)
 def anomaly_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and score range of either side."""
     sides = zip(("normal", "flagged"), features.split(detected(spark, sf_dir)), strict=True)
@@ -113,7 +191,7 @@ def anomaly_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for name, side in sides
     ]
-    return parts[0].unionByName(parts[1])
+    return rounded(parts[0].unionByName(parts[1]), "lowest", "highest")
 
 
 @query(
@@ -179,15 +257,58 @@ def incident_context_ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("incident_context")
+@query(
+    "incident_context",
+    f"""
+    WITH {RULED} {BASE}
+    SELECT r.transaction_id, 'Transaction anomaly based on: amount, quantity, discount' AS dimension, r.amount,
+           r.quantity, b.mean AS amount_mean, round(-r.discount, 4) AS anomaly_score
+    FROM ruled r JOIN base b ON b.column_name = 'amount' WHERE r.is_anomaly
+    """,
+)
 def incident_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = detected(spark, sf_dir)
+    """Read back from the JSON documents."""
+    found = ruled(spark, sf_dir)
     base = incidents.baseline(found, FEATURES)
-    return incidents.context_json(incidents.context(found.filter("is_anomaly"), FEATURES, base, FEATURES))
+    documents = incidents.context_json(incidents.context(found.filter("is_anomaly"), FEATURES, base, FEATURES))
+    part = lambda path: F.get_json_object("context", f"$.{path}")
+    return documents.select(
+        part("flagged_row.transaction_id").alias("transaction_id"),
+        part("dimension").alias("dimension"),
+        part("flagged_values.amount").cast("double").alias("amount"),
+        part("flagged_values.quantity").cast("double").alias("quantity"),
+        part("baseline_from_normal_data.amount.mean").cast("double").alias("amount_mean"),
+        part("anomaly_score").cast("double").alias("anomaly_score"),
+    )
 
 
-@query("incident_table")
+@query(
+    "incident_table",
+    f"""
+    WITH {RULED} {BASE}, entries AS (
+        SELECT r.transaction_id, r.discount, b.*, (r.value - b.mean) / nullif(b.std, 0) AS deviation, r.value
+        FROM (SELECT transaction_id, discount, 'amount' AS column_name, amount AS value FROM ruled WHERE is_anomaly
+              UNION ALL SELECT transaction_id, discount, 'quantity', quantity FROM ruled WHERE is_anomaly
+              UNION ALL SELECT transaction_id, discount, 'discount', discount FROM ruled WHERE is_anomaly) r
+        JOIN base b ON b.column_name = r.column_name),
+    leads AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY abs(deviation) DESC, column_name DESC) AS place,
+                     count(*) FILTER (abs(deviation) >= 2) OVER (PARTITION BY transaction_id) AS unusual,
+                     string_agg(CASE WHEN abs(deviation) >= 2 THEN column_name END, ', '
+                                ORDER BY list_position(['amount', 'quantity', 'discount'], column_name))
+                         OVER (PARTITION BY transaction_id) AS names
+              FROM entries)
+    SELECT transaction_id AS affected_record, round(-discount, 4) AS anomaly_score,
+           printf('%d of 3 measured values lie 2 or more standard deviations from normal.', unusual) AS what_happened,
+           printf('%s lies %.2f standard deviations %s the normal mean.', column_name, abs(deviation),
+                  CASE WHEN deviation >= 0 THEN 'above' ELSE 'below' END) AS why_anomalous,
+           CASE WHEN unusual = 0 THEN 'No single value is far from normal; the combination is unusual.'
+                ELSE 'Values far from normal: ' || names END AS possible_impact,
+           printf('%s = %.2f, normal mean %.2f and median %.2f', column_name, value, mean, median) AS transaction_context,
+           printf('Check %s against the account''s other records.', column_name) AS next_step
+    FROM leads WHERE place = 1
+    """,
+)
 def incident_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = detected(spark, sf_dir)
+    found = ruled(spark, sf_dir)
     base = incidents.baseline(found, FEATURES)
     return incidents.incident_table(found.filter("is_anomaly"), "transaction_id", base)

@@ -12,7 +12,7 @@ from ledgerloom.operators.profile import value_range
 from ledgerloom.plans import calendar
 from ledgerloom.plans.questions import latest_from_source as latest
 from ledgerloom.plans.staging import COLUMNS
-from ledgerloom.queries import Query, Registry, standins
+from ledgerloom.queries import Query, Registry
 from ledgerloom.queries.standins import raw, silver, staged, table
 from ledgerloom.session import scratch_dir
 from ledgerloom.sources import files, kafka
@@ -330,40 +330,6 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.calendar_between(value_range(table(spark, sf_dir, "orders"), "o_orderdate"))
 
 
-@query(
-    "currency_day_grid",
-    "SELECT exchange_rate_id, base AS base_currency, target AS target_currency, base_rate, rate_date, "
-    "TRUE AS rate_is_near_base FROM grid",
-)
-def currency_day_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = expand.currency_grid(standins.order_days(spark, sf_dir), standins.FIRST_DAY)
-    near = F.abs(F.col("rate") / F.col("base_rate") - 1) <= 0.0051
-    return grid.select(
-        "exchange_rate_id", "base_currency", "target_currency", "base_rate", "rate_date", near.alias("rate_is_near_base")
-    )
-
-
-@query(
-    "lifecycle_expand",
-    """
-    SELECT transaction_id, e.step - 1 AS step, steps[e.step] AS event_type,
-           CASE WHEN steps[e.step] = 'failed' THEN 'failure' ELSE 'success' END AS event_status,
-           steps[e.step] = 'failed' AS has_reason
-    FROM (SELECT transaction_id,
-                 CASE transaction_status WHEN 'completed' THEN ['initiated','authorized','completed']
-                      WHEN 'pending' THEN ['initiated','authorized'] WHEN 'failed' THEN ['initiated','failed']
-                      WHEN 'reversed' THEN ['initiated','authorized','completed','reversed'] END AS steps
-          FROM silver_transactions) t, (SELECT unnest([1,2,3,4]) AS step) e
-    WHERE e.step <= len(steps)
-    """,
-)
-def lifecycle_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = expand.lifecycle_events(silver(spark, sf_dir, "transactions"))
-    return events.select(
-        "transaction_id", "step", "event_type", "event_status", F.col("failure_reason").isNotNull().alias("has_reason")
-    )
-
-
 @query(
     "first_transactions",
     "SELECT transaction_id, transaction_status, amount FROM "

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import lookup, nth
-from ledgerloom.operators.expand import COUNTRY_CURRENCY, CURRENCIES, FAILURE_REASONS, currency_grid
+from ledgerloom.operators.expand import COUNTRY_CURRENCY, CURRENCIES
 from ledgerloom.operators.standardize import to_silver
 from ledgerloom.plans import calendar, star
 from ledgerloom.plans.staging import stage
@@ -32,6 +32,16 @@ TYPES = ["purchase", "withdrawal", "deposit", "transfer", "payment"]
 METHODS = ["card", "upi", "bank_transfer", "cash", "online"]
 COUNTRIES = list(COUNTRY_CURRENCY)
 
+FAILURE_REASONS = ["insufficient_funds", "merchant_declined", "fraud_detected", "network_error", "invalid_credentials"]
+# Base rate of each ordered pair of currencies.
+BASE_RATES = {
+    "INR": {"USD": 0.0120, "EUR": 0.0110, "GBP": 0.0095, "AED": 0.0440, "SGD": 0.0160},
+    "USD": {"INR": 83.0, "EUR": 0.92, "GBP": 0.79, "AED": 3.67, "SGD": 1.34},
+    "EUR": {"INR": 90.0, "USD": 1.09, "GBP": 0.86, "AED": 4.00, "SGD": 1.46},
+    "GBP": {"INR": 105.0, "USD": 1.27, "EUR": 1.16, "AED": 4.65, "SGD": 1.70},
+    "AED": {"INR": 22.6, "USD": 0.272, "EUR": 0.250, "GBP": 0.215, "SGD": 0.365},
+    "SGD": {"INR": 62.0, "USD": 0.746, "EUR": 0.685, "GBP": 0.588, "AED": 2.74},
+}
 
 # The schemas of the shared test tables that are used.
 TEST_TABLES = {
@@ -131,16 +141,18 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates of every order day; the daily variation follows the day so that SQL can state it too."""
-    grid = currency_grid(order_days(spark, sf_dir), FIRST_DAY)
-    variation = F.lit(0.995) + F.lit(0.001) * (F.day("rate_date") % 11)
-    return grid.select(
-        "exchange_rate_id",
-        messy_lower(F.col("base_currency")).alias("base_currency"),
-        messy_lower(F.col("target_currency")).alias("target_currency"),
-        (F.col("base_rate") * variation).alias("rate"),
+    """One rate a pair for every order day, around its base rate."""
+    pairs = [(base, target, float(rate)) for base in CURRENCIES for target, rate in BASE_RATES[base].items()]
+    listed = [F.struct(F.lit(i).alias("i"), F.lit(b).alias("base"), F.lit(t).alias("target"), F.lit(r).alias("rate")) for i, (b, t, r) in enumerate(pairs, 1)]
+    days = order_days(spark, sf_dir).select("rate_date", F.explode(F.array(*listed)).alias("p"))
+    number = F.datediff("rate_date", F.lit(FIRST_DAY)) * len(pairs) + F.col("p.i")
+    return days.select(
+        F.format_string("fx_%08d", number).alias("exchange_rate_id"),
+        messy_lower(F.col("p.base")).alias("base_currency"),
+        messy_lower(F.col("p.target")).alias("target_currency"),
+        (F.col("p.rate") * (F.lit(0.995) + F.lit(0.001) * (F.day("rate_date") % 11))).alias("rate"),
         F.col("rate_date").cast("string").alias("rate_date"),
-        "source",
+        F.lit("synthetic_provider").alias("source"),
     )
 
 

@@ -16,15 +16,6 @@ def scan_parquet(spark: SparkSession, path: str, schema: str | None = None) -> D
     return reader.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a small input that was read as fewer partitions than there are cores.
-
-    A large input has more partitions than that and is left alone, so nothing is shuffled there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def scan_jsonl(spark: SparkSession, path: str, schema: str, keep_corrupt: bool = False) -> DataFrame:
     """JSON-lines scan with a declared schema, so no inference pass reads the files twice.
 

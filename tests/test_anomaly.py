@@ -120,18 +120,41 @@ def test_only_identity_and_features_are_read(planted, tmp_path, spark):
     planted.withColumn("note", F.repeat(F.lit("x"), 50)).write.parquet(path)
     wide = spark.read.parquet(path)
     with_key = isolation_forest.fit(wide, NAMES, trees=5, identity=["id"])
-    plain = isolation_forest.fit(planted.select("id", *NAMES), NAMES, trees=5)
+    plain = isolation_forest.fit(planted.select("id", *NAMES), NAMES, trees=5, identity=["id"])
     assert (with_key.split == plain.split).all()
     samples = isolation_forest.tree_samples(wide.select("id", *NAMES), NAMES, 10_000, 5, 256, 42)
     assert samples.columns == ["tree_id", "row_hash", *NAMES, "copies"]
 
 
-def test_copies_travel_as_one_row(spark):
-    df = spark.range(30_000).selectExpr("if(id < 10000, 0, id) as id", "if(id < 10000, 1.0D, double(id)) as a")
-    samples = isolation_forest.tree_samples(df, ["a"], 30_000, 200, 256, 42)
-    assert samples.groupBy("tree_id").count().agg(F.max("count")).first()[0] < 600
-    roots = isolation_forest.fit_nodes(df, ["a"], 30_000).filter("node_id = 0")
-    assert roots.agg(F.max("size")).first()[0] == 256
+@pytest.mark.parametrize("rows", [3_000, 2_000_000])
+def test_repeated_rows_give_whole_trees(spark, rows):
+    """550 different rows, however many there are: every tree has a full sample of many of them."""
+    df = spark.range(rows).selectExpr("double(id % 55) as a", "double(id % 10) as b")
+    nodes = isolation_forest.fit_nodes(df, ["a", "b"], rows)
+    roots = nodes.filter("node_id = 0")
+    assert values(roots.groupBy("size").count()) == [(256, 200)]
+    assert nodes.groupBy("tree_id").count().agg(F.min("count")).first()[0] > 60
+
+
+def test_forest_of_repeated_rows_does_not_depend_on_partitions_and_finds_the_outlier(spark):
+    df = spark.range(40_000).selectExpr("double(id % 55) as a", "double(id % 10) as b")
+    df = df.unionAll(spark.createDataFrame([(500.0, 90.0)] * 3, df.schema))
+    forests = [isolation_forest.fit(df.repartition(n), ["a", "b"]) for n in (1, 64)]
+    assert (forests[0].split == forests[1].split).all() and (forests[0].path == forests[1].path).all()
+    found = isolation_forest.detect(df, ["a", "b"], forest=forests[0])
+    assert {(r.a, r.b) for r in found.orderBy("anomaly_score").limit(3).collect()} == {(500.0, 90.0)}
+
+
+def test_draws_of_a_row_go_to_different_trees(spark):
+    df = spark.range(300).selectExpr("id", "double(id) as a")
+    samples = isolation_forest.tree_samples(df, ["a"], 300, 200, 256, 42, ["id"])
+    assert values(samples.groupBy("tree_id").agg(F.count("*"), F.max("copies")).selectExpr("`count(1)`", "`max(copies)`").distinct()) == [(300, 1)]
+
+
+def test_an_identity_that_repeats_is_refused(spark):
+    df = spark.range(1_000_000).selectExpr("id % 3 as id", "1.0D as a", "double(id % 3) as b")
+    with pytest.raises(ValueError, match="tell rows apart"):
+        isolation_forest.fit(df, ["a", "b"], identity=["id"])
 
 
 def test_planted_outliers_rank_first(found):

@@ -1,63 +1,19 @@
 from __future__ import annotations
 
-import datetime as dt
-
-import pytest
-from pyspark.sql import functions as F
-
 from ledgerloom.functions.text import lookup
-from ledgerloom.operators.expand import (
-    COUNTRY_CURRENCY,
-    CURRENCIES,
-    EVENT_SEQUENCE,
-    FAILURE_REASONS,
-    currency_grid,
-    first_transactions,
-    lifecycle_events,
-)
-from tests.conftest import utc, values
-
-
-@pytest.fixture(scope="module")
-def transactions(spark):
-    rows = [(f"t{i}", status, utc("2024-01-01 00:00:00")) for i, status in enumerate(list(EVENT_SEQUENCE) * 50)]
-    return spark.createDataFrame(rows, "transaction_id string, transaction_status string, transaction_timestamp timestamp")
-
-
-def test_lifecycle(transactions):
-    events = lifecycle_events(transactions)
-    for i, (_, expected) in enumerate(EVENT_SEQUENCE.items()):
-        found = events.filter(F.col("transaction_id") == f"t{i}").orderBy("step").collect()
-        assert [r.event_type for r in found] == expected
-    assert events.select("event_id").distinct().count() == events.count() == 50 * 11
-    assert events.filter("(event_type = 'failed') != (failure_reason is not null)").count() == 0
-    assert {r.failure_reason for r in events.collect()} <= {None, *FAILURE_REASONS}
-    start = F.lit(utc("2024-01-01 00:00:00"))
-    delays = events.select("step", (F.unix_timestamp("event_timestamp") - F.unix_timestamp(start)).alias("s"))
-    assert delays.filter("s < step + 1 or s > 120 * (step + 1) or s % (step + 1) != 0").count() == 0
-    assert values(lifecycle_events(transactions.repartition(5))) == values(events)
+from ledgerloom.operators.expand import COUNTRY_CURRENCY, first_transactions, with_amount_range
 
 
-def test_unknown_status_fails(transactions):
-    with pytest.raises(Exception, match="no events for status"):
-        lifecycle_events(transactions.withColumn("transaction_status", F.lit("lost"))).collect()
-
-
-def test_first_transactions(transactions):
-    assert [r.transaction_id for r in first_transactions(transactions, 3).collect()] == ["t0", "t1", "t10"]
-
-
-def test_currency_grid(spark):
-    days = spark.createDataFrame([(dt.date(2025, 1, 1),), (dt.date(2025, 1, 2),)], "rate_date date")
-    grid = currency_grid(days, dt.date(2025, 1, 1))
-    assert grid.count() == 60
-    assert grid.filter("base_currency = target_currency").count() == 0
-    assert grid.filter("abs(rate - base_rate) > base_rate * 0.005 + 0.0000005").count() == 0
-    ids = [r.exchange_rate_id for r in grid.orderBy("exchange_rate_id").collect()]
-    assert ids == [f"fx_{i:08d}" for i in range(1, 61)]
-    assert {r.base_currency for r in grid.collect()} == set(CURRENCIES)
+def test_first_transactions(spark):
+    df = spark.createDataFrame([(f"t{i}",) for i in (7, 3, 10, 0, 1)], "transaction_id string").repartition(3)
+    assert [r.transaction_id for r in first_transactions(df, 3).collect()] == ["t0", "t1", "t10"]
 
 
 def test_lookup_of_an_unknown_key_is_null(spark):
     df = spark.createDataFrame([("IN",), ("XX",), (None,)], "c string")
     assert [r[0] for r in df.select(lookup("c", COUNTRY_CURRENCY)).collect()] == ["INR", None, None]
+
+
+def test_amount_range(spark):
+    df = spark.createDataFrame([("deposit",), ("gift",)], "transaction_type string")
+    assert [tuple(r) for r in with_amount_range(df).collect()] == [("deposit", 1000, 200_000), ("gift", None, None)]
