@@ -9,12 +9,12 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.joins import BROADCAST_ROWS, key_join
-from ledgerloom.operators.profile import key_report
+from ledgerloom.operators.standardize import parse_losses
 from ledgerloom.schemas import MERCHANT_TYPES
 
 
@@ -118,18 +118,19 @@ def failed_without_reason(events: DataFrame) -> DataFrame:
     return events.filter((F.col("event_type") == "failed") & F.col("failure_reason").isNull())
 
 
-def schema_check(spark: SparkSession, tables: Mapping[str, DataFrame], declared: Mapping[str, str]) -> DataFrame:
-    """Declared against actual column types: (table_name, column_name, expected, actual, matches)."""
-    rows = []
+def schema_check(tables: Mapping[str, DataFrame], declared: Mapping[str, str]) -> DataFrame:
+    """(table_name, column_name, expected, misfits): rows with a value that the declared type cannot hold.
+
+    A column that the table lacks has null misfits. One pass over each table.
+    """
+    parts = []
     for table, df in tables.items():
-        expected = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(declared[table]).fields}
-        actual = dict(df.dtypes)
-        for column in [*expected, *[c for c in actual if c not in expected]]:
-            pair = expected.get(column), actual.get(column)
-            rows.append((table, column, *pair, pair[0] == pair[1]))
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, expected string, actual string, matches boolean"
-    )
+        fields = T.StructType.fromDDL(declared[table]).fields
+        there = [f for f in fields if f.name in df.columns]
+        counts = df.agg(*[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in there], F.lit(0))
+        listed = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', {f'`{f.name}`' if f in there else 'CAST(NULL AS BIGINT)'}" for f in fields)
+        parts.append(counts.selectExpr(f"'{table}' AS table_name", f"stack({len(fields)}, {listed}) AS (column_name, expected, misfits)"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _rows(one_row: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFrame:
@@ -143,30 +144,42 @@ def _rows(one_row: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFr
 def run_contracts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]) -> DataFrame:
     """Result table of the contracts.
 
-    Checks are grouped by what they need: all not-null tests of a table are one aggregation, a
-    not-null and a unique test of the same key share one count per key, and each relationship joins
-    counted keys.
+    Each column that is tested for uniqueness or takes part in a relationship is counted per key once; its unique and
+    not-null tests are read off that count, and relationships join two such counts, whose shuffles Spark reuses. The
+    not-null tests left over are one aggregation of their table.
     """
     contracts = list(contracts)
+    counted: dict[tuple[str, str], DataFrame] = {}
+
+    def keys(table: str, column: str) -> DataFrame:
+        if (table, column) not in counted:
+            per_key = tables[table].groupBy(F.col(column).alias("key"))
+            counted[table, column] = per_key.agg(F.count(F.lit(1)).alias("n"))
+        return counted[table, column]
+
     parts: list[DataFrame] = []
-    unique = {(c.table, c.column) for c in contracts if isinstance(c, Unique)}
-    not_null = [c for c in contracts if isinstance(c, NotNull)]
-    for table, column in sorted(unique):
-        results = [("unique", table, column, "repeated_keys")]
-        if NotNull(table, column) in not_null:
-            results.append(("not_null", table, column, "null_keys"))
-        parts.append(_rows(key_report(tables[table], column, table), results))
-    plain: dict[str, list[str]] = {}
-    for c in not_null:
-        if (c.table, c.column) not in unique:
-            plain.setdefault(c.table, []).append(c.column)
-    for table, columns in plain.items():
-        counted = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        parts.append(_rows(counted, [("not_null", table, c, c) for c in columns]))
     for c in contracts:
         if isinstance(c, Relationship):
-            counted = orphan_count(tables[c.table], tables[c.parent], c.column, c.parent_column, c.null_is_orphan)
-            parts.append(_rows(counted, [("relationship", c.table, c.column, "orphan_rows")]))
+            children = keys(c.table, c.column) if c.null_is_orphan else keys(c.table, c.column).filter("key IS NOT NULL")
+            orphans = children.join(keys(c.parent, c.parent_column).select("key"), "key", "left_anti").agg(F.sum("n").alias("n"))
+            parts.append(_rows(orphans, [("relationship", c.table, c.column, "n")]))
+    simple = {(c.table, c.column): [] for c in contracts if not isinstance(c, Relationship)}
+    for c in contracts:
+        if isinstance(c, Unique):
+            simple[c.table, c.column].append(("unique", c.table, c.column, "repeated"))
+        elif isinstance(c, NotNull):
+            simple[c.table, c.column].append(("not_null", c.table, c.column, "nulls"))
+    plain: dict[str, list[str]] = {}
+    for (table, column), checks in simple.items():
+        if (table, column) in counted or any(check[0] == "unique" for check in checks):
+            repeated = F.count_if(F.col("key").isNotNull() & (F.col("n") > 1)).alias("repeated")
+            nulls = F.sum(F.when(F.col("key").isNull(), F.col("n"))).alias("nulls")
+            parts.append(_rows(keys(table, column).agg(repeated, nulls), checks))
+        else:
+            plain.setdefault(table, []).append(column)
+    for table, columns in plain.items():
+        nulls = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        parts.append(_rows(nulls, [("not_null", table, c, c) for c in columns]))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -185,6 +198,25 @@ def rule_results(transactions: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def parse_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Values of raw datasets that their Silver form loses, per typed column."""
+    parts = []
+    for table, df in tables.items():
+        if lost := parse_losses(table):
+            counted = df.agg(*[F.count_if(is_lost).alias(c) for c, is_lost in lost.items()])
+            parts.append(_rows(counted, [("parse_loss", table, c, c) for c in lost]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def null_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Null counts of all columns, for information: they always pass."""
+    parts = []
+    for table, df in tables.items():
+        counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+        parts.append(_rows(counted, [("null_count", table, c, c) for c in df.columns]).withColumn("passed", F.lit(True)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def bronze_report(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
     """Key, reference and business-rule results of the six Bronze or Silver datasets.
 

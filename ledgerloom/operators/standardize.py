@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.text import lowered, trimmed, uppered
 from ledgerloom.schemas import MERCHANT_TYPES, STAMP_COLUMNS
 
-# A value that does not parse becomes null, so one bad row does not fail the load.
+# A value that does not parse becomes null, so one bad row does not fail the load; `parse_losses` finds them.
 KINDS = {
     "trim": trimmed,
     "lower": lowered,
@@ -24,6 +24,9 @@ KINDS = {
     "money": lambda c: F.col(c).try_cast("decimal(18,2)"),
 }
 
+# Rules that may find no value in their input.
+PARSED = ("date", "timestamp", "money")
+
 # Dataset -> output column -> (rule, input column).
 SILVER_RULES: dict[str, dict[str, tuple[str, str]]] = {
     "customers": {
@@ -77,6 +80,16 @@ def to_silver(df: DataFrame, dataset: str) -> DataFrame:
     return apply_rules(df, SILVER_RULES[dataset]).drop(*STAMP_COLUMNS)
 
 
+def parse_losses(dataset: str) -> dict[str, Column]:
+    """For each typed rule: true where the input has a value and the output none."""
+    lost = {}
+    for out, (kind, source) in SILVER_RULES[dataset].items():
+        if kind in PARSED:
+            given = F.col(source).isNotNull() & (F.trim(F.col(source).cast("string")) != "")
+            lost[out] = given & KINDS[kind](source).isNull()
+    return lost
+
+
 def merchant_id_valid(kind: str = "transaction_type", merchant: str = "merchant_id") -> Column:
     """False for a purchase or payment without merchant, else true (also for a null type)."""
     breach = F.col(kind).isin(*MERCHANT_TYPES) & F.col(merchant).isNull()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.functions.numeric import recommended_features
 from ledgerloom.operators import incidents, isolation_forest
-from ledgerloom.operators.quality import GOLD_CONTRACTS, bronze_report, run_contracts
+from ledgerloom.operators.quality import GOLD_CONTRACTS, bronze_report, null_report, parse_report, run_contracts
 from ledgerloom.operators.standardize import SILVER_RULES, to_silver
 from ledgerloom.operators.upsert import merge_increment
 from ledgerloom.plans import calendar, marts, star
@@ -24,14 +24,22 @@ DIMENSIONS = {"dim_customer": "customers", "dim_account": "accounts", "dim_merch
 
 
 def load_bronze(lake: Lake, raw: str, only: str | None = None) -> DataFrame:
-    """Stamped full refresh of the six datasets (or one) from ``<raw>/<dataset>/``."""
+    """Stamped full refresh of the six datasets (or one) from ``<raw>/<dataset>/``.
+
+    A file without a declared column fails its table. Transactions that came in by stream stay: the refresh replaces
+    the rows that were read below ``raw``.
+    """
     spark = lake.spark
     readers = {t: lambda t=t: stamp(scan_parquet(spark, f"{raw}/{t}", RAW[t])) for t in RAW}
-    return load_tables(lake, "bronze", readers, only)
+    batch, key = readers["transactions"], PRIMARY_KEYS["transactions"]
+    readers["transactions"] = lambda: bronze.with_streamed(lake, "transactions", batch(), f"{raw}/transactions", key)
+    return load_tables(lake, "bronze", readers, only, declared=RAW)
 
 
 def check_bronze(lake: Lake) -> DataFrame:
-    return bronze_report({t: lake.read("bronze", t) for t in RAW}, PRIMARY_KEYS)
+    """Key, reference, rule and parse results, and the null counts of all columns."""
+    tables = {t: lake.read("bronze", t) for t in RAW}
+    return bronze_report(tables, PRIMARY_KEYS).unionByName(parse_report(tables)).unionByName(null_report(tables))
 
 
 def build_silver(lake: Lake) -> None:
@@ -79,20 +87,22 @@ def build_marts(lake: Lake) -> None:
 def run(lake: Lake, raw: str, first: dt.date = calendar.FIRST_DAY, last: dt.date = calendar.LAST_DAY) -> DataFrame:
     """The whole batch run; returns the Bronze and Gold check results."""
     load_bronze(lake, raw)
-    bronze = check_bronze(lake)
+    checks = check_bronze(lake)
     build_silver(lake)
     build_gold(lake, first, last)
     build_marts(lake)
-    return bronze.unionByName(check_gold(lake))
+    return checks.unionByName(check_gold(lake))
 
 
-def run_stream(lake: Lake, landed: str, state: str, max_files: int | None = None) -> DataFrame:
+def run_stream(lake: Lake, landed: str, state: str, max_files: int | None = None, archive: str | None = None) -> DataFrame:
     """Load newly landed transactions into Bronze, then check it; for a scheduler to repeat.
 
-    ``state`` keeps the progress and the rejected records. Fails if nothing has landed at all.
+    ``state`` keeps the progress and the rejected records. Without ``archive`` it fails if nothing has landed at all;
+    with it, loaded files are moved there, so that the landing folder stays small.
     """
-    require_landed(lake.spark, landed)
-    records = read_landing(lake.spark, landed, STREAM_TRANSACTION, max_files, keep_corrupt=True)
+    if archive is None:
+        require_landed(lake.spark, landed)
+    records = read_landing(lake.spark, landed, STREAM_TRANSACTION, max_files, keep_corrupt=True, archive=archive)
     loading = bronze.load_stream(
         lake,
         bronze.typed_transactions(records),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from ledgerloom.operators.profile import value_range
 from ledgerloom.plans import calendar
 from ledgerloom.plans.questions import latest_from_source as latest
 from ledgerloom.plans.staging import COLUMNS
-from ledgerloom.queries import Query, Registry
+from ledgerloom.queries import Query, Registry, standins
 from ledgerloom.queries.standins import raw, silver, staged, table
 from ledgerloom.session import scratch_dir
 from ledgerloom.sources import files, kafka
@@ -178,11 +179,27 @@ DECODED = """
 @query("kafka_decode", DECODED)
 def kafka_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = kafka.encode(text_times(raw(spark, sf_dir, "transactions")), "transaction_id")
-    return kafka.decode(messages, STREAM).withColumn(
+    return kafka.decode(messages, STREAM).drop(files.CORRUPT).withColumn(
         "transaction_timestamp", F.col("transaction_timestamp").try_cast("timestamp")
     )
 
 
+@query(
+    "kafka_rejects",
+    "SELECT transaction_id, '{\"transaction_id\":\"' || transaction_id || '\",' AS raw_value FROM raw_transactions "
+    "WHERE trim(lower(payment_method)) = 'cash'",
+)
+def kafka_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of cash payments are cut short; their text is kept."""
+    given = text_times(raw(spark, sf_dir, "transactions"))
+    messages = kafka.encode(given, "transaction_id").withColumn("text", F.col("value").cast("string"))
+    broken = F.trim(F.lower(F.get_json_object("text", "$.payment_method"))) == "cash"
+    id_ = F.get_json_object("text", "$.transaction_id")
+    value = F.when(broken, F.concat(F.lit('{"transaction_id":"'), id_, F.lit('",'))).otherwise(F.col("text"))
+    found = kafka.decode(messages.select(value.cast("binary").alias("value")), STREAM).filter(F.col(files.CORRUPT).isNotNull())
+    return found.select(F.regexp_extract(files.CORRUPT, ':"([^"]*)"', 1).alias("transaction_id"), F.col(files.CORRUPT).alias("raw_value"))
+
+
 @query(
     "kafka_encode",
     "SELECT transaction_id AS record_key, transaction_id AS id_in_value, "
@@ -199,11 +216,19 @@ def kafka_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("landing_inventory")
+@query(
+    "landing_inventory",
+    " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS file_name, count(*) AS row_count, TRUE AS has_bytes FROM {t}" for t in standins.TEST_TABLES
+    ),
+)
 def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.landing_inventory(spark, sf_dir, "*.parquet").withColumn(
-        "path", F.element_at(F.split("path", "/"), -1)
-    )
+    """Landed files with the rows that a scan finds in them."""
+    name = lambda path: F.element_at(F.split(path, "/"), -1).alias("file_name")
+    scans = [table(spark, sf_dir, t).select(name("_metadata.file_path")) for t in standins.TEST_TABLES]
+    rows = reduce(DataFrame.unionByName, [s.groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count")) for s in scans])
+    landed = files.landing_inventory(spark, sf_dir, "*.parquet").select(name("path"), (F.col("length") > 0).alias("has_bytes"))
+    return landed.join(rows, "file_name").select("file_name", "row_count", "has_bytes")
 
 
 @query(

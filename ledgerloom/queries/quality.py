@@ -16,6 +16,7 @@ from ledgerloom.queries.loading import new_lake
 from ledgerloom.queries.standins import dim_date, event_facts, facts, raw, silver, staged, table
 from ledgerloom.schemas import PRIMARY_KEYS
 from ledgerloom.schemas import RAW as DECLARED
+from ledgerloom.sources import files
 
 REGISTRY = Registry({}, {})
 query = REGISTRY.add
@@ -167,9 +168,52 @@ def dq_failed_without_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.failed_without_reason(silver(spark, sf_dir, "transaction_events"))
 
 
-@query("schema_check")
+# Types that the columns are checked against; some are too narrow for the values, and two columns are not there.
+CHECKED = {
+    "orders": "o_orderkey bigint, o_orderstatus string, o_totalprice decimal(7,2), o_orderdate timestamp_ntz, o_clerk string",
+    "events": "event_id bigint, event_type string, value double, props int",
+    "customer": "c_custkey int, c_name bigint, c_acctbal decimal(5,2), c_phone string",
+}
+
+
+def _misfits_sql(name: str, column: str, kind: str) -> str:
+    row = f"SELECT '{name}' AS table_name, '{column}' AS column_name, '{kind}' AS expected, "
+    if column in ("o_clerk", "c_phone"):
+        return row + "CAST(NULL AS BIGINT) AS misfits"
+    duck = kind.replace("timestamp_ntz", "timestamp").replace("string", "varchar")
+    return row + f"count(*) FILTER ({column} IS NOT NULL AND TRY_CAST({column} AS {duck}) IS NULL) AS misfits FROM {name}"
+
+
+@query("schema_check", " UNION ALL ".join(_misfits_sql(t, *c.split(" ", 1)) for t, ddl in CHECKED.items() for c in ddl.split(", ")))
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.schema_check(spark, {d: raw(spark, sf_dir, d) for d in DECLARED}, DECLARED)
+    """The files' own columns against declared ones."""
+    return quality.schema_check({t: files.scan_parquet(spark, f"{sf_dir}/{t}.parquet") for t in CHECKED}, CHECKED)
+
+
+def spoiled(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Raw datasets with values in them that no typed column can hold."""
+    tables = {d: raw(spark, sf_dir, d) for d in DECLARED}
+    line = F.split("transaction_id", "-")[1].cast("int")
+    amount = F.when(line == 7, 1e17).otherwise(F.col("amount"))
+    tables["transactions"] = tables["transactions"].withColumn("amount", amount)
+    born = F.when(F.col("customer_id") % 10 == 0, "31.12.1999").when(F.col("customer_id") % 10 == 1, " ").otherwise(F.col("date_of_birth"))
+    tables["customers"] = tables["customers"].withColumn("date_of_birth", born)
+    return tables
+
+
+@query(
+    "parse_losses",
+    """
+    SELECT 'parse_loss' AS check_name, *, failing_rows = 0 AS passed FROM (
+        SELECT 'customers' AS table_name, 'date_of_birth' AS column_name, count(*) FILTER (c_custkey % 10 = 0) AS failing_rows FROM customer
+        UNION ALL SELECT 'exchange_rates', 'rate_date', 0
+        UNION ALL SELECT 'transactions', 'transaction_timestamp', 0
+        UNION ALL SELECT 'transactions', 'amount', count(*) FILTER (l_linenumber = 7) FROM lineitem
+        UNION ALL SELECT 'transaction_events', 'event_timestamp', 0)
+    """,
+)
+def parse_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.parse_report(spoiled(spark, sf_dir))
 
 
 def _results_sql(checks: list[tuple[str, str, str, str]]) -> str:
@@ -283,7 +327,9 @@ def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "dataset_shape",
-    "SELECT count(*) AS row_count, 11 AS column_count, 8 AS numeric_column_count FROM lineitem",
+    """SELECT (SELECT count(*) FROM lineitem) AS row_count, count(*) AS column_count,
+              count(*) FILTER (column_type IN ('BIGINT', 'INTEGER', 'DOUBLE')) AS numeric_column_count
+       FROM (DESCRIBE lineitem)""",
 )
 def dataset_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.shape(table(spark, sf_dir, "lineitem"))

@@ -17,7 +17,6 @@ from ledgerloom.operators.standardize import to_silver
 from ledgerloom.plans import calendar, star
 from ledgerloom.plans.staging import stage
 from ledgerloom.session import pin_utc
-from ledgerloom.sources.files import scan_parquet
 
 FIRST_DAY = dt.date(1995, 1, 1)
 LAST_DAY = dt.date(2001, 12, 31)
@@ -65,7 +64,7 @@ TEST_TABLES = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table with its declared schema, so no job is spent on reading footers first."""
-    return scan_parquet(pin_utc(spark), f"{sf_dir}/{name}.parquet", TEST_TABLES[name])
+    return pin_utc(spark).read.schema(TEST_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def messy(column: Column) -> Column:

@@ -2,18 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.schemas import INGESTED_AT, SOURCE_FILE
+from ledgerloom.schemas import INGESTED_AT, SOURCE_FILE, STAMP_COLUMNS
 
 CORRUPT = "_corrupt_record"
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Parquet directory scan; a declared schema also checks nothing was renamed upstream."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+    """Parquet scan with the files' own columns and types, added ones too.
+
+    With a declared schema a missing column, and so a renamed one, raises; see :func:`drift` for the rest.
+    """
+    found = spark.read.option("mergeSchema", "true").parquet(path)
+    if schema and (missing := drift(found, schema).missing):
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    return found
+
+
+@dataclass(frozen=True)
+class Drift:
+    """How a table's columns differ from the declared ones."""
+
+    missing: tuple[str, ...]
+    added: tuple[str, ...]
+    retyped: tuple[str, ...]  # "column declared -> found"
+
+    def __str__(self) -> str:
+        parts = [f"{name}: {', '.join(found)}" for name, found in vars(self).items() if found]
+        return "; ".join(parts)
+
+
+def drift(df: DataFrame, schema: str) -> Drift:
+    declared = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(schema).fields}
+    found = {c: t for c, t in df.dtypes if c not in STAMP_COLUMNS}
+    return Drift(
+        tuple(c for c in declared if c not in found),
+        tuple(c for c in found if c not in declared),
+        tuple(f"{c} {t} -> {found[c]}" for c, t in declared.items() if c in found and found[c] != t),
+    )
+
+
+def below(path: str) -> Column:
+    """True for stamped rows whose source file lies in the folder ``path``."""
+    plain = F.url_decode(F.regexp_replace(F.regexp_replace(SOURCE_FILE, "^[A-Za-z0-9+.-]+:/+", "/"), r"\+", "%2B"))
+    return plain.startswith(re.sub("^[A-Za-z0-9+.-]+:/+", "/", path).rstrip("/") + "/")
 
 
 def scan_jsonl(spark: SparkSession, path: str, schema: str, keep_corrupt: bool = False) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.files import CORRUPT
+
 # Delivery settings of the producer.
 PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.retries": "5"}
 
@@ -23,8 +25,8 @@ def encode(df: DataFrame, key: str) -> DataFrame:
 
 
 def decode(df: DataFrame, schema: str) -> DataFrame:
-    """Columns of the JSON value; a value that does not parse gives nulls."""
-    parsed = F.from_json(F.col("value").cast("string"), schema)
+    """Columns of the JSON value; of a value that does not parse ``_corrupt_record`` has the text."""
+    parsed = F.from_json(F.col("value").cast("string"), f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
     return df.select(parsed.alias("record")).select("record.*")
 
 

@@ -8,10 +8,12 @@ write that dies half-way leaves the table as it was.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.sources.files import drift
+
 
 class Lake:
     """Tables of one lakehouse: ``<layer><suffix>.<table>`` below ``root``."""
@@ -65,7 +67,7 @@ class Lake:
         self.spark.catalog.refreshTable(name)
 
 
-REPORT_SCHEMA = "table string, rows bigint, status string, error string"
+REPORT_SCHEMA = "table string, rows bigint, status string, error string, drift string"
 
 
 def load_tables(
@@ -74,10 +76,12 @@ def load_tables(
     readers: dict[str, Callable[[], DataFrame]],
     only: str | None = None,
     fail: bool = True,
+    declared: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Full-refresh many tables, or the one named ``only``; a failing table does not stop the rest.
 
-    Returns one row per table (table, rows, status, error). With ``fail`` the call raises after all
+    Returns one row per table (table, rows, status, error, drift); ``drift`` says which columns the table has beyond
+    its ``declared`` schema, or with another type. With ``fail`` the call raises after all
     tables were tried if any of them failed.
     """
     if only is not None and only not in readers:
@@ -85,13 +89,15 @@ def load_tables(
     outcomes = []
     for table in [only] if only else readers:
         try:
-            lake.replace(layer, table, readers[table]())
+            df = readers[table]()
+            differences = str(drift(df, declared[table])) if declared else ""
+            lake.replace(layer, table, df)
             # Counted from the footers of the new files, so the source is read only once.
-            outcomes.append((table, lake.read(layer, table).count(), "loaded", None))
+            outcomes.append((table, lake.read(layer, table).count(), "loaded", None, differences))
         except Exception as error:  # the outcome of each table is the result
-            outcomes.append((table, 0, "failed", str(error).splitlines()[0]))
+            outcomes.append((table, 0, "failed", str(error).splitlines()[0], None))
     report = lake.spark.createDataFrame(outcomes, REPORT_SCHEMA)
-    failed = [table for table, _, status, _ in outcomes if status == "failed"]
+    failed = [table for table, _, status, *_ in outcomes if status == "failed"]
     if fail and failed:
         raise RuntimeError(f"{len(failed)} table(s) failed to load: {', '.join(failed)}")
     return report

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.operators.upsert import one_per_key
 from ledgerloom.schemas import RAW, STAMP_COLUMNS, ddl_columns
-from ledgerloom.sources.files import CORRUPT, stamp
+from ledgerloom.sources.files import CORRUPT, below, stamp
 from ledgerloom.sources.lake import Lake
 
 
@@ -44,6 +44,14 @@ def insert_if_absent(
     lake.append(layer, table, fresh)
 
 
+def with_streamed(lake: Lake, table: str, batch: DataFrame, folder: str, key: str) -> DataFrame:
+    """A batch load of ``folder`` beside the Bronze rows that came in another way and whose key the batch lacks."""
+    if not lake.exists("bronze", table):
+        return batch
+    streamed = lake.read("bronze", table).filter(~below(folder))
+    return batch.unionByName(absent_rows(streamed, batch, key), allowMissingColumns=True)
+
+
 def load_stream(
     lake: Lake,
     records: DataFrame,
@@ -55,7 +63,8 @@ def load_stream(
 ) -> StreamingQuery:
     """Drain the stream into ``bronze.<table>``; unreadable and keyless rows go to ``rejects``.
 
-    Rejects are kept per batch id, so a replayed batch overwrites its own rejects.
+    Rejects are kept per query and batch id: a replayed batch overwrites its own rejects, and a load that starts anew
+    from another checkpoint is another query.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -63,7 +72,8 @@ def load_stream(
         bad = F.col(key).isNull()
         if CORRUPT in batch.columns:
             bad = bad | F.col(CORRUPT).isNotNull()
-        batch.filter(bad).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.filter(bad).write.mode("overwrite").parquet(f"{rejects}/query_id={query}/batch_id={batch_id}")
         insert_if_absent(lake, "bronze", table, batch.filter(~bad).drop(CORRUPT), key, order)
         batch.unpersist()
 

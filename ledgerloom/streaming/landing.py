@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.sources.files import CORRUPT
+from ledgerloom.sources.kafka import decode
 
 # The flush rule, ten records or ten seconds. Spark starts a micro-batch on the time
 # trigger and bounds it by records (Kafka) or files; there is no "whichever comes first".
@@ -14,14 +16,24 @@ FLUSH_SECONDS = 10
 
 
 def read_landing(
-    spark: SparkSession, path: str, schema: str, max_files: int | None = None, keep_corrupt: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    max_files: int | None = None,
+    keep_corrupt: bool = False,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Landed JSON-lines files as a stream; ``max_files`` bounds each micro-batch."""
+    """Landed JSON-lines files as a stream; ``max_files`` bounds each micro-batch.
+
+    With ``archive`` files whose batch is done are moved there.
+    """
     reader = spark.readStream.schema(f"{schema}, {CORRUPT} string" if keep_corrupt else schema)
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(path)
 
 
@@ -41,3 +53,17 @@ def land(
     )
     trigger = {"availableNow": True} if drain else {"processingTime": f"{seconds} seconds"}
     return writer.trigger(**trigger).start()
+
+
+def land_topic(
+    messages: DataFrame, schema: str, path: str, rejects: str, state: str, drain: bool = False, seconds: int = FLUSH_SECONDS
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Keyed messages to JSON lines: readable values below ``path``, the text of the others below ``rejects``.
+
+    ``messages`` has the columns of a topic, ``key`` and ``value``. Each side keeps its own progress below ``state``.
+    """
+    records, unreadable = decode(messages, schema), F.col(CORRUPT).isNotNull()
+    return (
+        land(records.filter(~unreadable).drop(CORRUPT), path, f"{state}/records", drain, seconds),
+        land(records.filter(unreadable).select(F.col(CORRUPT).alias("value")), rejects, f"{state}/rejects", drain, seconds),
+    )

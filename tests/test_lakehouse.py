@@ -1,8 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
-
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,8 +22,12 @@ def test_batch_run_twice(spark, lake, raw_tables, tmp_path):
     raw = str(tmp_path / "raw")
     write_raw(raw_tables, raw)
     first, last = dt.date(2024, 3, 1), dt.date(2024, 3, 31)
-    results = {(r.check_name, r.table_name, r.column_name): r.failing_rows for r in lakehouse.run(lake, raw, first, last).collect()}
-    assert len(results) == 18 + 21
+    rows = lakehouse.run(lake, raw, first, last).collect()
+    results = {(r.check_name, r.table_name, r.column_name): r.failing_rows for r in rows}
+    kinds = Counter(r.check_name for r in rows)
+    assert kinds.pop("parse_loss") == 5 and kinds.pop("null_count") == sum(len(t.columns) + 2 for t in raw_tables.values())
+    assert kinds.total() == 18 + 21
+    assert results["null_count", "customers", "email"] == 1
     assert results["unique", "fact_transaction", "transaction_id"] == 1
     assert results["not_null", "fact_transaction", "date_key"] == 2
     assert results["relationship", "dim_account", "customer_id"] == 1
@@ -67,7 +71,40 @@ def test_stream_run(spark, lake, raw_tables, tmp_path):
         checks = lakehouse.run_stream(lake, str(landed), state)
         found = [r[0] for r in values(lake.read("bronze", "transactions"), "transaction_id")]
         assert found == [None, None, "s1", "s2", "t1", "t2", "t3", "t4", "t4"]
-    assert checks.count() == 18
+    assert checks.filter("check_name NOT IN ('null_count', 'parse_loss')").count() == 18
+
+
+def test_streamed_rows_survive_a_batch_reload(spark, lake, raw_tables, tmp_path):
+    raw, landed, state = str(tmp_path / "raw"), tmp_path / "landed", str(tmp_path / "state")
+    write_raw(raw_tables, raw)
+    landed.mkdir()
+    row = {"account_id": "acc_00000001", "transaction_timestamp": "2024-03-08T00:00:00Z", "amount": 1.0}
+    (landed / "a.jsonl").write_text("\n".join(json.dumps({**row, "transaction_id": f"s{i}"}) for i in range(5)))
+    counts = []
+    for _ in range(2):
+        lakehouse.load_bronze(lake, raw)
+        counts.append(lake.read("bronze", "transactions").count())
+        lakehouse.run_stream(lake, str(landed), state)
+        counts.append(lake.read("bronze", "transactions").count())
+    assert counts == [7, 12, 12, 12]
+    # A streamed id that the batch brings later is the batch's.
+    late = raw_tables["transactions"].limit(1).withColumn("transaction_id", F.lit("s3")).withColumn("amount", F.lit(99.0))
+    late.write.mode("append").parquet(f"{raw}/transactions")
+    lakehouse.load_bronze(lake, raw, "transactions")
+    assert values(lake.read("bronze", "transactions").filter("transaction_id = 's3'"), "amount") == [(99.0,)]
+    assert lake.read("bronze", "transactions").count() == 12
+
+
+def test_landed_files_can_be_archived(spark, lake, raw_tables, tmp_path):
+    write_raw(raw_tables, str(tmp_path / "raw"))
+    lakehouse.load_bronze(lake, str(tmp_path / "raw"))
+    landed, archive = tmp_path / "landed", tmp_path / "archive"
+    landed.mkdir()
+    for i in range(3):
+        (landed / f"{i}.jsonl").write_text(json.dumps({"transaction_id": f"s{i}", "amount": 1.0}))
+        lakehouse.run_stream(lake, str(landed), str(tmp_path / "state"), archive=str(archive))
+    assert lake.read("bronze", "transactions").count() == 10
+    assert len(list(landed.glob("*.jsonl"))) + len(list(archive.rglob("*.jsonl"))) == 3 and list(archive.rglob("*.jsonl"))
 
 
 def test_detection_run(spark, lake):
@@ -83,7 +120,8 @@ def test_detection_run(spark, lake):
     assert found.count() == scored.filter("is_anomaly").count() >= 1
     incident = found.filter("affected_record = 't007'").first()
     assert incident.transaction_context.startswith("amount = 90000.00")
-    assert incident.next_step == "Review the transaction and related account activity."
+    assert incident.what_happened == "1 of 1 measured values lie 2 or more standard deviations from normal."
+    assert incident.next_step == "Check amount against the account's other records."
     lake.replace("gold", "fact_transaction", facts.limit(9))
     with pytest.raises(TooFewRows):
         lakehouse.run_detection(lake)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerloom.operators import profile, quality
 from ledgerloom.operators.standardize import to_silver
 from ledgerloom.schemas import PRIMARY_KEYS, RAW
@@ -59,10 +61,37 @@ def test_contract_list():
     assert (kinds.count("NotNull"), kinds.count("Unique"), kinds.count("Relationship")) == (11, 6, 4)
 
 
-def test_schema_check(spark, raw_tables):
-    drifted = {**raw_tables, "merchants": raw_tables["merchants"].drop("city").withColumnRenamed("country", "land")}
-    rows = quality.schema_check(spark, drifted, RAW).filter("not matches")
-    assert values(rows, "column_name", "expected", "actual") == [("city", "string", None), ("country", "string", None), ("land", None, "string")]
+def test_schema_check(spark, tmp_path):
+    """Of files, whose columns are not the declared ones."""
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("1", "x", 1e9), ("y", None, 2.5), (None, "z", None)], "a string, b string, c double").write.parquet(path)
+    found = quality.schema_check({"t": spark.read.parquet(path)}, {"t": "a int, b string, c decimal(6,2), d date"})
+    assert values(found) == [("t", "a", "int", 1), ("t", "b", "string", 0), ("t", "c", "decimal(6,2)", 1), ("t", "d", "date", None)]
+
+
+def test_parse_losses_and_null_counts(spark, raw_tables):
+    dates = F.when(F.col("customer_id") == "cust_000001", "soon").when(F.col("customer_id") == "cust_000002", " ").otherwise("2000-02-29")
+    tables = {
+        "customers": raw_tables["customers"].withColumn("date_of_birth", dates),
+        "transactions": raw_tables["transactions"].withColumn("amount", F.when(F.col("amount") > 6, 1e17).otherwise(F.col("amount"))),
+    }
+    found = {r.column_name: (r.failing_rows, r.passed) for r in quality.parse_report(tables).collect()}
+    assert found == {"date_of_birth": (1, False), "transaction_timestamp": (0, True), "amount": (2, False)}
+    nulls = {r.column_name: (r.failing_rows, r.passed) for r in quality.null_report({"customers": tables["customers"]}).collect()}
+    assert nulls["email"] == (1, True) and nulls["customer_id"] == (0, True)
+
+
+def test_one_count_for_each_key(spark, tmp_path):
+    tables = {}
+    for name, ddl in (("p", "id int"), ("c", "id int, p int, q int")):
+        spark.createDataFrame([], ddl).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    contracts = [quality.NotNull("p", "id"), quality.Unique("p", "id"), quality.NotNull("c", "id"), quality.Unique("c", "id"),
+                 quality.NotNull("c", "p"), quality.Relationship("c", "p", "p", "id"), quality.NotNull("c", "q")]
+    results = quality.run_contracts(tables, contracts)
+    results.collect()
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert len(values(results)) == 7 and plan.split("Initial Plan")[0].count("FileScan parquet") <= 5
 
 
 def test_numeric_profile_skips_infinities(spark):

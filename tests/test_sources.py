@@ -41,9 +41,34 @@ def test_kafka_round_trip(spark, raw_tables):
     assert messages.dtypes == [("key", "binary"), ("value", "binary")]
     first = json.loads(bytes(messages.filter("cast(key as string) = 't2'").first().value))
     assert first["merchant_id"] is None and first["amount"] == 2.675
-    assert values(kafka.decode(messages, RAW["transactions"])) == values(raw_tables["transactions"])
-    broken = spark.createDataFrame([(b"k", b"{oops")], "key binary, value binary")
-    assert values(kafka.decode(broken, "a int")) == [(None,)]
+    decoded = kafka.decode(messages, RAW["transactions"])
+    assert values(decoded.drop(files.CORRUPT)) == values(raw_tables["transactions"])
+    assert decoded.filter(F.col(files.CORRUPT).isNotNull()).count() == 0
+    broken = spark.createDataFrame([(b"k", b"{oops"), (b"k", b'{"a":1}'), (b"k", None)], "key binary, value binary")
+    assert values(kafka.decode(broken, "a int")) == [(None, None), (None, "{oops"), (1, None)]
+
+
+def test_drifted_files(spark, lake, raw_tables, tmp_path):
+    path = str(tmp_path / "customers")
+    drifted = raw_tables["customers"].withColumn("loyalty", F.lit(7)).withColumn("phone", F.lit(12))
+    drifted.write.parquet(path)
+    found = files.scan_parquet(spark, path, RAW["customers"])
+    assert found.columns[-1] == "loyalty" and found.filter("email IS NOT NULL AND loyalty = 7").count() == 2
+    report = load_tables(lake, "bronze", {"customers": lambda: files.stamp(found)}, declared=RAW).first()
+    assert (report.status, report.drift) == ("loaded", "added: loyalty; retyped: phone string -> int")
+    drifted.withColumnRenamed("email", "mail").write.mode("overwrite").parquet(path)
+    with pytest.raises(ValueError, match="no column email"):
+        files.scan_parquet(spark, path, RAW["customers"])
+    readers = {"customers": lambda: files.scan_parquet(spark, path, RAW["customers"])}
+    report = load_tables(lake, "bronze", readers, fail=False, declared=RAW).first()
+    assert report.status == "failed" and "email" in report.error and lake.read("bronze", "customers").count() == 3
+
+
+def test_files_below_a_folder(spark):
+    rows = [("file:///tmp/a/raw/t/x.parquet",), ("s3://b/raw/t/y",), ("file:/tmp/a/raw/t2/x",), ("file:///tmp/a%20b+c/t/x",)]
+    df = spark.createDataFrame(rows, "_source_file string")
+    for folder, expected in (("/tmp/a/raw/t", 1), ("file:///tmp/a/raw/t/", 1), ("s3://b/raw", 1), ("/tmp/a b+c/t", 1), ("/tmp/a", 2)):
+        assert df.filter(files.below(folder)).count() == expected, folder
 
 
 def test_replace_from_itself_and_schema_change(spark, lake):

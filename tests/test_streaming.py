@@ -67,6 +67,32 @@ def test_bronze_load_restart_and_replay(spark, lake, tmp_path):
     assert dict(lake.read("bronze", "transactions").dtypes)["merchant_id"] == "string"
 
 
+def test_a_new_checkpoint_keeps_the_older_rejects(spark, lake, tmp_path):
+    put(tmp_path / "in", "a.jsonl", record(1), '{"transaction_id": "cut')
+    source = lambda: landing.read_landing(spark, str(tmp_path / "in"), STREAM_TRANSACTION, keep_corrupt=True)
+    for progress in ("one", "two"):
+        bronze.load_stream(
+            lake, bronze.typed_transactions(source()), "transactions", "transaction_id", str(tmp_path / progress), str(tmp_path / "rejects")
+        ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 2
+    assert len(list((tmp_path / "rejects").iterdir())) == 2
+
+
+def test_topic_to_landing(spark, tmp_path):
+    """A table of keyed messages stands for the topic."""
+    rows = [(b"1", record(1).encode()), (b"2", b'{"transaction_id": "cut'), (b"3", record(3).encode()), (b"4", b"\xff\xfe")]
+    topic = str(tmp_path / "topic")
+    spark.createDataFrame(rows, "key binary, value binary").write.parquet(topic)
+    out, rejects, state = (str(tmp_path / n) for n in ("out", "rejects", "state"))
+    for _ in range(2):
+        messages = spark.readStream.schema("key binary, value binary").parquet(topic)
+        for running in landing.land_topic(messages, STREAM_TRANSACTION, out, rejects, state, drain=True):
+            running.awaitTermination()
+    assert spark.read.schema(STREAM_TRANSACTION).json(out).count() == 2
+    kept = [r.value for r in spark.read.schema("value string").json(rejects).collect()]
+    assert len(kept) == 2 and '{"transaction_id": "cut' in kept
+
+
 def test_absent_rows_keeps_one_row_per_key(spark):
     batch = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1)], "k string, v int")
     target = spark.createDataFrame([("b", 0), ("z", 0), (None, 0)], "k string, v int")
