@@ -1,10 +1,10 @@
 """Quantiles of large columns without gathering a column in one task.
 
-The built-in exact ``percentile`` keeps every distinct value of a group in one buffer, and the
-buffers of the approximate one all meet in a single task, one per input partition. Here each pass
-counts the rows per bin of a histogram, an ordinary shuffled aggregation that combines on the map
-side, and the next pass looks inside the one bin that holds the wanted rank. Every pass is exact,
-and at most ``BINS`` rows per column reach the driver.
+The built-in exact ``percentile`` keeps every distinct value of a group in one buffer. Here one scan makes a sketch of
+every column, which brackets the wanted rank; the next scan counts what lies below each bracket and, inside it, the
+rows per bin of a histogram, and so on inside the bin that holds the rank until few rows are left, which are then read
+value by value. Usually the second scan is the last. Scans cover all columns at once, every count is exact, and at
+most ``max(BINS, WINDOW)`` rows per column reach the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +21,21 @@ from ledgerloom.functions.numeric import as_number
 BINS = 4096
 # A bracket with at most this many rows is read value by value.
 WINDOW = 20_000
+# Size of a sketch, and how far from the wanted rank its bracket reaches on either side; several times its error.
+SKETCH, REACH = 4096, 0.005
+# Sketches are merged in so many groups first, as there is one for each input partition.
+_MERGERS = 256
 
 
 @dataclass
 class _Bracket:
-    """Where the wanted ranks lie: ``below`` rows are smaller than ``low``, ``rows`` are inside."""
+    """Where the wanted ranks lie: between ``low`` and ``high``, which hold about ``rows`` rows."""
 
     position: float
     low: float
     high: float
-    below: int
     rows: int
+    whole: tuple[float, float, int]  # lowest and highest value, and rows of the column
 
 
 def exact_quantiles(
@@ -57,16 +60,14 @@ def _select(
     if not wanted:
         return result
     values = df.select(*[as_number(F.col(c)).alias(c) for c in wanted])
-    brackets = _whole_columns(values, wanted)
-    enough = {c: tolerance * b.rows for c, b in brackets.items()}
+    brackets = _sketched(values, wanted)
     while brackets:
         for column, b in list(brackets.items()):
-            if b.low == b.high or b.rows <= enough[column]:
+            if b.low == b.high and b.rows == b.whole[2] or b.rows <= tolerance * b.whole[2]:
                 result[column] = b.low
                 del brackets[column]
-        counted = _count(values, brackets, bins, window)
-        for column, cells in counted.items():
-            found = _locate(brackets[column], cells)
+        for column, (below, cells) in _count(values, brackets, bins, window).items():
+            found = _locate(brackets[column], below, cells)
             if isinstance(found, _Bracket):
                 brackets[column] = found
             else:
@@ -75,16 +76,29 @@ def _select(
     return result
 
 
-def _whole_columns(values: DataFrame, wanted: Mapping[str, float]) -> dict[str, _Bracket]:
-    aggregates = []
-    for i, column in enumerate(wanted):
-        aggregates += [f(column).alias(f"{name}{i}") for name, f in (("n", F.count), ("low", F.min), ("high", F.max))]
-    row = values.agg(*aggregates).first()
-    return {
-        column: _Bracket(p * (row[f"n{i}"] - 1), row[f"low{i}"], row[f"high{i}"], 0, row[f"n{i}"])
-        for i, (column, p) in enumerate(wanted.items())
-        if row[f"n{i}"]
-    }
+def _sketched(values: DataFrame, wanted: Mapping[str, float]) -> dict[str, _Bracket]:
+    """A bracket for each column that has values, from one scan."""
+    firsts, merges, reads = [], [], []
+    for i, (column, p) in enumerate(wanted.items()):
+        firsts += [F.count(column).alias(f"n{i}"), F.min(column).alias(f"low{i}"), F.max(column).alias(f"high{i}")]
+        firsts.append(F.kll_sketch_agg_double(column, F.lit(SKETCH)).alias(f"sketch{i}"))
+        merges += [F.sum(f"n{i}").alias(f"n{i}"), F.min(f"low{i}").alias(f"low{i}"), F.max(f"high{i}").alias(f"high{i}")]
+        merges.append(F.kll_merge_agg_double(f"sketch{i}", F.lit(SKETCH)).alias(f"sketch{i}"))
+        reads += [f"n{i}", f"low{i}", f"high{i}"]
+        for side, rank in (("from", max(0.0, p - REACH)), ("to", min(1.0, p + REACH))):
+            at = F.kll_sketch_get_quantile_double(f"sketch{i}", F.lit(rank))
+            reads.append(F.when(F.col(f"n{i}") > 0, at).alias(f"{side}{i}"))
+    parts = values.groupBy((F.spark_partition_id() % _MERGERS).alias("part")).agg(*firsts)
+    row = parts.agg(*merges).select(*reads).first()
+    brackets = {}
+    for i, (column, p) in enumerate(wanted.items()):
+        if n := row[f"n{i}"]:
+            low = row[f"low{i}"] if p <= REACH else row[f"from{i}"]
+            high = row[f"high{i}"] if p >= 1 - REACH else row[f"to{i}"]
+            whole = row[f"low{i}"], row[f"high{i}"], n
+            rows = n if (low, high) == whole[:2] else min(n, math.ceil(3 * REACH * n))
+            brackets[column] = _Bracket(p * (n - 1), low, high, rows, whole)
+    return brackets
 
 
 def _scale(value: Column, low: float, high: float) -> tuple[Column, float, float]:
@@ -104,7 +118,7 @@ def _scale(value: Column, low: float, high: float) -> tuple[Column, float, float
 
 def _cell(value: Column, b: _Bracket, bins: int, window: int) -> Column:
     """Bin number of a value inside the bracket, or the value itself where few rows are left."""
-    if b.rows <= window:
+    if b.rows <= window or b.low == b.high:
         return value
     scaled, start, end = _scale(value, b.low, b.high)
     number = F.floor((scaled - start) / (end - start) * bins)
@@ -113,40 +127,41 @@ def _cell(value: Column, b: _Bracket, bins: int, window: int) -> Column:
 
 def _count(
     values: DataFrame, brackets: dict[str, _Bracket], bins: int, window: int
-) -> dict[str, list[tuple[float, float, int]]]:
-    """Per column, the (smallest, largest, rows) of each occupied bin of its bracket, in order."""
+) -> dict[str, tuple[int, list[tuple[float, float, int]]]]:
+    """Per column, the rows below its bracket and the (smallest, largest, rows) of each occupied bin inside, in order."""
     if not brackets:
         return {}
     names = list(brackets)
-    # One narrow scan per column: together they read what a scan of all columns would.
-    parts = [
-        values.select(F.col(c).alias("value"))
-        .filter(F.col("value").between(b.low, b.high))
-        .select(F.lit(i).alias("i"), _cell(F.col("value"), b, bins, window).alias("cell"), "value")
-        for i, (c, b) in enumerate(brackets.items())
-    ]
-    rows = (
-        reduce(DataFrame.unionAll, parts)
-        .groupBy("i", "cell")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("rows"))
-        .collect()
-    )
-    cells: dict[str, list[tuple[float, float, int]]] = {c: [] for c in names}
+    entries = []
+    for i, (c, b) in enumerate(brackets.items()):
+        value = F.col(c)
+        # An entry without cell is below the bracket. Values above it, and nulls, are dropped at once.
+        cell = F.when(value >= b.low, _cell(value, b, bins, window))
+        entries.append(F.when(value <= b.high, F.struct(F.lit(i).alias("i"), cell.alias("cell"), value.alias("value"))))
+    exploded = values.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    rows = exploded.groupBy("i", "cell").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("rows")).collect()
+    counted: dict[str, tuple[int, list]] = {c: (0, []) for c in names}
     for row in rows:
-        cells[names[row["i"]]].append((row["low"], row["high"], row["rows"]))
-    return {c: sorted(found) for c, found in cells.items()}
+        below, cells = counted[names[row["i"]]]
+        if row["cell"] is None:
+            counted[names[row["i"]]] = row["rows"], cells
+        else:
+            cells.append((row["low"], row["high"], row["rows"]))
+    return {c: (below, sorted(cells)) for c, (below, cells) in counted.items()}
 
 
-def _locate(b: _Bracket, cells: list[tuple[float, float, int]]) -> _Bracket | float:
+def _locate(b: _Bracket, below: int, cells: list[tuple[float, float, int]]) -> _Bracket | float:
     """The bracket of the cell with the wanted rank, or the quantile if it is decided already."""
     lower, upper = math.floor(b.position), math.ceil(b.position)
-    below, first = b.below, None
+    if lower < below or upper >= below + sum(rows for *_, rows in cells):
+        return _Bracket(b.position, b.whole[0], b.whole[1], b.whole[2], b.whole)  # the sketch was off by more than REACH
+    first = None
     for low, high, rows in cells:
         if lower < below + rows and first is None:
             if upper < below + rows:
                 if low == high:
                     return low
-                return _Bracket(b.position, low, high, below, rows)
+                return _Bracket(b.position, low, high, rows, b.whole)
             # The two ranks lie in neighbouring cells: the last row of one, the first of the next.
             first = high
         elif first is not None:
