@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
 HOT_SHARE = 0.005
 SALTS = 64
 _SALT = "__salt"
@@ -38,30 +38,32 @@ def key_join(
     right: DataFrame,
     key: str,
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
-    share: float = HOT_SHARE,
+    hot: Sequence | None = None,
     salts: int = SALTS,
+    position: Sequence[str] = (),
 ) -> DataFrame:
     """Equi-join of many ``left`` rows to ``right``, with how in inner, left, left_semi, left_anti.
 
-    ``right`` is counted first. Up to ``broadcast_rows`` it is broadcast, and no left row moves.
-    Beyond that both sides shuffle by key. If the left side has hot keys, their rows are spread over
-    ``salts`` partitions, and only the hot keys' right rows are repeated to meet them there. Which
-    keys count as hot affects the balance only, never the result.
+    Spark broadcasts ``right`` if its bytes allow it, and splits skewed shuffle partitions at run time. Rows with a null
+    key have no partner, so they go past the join and never meet in one partition. Nothing runs while the plan is built.
+
+    For plans in which adaptive execution cannot split, ``hot`` names keys (see :func:`hot_keys`) whose rows are spread
+    over ``salts`` partitions; only their right rows are repeated to meet them there. The salt is a hash of the row and
+    the ``position`` columns, which tell equal rows apart; a file's path and row index do, and are the same on every
+    retry. Which keys count as hot affects the balance only, never the result.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if right.count() <= broadcast_rows:
-        return left.join(F.broadcast(right), key, how)
-    hot = hot_keys(left, key, share)
-    if not hot:
-        return left.join(right, key, how)
-    named = [k for k in hot if k is not None]
-    is_hot = F.col(key).isin(named) if named else F.lit(False)
-    # A hash of the whole row is the same on every retry of a task, unlike a random number.
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    none = F.lit(0)
-    salted_left = left.withColumn(_SALT, F.when(F.col(key).isNull() | is_hot, spread).otherwise(none))
-    repeats = F.when(is_hot, F.sequence(none, F.lit(salts - 1))).otherwise(F.array(none))
-    salted_right = right.withColumn(_SALT, F.explode(repeats)) if named else right.withColumn(_SALT, none)
-    return salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)
+    keyed = left.filter(F.col(key).isNotNull())
+    named = [k for k in hot or () if k is not None]
+    if named:
+        is_hot, none = F.col(key).isin(named), F.lit(0)
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns], *position), F.lit(salts)).cast("int")
+        salted = keyed.withColumn(_SALT, F.when(is_hot, spread).otherwise(none))
+        repeats = F.when(is_hot, F.sequence(none, F.lit(salts - 1))).otherwise(F.array(none))
+        joined = salted.join(right.withColumn(_SALT, F.explode(repeats)), [key, _SALT], how).drop(_SALT)
+    else:
+        joined = keyed.join(right, key, how)
+    if how in ("inner", "left_semi"):
+        return joined
+    return joined.unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.joins import BROADCAST_ROWS, key_join
+from ledgerloom.operators.joins import key_join
 from ledgerloom.operators.standardize import parse_losses
 from ledgerloom.schemas import MERCHANT_TYPES
 
@@ -81,12 +81,11 @@ def orphan_rows(
     key: str,
     parent_key: str | None = None,
     null_is_orphan: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Child rows whose key has no parent; rows with a null key on request."""
     parents = parent.select(F.col(parent_key or key).alias(key))
     children = child if null_is_orphan else child.filter(F.col(key).isNotNull())
-    return key_join(children, parents, key, "left_anti", broadcast_rows=broadcast_rows).select(*child.columns)
+    return key_join(children, parents, key, "left_anti").select(*child.columns)
 
 
 def orphan_count(

@@ -62,8 +62,9 @@ def build_gold(lake: Lake, first: dt.date = calendar.FIRST_DAY, last: dt.date =
     days = calendar.calendar(lake.spark, first, last)
     lake.replace("gold", "dim_date", days)
     facts = star.fact_transaction(views["transactions"], lake.read("gold", "dim_account"), days)
-    lake.replace("gold", "fact_transaction", facts)
-    lake.replace("gold", "fact_transaction_event", star.fact_transaction_event(views["transaction_events"], days))
+    lake.replace("gold", "fact_transaction", facts, ["transaction_date"])
+    events = star.fact_transaction_event(views["transaction_events"], days)
+    lake.replace("gold", "fact_transaction_event", events, ["event_date"])
     lake.replace("gold", "fact_exchange_rate", star.fact_exchange_rate(views["exchange_rates"]))
 
 

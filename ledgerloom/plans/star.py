@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import BROADCAST_ROWS, key_join
+from ledgerloom.operators.joins import key_join
 
 # Column order of the facts.
 TRANSACTION_COLUMNS = [
@@ -30,12 +32,18 @@ def with_date_key(df: DataFrame, date_column: str, dim_date: DataFrame) -> DataF
 
 
 def fact_transaction(
-    transactions: DataFrame, accounts: DataFrame, dim_date: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    transactions: DataFrame, accounts: DataFrame, dim_date: DataFrame, columns: Sequence[str] = tuple(TRANSACTION_COLUMNS)
 ) -> DataFrame:
-    """One row per staged transaction, with the account's customer and the date key if they exist."""
-    owners = accounts.select("account_id", "customer_id")
-    owned = key_join(transactions, owners, "account_id", "left", broadcast_rows=broadcast_rows)
-    return with_date_key(owned, "transaction_date", dim_date).select(*TRANSACTION_COLUMNS)
+    """One row per staged transaction, with the account's customer and the date key if they exist.
+
+    Where ``columns`` leaves one of the two out, its join is left out too.
+    """
+    facts = transactions
+    if "customer_id" in columns:
+        facts = key_join(facts, accounts.select("account_id", "customer_id"), "account_id", "left")
+    if "date_key" in columns:
+        facts = with_date_key(facts, "transaction_date", dim_date)
+    return facts.select(*columns)
 
 
 def fact_transaction_event(events: DataFrame, dim_date: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def failure_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     "q_total", "SELECT CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) AS transactions FROM silver_transactions"
 )
 def q_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return money(questions.total_amount(facts(spark, sf_dir)), "total_amount")
+    return money(questions.total_amount(facts(spark, sf_dir, "amount")), "total_amount")
 
 
 @query(
@@ -109,7 +109,7 @@ def q_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT transaction_type, CAST(sum(amount) AS DOUBLE) AS total_amount FROM silver_transactions GROUP BY ALL",
 )
 def q_total_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return money(questions.amount_by(facts(spark, sf_dir), "transaction_type"), "total_amount")
+    return money(questions.amount_by(facts(spark, sf_dir, "amount", "transaction_type"), "transaction_type"), "total_amount")
 
 
 @query(
@@ -117,7 +117,7 @@ def q_total_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT transaction_type, count(*) AS transactions FROM silver_transactions GROUP BY ALL ORDER BY 2 DESC, 1",
 )
 def q_common_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.most_common(facts(spark, sf_dir), "transaction_type")
+    return questions.most_common(facts(spark, sf_dir, "transaction_type"), "transaction_type")
 
 
 @query(
@@ -128,7 +128,7 @@ def q_common_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def q_top_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.top_by_volume(facts(spark, sf_dir), "merchant_id")
+    return questions.top_by_volume(facts(spark, sf_dir, "merchant_id"), "merchant_id")
 
 
 @query(
@@ -139,7 +139,7 @@ def q_top_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return money(questions.top_by_value(facts(spark, sf_dir), "customer_id"), "total_amount")
+    return money(questions.top_by_value(facts(spark, sf_dir, "customer_id", "amount"), "customer_id"), "total_amount")
 
 
 @query(
@@ -147,7 +147,7 @@ def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT count(*) FILTER (transaction_status = 'failed') AS failed_transactions FROM silver_transactions",
 )
 def q_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.failed_count(facts(spark, sf_dir))
+    return questions.failed_count(facts(spark, sf_dir, "transaction_status"))
 
 
 @query(
@@ -155,7 +155,7 @@ def q_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT currency, {mean_sql('amount')} AS average_amount FROM silver_transactions GROUP BY currency",
 )
 def q_avg_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return money(questions.average_by(facts(spark, sf_dir), "currency"), "average_amount")
+    return money(questions.average_by(facts(spark, sf_dir, "amount", "currency"), "currency"), "average_amount")
 
 
 DAILY = "SELECT transaction_date, count(*) AS transactions, CAST(sum(amount) AS DOUBLE) AS total_amount FROM stg_transactions"
@@ -163,7 +163,7 @@ DAILY = "SELECT transaction_date, count(*) AS transactions, CAST(sum(amount) AS
 
 @query("q_daily", f"{DAILY} GROUP BY transaction_date")
 def q_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return money(questions.daily_volume(facts(spark, sf_dir)), "total_amount")
+    return money(questions.daily_volume(facts(spark, sf_dir, "transaction_date", "amount")), "total_amount")
 
 
 @query(
@@ -171,7 +171,7 @@ def q_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{DAILY} WHERE transaction_date BETWEEN DATE '2001-10-02' AND DATE '2001-10-31' GROUP BY transaction_date",
 )
 def q_last_30_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return money(questions.daily_volume(facts(spark, sf_dir), TODAY, 30), "total_amount")
+    return money(questions.daily_volume(facts(spark, sf_dir, "transaction_date", "amount"), TODAY, 30), "total_amount")
 
 
 @query(
@@ -185,4 +185,4 @@ def q_last_30_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def q_merchant_failure_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.failure_rate_by(facts(spark, sf_dir), "merchant_id", TODAY)
+    return questions.failure_rate_by(facts(spark, sf_dir, "merchant_id", "transaction_date", "transaction_status"), "merchant_id", TODAY)

@@ -226,10 +226,10 @@ def event_calendar(spark: SparkSession) -> DataFrame:
     return calendar.calendar(spark, *EVENT_DAYS)
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.fact_transaction(
-        staged(spark, sf_dir, "transactions"), staged(spark, sf_dir, "accounts"), dim_date(spark)
-    )
+def facts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The transaction fact, or the named columns of it."""
+    sides = staged(spark, sf_dir, "transactions"), staged(spark, sf_dir, "accounts"), dim_date(spark)
+    return star.fact_transaction(*sides, columns or star.TRANSACTION_COLUMNS)
 
 
 def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

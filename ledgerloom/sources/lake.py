@@ -1,19 +1,23 @@
 """Layer databases and their tables.
 
-Each full write of a table goes to a new snapshot folder and the catalog entry is repointed once
-the write has committed. Readers keep the old snapshot, a table may be rewritten from itself, and a
-write that dies half-way leaves the table as it was.
+A table is a view of the catalog over its newest snapshot folder. Each full write goes to a new folder, and the view is
+replaced in one step once the write has committed. Readers keep the old snapshot, a table may be rewritten from itself
+and may change its columns, and a write that dies half-way leaves the table as it was.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.sources.files import drift
 
+_LOCATION, _PARTITIONS = "lake.location", "lake.partitions"
+
 
 class Lake:
     """Tables of one lakehouse: ``<layer><suffix>.<table>`` below ``root``."""
@@ -37,11 +41,20 @@ class Lake:
         df.createOrReplaceTempView(name)
         return df
 
-    def replace(self, layer: str, table: str, df: DataFrame) -> None:
-        """Full refresh: write a snapshot, then repoint the table."""
+    def replace(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        """Full refresh: write a snapshot, then point the table to it.
+
+        With ``partition_by`` the snapshot has a folder for each value, so that filters on these columns read only what
+        they ask for; rows are gathered by value first, and large values are split over several files.
+        """
         location = f"{self.root}/{layer}/{table}/snapshot={uuid.uuid4().hex}"
-        df.write.parquet(location)
-        self._point(layer, table, df, location)
+        if partition_by:
+            df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(location)
+            if not self._has_files(location):  # without rows there is no file to hold the columns
+                df.limit(0).coalesce(1).write.mode("append").parquet(location)
+        else:
+            df.write.parquet(location)
+        self._point(layer, table, df.columns, location, partition_by)
 
     def append(self, layer: str, table: str, df: DataFrame) -> None:
         """Add rows, matching columns by name; creates the table on first use."""
@@ -49,22 +62,28 @@ class Lake:
             self.replace(layer, table, df)
             return
         name = self.name(layer, table)
-        columns = df.sparkSession.table(name).columns
-        different = set(columns) ^ set(df.columns)
+        present = self.read(layer, table)
+        different = set(present.columns) ^ set(df.columns)
         if different:
             raise ValueError(f"{name}: columns differ: {sorted(different)}")
-        df.select(*columns).write.mode("append").insertInto(name)
-        self.spark.catalog.refreshTable(name)
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present.schema.fields])
+        properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        partition_by = [c for c in properties[_PARTITIONS].split(",") if c]
+        typed.write.mode("append").partitionBy(*partition_by).parquet(properties[_LOCATION])
 
-    def _point(self, layer: str, table: str, df: DataFrame, location: str) -> None:
-        name = self.name(layer, table)
+    def _has_files(self, location: str) -> bool:
+        try:
+            return bool(self.spark.read.parquet(location).columns)
+        except AnalysisException:
+            return False
+
+    def _point(self, layer: str, table: str, columns: Sequence[str], location: str, partition_by: Sequence[str] = ()) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{self.suffix} LOCATION '{self.root}/{layer}'")
-        if self.exists(layer, table) and self.read(layer, table).dtypes == df.dtypes:
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        else:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
-        self.spark.catalog.refreshTable(name)
+        properties = f"'{_LOCATION}' = '{location}', '{_PARTITIONS}' = '{','.join(partition_by)}'"
+        chosen = ", ".join(f"`{c}`" for c in columns)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(layer, table)} TBLPROPERTIES ({properties}) AS SELECT {chosen} FROM parquet.`{location}`"
+        )
 
 
 REPORT_SCHEMA = "table string, rows bigint, status string, error string, drift string"

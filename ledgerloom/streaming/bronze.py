@@ -36,9 +36,7 @@ def insert_if_absent(
     """Append the rows whose key is new. A replayed batch finds its keys present and adds nothing."""
     session = batch.sparkSession
     if lake.exists(layer, table):
-        name = lake.name(layer, table)
-        session.catalog.refreshTable(name)
-        fresh = absent_rows(batch, session.table(name), key, order)
+        fresh = absent_rows(batch, session.table(lake.name(layer, table)), key, order)
     else:
         fresh = one_per_key(batch.filter(F.col(key).isNotNull()), key, order, "latest").select(*batch.columns)
     lake.append(layer, table, fresh)

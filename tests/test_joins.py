@@ -24,28 +24,32 @@ def test_hot_keys(sides):
     assert hot_keys(sides[1], "k", 0.05) == []
 
 
-@pytest.mark.parametrize("share", [0.05, 0.2, 0.9])
+@pytest.mark.parametrize("hot", [None, [7], [7, 13, 999], [None]])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(sides, how, share):
+def test_key_join_equals_plain_join(sides, how, hot):
     left, right = sides
     plain = left.join(right, "k", how)
-    salted = key_join(left, right, "k", how, broadcast_rows=0, share=share, salts=8)
-    assert salted.columns == plain.columns
-    assert values(salted) == values(plain)
-    assert values(key_join(left, right, "k", how)) == values(plain)
-
-
-def test_only_nulls_are_hot(sides):
-    left = sides[0].selectExpr("id", "if(id % 3 = 0, null, id) as k")
-    salted = key_join(left, sides[1], "k", "left", broadcast_rows=0, share=0.05)
-    assert values(salted) == values(left.join(sides[1], "k", "left"))
+    joined = key_join(left, right, "k", how, hot=hot, salts=8).select(*plain.columns)
+    assert values(joined) == values(plain)
 
 
 def test_repeated_right_rows_of_a_hot_key_all_match(sides):
     left, right = sides
     twice = right.unionByName(right.filter("k = 7"))
-    salted = key_join(left, twice, "k", "left", broadcast_rows=0, share=0.05)
-    assert salted.count() == left.join(twice, "k", "left").count()
+    assert key_join(left, twice, "k", "left", hot=[7]).count() == left.join(twice, "k", "left").count()
+
+
+def test_equal_rows_get_different_salts_by_position(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("1 as k", "'x' as v").coalesce(2).write.parquet(path)
+    left = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("p"), F.col("_metadata.row_index").alias("i"))
+    salted = key_join(left.drop("p", "i"), spark.range(3).selectExpr("id as k"), "k", hot=[1])
+    assert salted.count() == 5000
+    from ledgerloom.operators import joins
+
+    spread = left.select(F.pmod(F.xxhash64("k", "v", "p", "i"), F.lit(joins.SALTS)).alias("s")).distinct().count()
+    assert spread == joins.SALTS
+    assert key_join(left, spark.range(3).selectExpr("id as k"), "k", hot=[1], position=["p", "i"]).count() == 5000
 
 
 def test_other_join_types_are_refused(sides):

@@ -9,8 +9,8 @@ import re
 import pytest
 
 from ledgerloom.operators import joins, quality, upsert
-from ledgerloom.plans import marts
-from ledgerloom.queries import loading, standins
+from ledgerloom.plans import marts, questions
+from ledgerloom.queries import loading, models, standins
 
 
 def plan(df) -> str:
@@ -52,8 +52,24 @@ def test_marts_shuffle_rolled_up_rows_only(spark, sf_dir, parts):
 def test_salted_join_spreads_the_hot_key(spark):
     left = spark.range(9000).selectExpr("id", "if(id % 3 = 0, 1, id) as k")
     right = spark.range(9000).selectExpr("id as k", "id as v")
-    text = plan(joins.key_join(left, right, "k", broadcast_rows=0))
+    text = plan(joins.key_join(left, right, "k", hot=[1]))
     assert "__salt" in text and "xxhash64" in text
+    assert "__salt" not in plan(joins.key_join(left, right, "k"))
+
+
+def test_questions_join_only_what_they_ask_for(spark, sf_dir):
+    for name in ("q_total", "q_avg_by_currency", "q_last_30_days", "q_merchant_failure_rate"):
+        assert "Join" not in plan(models.REGISTRY.queries[name](spark, sf_dir)), name
+    assert "Join" in plan(models.REGISTRY.queries["q_top_customers"](spark, sf_dir))
+
+
+def test_period_questions_read_their_days_of_a_partitioned_fact(spark, sf_dir, lake):
+    facts = standins.facts(spark, sf_dir)
+    lake.replace("gold", "fact_transaction", facts, ["transaction_date"])
+    stored = lake.read("gold", "fact_transaction")
+    assert stored.columns == facts.columns and stored.count() == facts.count()
+    text = plan(questions.daily_volume(stored, models.TODAY, 30))
+    assert re.search(r"PartitionFilters: \[.*transaction_date.*>=", text)
 
 
 def test_orphan_count_joins_counted_keys(parts):
