@@ -21,8 +21,8 @@ def uppered(column: str | Column) -> Column:
 
 
 def strip(column: Column) -> Column:
-    """Remove every kind of white space at both ends, line breaks included."""
-    return F.regexp_replace(column, r"^\s+|\s+$", "")
+    """Remove every kind of white space at both ends, line breaks and Unicode spaces included."""
+    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
 
 
 def lookup(column: str | Column, table: Mapping[str, object]) -> Column:

@@ -20,26 +20,32 @@ def typed_transactions(records: DataFrame) -> DataFrame:
 
 
 def absent_rows(batch: DataFrame, target: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
-    """Batch rows whose key the target lacks, one row per key.
+    """Batch rows whose key the target lacks, one row per key."""
+    return _without(one_per_key(batch.filter(F.col(key).isNotNull()), key, order, "latest"), target, key).select(*batch.columns)
 
-    The target is first reduced to the keys of the batch. While those keys fit a broadcast join the
-    target is only scanned, never shuffled, and what follows is batch-sized.
+
+def _without(fresh: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Rows of a batch with one row per key whose key the target lacks.
+
+    The target is first reduced to the keys of the batch. While those keys fit a broadcast join the target's key column
+    is only scanned, never shuffled, and what follows is batch-sized.
     """
-    fresh = one_per_key(batch.filter(F.col(key).isNotNull()), key, order, "latest")
     known = target.select(key).join(fresh.select(key), key, "left_semi")
-    return fresh.join(known, key, "left_anti").select(*batch.columns)
+    return fresh.join(known, key, "left_anti")
 
 
 def insert_if_absent(
     lake: Lake, layer: str, table: str, batch: DataFrame, key: str, order: list[str] | None = None
 ) -> None:
     """Append the rows whose key is new. A replayed batch finds its keys present and adds nothing."""
-    session = batch.sparkSession
+    # Asked for twice, and an aggregation of the batch: kept while the batch is loaded.
+    fresh = one_per_key(batch.filter(F.col(key).isNotNull()), key, order, "latest").select(*batch.columns).persist()
     if lake.exists(layer, table):
-        fresh = absent_rows(batch, session.table(lake.name(layer, table)), key, order)
+        target = batch.sparkSession.table(lake.name(layer, table))
+        lake.append(layer, table, _without(fresh, target, key).select(*batch.columns))
     else:
-        fresh = one_per_key(batch.filter(F.col(key).isNotNull()), key, order, "latest").select(*batch.columns)
-    lake.append(layer, table, fresh)
+        lake.append(layer, table, fresh)
+    fresh.unpersist()
 
 
 def with_streamed(lake: Lake, table: str, batch: DataFrame, folder: str, key: str) -> DataFrame:

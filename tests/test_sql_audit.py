@@ -17,8 +17,12 @@ CASES = {
     "three parts": ("select * from lake.silver.t join lake.gold.u", True, [], ["silver"]),
     "alias": ("select m.x from gold.t m", True, [], []),
     "unqualified": ("select * from t", True, [], []),
-    "comma join": ("select * from gold.t, bronze.u", True, [], []),
-    "back-quoted": ("select * from `bronze`.`t`", True, [], []),
+    "comma join": ("select * from gold.t, bronze.u", True, [], ["bronze"]),
+    "comma join with aliases": ("select * from gold.t as a , gold.u b,lake.Silver.v c join raw.w", True, [], ["Silver", "raw"]),
+    "back-quoted": ("select * from `bronze`.`t`", True, [], ["bronze"]),
+    "no-break space": ("select * from\u00a0bronze.customers", True, [], ["bronze"]),
+    "wide space": ("\u2003select * from gold.t\u3000join\u2009bronze.c", True, [], ["bronze"]),
+    "columns are no tables": ("select a.x, b.y from gold.t a, gold.u b order by a.x, b.y", True, [], []),
     "two writes": ("MERGE into x; Delete from y", False, ["delete", "merge"], []),
     "empty": ("", False, [], []),
 }
