@@ -9,9 +9,12 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import rows_of
+from ledgerloom.queries import registries
 from tests.conftest import SF_DIR
 
-QUERIES, ORACLES = queries(), oracle_sql()
+# The queries of optional subpackages have tests beside them.
+QUERIES = {name: query for registry in registries() for name, query in registry.queries.items()}
+ORACLES = {name: text for registry in registries() for name, text in registry.oracles.items()}
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +37,8 @@ def test_query(spark, connection, name):
 
 
 def test_oracles_belong_to_queries():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
