@@ -167,6 +167,7 @@ def repeated_stretches(texts: DataFrame, length: int = LENGTH, span: int = SPAN)
     whole = cut(whole, "whole")
 
     mixed = classes.groupBy("f").agg(F.count("*").alias("c"), F.min("n").alias("fewest")).filter("c > 1 AND fewest = 1").select("f")
+    mixed = cut(mixed, "keys")  # as a table of its own, so that the join by f can split a hot key
     mixed = cut(classes.join(mixed, "f").select("f", "s", "n", "one.*"), "mixed")
     around = cut(_surroundings(texts, mixed, length, span), "around")
     right = longest_shared(around.select(F.col("r").alias("id"), F.col("rights").alias("s"))).withColumnsRenamed({"id": "r", "shared": "right"})
@@ -177,7 +178,7 @@ def repeated_stretches(texts: DataFrame, length: int = LENGTH, span: int = SPAN)
     reach = reach.select("f", "s", single.alias("single"), F.when(single, low).otherwise(near).alias("low"), F.when(single, high).otherwise(far).alias("high"))
     reach = cut(reach.filter("low <= high"), "reach")
     asked = reach.filter("single").groupBy("f").agg(F.min("low").alias("from"), F.max("high").alias("to"))
-    reach = reach.join(asked, "f").withColumns({"low": F.greatest("low", "from"), "high": F.least("high", "to")}).filter("low <= high")
+    reach = reach.join(cut(asked, "asked"), "f").withColumns({"low": F.greatest("low", "from"), "high": F.least("high", "to")}).filter("low <= high")
     windows = _windows(reach.join(around.select("f", "s", "rights", "lefts"), ["f", "s"]), length)
     same = cut(windows.groupBy("f", "w").agg(F.count("*").alias("c")).filter("c > 1").select("f", "w"), "same")
     edges = windows.join(same, ["f", "w"]).groupBy("f", "s").agg(F.collect_list("d").alias("d"))  # at most ``span`` of a class
