@@ -199,8 +199,6 @@ def grouped(node: Node, group: Group | None = None) -> Group:
             known = group.children
             while place < len(known) and known[place].label != part.label:
                 place += 1  # children of the group's earlier elements may lie in between
-            if place == len(known):
-                place = next((i for i, child in enumerate(known) if i >= len(known) - 1 and child.label == part.label), len(known))
             if place == len(known):
                 known.append(Group(part.label))
             grouped(part, known[place])
