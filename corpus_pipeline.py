@@ -15,8 +15,9 @@ from ledgerloom.llm import bpe, decontaminate, langid, secrets, simhash
 from ledgerloom.llm.common import table
 from ledgerloom.session import scratch_dir
 
-#: A text whose best language has less than half of the probability is rejected, like one without letters.
-MIN_LANGUAGE_SCORE = 0.5
+#: A text whose best language has less of the probability is rejected, like one without letters. One that is half in one
+#: language and half in another has some 0.5 and stays.
+MIN_LANGUAGE_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def brute(spark, docs, benchmark, network):
     """The stages in order on plain lists."""
     rows = sorted(docs.collect(), key=lambda r: r.doc_id)
     judged = [langid.language_of(network, r.text) for r in rows]
-    rows = [r for r, (lang, score) in zip(rows, judged, strict=True) if lang != "und" and score >= 0.5]
+    rows = [r for r, (lang, score) in zip(rows, judged, strict=True) if lang != "und" and score >= 0.3]
     fps = [simhash.fingerprint(r.text) for r in rows]
     group = list(range(len(rows)))
     for i in range(len(rows)):
