@@ -181,21 +181,24 @@ def repeated_stretches(texts: DataFrame, length: int = LENGTH, span: int = SPAN)
     reach = reach.join(cut(asked, "asked"), "f").withColumns({"low": F.greatest("low", "from"), "high": F.least("high", "to")}).filter("low <= high")
     windows = _windows(reach.join(around.select("f", "s", "rights", "lefts"), ["f", "s"]), length)
     same = cut(windows.groupBy("f", "w").agg(F.count("*").alias("c")).filter("c > 1").select("f", "w"), "same")
-    edges = windows.join(same, ["f", "w"]).groupBy("f", "s").agg(F.collect_list("d").alias("d"))  # at most ``span`` of a class
-    edges = edges.join(mixed.filter("n = 1").select("f", "s", "k", "h", "place"), ["f", "s"]).withColumn("d", F.explode("d"))
-    edges = cut(edges.select("k", "h", (anchor - F.col("d")).alias("start"), (anchor - F.col("d") + length).alias("stop")), "edges")
+    edges = windows.join(same, ["f", "w"]).groupBy("f", "s").agg(F.array_sort(F.collect_set("d")).alias("d"))  # at most ``span`` of a class
+    # Neighbouring windows as one stretch: from the farthest one's start to the nearest one's end.
+    nearest = F.filter("d", lambda x, i: (i == 0) | (F.get(F.col("d"), i - 1) != x - 1))
+    farthest = F.filter("d", lambda x, i: (i == F.size("d") - 1) | (F.get(F.col("d"), i + 1) != x + 1))
+    edges = edges.select("f", "s", nearest.alias("near"), farthest.alias("far")).select("f", "s", F.explode(F.arrays_zip("near", "far")).alias("e"))
+    edges = edges.join(mixed.filter("n = 1").select("f", "s", "k", "h", "place"), ["f", "s"])
+    edges = cut(edges.select("k", "h", (anchor - F.col("e.far")).alias("start"), (anchor - F.col("e.near") + length).alias("stop")), "edges")
     return whole.unionByName(edges)
 
 
-def _spans(stretches: list[dict] | None) -> list[tuple[int, int]]:
-    """Maximal covered runs."""
-    out: list[tuple[int, int]] = []
-    for start, stop in sorted((s["start"], s["stop"]) for s in stretches or ()):
-        if out and start <= out[-1][1]:
-            out[-1] = out[-1][0], max(stop, out[-1][1])
-        else:
-            out.append((start, stop))
-    return out
+def _merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal covered runs of the stretches."""
+    if not len(starts):
+        return starts, stops
+    order = np.argsort(starts, kind="stable")
+    starts, reached = starts[order], np.maximum.accumulate(stops[order])
+    first = np.concatenate([[True], starts[1:] > reached[:-1]])
+    return starts[first], reached[np.append(first[1:], True)]
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,19 +212,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, span: int = SPAN, id_c
     found = repeated_stretches(texts, length, span)
     found = found.groupBy("k", "h").agg(F.collect_list(F.struct("start", "stop")).alias("stretches"))  # bounded by the text
 
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
     def work(batches: Batches) -> Batches:
         for batch in batches:
+            stretches = batch.column("stretches")
+            places, offsets = stretches.values, stretches.offsets.to_numpy()
+            starts, stops = (places.field(n).to_numpy() for n in ("start", "stop"))
             sizes, spans, kept = [], [], []
-            for text, stretches in zip(batch.column("text").to_pylist(), batch.column("stretches").to_pylist(), strict=True):
-                raw, own = text.encode(), _spans(stretches)
-                edges = [0, *(x for s in own for x in s), len(raw)]
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                raw = text.encode()
+                a, b = _merged(starts[offsets[i] : offsets[i + 1]], stops[offsets[i] : offsets[i + 1]])
+                a, b = a.tolist(), b.tolist()
                 sizes.append(len(raw))
-                spans.append([{"start": a, "stop": b} for a, b in own])
-                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+                spans.append([{"start": x, "stop": y} for x, y in zip(a, b, strict=True)])
+                kept.append(b"".join(raw[x:y] for x, y in zip([0, *b], [*a, len(raw)], strict=True)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
-    joined = texts.join(found, ["k", "h"], "left").select("doc_id", "text", "stretches")
+    none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
+    joined = texts.join(found, ["k", "h"], "left").select("doc_id", "text", F.coalesce("stretches", none).alias("stretches"))
     return map_batches(joined, work, "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
 
 

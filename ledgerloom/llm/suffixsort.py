@@ -184,4 +184,4 @@ def longest_shared(strings: DataFrame) -> DataFrame:
         same = shared(bytes(lasts[a]["last"]), bytes(firsts[b]["first"]))
         across += [(lasts[a]["id"], same), (firsts[b]["id"], same)]
     found = found.select("id", "shared").unionByName(spark.createDataFrame(across, "id long, shared long"))
-    return found.groupBy("id").agg(F.max("shared").alias("shared"))
+    return cut(found.groupBy("id").agg(F.max("shared").alias("shared")), "shared")
