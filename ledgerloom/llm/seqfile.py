@@ -13,6 +13,8 @@ renamed, so a task that is run again replaces its file by the same one. The driv
 from __future__ import annotations
 
 import os
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,8 +36,13 @@ SEQUENCE, BATCH_SEQUENCES = 1024, 64
 CACHE_WORDS = 400_000
 
 
+#: Stands between words that are encoded together, a control character that is a token of its own.
+MARK, JOINED = "\x01", 1000
 #: Punctuation that may end a word; after a letter or digit it is a token of its own, whatever it is.
 _TAIL = ".,!?;:%$#&*"
+#: Letters that neither lower case nor normal form changes.
+_PLAIN = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_PLAIN_WORD = re.compile(f"[{_PLAIN}]+")
 
 
 class WordCache:
@@ -44,9 +51,35 @@ class WordCache:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = id_type(self.tokenizer)
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.model = self.tokenizer.model
+        self.letters = self._letters()
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _letters(self) -> dict[int, str]:
+        """Byte-level spelling of the lower-case letters of Latin-1, as the library gives it.
+
+        Words of these alone stay as they are until the merges, so they go to the library's model at once. Empty if
+        some probe shows that this tokenizer treats them otherwise.
+        """
+        letters = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _PLAIN}
+        probes = [*_PLAIN, _PLAIN, _PLAIN[::-1], *(a + b for a in _PLAIN[::5] for b in _PLAIN[::3])]
+        direct = [[t.id for t in self.model.tokenize(probe.translate(letters))] for probe in probes]
+        whole = [e.ids for e in self.tokenizer.encode_batch_fast(probes, add_special_tokens=False)]
+        return letters if direct == whole else {}
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; many are encoded as one text, with a mark between them that no word holds."""
+        if len(self.mark) != 1 or any(MARK in word for word in words):
+            return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        (encoded,) = self.tokenizer.encode_batch_fast([f" {MARK} ".join(words)], add_special_tokens=False)
+        ids = np.array(encoded.ids, dtype=self.kind)
+        ends = (np.flatnonzero(ids == self.mark[0]) * ids.itemsize).tolist()
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip([0, *(e + ids.itemsize for e in ends)], [*ends, len(packed)], strict=True)]
+
     def learn(self, words: set[str]) -> None:
         """Make the words known: from the older half, from a word and its end, or by the library."""
         known, older = self.known, self.older
@@ -62,23 +95,41 @@ class WordCache:
                 needed.update(parts[word])
             else:
                 needed.add(word)
-        fresh = [word for word in needed if word not in known]
-        for word, encoded in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[word] = np.array(encoded.ids, dtype=self.kind).tobytes()
+        others, tokenize, letters = [], self.model.tokenize, self.letters
+        for word in needed:
+            if word in known:
+                continue
+            if letters and _PLAIN_WORD.fullmatch(word):
+                ids = [token.id for token in tokenize(word if word.isascii() else word.translate(letters))]
+                known[word] = struct.pack(f"<{len(ids)}{self.code}", *ids)
+            else:
+                others.append(word)
+        for at in range(0, len(others), JOINED):
+            part = others[at : at + JOINED]
+            known.update(zip(part, self._encoded(part), strict=True))
         for word, (core, tail) in parts.items():
             known[word] = known[core] + known[tail]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text. Words are what stands between blanks and line ends; other white space is left to the library."""
-        folded = [text if "<|" in text else text.encode().lower().decode() for text in texts]  # bytes: ASCII letters only
-        split = [text.replace("\n", " ").split(" ") for text in folded]
-        words = set().union(*split)
         if len(self.known) > CACHE_WORDS:
             self.older, self.known = self.known, {}
-        if missing := words - self.known.keys():
-            self.learn(missing)
-        for own in split:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, own)), dtype=self.kind)
+        found, unknown = [], []
+        for text in texts:
+            folded = text if "<|" in text else text.encode().lower().decode()  # bytes: ASCII letters only
+            words = folded.replace("\n", " ").split(" ")
+            ids = list(map(self.known.get, words))
+            places, at = [], -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                places.append((at, words[at]))
+            found.append((ids, places))
+            unknown += places
+        self.learn({word for _, word in unknown})
+        for ids, places in found:
+            for at, word in places:
+                ids[at] = self.known[word]
+            yield np.frombuffer(b"".join(ids), dtype=self.kind)
 
 
 class WholeTexts:
