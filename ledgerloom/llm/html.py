@@ -303,7 +303,7 @@ def _unwanted(group: Group, in_root: bool) -> bool:
 
 
 def assign_roles(wrapper: Group) -> Group:
-    """Mark each node: ``keep`` its own texts, keep them but for constant ones (``slots``), ``pass`` (look below only), or ``drop`` with all below."""
+    """Mark each node: keep its own texts but for constant ones (``keep`` under a root named so by its page, else ``slots``), ``pass`` (look below only), or ``drop`` with all below."""
     mass: dict[int, int] = {}  # varying text that is no link, by node
 
     def weigh(group: Group) -> int:
@@ -365,7 +365,7 @@ def blocks(node: Node, roles: dict[int, tuple[str, frozenset[int]]]) -> Iterator
     role, constants = roles[id(node.group)]
     if role == "drop":
         return
-    keep = role == "keep" or (role == "slots" and node.code not in constants)
+    keep = role in KEPT and node.code not in constants
     line: list[str] = []
     for part in node.parts:
         if isinstance(part, str):
@@ -396,7 +396,7 @@ class Extractor:
             _inherit(tree, self.wrapper, "pass")
         if not any(g.role in KEPT for g in tree.walk()):  # a page of another kind than its host's others
             assign_roles(tree)
-        return [(g.role, g.constants() if g.role == "slots" else frozenset()) for g in tree.walk()]
+        return [(g.role, g.constants() if g.role in KEPT else frozenset()) for g in tree.walk()]
 
     def text(self, html: str) -> str:
         page = parse(html)
@@ -406,7 +406,11 @@ class Extractor:
             if len(self.shapes) >= HELD_SHAPES:
                 self.shapes.clear()
             self.shapes[key] = self._roles(tree)
-        return cleaned(blocks(page, dict(zip(map(id, tree.walk()), self.shapes[key], strict=True))))
+        roles = dict(zip(map(id, tree.walk()), self.shapes[key], strict=True))
+        found = cleaned(blocks(page, roles))
+        if not found:  # an article of constant texts alone is a copy of the host's others, not their template
+            found = cleaned(blocks(page, {node: (role, frozenset() if role == "keep" else constants) for node, (role, constants) in roles.items()}))
+        return found
 
 
 @lru_cache(maxsize=64)
@@ -472,7 +476,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Pages with a null url, or one without host, share a wrapper. Null html counts as empty. Repeated rows are kept,
     and other columns are not read. An empty table gives no rows. Of texts or roots that weigh the same, the one
-    first on the page counts.
+    first on the page counts. Constant texts go out of an article too, unless it has no others, as on copies of a page.
     """
     own = pages_of(pages, id_col, url_col, html_col)
     wrappers = cut(induce(own))

@@ -102,3 +102,9 @@ def test_alignment_keeps_order():
     assert size == 3 and pairs in ([(0, 1), (2, 2)], [(1, 0), (2, 2)])
     merged = html.merge(a, b)
     assert [c.label for c in merged.children[0].children].count("table") == 1
+
+
+def test_constant_blocks_of_an_article_go_and_copies_of_a_page_stay(spark):
+    letter = lambda i: article_page(i).replace("<p><b>Second", "<p>Read our daily letter</p><div>Written by us</div><p><b>Second")
+    rows = [(i, f"http://a.example/{i}", letter(i)) for i in range(12)] + [(100 + i, f"http://b.example/{i}", article_page(7)) for i in range(8)]
+    assert texts(spark, rows) == [(i, article_text(i)) for i in range(12)] + [(100 + i, article_text(7)) for i in range(8)]
