@@ -43,6 +43,26 @@ _TAIL = ".,!?;:%$#&*"
 #: Letters that neither lower case nor normal form changes.
 _PLAIN = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 _PLAIN_WORD = re.compile(f"[{_PLAIN}]+")
+#: Capitals before anything that a normal form may move or join to them: no letter with a composed form of its own.
+_COMPOSES = re.compile("[A-Z](?=[^\x00-\xff\u2010-\u2027\u4e00-\u9fff])")
+
+
+def folded(text: str) -> str:
+    """The text with ASCII capitals in lower case, but for special tokens and capitals that marks may be composed with.
+
+    The library composes before it lowers the case, and a capital may compose with other marks than its small letter.
+    """
+    if "<|" in text:
+        return text
+    if text.isascii():
+        return text.lower()
+    lower = text.encode().lower().decode()  # bytes: ASCII letters only
+    if _COMPOSES.search(text):
+        letters = list(lower)
+        for m in _COMPOSES.finditer(text):
+            letters[m.start()] = m[0]
+        return "".join(letters)
+    return lower
 
 
 class WordCache:
@@ -116,8 +136,7 @@ class WordCache:
             self.older, self.known = self.known, {}
         found, unknown = [], []
         for text in texts:
-            folded = text if "<|" in text else text.encode().lower().decode()  # bytes: ASCII letters only
-            words = folded.replace("\n", " ").split(" ")
+            words = folded(text).replace("\n", " ").split(" ")
             ids = list(map(self.known.get, words))
             places, at = [], -1
             for _ in range(ids.count(None)):
@@ -216,7 +235,8 @@ def write_sequences(
     """Write all documents in ascending doc_id order; (file name, documents, ids) of each file, in that order.
 
     ``words_apart`` says that the tokenizer drops blanks, that no token spans one, that it ignores the case of ASCII
-    letters but in its special tokens (``<|``...), and that it splits punctuation off letters and digits. A null text counts as empty and
+    letters but in its special tokens (``<|``...) and before marks they may be composed with, and that it splits
+    punctuation off letters and digits. A null text counts as empty and
     has the end id only. Rows without doc_id come first; rows of one doc_id are ordered by text. Other columns are not
     read. An empty table gives no file.
     """

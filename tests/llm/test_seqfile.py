@@ -82,3 +82,13 @@ def test_written_again_gives_the_same_files(make_docs, tmp_path):
 
 def test_empty_table(make_docs, tmp_path):
     assert seqfile.packed_documents(make_docs(ROWS).limit(0), PATH, folder=str(tmp_path)).collect() == []
+
+
+def test_capitals_with_combining_marks(library):
+    random.seed(4)
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts = [letter + mark for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for mark in marks]
+    texts += ["T\u0308om", "J\u030ca", "H\u0331 W\u030aY\u030a.", "THE \u00c9T\u0308 AND", "T\u0323\u0308X, T\u0308"]
+    texts += ["".join(random.choice(["T", "J", "a", "B", " ", ".", "\u00c9", "\u6f22", *random.sample(marks, 4)]) for _ in range(20)) for _ in range(2000)]
+    for text, ids in zip(texts, seqfile.WordCache(PATH).encode(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
