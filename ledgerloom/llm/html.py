@@ -2,12 +2,14 @@
 
 The pages of a host are parsed into trees of block elements, where neighbouring siblings of one kind count as one
 repeated node. The trees are aligned by simple tree matching and merged into the host's wrapper, which knows for each
-node on how many pages it stands, how much text and link text it holds, and which texts come back. Nodes whose text is
+node on how many pages it stands and how much text and link text it holds. A second pass aligns the pages with the
+finished wrapper and counts, exactly, on how many pages of the host a node has each of its texts. Nodes whose text is
 constant are template, nodes whose text varies are slots; kinds of elements that never belong to an article, and slots
 made of links, are left out; what the remaining slots hold under the article's root is the page's text.
 
 Wrappers are built where the pages lie: a task gives one small wrapper for each host, tasks' wrappers are merged in two
-rounds, so a host with a third of all pages costs a merge of few small trees. Pages are not moved; the finished
+rounds, so a host with a third of all pages costs a merge of few small trees. Counts are dealt by host, node and text.
+Pages are not moved; the finished
 wrappers go to them by a broadcast while their size allows it, else by a join that adaptive execution can split.
 """
 
@@ -33,8 +35,8 @@ BROADCAST_BYTES = 16 << 20
 MAX_NODES = 4000
 #: Elements nested deeper are read as if they stood side by side.
 MAX_DEPTH = 200
-#: Texts that a node remembers between two trims.
-MAX_SEEN = 128
+#: Counts that a task holds before it passes them on.
+HELD_COUNTS = 50_000
 #: Page shapes that a task holds before it merges them.
 HELD_SHAPES = 1000
 #: A text is constant if this share of at least CONSTANT_PAGES pages has it.
@@ -154,7 +156,8 @@ def parse(html: str) -> Node:
 class Group:
     """A node of a page's tree or of a wrapper: siblings of one kind, seen together.
 
-    ``seen`` has the frequent texts of single elements, by code: on how many pages, and how long.
+    ``seen`` has texts of single elements, by code: on how many pages, and how long in all. A page's tree has them all,
+    a wrapper those that are constant.
     """
 
     __slots__ = ("children", "label", "links", "pages", "role", "seen", "text")
@@ -173,7 +176,7 @@ class Group:
 
     def varying(self) -> int:
         """Text that is neither constant nor link."""
-        return max(0, self.text - self.links - sum(n * size for n, size in (self.seen[code] for code in self.constants())))
+        return max(0, self.text - self.links - sum(self.seen[code][1] for code in self.constants()))
 
     def walk(self) -> Iterator[Group]:
         yield self
@@ -204,7 +207,7 @@ def grouped(node: Node, group: Group | None = None) -> Group:
             grouped(part, known[place])
     if size:
         group.text += size
-        group.seen[node.code] = 1, size
+        group.seen[node.code] = 1, size + group.seen.get(node.code, (0, 0))[1]
     return group
 
 
@@ -241,16 +244,12 @@ def _matching(a: Group, b: Group, sizes: dict[tuple[int, int], int]) -> int:
 
 
 def merge(wrapper: Group, page: Group, sizes: dict[tuple[int, int], int] | None = None) -> Group:
-    """Add a tree of the same root to a wrapper: aligned nodes are summed, others put in at their place."""
+    """Add a tree of the same root to a wrapper: aligned nodes are summed, others put in at their place; texts are not kept."""
     sizes = {} if sizes is None else sizes
     wrapper.pages += page.pages
     wrapper.text += page.text
     wrapper.links += page.links
-    for code, (n, size) in page.seen.items():
-        wrapper.seen[code] = wrapper.seen.get(code, (0, 0))[0] + n, size
-    if len(wrapper.seen) > 2 * MAX_SEEN:  # the rest of the counts falls short by what is taken off here
-        least = sorted((n for n, _ in wrapper.seen.values()), reverse=True)[MAX_SEEN]
-        wrapper.seen = {code: (n - least, size) for code, (n, size) in wrapper.seen.items() if n > least}
+    wrapper.seen = {}
     if page.children:
         _, pairs = _align(wrapper, page, sizes) if wrapper.children else (0, [])
         children, i, j = [], 0, 0
@@ -273,18 +272,19 @@ def pruned(wrapper: Group) -> Group:
 
 
 def pack(group: Group) -> list:
-    return [group.label, group.pages, group.text, group.links, [[code, n, size] for code, (n, size) in group.seen.items()], [pack(c) for c in group.children]]
+    return [group.label, group.pages, group.text, group.links, [pack(c) for c in group.children]]
 
 
 def unpack(packed: list) -> Group:
     group = Group(packed[0])
     group.pages, group.text, group.links = packed[1:4]
-    group.seen = {code: (n, size) for code, n, size in packed[4]}
-    group.children = [unpack(c) for c in packed[5]]
+    group.children = [unpack(c) for c in packed[4]]
     return group
 
 
 KEPT = ("keep", "slots")
+#: Stands for all texts of a node where counts go by code.
+WHOLE = -1
 
 
 def _words(label: str) -> tuple[str, set[str]]:
@@ -350,14 +350,25 @@ def assign_roles(wrapper: Group) -> Group:
     return wrapper
 
 
-def _inherit(page: Group, wrapper: Group | None, above: str) -> None:
-    """Roles of the page's nodes from the wrapper's nodes they align with; of others by kind and surroundings."""
-    page.role = wrapper.role if wrapper else "drop" if _unwanted(page, above in KEPT) else above
-    page.seen = wrapper.seen if wrapper else {}
-    page.pages = wrapper.pages if wrapper else 0
-    pairs = dict((j, i) for i, j in _align(wrapper, page, {})[1]) if wrapper and page.children else {}
-    for j, child in enumerate(page.children):
-        _inherit(child, wrapper.children[pairs[j]] if j in pairs else None, page.role)
+def _fitted(page: Group, wrapper: Group | None, sizes: dict[tuple[int, int], int]) -> Iterator[tuple[Group, Group | None]]:
+    """The children of a page's node, each with the wrapper's node it aligns with."""
+    pairs = {j: i for i, j in _align(wrapper, page, sizes)[1]} if wrapper and page.children else {}
+    return ((child, wrapper.children[pairs[j]] if j in pairs else None) for j, child in enumerate(page.children))
+
+
+def _inherit(page: Group, wrapper: Group | None, above: str, sizes: dict[tuple[int, int], int]) -> Iterator[tuple[str, frozenset[int]]]:
+    """Role and constant texts of the page's nodes from the wrapper's nodes they align with; of others by kind and surroundings."""
+    role = wrapper.role if wrapper else "drop" if _unwanted(page, above in KEPT) else above
+    yield role, wrapper.constants() if wrapper else frozenset()
+    for child, fit in _fitted(page, wrapper, sizes):
+        yield from _inherit(child, fit, role, sizes)
+
+
+def _places(page: Group, wrapper: Group | None, numbers: dict[int, int], sizes: dict[tuple[int, int], int]) -> Iterator[int]:
+    """Numbers of the wrapper's nodes that the page's nodes align with, -1 for none."""
+    yield numbers[id(wrapper)] if wrapper else -1
+    for child, fit in _fitted(page, wrapper, sizes):
+        yield from _places(child, fit, numbers, sizes)
 
 
 def blocks(node: Node, roles: dict[int, tuple[str, frozenset[int]]]) -> Iterator[str]:
@@ -384,19 +395,49 @@ def cleaned(texts: Iterator[str]) -> str:
     return "\n".join(line for line in lines if line)
 
 
+class Counter:
+    """Places of pages' nodes in one host's wrapper; pages of one shape share the alignment."""
+
+    def __init__(self, packed: str) -> None:
+        self.wrapper = unpack(json.loads(packed))
+        self.numbers = {id(group): i for i, group in enumerate(self.wrapper.walk())}
+        self.shapes: dict[str, list[int]] = {}
+
+    def places(self, tree: Group) -> list[int]:
+        key = shape(tree)
+        if key not in self.shapes:
+            if len(self.shapes) >= HELD_SHAPES:
+                self.shapes.clear()
+            self.shapes[key] = list(_places(tree, self.wrapper, self.numbers, {}))
+        return self.shapes[key]
+
+
+@lru_cache(maxsize=64)
+def _counter(packed: str) -> Counter:
+    return Counter(packed)
+
+
 class Extractor:
-    """Applies one host's wrapper; pages of one shape share the alignment."""
+    """Applies one host's wrapper with its counts; pages of one shape share the alignment."""
 
-    def __init__(self, packed: str | None) -> None:
-        self.wrapper = assign_roles(unpack(json.loads(packed))) if packed else None
+    def __init__(self, packed: str | None, counts: str | None = None) -> None:
+        self.wrapper = unpack(json.loads(packed)) if packed else None
         self.shapes: dict[str, list[tuple[str, frozenset[int]]]] = {}
+        if self.wrapper is not None:
+            nodes = list(self.wrapper.walk())
+            for place, code, pages, size, links in json.loads(counts or "[]"):
+                if code == WHOLE:
+                    nodes[place].pages, nodes[place].text, nodes[place].links = pages, size, links
+                else:
+                    nodes[place].seen[code] = pages, size
+            assign_roles(self.wrapper)
 
     def _roles(self, tree: Group) -> list[tuple[str, frozenset[int]]]:
-        if self.wrapper is not None:
-            _inherit(tree, self.wrapper, "pass")
-        if not any(g.role in KEPT for g in tree.walk()):  # a page of another kind than its host's others
+        found = list(_inherit(tree, self.wrapper, "pass", {}))
+        if not any(role in KEPT for role, _ in found):  # a page of another kind than its host's others
             assign_roles(tree)
-        return [(g.role, g.constants() if g.role in KEPT else frozenset()) for g in tree.walk()]
+            found = [(g.role, constants) for g, (_, constants) in zip(tree.walk(), found, strict=True)]
+        return [(role, constants if role in KEPT else frozenset()) for role, constants in found]
 
     def text(self, html: str) -> str:
         page = parse(html)
@@ -414,8 +455,8 @@ class Extractor:
 
 
 @lru_cache(maxsize=64)
-def _extractor(packed: str | None) -> Extractor:
-    return Extractor(packed)
+def _extractor(packed: str | None, counts: str | None) -> Extractor:
+    return Extractor(packed, counts)
 
 
 def pages_of(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -455,20 +496,61 @@ def induce(pages: DataFrame) -> DataFrame:
         rows = [(host, part, json.dumps(pack(tree))) for host, tree in wrappers.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.string()))], ["host", "part", "wrapper"])
 
-    def combine(rows: pa.Table, last: bool) -> pa.Table:
+    def combine(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("part")  # the same wrapper whatever order the parts arrive in
         whole = None
         for packed in rows.column("wrapper").to_pylist():
             tree = unpack(json.loads(packed))
             whole = tree if whole is None else pruned(merge(whole, tree))
-        for group in whole.walk() if last else ():
-            group.seen = {code: group.seen[code] for code in group.constants()}  # pages need no more of it
         return pa.table({"host": rows.column("host")[:1], "part": rows.column("part")[:1], "wrapper": pa.array([json.dumps(pack(whole))])})
 
     schema = "host string, part long, wrapper string"
     parts = map_batches(pages.select("host", "html"), work, schema)
-    some = parts.groupBy("host", F.pmod("part", F.lit(64))).applyInArrow(lambda rows: combine(rows, False), schema)
-    return some.groupBy("host").applyInArrow(lambda rows: combine(rows, True), schema).select("host", "wrapper")
+    some = parts.groupBy("host", F.pmod("part", F.lit(64))).applyInArrow(combine, schema)
+    return some.groupBy("host").applyInArrow(combine, schema).select("host", "wrapper")
+
+
+def _with_wrappers(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """Pages with the columns of their host's wrapper."""
+    size = wrappers.agg(F.sum(sum(F.length(c).cast("long") for c in wrappers.columns))).first()[0] or 0
+    return pages.join(F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers, "host", "left")
+
+
+def count_texts(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, counts): for each node of a host's wrapper, in JSON, [place, WHOLE, pages, text, links] and of each of its constant texts [place, code, pages, text, 0]."""
+    names = ("host", "place", "code", "pages", "size", "links")
+
+    def work(batches: Batches) -> Batches:
+        held: dict[tuple[str, int, int], list[int]] = {}
+
+        def settle() -> pa.RecordBatch:
+            rows = [(*key, *sums) for key, sums in held.items()]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64() if i else pa.string()) for i in range(6)], names)
+
+        for batch in batches:
+            for host, html, packed in zip(*(batch.column(n).to_pylist() for n in ("host", "html", "wrapper")), strict=True):
+                tree = grouped(parse(html))
+                for group, place in zip(tree.walk(), _counter(packed).places(tree), strict=True):
+                    if place < 0:
+                        continue
+                    for code, n, size, links in ((WHOLE, 1, group.text, group.links), *((code, n, size, 0) for code, (n, size) in group.seen.items())):
+                        sums = held.setdefault((host, place, code), [0, 0, 0])
+                        sums[0] += n
+                        sums[1] += size
+                        sums[2] += links
+                if len(held) > HELD_COUNTS:
+                    yield settle()
+        yield settle()
+
+    parts = map_batches(_with_wrappers(pages.select("host", "html"), wrappers), work, "host string, place long, code long, pages long, size long, links long")
+    sums = parts.groupBy("host", "place", "code").agg(*(F.sum(n).alias(n) for n in names[3:]))
+    # What is on too few pages for any node goes at once, and that is nearly all.
+    sums = cut(sums.filter((F.col("code") == WHOLE) | (F.col("pages") >= CONSTANT_SHARE * CONSTANT_PAGES)))
+    nodes = sums.filter(F.col("code") == WHOLE)
+    least = nodes.filter(F.col("pages") >= CONSTANT_PAGES).select("host", "place", (CONSTANT_SHARE * F.col("pages")).alias("least"))
+    constant = sums.filter(F.col("code") != WHOLE).join(least, ["host", "place"]).filter(F.col("pages") >= F.col("least")).select(*names)
+    return nodes.unionByName(constant).groupBy("host").agg(F.to_json(F.collect_list(F.array(*names[1:]))).alias("counts"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -480,15 +562,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     own = pages_of(pages, id_col, url_col, html_col)
     wrappers = cut(induce(own))
-    size = wrappers.agg(F.sum(F.length("wrapper").cast("long"))).first()[0] or 0
-    wrappers = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
+    wrappers = cut(wrappers.join(count_texts(own, wrappers), "host", "left"))
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
-            texts = [_extractor(packed).text(html) for html, packed in zip(*(batch.column(n).to_pylist() for n in ("html", "wrapper")), strict=True)]
+            texts = [_extractor(packed, counts).text(html) for html, packed, counts in zip(*(batch.column(n).to_pylist() for n in ("html", "wrapper", "counts")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    return map_batches(own.join(wrappers, "host", "left"), work, "page_id long, url string, text string")
+    return map_batches(_with_wrappers(own, wrappers), work, "page_id long, url string, text string")
 
 
 def counted(texts: DataFrame) -> DataFrame:

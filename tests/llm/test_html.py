@@ -108,3 +108,14 @@ def test_constant_blocks_of_an_article_go_and_copies_of_a_page_stay(spark):
     letter = lambda i: article_page(i).replace("<p><b>Second", "<p>Read our daily letter</p><div>Written by us</div><p><b>Second")
     rows = [(i, f"http://a.example/{i}", letter(i)) for i in range(12)] + [(100 + i, f"http://b.example/{i}", article_page(7)) for i in range(8)]
     assert texts(spark, rows) == [(i, article_text(i)) for i in range(12)] + [(100 + i, article_text(7)) for i in range(8)]
+
+
+def test_a_constant_text_beside_many_others_is_found_on_any_number_of_pages(spark):
+    def page(i):
+        others = "".join(f"<div>Part {j} of story {i} with words</div>" for j in range(140))
+        letter = "" if i % 10 == 3 else "<div>Read our daily letter</div>"  # on 9 pages of 10
+        return f'<html><body><div class="x1">{letter}{others}</div></body></html>'
+
+    rows = [(i, f"http://b.example/{i}", page(i)) for i in range(60)]
+    expected = ["\n".join(f"Part {j} of story {i} with words" for j in range(140)) for i in range(60)]
+    assert texts(spark, rows) == list(enumerate(expected))
