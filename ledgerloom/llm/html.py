@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -31,8 +32,6 @@ from ledgerloom.llm.common import Batches, cut, map_batches, narrow
 
 #: All wrappers together may be broadcast up to so many bytes.
 BROADCAST_BYTES = 16 << 20
-#: A wrapper keeps so many nodes at most, those on the most pages; nodes beyond are judged by their kind alone.
-MAX_NODES = 4000
 #: Elements nested deeper are read as if they stood side by side.
 MAX_DEPTH = 200
 #: Counts that a task holds before it passes them on.
@@ -217,11 +216,17 @@ def shape(group: Group) -> str:
 
 def _align(a: Group, b: Group, sizes: dict[tuple[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching: the most pairs of nodes that keep order and ancestry, and the children it pairs."""
-    m, n = len(a.children), len(b.children)
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    for i, x in enumerate(a.children):
+    if [c.label for c in a.children] == [c.label for c in b.children] and shape(a) == shape(b):
+        return sum(1 for _ in a.walk()), [(i, i) for i in range(len(a.children))]
+    ours, theirs = {c.label for c in a.children}, {c.label for c in b.children}
+    left = [i for i, c in enumerate(a.children) if c.label in theirs]  # no others can be paired
+    right = [j for j, c in enumerate(b.children) if c.label in ours]
+    m, n = len(left), len(right)
+    best = [array("i", [0]) * (n + 1) for _ in range(m + 1)]
+    for i, x in enumerate(a.children[k] for k in left):
         row, above = best[i + 1], best[i]
-        for j, y in enumerate(b.children):
+        for j, k in enumerate(right):
+            y = b.children[k]
             pair = above[j] + _matching(x, y, sizes) if x.label == y.label else 0
             row[j + 1] = max(pair, above[j + 1], row[j])
     pairs, i, j = [], m, n
@@ -232,7 +237,7 @@ def _align(a: Group, b: Group, sizes: dict[tuple[int, int], int]) -> tuple[int,
             j -= 1
         else:
             i, j = i - 1, j - 1
-            pairs.append((i, j))
+            pairs.append((left[i], right[j]))
     return best[m][n] + 1, pairs[::-1]
 
 
@@ -262,15 +267,6 @@ def merge(wrapper: Group, page: Group, sizes: dict[tuple[int, int], int] | None
     return wrapper
 
 
-def pruned(wrapper: Group) -> Group:
-    counts = sorted((g.pages for g in wrapper.walk()), reverse=True)
-    if len(counts) > MAX_NODES:
-        least = counts[MAX_NODES] + 1
-        for group in list(wrapper.walk()):
-            group.children = [c for c in group.children if c.pages >= least]
-    return wrapper
-
-
 def pack(group: Group) -> list:
     return [group.label, group.pages, group.text, group.links, [pack(c) for c in group.children]]
 
@@ -433,6 +429,7 @@ class Extractor:
             assign_roles(self.wrapper)
 
     def _roles(self, tree: Group) -> list[tuple[str, frozenset[int]]]:
+        """The wrapper has every node of its host's pages, so only a page without any in the host's root goes by its own tree."""
         found = list(_inherit(tree, self.wrapper, "pass", {}))
         if not any(role in KEPT for role, _ in found):  # a page of another kind than its host's others
             assign_roles(tree)
@@ -475,7 +472,6 @@ def induce(pages: DataFrame) -> DataFrame:
         def settle() -> None:
             for (host, _), tree in held.items():
                 wrappers[host] = merge(wrappers[host], tree) if host in wrappers else tree
-                pruned(wrappers[host])
             held.clear()
 
         for batch in batches:
@@ -501,7 +497,7 @@ def induce(pages: DataFrame) -> DataFrame:
         whole = None
         for packed in rows.column("wrapper").to_pylist():
             tree = unpack(json.loads(packed))
-            whole = tree if whole is None else pruned(merge(whole, tree))
+            whole = tree if whole is None else merge(whole, tree)
         return pa.table({"host": rows.column("host")[:1], "part": rows.column("part")[:1], "wrapper": pa.array([json.dumps(pack(whole))])})
 
     schema = "host string, part long, wrapper string"

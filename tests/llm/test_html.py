@@ -119,3 +119,12 @@ def test_a_constant_text_beside_many_others_is_found_on_any_number_of_pages(spar
     rows = [(i, f"http://b.example/{i}", page(i)) for i in range(60)]
     expected = ["\n".join(f"Part {j} of story {i} with words" for j in range(140)) for i in range(60)]
     assert texts(spark, rows) == list(enumerate(expected))
+
+
+def test_pages_of_very_many_blocks_keep_their_article(spark):
+    def page(i):
+        parts = "".join(f"<h2>Head {i} {j}</h2><p>Words {i} {j}</p>" for j in range(2200))
+        return f"<html><body><div>outside {i}</div><article>{parts}</article></body></html>"
+
+    rows = [(i, f"http://{'a' * (i + 1)}.example/{i}", page(i)) for i in range(2)]
+    assert texts(spark, rows) == [(i, "\n".join(f"Head {i} {j}\nWords {i} {j}" for j in range(2200))) for i in range(2)]
