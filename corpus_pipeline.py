@@ -26,13 +26,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id."""
-    return simhash.first_of_each(docs, simhash.near_duplicates(docs, shingle=4, max_distance=4))
+    """Of each group of near-duplicate rows the one with the smallest doc_id."""
+    return simhash.one_of_each(docs, shingle=4, max_distance=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark, small edits allowed for."""
-    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+    """Rows whose own text holds no item of the benchmark, small edits allowed for."""
+    return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Batches, cut, map_batches, narrow, texts_of, with_ids
+from ledgerloom.llm.common import Batches, cut, map_batches, map_whole_rows, narrow, texts_of, with_ids
 
 #: Characters of the items that one automaton holds; some 40 bytes of memory each.
 BLOCK_CHARS = 4_000_000
@@ -151,17 +152,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     nothing. Documents without a match give no row. Repeated documents and items give a row each, null ids included;
     other columns are not read. An empty table on either side gives no rows.
     """
+    own = texts_of(docs, id_col, text_col)
+    found = None
+    for items, last in _blocks(benchmark, item_id_col, item_text_col):
+        part = _matches(own, items, rate)
+        part = part if last and found is None else cut(part)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _blocks(benchmark: DataFrame, item_id_col: str, item_text_col: str) -> Iterator[tuple[tuple[tuple[int, str], ...], bool]]:
+    """The items in blocks of at most some BLOCK_CHARS, one in memory at a time, and whether it is the last."""
     items = narrow(benchmark, item_id=item_id_col, text=item_text_col).select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chars = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS) or 1
-    own = texts_of(docs, id_col, text_col)
-    found = None
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        part = _matches(own, tuple(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))), rate)
-        part = cut(part) if blocks > 1 else part
-        found = part if found is None else found.unionByName(part)
-    return found
+        yield tuple(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))), block == blocks - 1
 
 
 def _matches(docs: DataFrame, items: tuple[tuple[int, str], ...], rate: float) -> DataFrame:
@@ -181,6 +188,25 @@ def _matches(docs: DataFrame, items: tuple[tuple[int, str], ...], rate: float) -
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The rows and columns of ``docs`` whose whole ``text`` holds no test item; null texts hold none."""
+    """The rows and columns of ``docs`` whose doc_id has no row with a test item in its ``text``; rows without id count as one document.
+
+    See :func:`clean_rows` for tables where rows of one id are documents of their own.
+    """
     items = narrow(benchmark, item_id="item_id", text="text")
     return with_ids(docs, "doc_id", find_leaks(docs, items, rate).select("doc_id").distinct(), "left_anti")
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` whose own whole text holds no test item, whatever their ids; null texts hold none."""
+    for items, last in _blocks(benchmark, item_id_col, item_text_col):
+        docs = _without(docs, items, rate, text_col)
+        docs = docs if last else cut(docs)
+    return docs
+
+
+def _without(docs: DataFrame, items: tuple[tuple[int, str], ...], rate: float, text_col: str) -> DataFrame:
+    def work(batch: pa.RecordBatch, at: int) -> pa.RecordBatch:
+        pieces = _pieces(items, rate)
+        return batch.filter(pa.array([not (text and pieces.matches(normal(text))) for text in batch.column(at).to_pylist()], pa.bool_()))
+
+    return map_whole_rows(docs, work, text_col)

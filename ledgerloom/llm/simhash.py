@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Batches, column, cut, map_batches, partitions, texts_of, with_ids
+from ledgerloom.llm.common import Batches, column, cut, free_name, map_batches, partitions, texts_of, with_ids
 from ledgerloom.llm.components import components
 
 BITS, SEED = 64, 42
@@ -178,6 +178,13 @@ def links(fps: DataFrame, max_distance: int, blocks: int) -> DataFrame:
     return map_batches(copies.repartition(n, "anchor").sortWithinPartitions("anchor"), compare, "a long, b long", rows=4096).distinct()
 
 
+def _linked(nodes: DataFrame, max_distance: int) -> DataFrame:
+    """The nodes, one for each value of ``fp``, with the ``root`` of their component."""
+    blocks = 3 if nodes.count() <= THREE_BLOCKS else 2
+    roots = components(links(nodes, max_distance, blocks)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id): one row for each row; component_id is the smallest doc_id reachable.
 
@@ -186,10 +193,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, id
     read. An empty table gives no rows.
     """
     own = cut(fingerprints(docs, shingle, id_col, text_col))
-    nodes = cut(own.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    blocks = 3 if nodes.count() <= THREE_BLOCKS else 2
-    roots = components(links(nodes, max_distance, blocks)).withColumnRenamed("node", "fp")
-    linked = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    linked = _linked(cut(own.groupBy("fp").agg(F.min("doc_id").alias("first"))), max_distance)
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = linked.join(least, "root").select("fp", "component_id")
     return own.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -200,3 +204,26 @@ def first_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") ->
     keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     known = with_ids(docs, id_col, keep, "left_semi").dropDuplicates([id_col])
     return known.unionByName(docs.filter(column(id_col).isNull()))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, max_distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component of near-duplicate rows: the one with the smallest id, one without id only if none has one.
+
+    A row is known by its id and its text, so each text of a repeated id counts by itself, and copies of a row without
+    id go as others do. Of one id's rows the one whose text has the smallest digest stays. Null texts count as empty.
+    """
+    def keyed(texts: Batches) -> Batches:
+        for batch in texts:
+            found = np.array([fingerprint(text, shingle) for text in batch.column("text").to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(found.view(np.int64))], ["doc_id", "digest", "fp"])
+
+    own = texts_of(docs, id_col, text_col)
+    own = map_batches(own.withColumn("digest", F.sha2("text", 256)), keyed, "doc_id long, digest string, fp long")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("first")
+    linked = _linked(cut(own.groupBy("fp").agg(first)), max_distance)
+    keep = cut(linked.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.digest"))
+    id_, digest = free_name(docs, "id_"), free_name(docs, "digest")
+    keep = keep.toDF(id_, f"{digest}_kept")
+    marked = docs.withColumn(digest, F.sha2(F.coalesce(column(text_col).cast("string"), F.lit("")), 256))
+    same = column(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(digest) == F.col(f"{digest}_kept"))
+    return marked.join(keep, same, "left_semi").dropDuplicates([id_col, digest]).drop(digest)

@@ -88,3 +88,29 @@ def test_empty_documents(spark, documents):
 def test_all_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op"))
     assert numbers == list(range(1, 11)) and QUERIES["pipeline"] is corpus_pipeline.run
+
+
+def test_stages_judge_each_row_by_its_own_text(spark, documents):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    a, b, c, d = (r.text for r in corpus_pipeline.simhash_dedup(spark, documents.filter(F.length("text") > 500), SF).limit(4).collect())
+    make = lambda i, text: (i, text, "en", "src0", len(text))
+    rows = [make(None, item + " and more"), make(None, a), make(None, a), make(None, a), make(7, b), make(7, c + " " + item), make(7, d), make(7, d), make(9, d), make(None, d)]
+    docs = spark.createDataFrame(rows, documents.schema).repartition(3)
+    steps = dict(corpus_pipeline.STAGES)
+    key = lambda r: (r[0] or 0, r[1])
+    unique = steps["SimHash near-dedup"](spark, docs, SF)
+    assert sorted(((r.doc_id, r.text) for r in unique.collect()), key=key) == sorted([(None, item + " and more"), (None, a), (7, b), (7, c + " " + item), (7, d)], key=key)
+    clean = steps["benchmark decontamination"](spark, unique, SF)
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=key) == sorted([(None, a), (7, b), (7, d)], key=key)
+    assert unique.columns == clean.columns == documents.columns
+
+
+def test_rows_stay_with_any_column_names(spark, documents, clashing, monkeypatch):
+    docs = clashing(documents.limit(20), "id_", "digest", "first", "fp")
+    assert simhash.one_of_each(docs).columns == docs.columns
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 5000)
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    clean = decontaminate.clean_rows(docs, benchmark)
+    assert clean.columns == docs.columns
+    leaks = {r.doc_id for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - leaks
