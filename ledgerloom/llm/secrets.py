@@ -47,8 +47,12 @@ _POINTS = re.compile(
     r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|%u[0-9A-Fa-f]{4}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&(?:quot|apos|amp|lt|gt);)"
 )
 _NAMED = {"&quot;": 34, "&apos;": 39, "&amp;": 38, "&lt;": 60, "&gt;": 62}
-_PACKED = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
-_ZLIB = re.compile(rb"\x78[\x01\x5e\x9c\xda]")
+#: Both bytes of a zlib header make a multiple of 31; one with the bit for a dictionary cannot be read without it.
+_ZLIB = b"|".join(
+    re.escape(bytes([cmf])) + b"(?=[" + b"".join(re.escape(bytes([flg])) for flg in range(256) if (cmf * 256 + flg) % 31 == 0 and not flg & 0x20) + b"])"
+    for cmf in range(0x08, 0x80, 0x10)
+)
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|BZh[1-9]1AY&SY|\xfd7zXZ\x00|" + _ZLIB)
 
 #: Bytes that one compressed layer may unpack to; a larger one is left alone and counted in n_refused.
 MAX_UNPACKED = 64 << 20
@@ -88,7 +92,7 @@ def _origins(layer: Layer, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nda
     return layer.starts[starts], layer.ends[ends - 1]
 
 
-def _unpack(raw: bytes) -> bytes | None:
+def _unpack(raw: memoryview) -> bytes | None:
     """The content of compressed bytes as far as it can be read; None if more than MAX_UNPACKED."""
     try:
         if raw[:4] == b"\x28\xb5\x2f\xfd":
@@ -111,11 +115,9 @@ def _from_bytes(raw: bytes, starts: np.ndarray, ends: np.ndarray, path: str) ->
         at = m.start() + (np.arange(len(text)) if len(text) == len(m[0]) else _char_offsets(text, len(m[0])))
         last = np.append(at[1:], m.end()) - 1
         yield Layer(text, starts[at], ends[np.minimum(last, len(ends) - 1)], path)
-    packed = [m.start() for m in _PACKED.finditer(raw)]
-    if _ZLIB.match(raw):
-        packed.insert(0, 0)
-    for start in packed:
-        content = _unpack(raw[start:])
+    whole = memoryview(raw)
+    for start in [m.start() for m in _PACKED.finditer(raw)]:
+        content = _unpack(whole[start:])
         if content is None:
             yield None
         elif content:
@@ -149,7 +151,7 @@ def _base64(layer: Layer) -> Iterator[Layer | None]:
                 body = letters[shift:]
                 body = body[: len(body) - (len(body) % 4 == 1)]
                 raw = binascii.a2b_base64(body + "=" * (-len(body) % 4))
-                if not (_READABLE.search(raw) or _PACKED.search(raw) or _ZLIB.match(raw)):
+                if not (_READABLE.search(raw) or _PACKED.search(raw)):
                     continue
                 k = np.arange(len(raw))
                 first = shift + k // 3 * 4 + k % 3
@@ -180,7 +182,7 @@ def _byte_escapes(layer: Layer, pattern: re.Pattern, width: int, name: str) -> I
         at = _char_offsets(text, len(raw))
         starts = m.start() + at * width
         parts.append((m.start(), m.end(), text, starts, np.append(starts[1:], m.end())))
-        if _PACKED.search(raw) or _ZLIB.match(raw):
+        if _PACKED.search(raw):
             k = m.start() + np.arange(len(raw)) * width
             yield from _from_bytes(raw, *_origins(layer, k, k + width), path)
     if parts:

@@ -114,3 +114,13 @@ def test_masking(make_docs):
     masked = {r.doc_id: r for r in secrets.mask_documents(make_docs(rows)).collect()}
     assert masked[1].text == 'a [secret]"! [secret]' + WRAPPED["base64"][-2:] + "."
     assert masked[2].text is None and masked[3].text == "clean" and masked[3].lang == "en"
+
+
+@pytest.mark.parametrize("level", [1, 6, 9])
+@pytest.mark.parametrize("bits", [9, 12, 15])
+def test_zlib_is_found_at_any_place(level, bits):
+    tool = zlib.compressobj(level, zlib.DEFLATED, bits)
+    packed = tool.compress(SECRET.encode()) + tool.flush()
+    safe = base64.urlsafe_b64encode(packed).decode().rstrip("=")
+    for text in (safe, "x/" + safe, "svg/" + safe, "https://k.example/mermaid/svg/" + safe, b64(b"\x00\x01head\xff" + packed), "".join(f"%{c:02X}" for c in b"\xfeab" + packed)):
+        assert {0, 2} <= {kind for _, kind, _ in secrets.scan(text)[1]}, text
