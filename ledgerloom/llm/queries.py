@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from ledgerloom.llm import bpe, decontaminate, html, langid, quality, secrets, seqfile, simhash, suffixdedup, topk
+from ledgerloom.llm import bpe, decontaminate, html, langid, quality, secrets, seqfile, simhash, spelling, suffixdedup, topk
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.learn(docs))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_sequences": op9_sequences,
     "op10_langid": op10_langid,
+    "op11_spelling": op11_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -92,6 +97,47 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    # The CRC-32 of document and run goes over the UTF-8 bytes with a table of 256 steps made from the polynomial.
+    "op11_spelling": """
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+            FROM (SELECT unnest(range(256)) AS i)
+        ), r AS (
+            SELECT doc_id, run, count(*) AS c
+            FROM (
+                SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
+                       unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run
+                FROM documents
+            )
+            WHERE length(run) >= 7
+            GROUP BY doc_id, run
+        ), b AS (
+            SELECT run, c, flatten([CASE WHEN u < 128 THEN [u] ELSE [192 + (u >> 6), 128 + (u & 63)] END
+                                    FOR u IN [CAST(unicode(x) AS BIGINT) FOR x IN string_split(doc_id || ':' || run, '')]]) AS bytes
+            FROM r
+        ), h AS (
+            SELECT run, c, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, x: xor(a >> 8, steps[1 + (xor(a, x) & 255)])), 4294967295) AS h
+            FROM b CROSS JOIN crc
+        ), w AS (
+            SELECT CASE WHEN h % 31 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, CAST(sum(c) AS BIGINT) AS n
+            FROM h GROUP BY 1 HAVING sum(c) >= 2 AND length(word) >= 7
+        ), d AS (
+            SELECT word, n, i, word[: i - 1] || word[i + 1 :] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+        ), near AS (
+            SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM d a JOIN w b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM d a JOIN w b ON a.rest = b.word
+        ), best AS (
+            SELECT word, count(*) AS n_near, max(n) AS top, arg_min(other, (-n, other)) AS other FROM near GROUP BY word
+        ), formed AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * w.n THEN other END AS form, CASE WHEN top >= 10 * w.n THEN top END AS form_n
+            FROM w LEFT JOIN best ON w.word = best.word
+        ), chain AS (
+            SELECT word, word AS root, form AS next FROM formed
+            UNION ALL SELECT chain.word, formed.word, formed.form FROM chain JOIN formed ON chain.next = formed.word
+        )
+        SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN chain ON formed.word = chain.word AND chain.next IS NULL
+    """,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
