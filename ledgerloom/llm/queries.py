@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from ledgerloom.llm import bpe, decontaminate, html, langid, quality, secrets, seqfile, simhash, spelling, suffixdedup, topk
+from ledgerloom.llm import bpe, decontaminate, html, langid, minhash, quality, secrets, seqfile, simhash, spelling, suffixdedup, topk
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op9_sequences": op9_sequences,
     "op10_langid": op10_langid,
     "op11_spelling": op11_spelling,
+    "op12_minhash": op12_minhash,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -138,6 +143,30 @@ ORACLES: dict[str, str] = {
         )
         SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN chain ON formed.word = chain.word AND chain.next IS NULL
     """,
+    "op12_minhash": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                           ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+            FROM w
+        ), e AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s
+        ), link AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reached AS (
+            SELECT a, b FROM link
+            UNION SELECT reached.a, link.b FROM reached JOIN link ON reached.b = link.a
+        ), least AS (
+            SELECT a, min(b) AS b FROM reached GROUP BY a
+        )
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(b, doc_id)) AS kept
+        FROM s LEFT JOIN least ON doc_id = a
+    """,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
