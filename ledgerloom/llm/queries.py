@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from ledgerloom.llm import bpe, decontaminate, html, langid, minhash, quality, secrets, seqfile, simhash, spelling, suffixdedup, topk
+from ledgerloom.llm import bpe, decontaminate, html, langid, minhash, quality, secrets, seqfile, simhash, spelling, suffixdedup, topk, whitening
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,10 @@ def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op10_langid": op10_langid,
     "op11_spelling": op11_spelling,
     "op12_minhash": op12_minhash,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -25,6 +25,7 @@ CONTRACTS = {
     "op10_langid": ("documents", {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"}),
     "op11_spelling": (None, {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"}),
     "op12_minhash": ("documents", {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"}),
+    "op13_whitening": (None, {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"}),
 }
 
 
