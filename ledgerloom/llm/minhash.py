@@ -9,8 +9,8 @@ of their similarity, and the number of coordinates that agree is concentrated as
 Equal sets are one class. Classes that agree in all rows of a band share a bucket. Candidates are confirmed on the full
 sets, and only pairs of classes not known to be connected are compared:
 
-1. the first class of a bucket with all others, twice: second time the one with most links so far, of another component;
-2. what is then still apart within a bucket, by the sketches, in blocks of bounded size.
+1. one class of a bucket with all others of it: the first one, then the one with most links so far;
+2. what is then still apart within a bucket, in blocks of bounded size, which give a spanning forest of the links.
 
 At similarity 0.85 a pair meets in none of the BANDS bands with a chance of 2e-9.
 """
@@ -28,10 +28,8 @@ from ledgerloom.llm.components import components
 
 T, ROWS = 256, 6
 BANDS = T // ROWS
-#: Classes of one block of a bucket; their sketches take 256 bytes each.
-BLOCK = 2048
-#: Standard deviations below the threshold at which a sketch rules a pair out; the chance of a wrong one is below 1e-12.
-SIGMAS = 7.5
+#: Classes and shingles that one block of a bucket is meant to hold; a shingle takes 8 bytes.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 
 _GOLDEN, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _VALUE = 54
@@ -89,7 +87,7 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame, size: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The texts with the key (k, h) of their rows, and (doc_id, k, h, c1, c2, n, keys, sketch) of each row."""
+    """The texts with the key (k, h) of their rows, and (doc_id, k, h, c1, c2, n, keys) of each row."""
     texts = texts_of(docs, id_col, text_col)
     texts = texts.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("h"), "text")
     long = pa.int64()
@@ -105,12 +103,10 @@ def _sketched(docs: DataFrame, size: int, id_col: str, text_col: str) -> tuple[D
             both = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
             all_ = np.array(sketches, dtype=np.uint64).reshape(-1, T)
             keys = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(all_).view(np.int64).ravel()), BANDS).cast(pa.list_(long))
-            short = (all_ & np.uint64(255)).astype(np.uint8)
             columns = [*(batch.column(c) for c in ("doc_id", "k", "h")), *(pa.array(np.ascontiguousarray(both[:, i])) for i in (0, 1))]
-            columns += [pa.array(n, long), keys, pa.array([row.tobytes() for row in short], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "k", "h", "c1", "c2", "n", "keys", "sketch"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, long), keys], ["doc_id", "k", "h", "c1", "c2", "n", "keys"])
 
-    schema = "doc_id long, k long, h long, c1 long, c2 long, n long, keys array<long>, sketch binary"
+    schema = "doc_id long, k long, h long, c1 long, c2 long, n long, keys array<long>"
     return texts, cut(map_batches(texts, work, schema), "sketches")
 
 
@@ -143,43 +139,68 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(wide.select("a", "b", "x", "y"), work, "a long, b long")
 
 
-def _likely(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of unconnected classes of a bucket whose sketches do not rule them out, from members (key, c, n, label, sketch)."""
-    chance = percent / 100
-    least = int(T * (chance - SIGMAS * (chance * (1 - chance) / T) ** 0.5))
+def spanning_links(sets: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, first: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between sets that join different labels, so many as connect what can be connected.
+
+    Sets are arrays of distinct hashes. If ``first`` is mixed, only sets of the two kinds are compared with each other. A
+    hash that one set alone has cannot be shared, and what a set has left bounds its similarity to all others; where
+    that bound allows a link, the shared hashes are counted.
+    """
+    flat, ids = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, token, count = np.unique(flat, return_inverse=True, return_counts=True)
+    common = count[token] > 1
+    token, ids = token[common], ids[common]
+    left = np.bincount(ids, minlength=len(sets))
+    edges = np.concatenate([[0], np.cumsum(left)])
+    mark, labels, links, mixed = np.zeros(len(count), dtype=np.int64), labels.copy(), [], not first.all()
+    for i in range(len(sets)):
+        others = labels != labels[i]
+        others = np.flatnonzero(others & ~first) if mixed and first[i] else np.zeros(0, np.int64) if mixed else i + 1 + np.flatnonzero(others[i + 1 :])
+        most = np.minimum(left[others], left[i])
+        others = others[100 * most >= percent * (sizes[others] + sizes[i] - most)]
+        if not len(others):
+            continue
+        mark[token[edges[i] : edges[i + 1]]] = 1
+        lengths = left[others]
+        starts = np.cumsum(lengths) - lengths
+        places = np.arange(int(lengths.sum())) + np.repeat(edges[others] - starts, lengths)
+        shared = np.add.reduceat(mark[token[places]], starts)
+        mark[token[edges[i] : edges[i + 1]]] = 0
+        for j in others[100 * shared >= percent * (sizes[others] + sizes[i] - shared)].tolist():
+            if labels[j] != labels[i]:
+                links.append((i, j))
+                labels[labels == labels[j]] = labels[i]
+    return links
+
+
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components that still share a bucket, from members (key, c, label, blocks) and the full sets."""
 
     def work(batches: Batches) -> Batches:
         key, held = None, []
         for batch in batches:
-            for *own, first, c, n, label, short in zip(*(batch.column(x).to_pylist() for x in ("key", "low", "high", "first", "c", "n", "label", "sketch")), strict=True):
+            for *own, first, c, label, hashes in zip(*(batch.column(x).to_pylist() for x in ("key", "low", "high", "first", "c", "label", "hashes")), strict=True):
                 if own != key:
-                    yield from block(key, held)
+                    yield block(held)
                     key, held = own, []
-                held.append((first, c, n, label, short))
-        yield from block(key, held)
-
-    def block(key: list[int] | None, held: list[tuple]) -> Batches:
-        if len(held) < 2:
-            return
-        first, c, n, label = (np.array([r[i] for r in held]) for i in range(4))
-        short = np.frombuffer(b"".join(r[4] for r in held), dtype=np.uint8).reshape(-1, T)
-        found = []
-        for i in range(len(held)):
-            other = np.arange(i + 1, len(held)) if key[1] == key[2] else np.flatnonzero(~first) if first[i] else []
-            if not len(other):
-                continue
-            other = other[(label[other] != label[i]) & (100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i]))]
-            other = other[(short[other] == short[i]).sum(axis=1) >= least]
-            found.append(np.stack([np.minimum(c[other], c[i]), np.maximum(c[other], c[i])], axis=1))
-        both = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, i]), pa.int64()) for i in (0, 1)], ["a", "b"])
+                held.append((first, c, label, np.frombuffer(hashes, dtype=np.uint64)))
+        yield block(held)
+
+    def block(held: list[tuple]) -> pa.RecordBatch:
+        both = np.zeros((0, 2), dtype=np.int64)
+        if len(held) > 1:
+            first, c, label = (np.array([r[i] for r in held]) for i in range(3))
+            sets = [r[3] for r in held]
+            links = spanning_links(sets, np.array([len(s) for s in sets]), label, first, percent)
+            both = c[np.array(links, dtype=np.int64).reshape(-1, 2)]
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, i]), pa.int64()) for i in (0, 1)], ["a", "b"])
 
     # Each class goes to its own block with every other one of its bucket; "first" tells the two blocks of a pair apart.
-    blocks = members.withColumn("own", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
+    blocks = members.join(sets, "c").withColumn("own", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
     blocks = blocks.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("other"))
-    blocks = blocks.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") <= F.col("other")).alias("first"), "c", "n", "label", "sketch")
+    blocks = blocks.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") <= F.col("other")).alias("first"), "c", "label", "hashes")
     key = ["key", "low", "high"]
-    return map_batches(blocks.repartition(partitions(blocks.sparkSession), *key).sortWithinPartitions(*key), work, "a long, b long").distinct()
+    return map_batches(blocks.repartition(partitions(blocks.sparkSession), *key).sortWithinPartitions(*key), work, "a long, b long")
 
 
 def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -192,37 +213,32 @@ def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
         members = members.join(roots.join(degree, "c", "left"), "c", "left")
         members = members.select("key", "c", "n", F.coalesce("root", "c").alias("label"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
     apart = members.groupBy("key").agg(
-        F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"),
+        F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"), F.sum("n").alias("shingles"),
         F.max(F.struct("links", (-F.col("c")).alias("c"), "n", "label")).alias("lead"),
         F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("s0"), F.sum(F.xxhash64("c", F.lit(1)).cast("decimal(38,0)")).alias("s1"),
     ).filter("l0 < l1")
     # Of buckets with the same members one is enough.
-    apart = cut(apart.groupBy("size", "s0", "s1").agg(F.min(F.struct("key", "lead")).alias("one")).select("one.*", "size"), "apart")
+    apart = cut(apart.groupBy("size", "s0", "s1").agg(F.min(F.struct("key", "lead")).alias("one"), F.max("shingles").alias("shingles")).select("one.*", "size", "shingles"), "apart")
     return cut(members.join(apart, "key"), "members")
 
 
 def _components(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(c, root) of the classes (c, k, h, n, keys, sketch) that have a link."""
+    """(c, root) of the classes (c, k, h, n, keys) that have a link."""
     rows = classes.select("c", "n", F.explode("keys").alias("key"))
     shared = cut(rows.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1").select("key"), "buckets")
     members = cut(rows.join(shared, "key"), "members")
     wanted = members.select("c").distinct()
     sets = _sets(texts, classes.select("c", "k", "h").join(wanted, "c"), size)
-    links, tried = None, None
-    for step in ("first", "most linked", "rest"):
+    links = None
+    for _ in ("first", "most linked"):
         now = _labelled(members, links)
-        if step == "rest":
-            blocks = now.withColumn("blocks", F.ceil(F.col("size") / BLOCK)).join(classes.select("c", "sketch"), "c")
-            pairs = _likely(blocks, percent)
-        else:
-            lead, close = -F.col("lead.c"), 100 * F.least("n", "lead.n") >= percent * F.greatest("n", "lead.n")
-            pairs = now.filter((F.col("label") != F.col("lead.label")) & close).select(F.least("c", lead).alias("a"), F.greatest("c", lead).alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
+        lead, close = -F.col("lead.c"), 100 * F.least("n", "lead.n") >= percent * F.greatest("n", "lead.n")
+        pairs = now.filter((F.col("label") != F.col("lead.label")) & close).select(F.least("c", lead).alias("a"), F.greatest("c", lead).alias("b")).distinct()
         found = cut(confirmed(pairs, sets, percent), "links")
-        tried, links = (pairs, found) if links is None else (tried.unionByName(pairs), links.unionByName(found))
-    return components(links).toDF("c", "root")
+        links = found if links is None else links.unionByName(found)
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    rest = cut(_rest(_labelled(members, links).withColumn("blocks", blocks), sets, percent), "links")
+    return components(links.unionByName(rest)).toDF("c", "root")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,10 +251,10 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, id_col: s
     """
     texts, own = _sketched(docs, size, id_col, text_col)
     classes = own.filter("n > 0").groupBy("c1", "c2").agg(
-        F.min("doc_id").alias("first"), F.min(F.struct("k", "h")).alias("row"), *[F.first(c).alias(c) for c in ("n", "keys", "sketch")]
+        F.min("doc_id").alias("first"), F.min(F.struct("k", "h")).alias("row"), *[F.first(c).alias(c) for c in ("n", "keys")]
     )  # rows of a class differ in id and text only
     # The number of a class is fixed once it is written.
-    classes = cut(classes.select(F.monotonically_increasing_id().alias("c"), "c1", "c2", "first", "row.*", "n", "keys", "sketch"), "classes")
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("c"), "c1", "c2", "first", "row.*", "n", "keys"), "classes")
     roots = _components(classes, texts, size, percent)
     linked = classes.select("c", "c1", "c2", "first").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = linked.groupBy("root").agg(F.min("first").alias("least"))

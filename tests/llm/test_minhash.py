@@ -102,6 +102,7 @@ def test_near_copies(make_docs, seed):
 def test_variants_of_one_text_that_are_close_to_it_alone(make_docs, monkeypatch):
     """A crowded bucket: all are linked through the original and to nothing else; blocks of a few classes."""
     monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 500)
     base = [f"w{i}" for i in range(50)]
     rows = [(1000, " ".join(base))]
     rows += [(i, " ".join([*base[: 3 + i % 44], f"x{i}", *base[4 + i % 44 :]])) for i in range(130)]
@@ -109,26 +110,28 @@ def test_variants_of_one_text_that_are_close_to_it_alone(make_docs, monkeypatch)
     assert found(minhash.near_duplicates(make_docs(rows))) == brute(rows)
 
 
-def test_rest_of_a_bucket_is_compared_in_blocks(spark):
-    """Pairs of different labels only, once each, the same for any size of blocks."""
-    rng = np.random.default_rng(5)
-    base = rng.integers(0, 256, minhash.T, dtype=np.uint8)
-    members = []
-    for c in range(70):
-        short = base.copy()
-        short[rng.integers(0, minhash.T, rng.integers(0, 70))] = 255
-        members.append((7, c, 100 + c % 3 * 20, c % 10, bytearray(short.tobytes())))
-    least = int(256 * (0.85 - 7.5 * (0.85 * 0.15 / 256) ** 0.5))
-    expected = {
-        (a[1], b[1])
-        for a in members
-        for b in members
-        if a[1] < b[1] and a[3] != b[3] and 100 * min(a[2], b[2]) >= 85 * max(a[2], b[2]) and sum(x == y for x, y in zip(a[4], b[4], strict=True)) >= least
-    }
-    for blocks in (1, 4):
-        df = spark.createDataFrame([(*m, blocks) for m in members], "key long, c long, n long, label long, sketch binary, blocks long")
-        pairs = [tuple(r) for r in minhash._likely(df, 85).collect()]
-        assert set(pairs) == expected and len(pairs) == len(expected) > 100
+@pytest.mark.parametrize(("seed", "mixed"), [(s, m) for s in range(4) for m in (False, True)])
+def test_spanning_links(seed, mixed):
+    """Links join what is linked, no more and no fewer, given what is joined already."""
+    rng = np.random.default_rng(seed)
+    core = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(core)[: rng.integers(30, 41)], rng.integers(0, 1 << 63, rng.integers(0, 5), dtype=np.uint64)])) for _ in range(50)]
+    labels = rng.integers(0, 45, len(sets))
+    first = rng.random(len(sets)) < 0.5 if mixed else np.ones(len(sets), dtype=bool)
+
+    def joined(links):
+        names = labels.copy()
+        for i, j in links:
+            names[names == names[i]] = names[j]
+        return {frozenset(np.flatnonzero(names == n).tolist()) for n in names}
+
+    def linked(i, j):
+        shared = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * shared >= 85 * (len(sets[i]) + len(sets[j]) - shared) and (not mixed or first[i] != first[j])
+
+    every = [(i, j) for i in range(len(sets)) for j in range(i) if linked(i, j)]
+    links = minhash.spanning_links(sets, np.array([len(s) for s in sets]), labels, first, 85)
+    assert joined(links) == joined(every) and len(links) == len(joined([])) - len(joined(every)) and every
 
 
 def test_edge_rows(make_docs, clashing):
