@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: The characters of the Unicode property White_Space.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def trimmed(column: str | Column) -> Column:
     return F.trim(_col(column))
 
@@ -22,7 +26,7 @@ def uppered(column: str | Column) -> Column:
 
 def strip(column: Column) -> Column:
     """Remove every kind of white space at both ends, line breaks and Unicode spaces included."""
-    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
+    return F.btrim(column, F.lit(SPACES))
 
 
 def lookup(column: str | Column, table: Mapping[str, object]) -> Column:

@@ -34,8 +34,7 @@ TABLES: dict[str, str] = {
         FROM orders""",
     "raw_merchants": """
         SELECT s_suppkey AS merchant_id, '  ' || s_name || ' ' AS merchant_name,
-               ' ' || upper((['grocery','restaurant','ecommerce','electronics','travel','healthcare','fuel',
-                       'entertainment','utilities','education'])[1 + s_suppkey % 10]) || '  ' AS merchant_category,
+               ' CATEGORY_' || s_suppkey % 10 || '  ' AS merchant_category,
                '  ' || lower((['IN','US','GB','DE','AE','SG'])[1 + s_nationkey % 6]) || ' ' AS country,
                n_name AS city,
                (['INR','USD','GBP','EUR','AED','SGD'])[1 + s_nationkey % 6] AS currency,
@@ -43,16 +42,12 @@ TABLES: dict[str, str] = {
                TIMESTAMP '1990-01-01' + to_days(CAST(s_suppkey % 500 AS INTEGER)) AS created_at,
                TIMESTAMP '1990-01-01' + to_days(CAST(s_suppkey % 500 + s_suppkey % 45 AS INTEGER)) AS updated_at
         FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey""",
+    "currency_places": """
+        SELECT * FROM (VALUES (1, 'INR'), (2, 'USD'), (3, 'EUR'), (4, 'GBP'), (5, 'AED'), (6, 'SGD')) AS t(place, currency)""",
     "base_rates": """
-        SELECT * FROM (VALUES
-            (1,'INR','USD',0.0120),(2,'INR','EUR',0.0110),(3,'INR','GBP',0.0095),(4,'INR','AED',0.0440),
-            (5,'INR','SGD',0.0160),(6,'USD','INR',83.0),(7,'USD','EUR',0.92),(8,'USD','GBP',0.79),
-            (9,'USD','AED',3.67),(10,'USD','SGD',1.34),(11,'EUR','INR',90.0),(12,'EUR','USD',1.09),
-            (13,'EUR','GBP',0.86),(14,'EUR','AED',4.00),(15,'EUR','SGD',1.46),(16,'GBP','INR',105.0),
-            (17,'GBP','USD',1.27),(18,'GBP','EUR',1.16),(19,'GBP','AED',4.65),(20,'GBP','SGD',1.70),
-            (21,'AED','INR',22.6),(22,'AED','USD',0.272),(23,'AED','EUR',0.250),(24,'AED','GBP',0.215),
-            (25,'AED','SGD',0.365),(26,'SGD','INR',62.0),(27,'SGD','USD',0.746),(28,'SGD','EUR',0.685),
-            (29,'SGD','GBP',0.588),(30,'SGD','AED',2.74)) AS t(pair, base, target, rate)""",
+        SELECT row_number() OVER (ORDER BY b.place, t.place) AS pair, b.currency AS base, t.currency AS target,
+               CAST(b.place AS DOUBLE) / t.place AS rate
+        FROM currency_places AS b JOIN currency_places AS t ON b.place <> t.place""",
     "grid": """
         SELECT 'fx_' || lpad(CAST(30 * date_diff('day', DATE '1995-01-01', d.day) + pair AS VARCHAR), 8, '0')
                    AS exchange_rate_id,
@@ -84,9 +79,7 @@ TABLES: dict[str, str] = {
                     WHEN 'click' THEN ' REVERSED  ' END AS event_type,
                ts AS event_timestamp,
                CASE WHEN event_type = 'error' THEN ' FAILURE  ' ELSE ' SUCCESS  ' END AS event_status,
-               CASE WHEN event_type = 'error' AND k >= 5 THEN ' ' ||
-                    (['INSUFFICIENT_FUNDS','MERCHANT_DECLINED','FRAUD_DETECTED','NETWORK_ERROR',
-                      'INVALID_CREDENTIALS'])[1 + k % 5] || '  ' END AS failure_reason
+               CASE WHEN event_type = 'error' AND k >= 5 THEN ' REASON_' || k % 5 || '  ' END AS failure_reason
         FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events)""",
     "silver_customers": """
         SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name,

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import profile, quality
-from ledgerloom.operators.sql_audit import audit
+from ledgerloom.operators.sql_audit import FORBIDDEN, audit
 from ledgerloom.operators.standardize import merchant_id_valid
 from ledgerloom.plans.staging import COLUMNS
 from ledgerloom.queries import Registry
@@ -335,8 +335,9 @@ def dataset_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.shape(table(spark, sf_dir, "lineitem"))
 
 
+#: Statements around the text of every document, by doc_id % 10.
 TEXTS = """
-    SELECT doc_id AS query_id, CASE doc_id % 8
+    SELECT doc_id AS query_id, lang, source, CASE doc_id % 10
         WHEN 0 THEN 'SELECT * FROM gold.fact_transaction WHERE description = ''' || text || ''';'
         WHEN 1 THEN 'Here you are:' || chr(10) || '```sql' || chr(10) || 'with t as (select * from Marts.daily) '
                     || 'select * from t -- ' || text || chr(10) || ';' || chr(10) || '```'
@@ -345,36 +346,28 @@ TEXTS = """
         WHEN 4 THEN 'select ' || n_chars || ' from bronze.' || lang || ' join lake.silver.' || source || ' on true'
         WHEN 5 THEN '  select replace(x, ''' || lang || ''') from gold.t; /* ' || text || ' */'
         WHEN 6 THEN 'select updated_at, ''' || text || ''' from plain join ' || lang || '.gold.t using (k)'
+        WHEN 7 THEN 'select * from gold.a x, `silver`.`' || lang || '` y,lake.raw.' || source || ' join' || chr(160) || 'marts.m'
+        WHEN 8 THEN 'select * from (gold.t join raw.' || source || ') s, silver.t where x = ''' || text || ''''
         ELSE '```' || chr(10) || 'select 1 from silver.' || lang || chr(10) || '```' || text END AS sql_text
     FROM documents
 """
+WRITES = ", ".join(f"'{word}'" for word in FORBIDDEN)
 
 
 @query(
     "sql_audit",
+    # A fence is what stands between the first two; which schemas a statement names follows from its shape.
     rf"""
-    SELECT query_id, regexp_matches(low, '^(select|with)') AS is_query, words AS forbidden_words,
-           foreign_names AS foreign_schemas,
-           regexp_matches(low, '^(select|with)') AND words = '' AND foreign_names = '' AS accepted
-    FROM (SELECT query_id, low,
-                 array_to_string(list_sort(list_distinct(list_intersect(
-                     regexp_extract_all(low, '[A-Za-z_][A-Za-z0-9_]*'),
-                     ['insert','update','delete','drop','alter','truncate','merge','create','grant','revoke','replace',
-                      'copy','vacuum','optimize']))), ',') AS words,
-                 array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(bare,
-                     '(?i)\b(?:from|join)\s+((?:[a-zA-Z_][a-zA-Z0-9_]*\.){{1,2}}[a-zA-Z_][a-zA-Z0-9_]*)', 1),
-                     lambda r: string_split(r, '.')[-2]), lambda s: lower(s) NOT IN ('gold', 'marts')))), ',') AS foreign_names
-          FROM (SELECT query_id, bare, lower(regexp_replace(bare, '^\s+|\s+$', '', 'g')) AS low
-                FROM (SELECT query_id, regexp_replace(regexp_replace(
-                                 CASE WHEN regexp_matches(sql_text, '(?s)```(?:sql)?\s*(.*?)```')
-                                      THEN regexp_extract(sql_text, '(?s)```(?:sql)?\s*(.*?)```', 1) ELSE sql_text END,
-                                 '^\s+|\s+$', '', 'g'), ';+$', '') AS bare
-                      FROM ({TEXTS}))))
+    SELECT query_id, starts AS is_query, words AS forbidden_words, names AS foreign_schemas, starts AND words = '' AND names = '' AS accepted
+    FROM (SELECT query_id, low LIKE 'select%' OR low LIKE 'with%' AS starts,
+                 array_to_string(list_sort(list_distinct(list_intersect(regexp_split_to_array(low, '[^a-z0-9_]+'), [{WRITES}]))), ',') AS words,
+                 CASE query_id % 10 WHEN 4 THEN 'bronze,silver' WHEN 7 THEN 'raw,silver' WHEN 8 THEN 'raw' WHEN 9 THEN 'silver' ELSE '' END AS names
+          FROM (SELECT query_id, lower(trim(CASE WHEN len(parts) > 2 THEN parts[2][CASE WHEN parts[2] LIKE 'sql%' THEN 4 ELSE 1 END :] ELSE sql_text END, chars)) AS low
+                FROM (SELECT query_id, sql_text, string_split(sql_text, '```') AS parts, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS chars FROM ({TEXTS}))))
     """,
 )
 def sql_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statements around the text of every document, in eight shapes."""
-    text, lang = F.col("text"), F.col("lang")
+    text, lang, source = F.col("text"), F.col("lang"), F.col("source")
     shapes = [
         F.concat(F.lit("SELECT * FROM gold.fact_transaction WHERE description = '"), text, F.lit("';")),
         F.concat(
@@ -382,18 +375,50 @@ def sql_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         text,
         F.concat(F.lit("drop table gold."), lang, F.lit(" -- "), text),
-        F.concat(F.lit("select "), "n_chars", F.lit(" from bronze."), lang, F.lit(" join lake.silver."), "source", F.lit(" on true")),
+        F.concat(F.lit("select "), "n_chars", F.lit(" from bronze."), lang, F.lit(" join lake.silver."), source, F.lit(" on true")),
         F.concat(F.lit("  select replace(x, '"), lang, F.lit("') from gold.t; /* "), text, F.lit(" */")),
         F.concat(F.lit("select updated_at, '"), text, F.lit("' from plain join "), lang, F.lit(".gold.t using (k)")),
+        F.concat(F.lit("select * from gold.a x, `silver`.`"), lang, F.lit("` y,lake.raw."), source, F.lit(" join\u00a0marts.m")),
+        F.concat(F.lit("select * from (gold.t join raw."), source, F.lit(") s, silver.t where x = '"), text, F.lit("'")),
         F.concat(F.lit("```\nselect 1 from silver."), lang, F.lit("\n```"), text),
     ]
-    shape = F.coalesce(*[F.when(F.col("doc_id") % 8 == i, s) for i, s in enumerate(shapes)])
+    return _audited(spark, sf_dir, shapes, strict=False)
+
+
+def _audited(spark: SparkSession, sf_dir: str, shapes: list[Column], strict: bool) -> DataFrame:
+    """The audit of a statement for each document, its shape taken by doc_id."""
+    shape = F.coalesce(*[F.when(F.col("doc_id") % len(shapes) == i, s) for i, s in enumerate(shapes)])
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), shape.alias("sql_text"))
-    audited = audit(texts)
-    return audited.select(
-        "query_id",
-        "is_query",
-        F.array_join("forbidden_words", ",").alias("forbidden_words"),
-        F.array_join("foreign_schemas", ",").alias("foreign_schemas"),
-        "accepted",
-    )
+    found = ["forbidden_words", "foreign_schemas", *(["unqualified"] if strict else [])]
+    return audit(texts, strict=strict).select("query_id", "is_query", *[F.array_join(c, ",").alias(c) for c in found], "accepted")
+
+
+@query(
+    "sql_audit_strict",
+    # What the text holds never matters, as it stands in literals and comments alone.
+    """
+    SELECT query_id, is_query, forbidden_words, foreign_schemas, unqualified, is_query AND forbidden_words = '' AND foreign_schemas = '' AND unqualified = '' AS accepted
+    FROM (SELECT doc_id AS query_id, doc_id % 8 NOT IN (3, 4) AS is_query,
+                 CASE doc_id % 8 WHEN 3 THEN 'insert,into' WHEN 4 THEN 'drop' ELSE '' END AS forbidden_words,
+                 CASE doc_id % 8 WHEN 2 THEN 'raw,silver' WHEN 5 THEN lang WHEN 6 THEN 'bronze' ELSE '' END AS foreign_schemas,
+                 CASE doc_id % 8 WHEN 5 THEN source ELSE '' END AS unqualified
+          FROM documents)
+    """,
+)
+def sql_audit_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements that hold the text of every document as a literal, with its quotes doubled, or in a comment."""
+    lang, source = F.col("lang"), F.col("source")
+    text = F.translate("text", "\\`", "/.")
+    literal = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
+    remark = F.translate(text, "*\r\n", "   ")
+    shapes = [
+        F.concat(F.lit("select * from gold.fact_transaction where description = "), literal, F.lit(";")),
+        F.concat(F.lit("with t as (select * from Marts.daily where note = "), literal, F.lit(") select * from t, `gold`.`"), lang, F.lit("` -- "), remark),
+        F.concat(F.lit("select replace(x, "), literal, F.lit(", '') from (select * from raw."), source, F.lit(") s, silver."), lang),
+        F.concat(F.lit("insert into gold."), lang, F.lit(" select "), literal),
+        F.concat(F.lit("/* "), remark, F.lit(" */ select extract(year from ts) from gold.t; drop table gold."), lang),
+        F.concat(F.lit("select a /* "), remark, F.lit(" */ from "), source, F.lit(" join gold.t on true, lake."), lang, F.lit(".u")),
+        F.concat(F.lit("select `update`, "), literal, F.lit(" from lake . gold . t where k in (select k from bronze."), lang, F.lit(")")),
+        F.concat(F.lit("```sql\nselect "), literal, F.lit(" from marts.m\n```")),
+    ]
+    return _audited(spark, sf_dir, shapes, strict=True)
