@@ -3,8 +3,9 @@
 A document is the first layer of a worklist. Each layer is scanned with the base patterns, then unwrapped in every
 way that applies: URL escapes, Unicode and HTML escapes, base64 runs, and compressed bytes inside any of these. What
 comes out is a layer again, until nothing unwraps any more. Each code point of a layer knows the span of the document
-it came from, so a finding at any depth maps back to the document. A layer whose content was already seen at the same
-place is not taken again, which ends cycles such as a compressed file that holds itself.
+it came from, so a finding at any depth maps back to the document; what compressed bytes hold stands for one span as a
+whole. A layer whose content was already seen at the same place is not taken again, which ends cycles such as a
+compressed file that holds itself, and headers within a stream that was read to its end are not tried.
 
 Rows stay where they are: one pass, no shuffle, memory in proportion to one text.
 """
@@ -39,7 +40,7 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 12, 18
 
 #: No secret fits into fewer decoded bytes than 16, so shorter base64 runs hold none.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:\r?\n[A-Za-z0-9+/_-]+)*")
-_READABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}")
+_READABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}+")
 _URL = re.compile("(?:%[0-9A-Fa-f]{2})+")
 _PLUS = re.compile(r"%[0-9A-Fa-f]{2}\+|\+%[0-9A-Fa-f]{2}")
 _BYTES = re.compile(r"(?:\\x[0-9A-Fa-f]{2})+")
@@ -59,11 +60,20 @@ MAX_UNPACKED = 64 << 20
 
 
 class Layer(NamedTuple):
-    """A text and, for each code point, the span of the document it stands for (None: itself)."""
+    """A text and, for each code point, the span of the document it stands for (None: itself; a number: one span for all)."""
 
     text: str
-    starts: np.ndarray | None
-    ends: np.ndarray | None
+    starts: np.ndarray | int | None
+    ends: np.ndarray | int | None
+    path: str
+
+
+class Packed(NamedTuple):
+    """What compressed bytes held, and the one span of the document that all of it stands for."""
+
+    content: bytes
+    start: int
+    end: int
     path: str
 
 
@@ -82,48 +92,60 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def _origin(layer: Layer, start: int, end: int) -> tuple[int, int]:
     if layer.starts is None:
         return start, end
+    if isinstance(layer.starts, int):
+        return layer.starts, layer.ends
     return int(layer.starts[start]), int(layer.ends[end - 1])
 
 
-def _origins(layer: Layer, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of the document for spans of the layer."""
+Places = np.ndarray | int
+
+
+def _origins(layer: Layer, starts: np.ndarray, ends: np.ndarray) -> tuple[Places, Places]:
+    """Spans of the document for spans of the layer, or the one span of all of it."""
     if layer.starts is None:
         return starts, ends
+    if isinstance(layer.starts, int):
+        return layer.starts, layer.ends
     return layer.starts[starts], layer.ends[ends - 1]
 
 
-def _unpack(raw: memoryview) -> bytes | None:
-    """The content of compressed bytes as far as it can be read; None if more than MAX_UNPACKED."""
+def _unpack(raw: memoryview) -> tuple[bytes | None, int]:
+    """The content of compressed bytes as far as it can be read (None if more than MAX_UNPACKED), and the bytes it took if all was read."""
     try:
         if raw[:4] == b"\x28\xb5\x2f\xfd":
-            out = zstandard.ZstdDecompressor().stream_reader(raw).read(MAX_UNPACKED + 1)
-        elif raw[:3] == b"BZh":
-            out = bz2.BZ2Decompressor().decompress(raw, MAX_UNPACKED + 1)
-        elif raw[:2] == b"\xfd7":
-            out = lzma.LZMADecompressor().decompress(raw, MAX_UNPACKED + 1)
+            out, tool = zstandard.ZstdDecompressor().stream_reader(raw).read(MAX_UNPACKED + 1), None
         else:
-            out = zlib.decompressobj(47).decompress(raw, MAX_UNPACKED + 1)
+            tool = bz2.BZ2Decompressor() if raw[:3] == b"BZh" else lzma.LZMADecompressor() if raw[:2] == b"\xfd7" else zlib.decompressobj(47)
+            out = tool.decompress(raw, MAX_UNPACKED + 1)
     except (zlib.error, zstandard.ZstdError, lzma.LZMAError, OSError, EOFError, ValueError):
-        return b""
-    return None if len(out) > MAX_UNPACKED else out
+        return b"", 0
+    taken = len(raw) - len(tool.unused_data) if tool is not None and tool.eof else 0
+    return (None if len(out) > MAX_UNPACKED else out), taken
 
 
-def _from_bytes(raw: bytes, starts: np.ndarray, ends: np.ndarray, path: str) -> Iterator[Layer | None]:
+def _from_bytes(raw: bytes, starts: Places, ends: Places, path: str) -> Iterator[Layer | Packed | None]:
     """Readable stretches of decoded bytes, and what compressed stretches hold; None for one that is too large."""
+    one = isinstance(starts, int)
     for m in _READABLE.finditer(raw):
         text = m[0].decode("utf-8", "replace")
+        if one:
+            yield Layer(text, starts, ends, path)
+            continue
         at = m.start() + (np.arange(len(text)) if len(text) == len(m[0]) else _char_offsets(text, len(m[0])))
         last = np.append(at[1:], m.end()) - 1
         yield Layer(text, starts[at], ends[np.minimum(last, len(ends) - 1)], path)
-    whole = memoryview(raw)
-    for start in [m.start() for m in _PACKED.finditer(raw)]:
-        content = _unpack(whole[start:])
+    whole, done = memoryview(raw), 0
+    for m in _PACKED.finditer(raw):
+        start = m.start()
+        if start < done:
+            continue  # part of a stream that was read to its end
+        content, taken = _unpack(whole[start:])
+        done = start + taken
         if content is None:
             yield None
         elif content:
             # No byte of it stands for a part of the packed bytes, so each stands for all of them.
-            n = len(content)
-            yield from _from_bytes(content, np.full(n, starts[start]), np.full(n, ends[-1]), f"{path}>packed")
+            yield Packed(content, *((starts, ends) if one else (int(starts[start]), int(ends[-1]))), f"{path}>packed")
 
 
 def _char_offsets(text: str, size: int) -> np.ndarray:
@@ -134,7 +156,7 @@ def _char_offsets(text: str, size: int) -> np.ndarray:
     return offsets if offsets[-1] + widths[-1] == size else np.arange(len(text)) * size // len(text)
 
 
-def _base64(layer: Layer) -> Iterator[Layer | None]:
+def _base64(layer: Layer) -> Iterator[Layer | Packed | None]:
     for m in _BASE64.finditer(layer.text):
         chunks = [(m.start(), m[0])]
         if "\n" in m[0]:  # wrapped lines, or lines of their own
@@ -143,7 +165,8 @@ def _base64(layer: Layer) -> Iterator[Layer | None]:
                 chunks.append((at, line.rstrip("\r")))
                 at += len(line) + 1
         for at, chunk in chunks:
-            places = np.array([i for i, c in enumerate(chunk) if c not in "\r\n"], dtype=np.int64) + at
+            one = isinstance(layer.starts, int)
+            places = None if one else np.array([i for i, c in enumerate(chunk) if c not in "\r\n"], dtype=np.int64) + at
             letters = chunk.replace("\r", "").replace("\n", "").replace("-", "+").replace("_", "/")
             if len(letters) < 20:
                 continue
@@ -153,6 +176,9 @@ def _base64(layer: Layer) -> Iterator[Layer | None]:
                 raw = binascii.a2b_base64(body + "=" * (-len(body) % 4))
                 if not (_READABLE.search(raw) or _PACKED.search(raw)):
                     continue
+                if one:
+                    yield from _from_bytes(raw, layer.starts, layer.ends, f"{layer.path}>base64")
+                    continue
                 k = np.arange(len(raw))
                 first = shift + k // 3 * 4 + k % 3
                 starts, ends = _origins(layer, places[first], places[first + 1] + 1)
@@ -161,6 +187,10 @@ def _base64(layer: Layer) -> Iterator[Layer | None]:
 
 def _replaced(layer: Layer, parts: list[tuple[int, int, str, np.ndarray, np.ndarray]], path: str) -> Layer:
     """The layer with stretches exchanged. parts: start, end, new text, and its spans of this layer."""
+    if isinstance(layer.starts, int):
+        edges = [0, *(edge for part in parts for edge in part[:2]), len(layer.text)]
+        same = [layer.text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+        return Layer("".join(x for pair in zip(same, [*(part[2] for part in parts), ""], strict=True) for x in pair), layer.starts, layer.ends, path)
     texts, starts, ends, at = [], [], [], 0
     for start, end, text, new_starts, new_ends in [*parts, (len(layer.text), len(layer.text), "", np.arange(0), np.arange(0))]:
         same = np.arange(at, start)
@@ -173,7 +203,7 @@ def _replaced(layer: Layer, parts: list[tuple[int, int, str, np.ndarray, np.ndar
     return Layer(text, *(_origins(layer, a, b) if len(a) else (a, b)), path)
 
 
-def _byte_escapes(layer: Layer, pattern: re.Pattern, width: int, name: str) -> Iterator[Layer | None]:
+def _byte_escapes(layer: Layer, pattern: re.Pattern, width: int, name: str) -> Iterator[Layer | Packed | None]:
     """Runs of escaped bytes, ``width`` characters each."""
     path, parts = f"{layer.path}>{name}", []
     for m in pattern.finditer(layer.text):
@@ -189,7 +219,7 @@ def _byte_escapes(layer: Layer, pattern: re.Pattern, width: int, name: str) -> I
         yield _replaced(layer, parts, path)
 
 
-def _url(layer: Layer) -> Iterator[Layer | None]:
+def _url(layer: Layer) -> Iterator[Layer | Packed | None]:
     if "%" not in layer.text:
         return
     yield from _byte_escapes(layer, _URL, 3, "url")
@@ -205,7 +235,7 @@ def _point(escape: str) -> int:
     return int(escape[2:].strip("{}"), 16)
 
 
-def _unicode(layer: Layer) -> Iterator[Layer | None]:
+def _unicode(layer: Layer) -> Iterator[Layer | Packed | None]:
     if "\\x" in layer.text:
         yield from _byte_escapes(layer, _BYTES, 4, "unicode")
     if "\\" not in layer.text and "&" not in layer.text and "%u" not in layer.text:
@@ -229,21 +259,30 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], dict[tuple[int, int, in
     refused, seen, work = 0, set(), [Layer(text, None, None, "")]
     while work:
         layer = work.pop()
-        for unwrap in (_url, _unicode, _base64):
-            for inner in unwrap(layer):
-                if inner is None:
-                    refused += 1
-                    continue
-                if not inner.text:
-                    continue
-                key = (hashlib.blake2b(inner.text.encode(), digest_size=16).digest(), int(inner.starts[0]), int(inner.ends[-1]))
-                if key in seen:
-                    continue
-                seen.add(key)
+        if isinstance(layer, Packed):
+            inners = _from_bytes(*layer)
+        else:
+            inners = (inner for unwrap in (_url, _unicode, _base64) for inner in unwrap(layer))
+        for inner in inners:
+            if inner is None:
+                refused += 1
+                continue
+            if isinstance(inner, Packed):
+                # Of equal contents that end at one place the first, of the widest span, is enough.
+                key = hashlib.blake2b(inner.content, digest_size=16).digest(), inner.end
+            elif inner.text:
+                a, b = _origin(inner, 0, len(inner.text))
+                key = hashlib.blake2b(inner.text.encode(), digest_size=16).digest(), a, b
+            else:
+                continue
+            if key in seen:
+                continue
+            seen.add(key)
+            work.append(inner)
+            if isinstance(inner, Layer):
                 for start, kind, end in base_spans(inner.text):
                     a, b = _origin(inner, start, end)
                     found.setdefault((a, kind, b), inner.path[1:])
-                work.append(inner)
     return base, found, refused
 
 

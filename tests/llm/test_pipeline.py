@@ -87,7 +87,7 @@ def test_empty_documents(spark, documents):
 
 def test_all_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op"))
-    assert numbers == list(range(1, 11)) and QUERIES["pipeline"] is corpus_pipeline.run
+    assert numbers == list(range(1, 14)) and QUERIES["pipeline"] is corpus_pipeline.run
 
 
 def test_stages_judge_each_row_by_its_own_text(spark, documents):

@@ -6,6 +6,8 @@ import gzip
 import hashlib
 import lzma
 import re
+import time
+import tracemalloc
 import urllib.parse
 import zlib
 
@@ -124,3 +126,49 @@ def test_zlib_is_found_at_any_place(level, bits):
     safe = base64.urlsafe_b64encode(packed).decode().rstrip("=")
     for text in (safe, "x/" + safe, "svg/" + safe, "https://k.example/mermaid/svg/" + safe, b64(b"\x00\x01head\xff" + packed), "".join(f"%{c:02X}" for c in b"\xfeab" + packed)):
         assert {0, 2} <= {kind for _, kind, _ in secrets.scan(text)[1]}, text
+
+
+def nested(pack, times):
+    packed = SECRET.encode()
+    for _ in range(times):
+        packed = pack(packed)
+    return packed
+
+
+@pytest.mark.parametrize("pack", [lambda x: gzip.compress(x, 9), lambda x: zlib.compress(x, 0), lambda x: gzip.compress(x, 0)])
+def test_a_thousand_layers_end_soon(pack):
+    for packed in (nested(pack, 26), nested(pack, 300 if len(pack(b"")) > 15 else 1000)):
+        text = "x " + b64(packed) + " y"
+        started = time.perf_counter()
+        assert {0, 2} <= {kind for _, kind, _ in secrets.scan(text)[1]}
+        assert time.perf_counter() - started < 5
+
+
+def test_contents_that_come_back_are_taken_once(monkeypatch):
+    """Whatever is unpacked, the same bytes come out: the worklist ends."""
+    calls = []
+    again = gzip.compress(b"secret=abcdefghijklmnop", 0)
+
+    def same(raw):
+        calls.append(len(raw))
+        return again, 0
+
+    monkeypatch.setattr(secrets, "_unpack", same)
+    assert secrets.scan("x " + b64(again))[1] and len(calls) < 20
+
+
+def test_large_packed_layers_take_little_memory():
+    """8 MB of readable text in 11 KB: memory in proportion to the text, not to places of each byte."""
+    text = "é " + b64(zlib.compress(b"all is well " * 700_000 + SECRET.encode(), 9))
+    tracemalloc.start()
+    found = secrets.scan(text)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {0, 2} <= {kind for _, kind, _ in found} and peak < 200 << 20
+
+
+def test_layers_within_packed_layers_stand_for_all_of_it():
+    for inner in (b64(SECRET), WRAPPED["url twice"], WRAPPED["unicode"], WRAPPED["html"], f"a {WRAPPED['bytes']} b {WRAPPED['gzip in url']}"):
+        text = "see " + b64(gzip.compress(f"head {inner} tail".encode())) + "."
+        spans = {(a, b) for a, _, b in secrets.scan(text)[1]}
+        assert spans and all(a == 4 and len(text) - 4 <= b <= len(text) - 1 for a, b in spans), inner
