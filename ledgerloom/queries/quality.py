@@ -11,11 +11,12 @@ from ledgerloom.operators import profile, quality
 from ledgerloom.operators.sql_audit import FORBIDDEN, audit
 from ledgerloom.operators.standardize import merchant_id_valid
 from ledgerloom.plans.staging import COLUMNS
-from ledgerloom.queries import Registry
+from ledgerloom.queries import Registry, standins
 from ledgerloom.queries.loading import new_lake
 from ledgerloom.queries.standins import dim_date, event_facts, facts, raw, silver, staged, table
 from ledgerloom.schemas import PRIMARY_KEYS
 from ledgerloom.schemas import RAW as DECLARED
+from ledgerloom.session import scratch_dir
 from ledgerloom.sources import files
 
 REGISTRY = Registry({}, {})
@@ -80,6 +81,27 @@ def dq_null_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "file_drift",
+    """
+    SELECT 1 AS files, count(*) AS rows, '' AS missing, '' AS added, '' AS retyped FROM events WHERE event_id % 3 = 0
+    UNION ALL SELECT 1, count(*), 'value', 'amount', '' FROM events WHERE event_id % 3 = 1
+    UNION ALL SELECT 1, count(*), '', 'kind', 'user_id bigint -> string' FROM events WHERE event_id % 3 = 2
+    """,
+)
+def file_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in three files of one folder: as declared, with a renamed column, and with one retyped and one added."""
+    path = scratch_dir(spark, "drift")
+    events = table(spark, sf_dir, "events")
+    changed = [events, events.withColumnRenamed("value", "amount"), events.withColumns({"user_id": F.col("user_id").cast("string"), "kind": F.lit(1)})]
+    for i, part in enumerate(changed):
+        part.filter(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(path)
+    kinds = files.file_drift(spark, path, standins.TEST_TABLES["events"])
+    rows = spark.read.schema("event_id bigint").parquet(path).groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    found = kinds.withColumn("name", F.element_at(F.split("first_file", "/"), -1)).join(rows, "name")
+    return found.select(F.col("files").cast("int").alias("files"), "rows", *[F.array_join(c, ",").alias(c) for c in ("missing", "added", "retyped")])
+
+
 @query("value_counts", "SELECT transaction_status, count(*) AS rows FROM silver_transactions GROUP BY ALL")
 def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.value_counts(silver(spark, sf_dir, "transactions"), "transaction_status")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from ledgerloom.schemas import INGESTED_AT, SOURCE_FILE, STAMP_COLUMNS
 
@@ -17,12 +20,84 @@ CORRUPT = "_corrupt_record"
 def scan_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Parquet scan with the files' own columns and types, added ones too.
 
-    With a declared schema a missing column, and so a renamed one, raises; see :func:`drift` for the rest.
+    With a declared schema every file must have every declared column: one that lacks a column, and so one where it was
+    renamed, raises and is named; see :func:`drift` for the rest. Files of one schema are read without merging.
     """
-    found = spark.read.option("mergeSchema", "true").parquet(path)
-    if schema and (missing := drift(found, schema).missing):
-        raise ValueError(f"{path}: no column {', '.join(missing)}")
-    return found
+    if not schema:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    kinds = file_drift(spark, path, schema).orderBy(F.size("missing").desc(), "first_file").collect()  # one row for each different schema
+    if kinds and kinds[0].missing:
+        files = sum(k.files for k in kinds if k.missing)
+        raise ValueError(f"{path}: no column {', '.join(kinds[0].missing)} in {files} of {sum(k.files for k in kinds)} file(s), such as {kinds[0].first_file}")
+    return spark.read.option("mergeSchema", str(len(kinds) > 1).lower()).parquet(path)
+
+
+_COLUMNS = "array<struct<name:string,type:string>>"
+
+
+def _footer(file: object) -> list[dict[str, str]]:
+    """Columns of one Parquet file with their Spark types, from its footer; as Spark wrote them, if it did."""
+    import pyarrow.parquet as pq
+
+    found = pq.read_schema(file)
+    written = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+    fields = T.StructType.fromJson(json.loads(written)).fields if written else from_arrow_schema(found.remove_metadata()).fields
+    return [{"name": f.name, "type": f.dataType.simpleString()} for f in fields]
+
+
+def file_schemas(spark: SparkSession, path: str) -> DataFrame:
+    """(path, columns) of each Parquet file below ``path``; folder columns are not in the files.
+
+    Tasks read the footers alone, a part of the files each, where Arrow can open the path; files on any other system are
+    read whole through Spark, up to 2 GB each.
+    """
+    import pyarrow as pa
+    from pyarrow import fs
+
+    listed = landing_inventory(spark, path)
+    kind = pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = []
+            for name in batch.column("path").to_pylist():
+                try:
+                    system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
+                    with system.open_input_file(place) as file:
+                        columns.append(_footer(file))
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    columns.append(None)  # a system that only Spark's readers know
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(columns, kind)], ["path", "columns"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [_footer(pa.BufferReader(content)) for content in batch.column("content").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(columns, kind)], ["path", "columns"])
+
+    schema = f"path string, columns {_COLUMNS}"
+    read = listed.select("path").mapInArrow(footers, schema)
+    if read.filter("columns IS NULL").isEmpty():
+        return read
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return content.mapInArrow(whole, schema)
+
+
+def file_drift(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(files, first_file, missing, added, retyped): how the files of each schema found below ``path`` differ from the declared one.
+
+    ``retyped`` has entries "column declared -> found"; a file with the declared columns has three empty lists.
+    """
+    declared = [(f.name, f.dataType.simpleString()) for f in T.StructType.fromDDL(schema).fields]
+    names = F.array(*[F.lit(n) for n, _ in declared])
+    kinds = file_schemas(spark, path).groupBy("columns").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("first_file"))
+    found = F.transform("columns", lambda c: c["name"])
+    types = F.map_from_entries("columns")
+    retyped = [F.when(types[n] != t, F.concat(F.lit(f"{n} {t} -> "), types[n])) for n, t in declared]
+    known = F.concat(names, F.array(*[F.lit(c) for c in STAMP_COLUMNS]))
+    return kinds.select(
+        "files", "first_file", F.array_except(names, found).alias("missing"), F.array_except(found, known).alias("added"),
+        F.array_compact(F.array(*retyped)).alias("retyped"),
+    )
 
 
 @dataclass(frozen=True)

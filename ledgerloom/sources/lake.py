@@ -67,9 +67,19 @@ class Lake:
         if different:
             raise ValueError(f"{name}: columns differ: {sorted(different)}")
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present.schema.fields])
-        properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-        partition_by = [c for c in properties[_PARTITIONS].split(",") if c]
-        typed.write.mode("append").partitionBy(*partition_by).parquet(properties[_LOCATION])
+        typed.write.mode("append").partitionBy(*self.partitions(layer, table)).parquet(self.location(layer, table))
+
+    def _property(self, layer: str, table: str, name: str) -> str:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()
+        return next(r["value"] for r in rows if r["key"] == name)
+
+    def location(self, layer: str, table: str) -> str:
+        """Folder of the snapshot that the table points to."""
+        return self._property(layer, table, _LOCATION)
+
+    def partitions(self, layer: str, table: str) -> list[str]:
+        """Columns that the table's folders stand for."""
+        return [c for c in self._property(layer, table, _PARTITIONS).split(",") if c]
 
     def _has_files(self, location: str) -> bool:
         try:

@@ -10,6 +10,7 @@ from ledgerloom.operators.upsert import one_per_key
 from ledgerloom.schemas import RAW, STAMP_COLUMNS, ddl_columns
 from ledgerloom.sources.files import CORRUPT, below, stamp
 from ledgerloom.sources.lake import Lake
+from ledgerloom.streaming.key_index import KeyIndex
 
 
 def typed_transactions(records: DataFrame) -> DataFrame:
@@ -37,12 +38,15 @@ def _without(fresh: DataFrame, target: DataFrame, key: str) -> DataFrame:
 def insert_if_absent(
     lake: Lake, layer: str, table: str, batch: DataFrame, key: str, order: list[str] | None = None
 ) -> None:
-    """Append the rows whose key is new. A replayed batch finds its keys present and adds nothing."""
+    """Append the rows whose key is new. A replayed batch finds its keys present and adds nothing.
+
+    Which keys are present is read from the buckets of a key index that the batch falls into, not from the table.
+    """
     # Asked for twice, and an aggregation of the batch: kept while the batch is loaded.
     fresh = one_per_key(batch.filter(F.col(key).isNotNull()), key, order, "latest").select(*batch.columns).persist()
     if lake.exists(layer, table):
-        target = batch.sparkSession.table(lake.name(layer, table))
-        lake.append(layer, table, _without(fresh, target, key).select(*batch.columns))
+        known = KeyIndex(lake, layer, table, key).known(fresh)
+        lake.append(layer, table, fresh.join(known, key, "left_anti").select(*batch.columns))
     else:
         lake.append(layer, table, fresh)
     fresh.unpersist()
@@ -52,7 +56,7 @@ def with_streamed(lake: Lake, table: str, batch: DataFrame, folder: str, key: st
     """A batch load of ``folder`` beside the Bronze rows that came in another way and whose key the batch lacks."""
     if not lake.exists("bronze", table):
         return batch
-    streamed = lake.read("bronze", table).filter(~below(folder))
+    streamed = lake.read("bronze", table).filter(~F.coalesce(below(folder), F.lit(False)))  # rows without source file stay
     return batch.unionByName(absent_rows(streamed, batch, key), allowMissingColumns=True)
 
 

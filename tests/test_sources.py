@@ -64,6 +64,36 @@ def test_drifted_files(spark, lake, raw_tables, tmp_path):
     assert report.status == "failed" and "email" in report.error and lake.read("bronze", "customers").count() == 3
 
 
+def test_one_renamed_file_of_many_fails_the_load_and_is_named(spark, lake, raw_tables, tmp_path):
+    path, rows = str(tmp_path / "customers"), raw_tables["customers"].coalesce(1)
+    for part in (rows, rows, rows.withColumnRenamed("email", "mail"), rows.withColumn("loyalty", F.lit(1))):
+        part.write.mode("append").parquet(path)
+    kinds = files.file_drift(spark, path, RAW["customers"])
+    assert values(kinds, "files", "missing", "added", "retyped") == [(1, ["email"], ["mail"], []), (1, [], ["loyalty"], []), (2, [], [], [])]
+    renamed = next(f for f in (tmp_path / "customers").glob("*.parquet") if "mail" in spark.read.parquet(str(f)).columns)
+    with pytest.raises(ValueError, match=f"no column email in 1 of 4 file.*{renamed.name}"):
+        files.scan_parquet(spark, path, RAW["customers"])
+    report = load_tables(lake, "bronze", {"customers": lambda: files.scan_parquet(spark, path, RAW["customers"])}, fail=False).first()
+    assert report.status == "failed" and renamed.name in report.error
+    renamed.unlink()
+    found = files.scan_parquet(spark, path, RAW["customers"])
+    assert found.count() == 9 and found.filter("loyalty = 1").count() == 3
+
+
+def test_footers_of_files_that_spark_did_not_write(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"a": [1], "b": [[1.5]], "c": ["x"]}), tmp_path / "one.parquet")
+    expected = [[("a", "bigint"), ("b", "array<double>"), ("c", "string")]]
+    for whole in (False, True):
+        if whole:  # a file system that Arrow does not know
+            real = files.landing_inventory
+            monkeypatch.setattr(files, "landing_inventory", lambda *a: real(*a).withColumn("path", F.regexp_replace("path", "^file", "other")))
+        rows = files.file_schemas(spark, str(tmp_path)).collect()
+        assert [[tuple(c) for c in r.columns] for r in rows] == expected
+
+
 def test_files_below_a_folder(spark):
     rows = [("file:///tmp/a/raw/t/x.parquet",), ("s3://b/raw/t/y",), ("file:/tmp/a/raw/t2/x",), ("file:///tmp/a%20b+c/t/x",)]
     df = spark.createDataFrame(rows, "_source_file string")
