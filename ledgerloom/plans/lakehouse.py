@@ -10,7 +10,7 @@ from ledgerloom.functions.numeric import recommended_features
 from ledgerloom.operators import incidents, isolation_forest
 from ledgerloom.operators.quality import GOLD_CONTRACTS, bronze_report, null_report, parse_report, run_contracts
 from ledgerloom.operators.standardize import SILVER_RULES, to_silver
-from ledgerloom.operators.upsert import merge_increment
+from ledgerloom.operators.upsert import changed_rows
 from ledgerloom.plans import calendar, marts, star
 from ledgerloom.plans.staging import stage
 from ledgerloom.schemas import PRIMARY_KEYS, RAW, STREAM_TRANSACTION
@@ -52,13 +52,19 @@ def staged(lake: Lake) -> dict[str, DataFrame]:
     return {t: lake.view(f"stg_{t}", stage(lake.read("silver", t), t)) for t in RAW}
 
 
+def merge_dimension(lake: Lake, dimension: str, source: DataFrame, key: str) -> None:
+    """Load an incremental dimension: all of the source the first time, then its changed rows into the files that hold their keys."""
+    if lake.exists("gold", dimension):
+        lake.merge("gold", dimension, changed_rows(source, lake.read("gold", dimension)), key, ["updated_at"])
+    else:
+        lake.replace("gold", dimension, source)
+
+
 def build_gold(lake: Lake, first: dt.date = calendar.FIRST_DAY, last: dt.date = calendar.LAST_DAY) -> None:
     """Merge the dimensions, rebuild calendar and facts."""
     views = staged(lake)
     for dimension, dataset in DIMENSIONS.items():
-        present = lake.read("gold", dimension) if lake.exists("gold", dimension) else None
-        merged = merge_increment(present, views[dataset], PRIMARY_KEYS[dataset])
-        lake.replace("gold", dimension, merged)
+        merge_dimension(lake, dimension, views[dataset], PRIMARY_KEYS[dataset])
     days = calendar.calendar(lake.spark, first, last)
     lake.replace("gold", "dim_date", days)
     facts = star.fact_transaction(views["transactions"], lake.read("gold", "dim_account"), days)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import expand, standardize, upsert
 from ledgerloom.operators.profile import value_range
-from ledgerloom.plans import calendar
+from ledgerloom.plans import calendar, lakehouse
 from ledgerloom.plans.questions import latest_from_source as latest
 from ledgerloom.plans.staging import COLUMNS
 from ledgerloom.queries import Query, Registry, standins
@@ -142,8 +142,8 @@ def _merged(dataset: str, key: str, note: str, until: str) -> None:
         lake = new_lake(spark, "merge")
         source = staged(spark, sf_dir, dataset)
         first = source.filter(F.col("updated_at") < until).withColumn(note, F.lit("as first loaded"))
-        lake.replace("gold", dataset, upsert.merge_increment(None, first, key))
-        lake.replace("gold", dataset, upsert.merge_increment(lake.read("gold", dataset), source, key))
+        for state in (first, source):
+            lakehouse.merge_dimension(lake, dataset, state, key)
         return lake.read("gold", dataset)
 
     REGISTRY.put(f"dim_{dataset.rstrip('s')}_upsert", run, oracle)
@@ -153,6 +153,24 @@ _merged("customers", "customer_id", "customer_status", "1991-06-01")
 _merged("accounts", "account_id", "account_status", "2000-01-01")
 _merged("merchants", "merchant_id", "status", "1990-03-01")
 
+@query(
+    "partition_refresh",
+    """
+    SELECT event_id, user_id, event_type, CASE WHEN CAST(ts AS DATE) IN (DATE '2024-01-03', DATE '2024-01-05') THEN -value ELSE value END AS value,
+           CAST(ts AS DATE) AS event_date
+    FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-03' OR event_id % 2 = 0
+    """,
+)
+def partition_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by day, of which two days are loaded again, one of them with half of its rows."""
+    lake = new_lake(spark, "days")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", F.to_date("ts").alias("event_date"))
+    lake.replace("bronze", "events", events, ["event_date"])
+    again = events.withColumn("value", -F.col("value"))
+    lake.refresh_partitions("bronze", "events", again.filter("event_date = DATE '2024-01-05' OR event_date = DATE '2024-01-03' AND event_id % 2 = 0"))
+    return lake.read("bronze", "events")
+
+
 CHANGED = """
     SELECT * FROM silver_accounts WHERE updated_at >=
         (SELECT max(updated_at) - INTERVAL 1 DAY FROM silver_accounts WHERE updated_at < TIMESTAMP '2000-01-01')

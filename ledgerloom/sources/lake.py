@@ -3,20 +3,29 @@
 A table is a view of the catalog over its newest snapshot folder. Each full write goes to a new folder, and the view is
 replaced in one step once the write has committed. Readers keep the old snapshot, a table may be rewritten from itself
 and may change its columns, and a write that dies half-way leaves the table as it was.
+
+A merge or a refresh of some partitions writes a folder of its own for what it changes. The view then reads all folders
+of the table but for the files that were superseded, whose names it holds; Spark leaves those out when it lists files.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerloom.operators.upsert import one_per_key
 from ledgerloom.sources.files import drift
 
-_LOCATION, _PARTITIONS = "lake.location", "lake.partitions"
+_LOCATION, _PARTITIONS, _FOLDERS, _DROPPED = "lake.location", "lake.partitions", "lake.folders", "lake.dropped"
+#: Folders and superseded files of one table; beyond them a change writes the whole table anew.
+MAX_FOLDERS, MAX_DROPPED = 50, 2000
 
 
 class Lake:
@@ -54,7 +63,70 @@ class Lake:
                 df.limit(0).coalesce(1).write.mode("append").parquet(location)
         else:
             df.write.parquet(location)
-        self._point(layer, table, df.columns, location, partition_by)
+        self._point(layer, table, df.schema, [location], partition_by)
+
+    def merge(self, layer: str, table: str, changes: DataFrame, key: str, order: list[str] | None = None, on_duplicate: str = "error") -> int:
+        """Copy-on-write upsert: only files that hold a changed key are written anew; returns how many those are.
+
+        Rows with a matching key are replaced, others inserted, none deleted; a null key never matches. The table's key
+        column is scanned once for the files, and these files once for their rows.
+        """
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.read(layer, table).schema.fields]
+        fresh = one_per_key(changes.select(*columns), key, order, on_duplicate).persist()
+        try:
+            if fresh.isEmpty():
+                return 0
+            keys = fresh.select(key).filter(F.col(key).isNotNull())
+            held = self._with_files(layer, table).select(key, "__file")
+            touched = [r[0] for r in held.join(keys, key, "left_semi").select("__file").distinct().collect()]
+
+            def after(rows: DataFrame) -> DataFrame:
+                keyed, unkeyed = rows.filter(F.col(key).isNotNull()), rows.filter(F.col(key).isNull())
+                return keyed.join(keys, key, "left_anti").select(*fresh.columns).unionByName(unkeyed).unionByName(fresh)
+
+            self._supersede(layer, table, touched, after)
+            return len(touched)
+        finally:
+            fresh.unpersist()
+
+    def refresh_partitions(self, layer: str, table: str, df: DataFrame) -> int:
+        """Replace the partitions that ``df`` has rows for and leave the others alone; returns the number of files that go.
+
+        The table must have been written with ``partition_by``.
+        """
+        by = self.partitions(layer, table)
+        if not by:
+            raise ValueError(f"{self.name(layer, table)} has no partitions")
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.read(layer, table).schema.fields]
+        fresh = df.select(*columns).persist()
+        try:
+            values = [tuple(r) for r in fresh.select(*by).distinct().collect()]  # one for each folder that is replaced
+            if not values:
+                return 0
+            same = reduce(or_, (reduce(and_, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, row, strict=True))) for row in values))
+            gone = [r[0] for r in self._with_files(layer, table).filter(same).select("__file").distinct().collect()]
+            self._supersede(layer, table, gone, lambda rows: rows.filter(~same).unionByName(fresh))
+            return len(gone)
+        finally:
+            fresh.unpersist()
+
+    def _with_files(self, layer: str, table: str) -> DataFrame:
+        """The table's rows, with the name of the file that holds each."""
+        schema, dropped = self.read(layer, table).schema, self._listed(layer, table, _DROPPED)
+        return self.spark.sql(_rows_of(schema, self._folders(layer, table), dropped, ", _metadata.file_name AS __file"))
+
+    def _supersede(self, layer: str, table: str, files: list[str], after: Callable[[DataFrame], DataFrame]) -> None:
+        """Write what comes ``after`` the rows of the named files to a folder of its own, then drop these files from the view."""
+        folders, dropped, by = self._folders(layer, table), self._listed(layer, table, _DROPPED), self.partitions(layer, table)
+        schema = self.read(layer, table).schema
+        if len(folders) >= MAX_FOLDERS or len(dropped) + len(files) > MAX_DROPPED:
+            self.replace(layer, table, after(self.read(layer, table)).select(*schema.names), by)
+            return
+        change = f"{self.root}/{layer}/{table}/change={uuid.uuid4().hex}"
+        old = self._with_files(layer, table)
+        rows = after(old.filter(F.col("__file").isin(files)).drop("__file")).select(*schema.names)
+        (rows.hint("rebalance", *by) if by else rows).write.partitionBy(*by).parquet(change)
+        self._point(layer, table, schema, [*folders, change], by, [*dropped, *files])
 
     def append(self, layer: str, table: str, df: DataFrame) -> None:
         """Add rows, matching columns by name; creates the table on first use."""
@@ -79,7 +151,18 @@ class Lake:
 
     def partitions(self, layer: str, table: str) -> list[str]:
         """Columns that the table's folders stand for."""
-        return [c for c in self._property(layer, table, _PARTITIONS).split(",") if c]
+        return self._listed(layer, table, _PARTITIONS)
+
+    def _listed(self, layer: str, table: str, name: str) -> list[str]:
+        return [c for c in self._property(layer, table, name).split(",") if c]
+
+    def _folders(self, layer: str, table: str) -> list[str]:
+        """All folders of the table: its snapshot and the changes since."""
+        return [f"{self.root}/{layer}/{table}/{name}" for name in self._listed(layer, table, _FOLDERS)]
+
+    def changed(self, layer: str, table: str) -> bool:
+        """Whether a merge or a refresh of partitions came after the snapshot."""
+        return len(self._listed(layer, table, _FOLDERS)) > 1
 
     def _has_files(self, location: str) -> bool:
         try:
@@ -87,13 +170,20 @@ class Lake:
         except AnalysisException:
             return False
 
-    def _point(self, layer: str, table: str, columns: Sequence[str], location: str, partition_by: Sequence[str] = ()) -> None:
+    def _point(self, layer: str, table: str, schema: T.StructType, folders: Sequence[str], partition_by: Sequence[str] = (), dropped: Sequence[str] = ()) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{self.suffix} LOCATION '{self.root}/{layer}'")
-        properties = f"'{_LOCATION}' = '{location}', '{_PARTITIONS}' = '{','.join(partition_by)}'"
-        chosen = ", ".join(f"`{c}`" for c in columns)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(layer, table)} TBLPROPERTIES ({properties}) AS SELECT {chosen} FROM parquet.`{location}`"
-        )
+        names = ",".join(folder.rsplit("/", 1)[1] for folder in folders)
+        properties = {_LOCATION: folders[0], _PARTITIONS: ",".join(partition_by), _FOLDERS: names, _DROPPED: ",".join(dropped)}
+        stored = ", ".join(f"'{name}' = '{value}'" for name, value in properties.items())
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} TBLPROPERTIES ({stored}) AS {_rows_of(schema, folders, dropped)}")
+
+
+def _rows_of(schema: T.StructType, folders: Sequence[str], dropped: Sequence[str], more: str = "") -> str:
+    """SQL for the rows in the folders, but for those of superseded files. Types are stated, as a folder's own values may suggest others."""
+    left_out = ", ".join(f"'{name}'" for name in dropped)
+    where = f" WHERE _metadata.file_name NOT IN ({left_out})" if dropped else ""
+    chosen = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" if len(folders) > 1 else f"`{f.name}`" for f in schema.fields)
+    return " UNION ALL ".join(f"SELECT {chosen}{more} FROM parquet.`{folder}`{where}" for folder in folders)
 
 
 REPORT_SCHEMA = "table string, rows bigint, status string, error string, drift string"

@@ -56,11 +56,12 @@ class KeyIndex:
         """The keys of a batch that the table has, once each.
 
         A batch that falls into few buckets reads these alone. One that falls into most of them, a bulk load, would read
-        the whole index: it scans the key column of the table instead, and leaves its own entries to the next small batch.
+        the whole index: it scans the key column of the table instead, and leaves its own entries to the next small batch. So
+        does a batch for a table whose files a merge has superseded in part.
         """
         keys = batch.select(F.col(self.key).alias("key")).withColumn("bucket", self.bucket(F.col("key")))
         wanted = [r.bucket for r in keys.select("bucket").distinct().collect()]  # at most as many as there are buckets
-        if 2 * len(wanted) > self.buckets:
+        if 2 * len(wanted) > self.buckets or self.lake.changed(self.layer, self.table):
             entries, by = self.lake.read(self.layer, self.table).select(F.col(self.key).alias("key")), ["key"]
         else:
             self.refresh()

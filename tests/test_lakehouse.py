@@ -3,6 +3,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections import Counter
+from contextlib import redirect_stdout
+from io import StringIO
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +132,65 @@ def test_detection_run(spark, lake):
 
 def test_raw_schemas_cover_the_lake(raw_tables):
     assert set(RAW) == set(raw_tables)
+
+
+def stored_files(lake, layer, table):
+    """Name and time of each file of the table's rows."""
+    names = {r[0] for r in lake._with_files(layer, table).select("__file").distinct().collect()}
+    return {p.name: p.stat().st_mtime_ns for p in Path(lake.root, layer, table).rglob("*.parquet") if p.name in names}
+
+
+def test_merge_writes_only_the_files_that_hold_changed_keys(spark, lake):
+    rows = [(i, "old") for i in range(100)] + [(None, "no key")]
+    lake.replace("gold", "d", spark.createDataFrame(rows, "k long, v string").repartitionByRange(5, "k"))
+    before, old = stored_files(lake, "gold", "d"), lake.read("gold", "d")
+    assert lake.merge("gold", "d", spark.createDataFrame([(7, "new"), (1000, "added"), (None, "added")], "k long, v string"), "k") == 1
+    after = stored_files(lake, "gold", "d")
+    assert len(before.keys() - after.keys()) == 1 and all(after[f] == t for f, t in before.items() if f in after)
+    expected = [(None, "added"), (None, "no key")] + [(i, "new" if i == 7 else "old") for i in range(100)] + [(1000, "added")]
+    order = lambda rows: sorted(rows, key=str)
+    assert order(tuple(r) for r in lake.read("gold", "d").collect()) == order(expected)
+    assert sorted(r.v for r in old.collect()).count("new") == 0  # a reader keeps what it had
+    # Superseded files are left out by name, for which no row has to be read.
+    with redirect_stdout(StringIO()) as out:
+        lake.read("gold", "d").explain("formatted")
+    assert out.getvalue().count("NOT file_name#") >= 1 or "file_name" in out.getvalue()
+    for _ in range(2):  # a second merge over the first; then one that finds nothing to do
+        lake.merge("gold", "d", spark.createDataFrame([(7, "newer"), (8, "newer")], "k long, v string"), "k")
+    assert lake.read("gold", "d").filter("v = 'newer'").count() == 2 and lake.read("gold", "d").count() == 103
+    assert lake.merge("gold", "d", spark.createDataFrame([], "k long, v string"), "k") == 0
+    with pytest.raises(Exception, match="more than one source row"):
+        lake.merge("gold", "d", spark.createDataFrame([(7, "a"), (7, "b")], "k long, v string"), "k")
+    lake.append("gold", "d", spark.createDataFrame([(2000, "appended")], "k long, v string"))
+    assert lake.merge("gold", "d", spark.createDataFrame([(2000, "merged")], "k long, v string"), "k") == 1
+    assert [r.v for r in lake.read("gold", "d").filter("k = 2000").collect()] == ["merged"]
+
+
+def test_many_changes_end_in_a_new_snapshot(spark, lake, monkeypatch):
+    monkeypatch.setattr("ledgerloom.sources.lake.MAX_FOLDERS", 2)
+    lake.replace("gold", "d", spark.range(10).selectExpr("id AS k", "0 AS v"))
+    for i in range(4):
+        lake.merge("gold", "d", spark.createDataFrame([(i, i + 1), (10 + i, 0)], "k long, v int"), "k")
+        assert lake.changed("gold", "d") == (i % 2 == 0)
+    assert sorted(tuple(r) for r in lake.read("gold", "d").collect()) == [(i, i + 1 if i < 4 else 0) for i in range(14)]
+
+
+def test_refresh_of_a_day_leaves_the_others_alone(spark, lake):
+    days = spark.createDataFrame([(i, f"2024-01-0{1 + i % 4}") for i in range(40)] + [(99, None)], "k long, day string").withColumn("day", F.to_date("day"))
+    lake.replace("bronze", "t", days, ["day"])
+    before = stored_files(lake, "bronze", "t")
+    again = days.filter("day = DATE '2024-01-02'").withColumn("k", F.col("k") + 1000)
+    assert lake.refresh_partitions("bronze", "t", again) >= 1
+    after = stored_files(lake, "bronze", "t")
+    kept = before.keys() & after.keys()
+    assert all(after[f] == before[f] for f in kept) and len(kept) == len(before) - 1
+    table = lake.read("bronze", "t")
+    assert table.count() == 41 and table.filter("day = DATE '2024-01-02'").agg(F.min("k")).first()[0] == 1001
+    with redirect_stdout(StringIO()) as out:
+        table.filter("day = DATE '2024-01-03'").explain("formatted")
+    assert "PartitionFilters" in out.getvalue() and "2024-01-03" in out.getvalue().split("PartitionFilters")[1].split("]")[0]
+    assert lake.refresh_partitions("bronze", "t", days.filter("day IS NULL")) == 1 and lake.read("bronze", "t").count() == 41
+    assert lake.refresh_partitions("bronze", "t", days.limit(0)) == 0
+    lake.replace("bronze", "u", days)
+    with pytest.raises(ValueError, match="no partitions"):
+        lake.refresh_partitions("bronze", "u", days)
