@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.quantiles import approx_quantiles, exact_quantiles
 from ledgerloom.operators.features import filled, medians, usable_rows, with_any_feature
 from ledgerloom.session import scratch_dir
+from ledgerloom.sources.lake import Lake
 
 # Settings of the detection job.
 TREES = 200
@@ -248,13 +249,83 @@ def fit(
     moves every distinct row once. No other column is read. The forest remembers fill values only for the features
     that had gaps.
     """
+    nodes, fill, size = _fitted(df, features, trees, sample, seed, exact, identity)
+    return Forest.from_nodes(nodes, features, fill, size, trees)
+
+
+def _fitted(
+    df: DataFrame, features: list[str], trees: int, sample: int, seed: int, exact: bool, identity: list[str] | None
+) -> tuple[DataFrame, dict[str, float], int]:
+    """Node table, fill values and rows of each tree."""
     usable = with_any_feature(df, features)
     rows, gaps = usable_rows(usable, features)
     fill = medians(usable, gaps, exact)
     others = [F.col(c) for c in identity or () if c not in features]
     complete = usable.select(*others, *filled(features, fill))
-    nodes = fit_nodes(complete, features, rows, trees, sample, seed, identity)
-    return Forest.from_nodes(nodes, features, fill, min(sample, rows), trees)
+    return fit_nodes(complete, features, rows, trees, sample, seed, identity), fill, min(sample, rows)
+
+
+NODES, SETTINGS = "forest_nodes", "forest_settings"
+SETTINGS_SCHEMA = "feature int, name string, fill double, sample int, trees int"
+
+
+def fit_stored(
+    lake: Lake,
+    df: DataFrame,
+    features: list[str],
+    trees: int = TREES,
+    sample: int = SAMPLE,
+    seed: int = SEED,
+    exact: bool = True,
+    identity: list[str] | None = None,
+) -> Forest:
+    """:func:`fit`, with the forest kept as ``ai.forest_nodes`` and ``ai.forest_settings``, so that later runs score with the same one."""
+    nodes, fill, size = _fitted(df, features, trees, sample, seed, exact, identity)
+    lake.replace("ai", NODES, nodes)
+    rows = [(i, name, fill.get(name), size, trees) for i, name in enumerate(features)]
+    lake.replace("ai", SETTINGS, lake.spark.createDataFrame(rows, SETTINGS_SCHEMA).coalesce(1))
+    return load_forest(lake)
+
+
+def load_forest(lake: Lake) -> Forest:
+    """The stored forest; one with a missing or short tree is refused."""
+    settings = lake.read("ai", SETTINGS).orderBy("feature").collect()  # one row for each feature
+    fill = {r.name: r.fill for r in settings if r.fill is not None}
+    return Forest.from_nodes(lake.read("ai", NODES), [r.name for r in settings], fill, settings[0].sample, settings[0].trees)
+
+
+def mean_paths_by_joins(df: DataFrame, lake: Lake, key: str) -> DataFrame:
+    """(key, mean_path) of each usable row from the stored forest, by one join with its nodes for each level.
+
+    The same as :meth:`Forest.mean_path` without Python: each row takes its place in every tree, and all step down
+    together. The nodes are at most trees * (2 * sample - 1) rows. A row's places stay in its task, so the average is
+    taken before anything moves. ``key`` must tell rows apart.
+    """
+    settings = lake.read("ai", SETTINGS).orderBy("feature").collect()
+    sample, trees = settings[0].sample, settings[0].trees
+    fill = {r.name: r.fill for r in settings if r.fill is not None}
+    points = with_any_feature(df, [r.name for r in settings]).select(key, F.array(*filled([r.name for r in settings], fill)).alias("point"))
+    # Dealt by key once, while a row is one row; the average by key then moves nothing.
+    points = points.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    starts = F.sequence(F.lit(0).cast("long"), F.lit((trees - 1) * 2 * sample).cast("long"), F.lit(2 * sample).cast("long"))
+    place = points.select("*", F.explode(starts).alias("place"))
+    inner = F.col("feature") >= 0
+    own = (F.col("tree_id") * 2 * sample + F.col("node_id")).cast("long")
+    size, depth = F.col("size").cast("double"), F.col("depth")
+    correction = F.when(size <= 1, 0.0).when(size == 2, 1.0).otherwise(2 * (F.log(size - 1) + float(np.euler_gamma)) - 2 * (size - 1) / size)
+    nodes = lake.read("ai", NODES).select(
+        own.alias("place"),
+        F.when(inner, F.col("feature")).otherwise(0).alias("feature"),
+        F.when(inner, F.col("split")).otherwise(float("inf")).alias("split"),  # a row in its leaf stays there
+        F.when(inner, F.col("tree_id") * 2 * sample + F.col("left_node")).otherwise(own).cast("long").alias("left"),
+        F.when(~inner, depth + correction).alias("path"),
+    )
+    step = F.broadcast(nodes.select("place", "feature", "split", "left"))
+    for _ in range(math.ceil(math.log2(max(sample, 2)))):
+        down = F.col("left") + (F.get("point", F.col("feature")) > F.col("split")).cast("long")
+        place = place.join(step, "place").select(key, "point", down.alias("place"))
+    ended = place.join(F.broadcast(nodes.select("place", "path")), "place")
+    return ended.groupBy(key).agg((F.sum("path") / trees).alias("mean_path"))
 
 
 def threshold(scores: DataFrame, column: str, contamination: float, exact: bool = True) -> float:

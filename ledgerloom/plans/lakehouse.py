@@ -126,13 +126,14 @@ def run_stream(lake: Lake, landed: str, state: str, max_files: int | None = None
 def run_detection(
     lake: Lake, features: list[str] | None = None, contamination: float = isolation_forest.CONTAMINATION
 ) -> DataFrame:
-    """Score the transaction fact and store ``ai.scored_transactions`` and ``ai.incidents``.
+    """Fit a forest on the transaction fact, score it, and store the forest, ``ai.scored_transactions`` and ``ai.incidents``.
 
     Features default to the fact's first numeric columns that are no ids.
     """
     facts = lake.read("gold", "fact_transaction")
     chosen = features or recommended_features(facts)
-    detected = isolation_forest.detect(facts, chosen, contamination, identity=["transaction_id"])
+    forest = isolation_forest.fit_stored(lake, facts, chosen, identity=["transaction_id"])
+    detected = isolation_forest.detect(facts, chosen, contamination, forest=forest)
     lake.replace("ai", "scored_transactions", detected)
     scored = lake.read("ai", "scored_transactions")
     base = incidents.baseline(scored, chosen)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import features, incidents, isolation_forest, profile
 from ledgerloom.queries import Registry, money
+from ledgerloom.queries.loading import new_lake
 from ledgerloom.queries.standins import table
+from ledgerloom.session import scratch_dir
 
 REGISTRY = Registry({}, {})
 query = REGISTRY.add
@@ -135,6 +137,50 @@ def feature_prep(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROOTS = "SELECT CAST(range AS INTEGER) AS tree_id, least(256, n) AS rows FROM range(200), (SELECT count(*) AS n FROM lineitem)"
 
 
+@query(
+    "detection_chain",
+    """
+    SELECT count(*) AS rows, count(*) AS scored_twice, 0 AS scored_apart, 0 AS flagged_apart, 200 AS trees, least(256, count(*)) AS tree_rows,
+           0 AS broken_nodes, TRUE AS quantile_holds
+    FROM lineitem
+    """,
+)
+def detection_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """200 trees fitted, stored, loaded, scored in two ways, and the rows below the 5 % quantile flagged.
+
+    Apart are rows whose two scores, or flags by them, differ; broken are inner nodes whose children do not add up. The
+    quantile holds if no more rows than its rank are flagged, and no fewer once those at the quantile are counted.
+    """
+    lake = new_lake(spark, "chain")
+    lake.replace("gold", "measures", measures(spark, sf_dir).withColumn("amount", F.col("amount").cast("double")))
+    rows = lake.read("gold", "measures")
+    forest = isolation_forest.fit_stored(lake, rows, FEATURES, identity=["transaction_id"])
+    scale = float(isolation_forest.path_correction(forest.sample))
+    first = isolation_forest.detect(rows, FEATURES, forest=isolation_forest.load_forest(lake))
+    second = isolation_forest.mean_paths_by_joins(rows, lake, "transaction_id").select("transaction_id", (-F.pow(F.lit(2.0), -F.col("mean_path") / scale)).alias("again"))
+    both = scratch_dir(spark, "both")
+    first.join(second, "transaction_id", "left").write.parquet(both)
+    both = spark.read.parquet(both)
+    # The scores differ by the threshold, the same for all rows.
+    offset = both.agg(F.median(F.col("again") - F.col("anomaly_score"))).first()[0]
+    again = F.round(F.col("again") - F.lit(offset), 9)
+    rank = F.floor(0.05 * (F.count(F.lit(1)) - 1)) + 1
+    compared = both.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("again").alias("scored_twice"),
+        F.count_if(F.abs(F.col("again") - F.lit(offset) - F.col("anomaly_score")) > 1e-9).cast("int").alias("scored_apart"),
+        F.count_if((again < 0) != (F.round("anomaly_score", 9) < 0)).cast("int").alias("flagged_apart"),
+        ((F.count_if("is_anomaly") <= rank) & (F.count_if(F.col("anomaly_score") <= 1e-9) >= rank)).alias("quantile_holds"),
+    )
+    nodes = lake.read("ai", isolation_forest.NODES)
+    child = nodes.select("tree_id", F.col("node_id").alias("child"), F.col("size").alias("part"))
+    pairs = nodes.filter("feature >= 0").select("tree_id", "node_id", "size", F.explode(F.array("left_node", "right_node")).alias("child"))
+    sums = pairs.join(child, ["tree_id", "child"], "left").groupBy("tree_id", "node_id", "size").agg(F.sum("part").alias("parts"))
+    broken = sums.agg(F.count_if(~F.col("parts").eqNullSafe(F.col("size"))).cast("int").alias("broken_nodes"))
+    trees = roots(nodes).agg(F.count(F.lit(1)).cast("int").alias("trees"), F.min("rows").alias("tree_rows"))
+    return compared.join(F.broadcast(trees), F.lit(True)).join(F.broadcast(broken), F.lit(True))
+
+
 def roots(nodes: DataFrame) -> DataFrame:
     """The rows that each tree grew from."""
     return nodes.groupBy("tree_id").agg(F.max(F.when(F.col("node_id") == 0, F.col("size"))).cast("bigint").alias("rows"))

@@ -209,3 +209,22 @@ def test_context_deviation_and_incident(spark):
     assert table["d"].why_anomalous == "x lies 4.00 standard deviations above the normal mean."
     assert table["d"].possible_impact == "Values far from normal: x"
     assert table["e"].why_anomalous.startswith("The evidence is weak")
+
+
+def test_stored_forest_scores_the_same_in_both_ways(spark, lake):
+    """Loaded from its tables, by Arrow batches and by joins, with gaps filled and rows without features left out."""
+    rng = np.random.default_rng(3)
+    rows = [(f"t{i}", float(a) if i % 7 else None, float(b), "x") for i, (a, b) in enumerate(rng.standard_normal((500, 2)))]
+    df = spark.createDataFrame([*rows, ("none", None, None, "x")], "k string, a double, b double, place string")
+    fitted = isolation_forest.fit_stored(lake, df, ["a", "b"], trees=20, sample=64, identity=["k"])
+    loaded = isolation_forest.load_forest(lake)
+    assert loaded.features == fitted.features and loaded.fill == fitted.fill and "a" in loaded.fill
+    plain = isolation_forest.fit(df, ["a", "b"], trees=20, sample=64, identity=["k"])
+    assert (plain.split == loaded.split).all() and (plain.path == loaded.path).all()
+    found = {r.k: r.mean_path for r in isolation_forest.mean_paths_by_joins(df, lake, "k").collect()}
+    points = np.array([[loaded.fill["a"] if a is None else a, b] for _, a, b, _ in rows])
+    assert set(found) == {r[0] for r in rows}
+    assert np.allclose([found[r[0]] for r in rows], loaded.mean_path(points), rtol=1e-12)
+    lake.replace("ai", isolation_forest.NODES, lake.read("ai", isolation_forest.NODES).filter("tree_id <> 3"))
+    with pytest.raises(ValueError, match="19 of 20 trees"):
+        isolation_forest.load_forest(lake)
