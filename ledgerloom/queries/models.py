@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.plans import marts, questions, star
 from ledgerloom.queries import Registry, money
+from ledgerloom.queries.loading import new_lake
 from ledgerloom.queries.standins import dim_date, event_facts, facts, staged
 
 REGISTRY = Registry({}, {})
@@ -97,6 +99,24 @@ def failure_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.failure_analysis(event_facts(spark, sf_dir))
 
 
+@query(
+    "failure_sketches",
+    """
+    SELECT event_type, failure_reason, count(event_id) AS total_events, TRUE AS close
+    FROM event_facts WHERE event_type = 'failed' AND event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY event_type, failure_reason
+    """,
+)
+def failure_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen days from stored sketches; close means within 2 % of the exact number of transactions."""
+    lake = new_lake(spark, "sketches")
+    events, days = event_facts(spark, sf_dir), (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    lake.replace("marts", "failure_sketches", marts.failure_sketches(events))
+    found = marts.failures_between(lake.read("marts", "failure_sketches"), *days)
+    exact = marts.failure_analysis(events.filter(F.col("event_date").between(*days))).select(F.col("failure_reason").alias("reason"), F.col("affected_transactions").alias("exact"))
+    close = F.abs(F.col("affected_transactions") - F.col("exact")) <= F.ceil(0.02 * F.col("exact"))
+    return found.join(exact, F.col("failure_reason").eqNullSafe(F.col("reason"))).select("event_type", "failure_reason", "total_events", close.alias("close"))
+
+
 @query(
     "q_total", "SELECT CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) AS transactions FROM silver_transactions"
 )

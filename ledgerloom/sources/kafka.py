@@ -30,21 +30,42 @@ def decode(df: DataFrame, schema: str) -> DataFrame:
     return df.select(parsed.alias("record")).select("record.*")
 
 
+def topic_options(
+    servers: str, topic: str, group: str | None = None, max_records: int | None = None, flush_records: int | None = None, flush_seconds: int | None = None
+) -> dict[str, str]:
+    """Reader options of a topic from the earliest offset.
+
+    ``max_records`` bounds a micro-batch. With ``flush_records`` one starts as soon as so many records wait, or when
+    ``flush_seconds`` have passed since the last one, whichever comes first; the trigger must then be shorter than that.
+    """
+    if (flush_records is None) != (flush_seconds is None):
+        raise ValueError("flush_records and flush_seconds belong together")
+    if flush_records and max_records and max_records < flush_records:
+        raise ValueError(f"a batch of at most {max_records} records never reaches {flush_records}")
+    found = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "kafka.group.id": group,
+        "maxOffsetsPerTrigger": max_records,
+        "minOffsetsPerTrigger": flush_records,
+        "maxTriggerDelay": f"{flush_seconds}s" if flush_seconds else None,
+    }
+    return {name: str(value) for name, value in found.items() if value is not None}
+
+
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, group: str | None = None, max_records: int | None = None
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    group: str | None = None,
+    max_records: int | None = None,
+    flush_records: int | None = None,
+    flush_seconds: int | None = None,
 ) -> DataFrame:
-    """Topic as a stream from the earliest offset; ``max_records`` bounds each micro-batch."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-    )
-    if group:
-        reader = reader.option("kafka.group.id", group)
-    if max_records:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_records))
-    return reader.load()
+    """Topic as a stream; see :func:`topic_options`."""
+    options = topic_options(servers, topic, group, max_records, flush_records, flush_seconds)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def write_topic(df: DataFrame, servers: str, topic: str, key: str) -> None:

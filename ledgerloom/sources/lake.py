@@ -10,6 +10,7 @@ of the table but for the files that were superseded, whose names it holds; Spark
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.upsert import one_per_key
-from ledgerloom.sources.files import drift
+from ledgerloom.sources.files import drift, landing_inventory
 
 _LOCATION, _PARTITIONS, _FOLDERS, _DROPPED = "lake.location", "lake.partitions", "lake.folders", "lake.dropped"
 #: Folders and superseded files of one table; beyond them a change writes the whole table anew.
@@ -141,6 +142,31 @@ class Lake:
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present.schema.fields])
         typed.write.mode("append").partitionBy(*self.partitions(layer, table)).parquet(self.location(layer, table))
 
+    def stored_folders(self, layer: str, table: str) -> DataFrame:
+        """(folder, written, bytes, current): all folders of the table with the time of their newest file, and whether it reads them still."""
+        current = [folder.rsplit("/", 1)[1] for folder in self._folders(layer, table)] if self.exists(layer, table) else []
+        folder = F.regexp_extract("path", f"/{layer}/{table}/((?:snapshot|change)=[0-9a-f]+)/", 1)
+        files = landing_inventory(self.spark, f"{self.root}/{layer}/{table}").withColumn("folder", folder).filter("folder <> ''")
+        found = files.groupBy("folder").agg(F.max("modified").alias("written"), F.sum("length").alias("bytes"))
+        return found.withColumn("current", F.col("folder").isin(current) if current else F.lit(False))
+
+    def expire(self, layer: str, table: str, older_than: dt.timedelta, now: dt.datetime | None = None) -> list[str]:
+        """Delete folders that the table no longer reads and that were written longer ago than ``older_than``; returns their names.
+
+        A reader that started before a folder was superseded may still read it, so the age must exceed the longest run of
+        a reader, and that of a write under way, whose folder the table does not name yet. Current folders stay at any age.
+        """
+        if older_than <= dt.timedelta(0):
+            raise ValueError("the retention must be positive")
+        limit = (now or dt.datetime.now(dt.timezone.utc)) - older_than
+        old = self.stored_folders(layer, table).filter(~F.col("current") & (F.col("written") < F.lit(limit)))
+        names = sorted(r.folder for r in old.select("folder").collect())  # one for each write of the table
+        context = self.spark.sparkContext
+        for name in names:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}/{name}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        return names
+
     def _property(self, layer: str, table: str, name: str) -> str:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()
         return next(r["value"] for r in rows if r["key"] == name)

@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.sources.files import CORRUPT
 from ledgerloom.sources.kafka import decode
 
-# The flush rule, ten records or ten seconds. Spark starts a micro-batch on the time
-# trigger and bounds it by records (Kafka) or files; there is no "whichever comes first".
+# The flush rule, ten records or ten seconds, whichever comes first. A topic is read by that rule itself
+# (``kafka.read_topic`` with ``flush_records``); files are flushed on the time trigger and bounded by their number.
 FLUSH_RECORDS = 10
 FLUSH_SECONDS = 10
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 from pathlib import Path
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom import session
 from ledgerloom.schemas import RAW, ddl_columns, layer_name
 from ledgerloom.sources import files, kafka
+from ledgerloom.streaming.landing import FLUSH_RECORDS, FLUSH_SECONDS
 from ledgerloom.sources.lake import load_tables
 from tests.conftest import values
 
@@ -158,3 +160,33 @@ def test_no_local_scratch_on_a_cluster(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_base(spark)
+
+
+def test_a_topic_flushes_by_records_or_time():
+    found = kafka.topic_options("host:1", "t", "g", 500, FLUSH_RECORDS, FLUSH_SECONDS)
+    assert found == {
+        "kafka.bootstrap.servers": "host:1", "subscribe": "t", "startingOffsets": "earliest", "kafka.group.id": "g",
+        "maxOffsetsPerTrigger": "500", "minOffsetsPerTrigger": "10", "maxTriggerDelay": "10s",
+    }
+    assert set(kafka.topic_options("host:1", "t")) == {"kafka.bootstrap.servers", "subscribe", "startingOffsets"}
+    for wrong in ({"flush_records": 10}, {"flush_seconds": 10}, {"max_records": 5, "flush_records": 10, "flush_seconds": 1}):
+        with pytest.raises(ValueError):
+            kafka.topic_options("host:1", "t", **wrong)
+
+
+def test_expiry_spares_readers_and_current_folders(spark, lake):
+    hour, now = dt.timedelta(hours=1), dt.datetime.now(dt.timezone.utc)
+    lake.replace("gold", "d", spark.range(10).selectExpr("id AS k", "'a' AS v").repartitionByRange(2, "k"))
+    first = lake.read("gold", "d")
+    lake.replace("gold", "d", spark.range(10).selectExpr("id AS k", "'b' AS v").repartitionByRange(2, "k"))
+    second = lake.read("gold", "d")
+    lake.merge("gold", "d", spark.createDataFrame([(3, "c")], "k long, v string"), "k")
+    assert sorted(r.current for r in lake.stored_folders("gold", "d").collect()) == [False, True, True]
+    assert lake.expire("gold", "d", hour, now) == []  # all too young
+    assert first.count() == second.count() == 10
+    gone = lake.expire("gold", "d", hour, now + 2 * hour)
+    assert len(gone) == 1 and gone[0].startswith("snapshot=")
+    assert second.filter("v = 'b'").count() == 10  # a reader of files that a merge superseded
+    assert lake.read("gold", "d").count() == 10 and lake.read("gold", "d").filter("v = 'c'").count() == 1
+    with pytest.raises(ValueError):
+        lake.expire("gold", "d", dt.timedelta(0))
