@@ -55,18 +55,22 @@ def file_schemas(spark: SparkSession, path: str) -> DataFrame:
     from pyarrow import fs
 
     listed = landing_inventory(spark, path)
+    one = listed.first()
+    schema = f"path string, columns {_COLUMNS}"
+    if one is None:
+        return spark.createDataFrame([], schema)
     kind = pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))
 
+    def opened(name: str) -> pa.NativeFile:
+        system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
+        return system.open_input_file(place)
+
     def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = []
             for name in batch.column("path").to_pylist():
-                try:
-                    system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
-                    with system.open_input_file(place) as file:
-                        columns.append(_footer(file))
-                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
-                    columns.append(None)  # a system that only Spark's readers know
+                with opened(name) as file:
+                    columns.append(_footer(file))
             yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(columns, kind)], ["path", "columns"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,10 +78,11 @@ def file_schemas(spark: SparkSession, path: str) -> DataFrame:
             columns = [_footer(pa.BufferReader(content)) for content in batch.column("content").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(columns, kind)], ["path", "columns"])
 
-    schema = f"path string, columns {_COLUMNS}"
-    read = listed.select("path").mapInArrow(footers, schema)
-    if read.filter("columns IS NULL").isEmpty():
-        return read
+    try:
+        opened(one.path).close()
+        return listed.select("path").mapInArrow(footers, schema)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        pass  # a system that only Spark's readers know
     content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
     return content.mapInArrow(whole, schema)
 
