@@ -152,14 +152,16 @@ def detection_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantile holds if no more rows than its rank are flagged, and no fewer once those at the quantile are counted.
     """
     lake = new_lake(spark, "chain")
-    lake.replace("gold", "measures", measures(spark, sf_dir).withColumn("amount", F.col("amount").cast("double")))
+    # A few ids repeat; rows are told apart by a number that is fixed once it is written.
+    numbered = measures(spark, sf_dir).withColumns({"amount": F.col("amount").cast("double"), "row_number": F.monotonically_increasing_id()})
+    lake.replace("gold", "measures", numbered)
     rows = lake.read("gold", "measures")
     forest = isolation_forest.fit_stored(lake, rows, FEATURES, identity=["transaction_id"])
     scale = float(isolation_forest.path_correction(forest.sample))
     first = isolation_forest.detect(rows, FEATURES, forest=isolation_forest.load_forest(lake))
-    second = isolation_forest.mean_paths_by_joins(rows, lake, "transaction_id").select("transaction_id", (-F.pow(F.lit(2.0), -F.col("mean_path") / scale)).alias("again"))
+    second = isolation_forest.mean_paths_by_joins(rows, lake, "row_number").select("row_number", (-F.pow(F.lit(2.0), -F.col("mean_path") / scale)).alias("again"))
     both = scratch_dir(spark, "both")
-    first.join(second, "transaction_id", "left").write.parquet(both)
+    first.join(second, "row_number", "left").write.parquet(both)
     both = spark.read.parquet(both)
     # The scores differ by the threshold, the same for all rows.
     offset = both.agg(F.median(F.col("again") - F.col("anomaly_score"))).first()[0]
