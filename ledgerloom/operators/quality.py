@@ -9,7 +9,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +37,20 @@ class Relationship:
     parent: str
     parent_column: str
     null_is_orphan: bool = False
+    where: str | None = None  # condition on the child rows that are tested
 
 
-Contract = NotNull | Unique | Relationship
+@dataclass(frozen=True)
+class Rule:
+    """A business rule: no row may meet ``failing``, an SQL condition on its columns."""
+
+    table: str
+    column: str
+    name: str
+    failing: str
+
+
+Contract = NotNull | Unique | Relationship | Rule
 
 # The declared tests of the star schema.
 GOLD_CONTRACTS: tuple[Contract, ...] = (
@@ -66,14 +77,22 @@ GOLD_CONTRACTS: tuple[Contract, ...] = (
     NotNull("fact_transaction_event", "transaction_id"),
 )
 
+NEEDS_MERCHANT = f"transaction_type IN ({', '.join(repr(t) for t in MERCHANT_TYPES)})"
+
 # The four reference checks of the Bronze layer. A null key is an orphan in them.
 BRONZE_REFERENCES: tuple[Relationship, ...] = (
     Relationship("accounts", "customer_id", "customers", "customer_id", True),
     Relationship("transactions", "account_id", "accounts", "account_id", True),
-    Relationship("transactions", "merchant_id", "merchants", "merchant_id", True),
+    Relationship("transactions", "merchant_id", "merchants", "merchant_id", True, NEEDS_MERCHANT),
     Relationship("transaction_events", "transaction_id", "transactions", "transaction_id", True),
 )
 
+# A merchant for purchases and payments, a reason for failed events.
+BUSINESS_RULES: tuple[Rule, ...] = (
+    Rule("transactions", "merchant_id", "merchant_required", f"{NEEDS_MERCHANT} AND merchant_id IS NULL"),
+    Rule("transaction_events", "failure_reason", "reason_required", "event_type = 'failed' AND failure_reason IS NULL"),
+)
+
 
 def orphan_rows(
     child: DataFrame,
@@ -140,61 +159,100 @@ def _rows(one_row: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFr
     ).selectExpr("*", "failing_rows = 0 AS passed")
 
 
+@dataclass(frozen=True)
+class _Keys:
+    """A column whose keys are counted, on the rows that meet ``where``."""
+
+    table: str
+    column: str
+    where: str | None = None
+
+
+def _families(contracts: list[Contract]) -> dict[_Keys, tuple[int, int]]:
+    """Family and place in it of all columns whose keys are counted; related columns are of one family."""
+    family: dict[_Keys, list[_Keys]] = {}
+    for c in contracts:
+        if isinstance(c, Unique):
+            family.setdefault(own := _Keys(c.table, c.column), [own])
+        elif isinstance(c, Relationship):
+            child, parent = _Keys(c.table, c.column, c.where), _Keys(c.parent, c.parent_column)
+            both = family.setdefault(parent, [parent])
+            if (own := family.setdefault(child, [child])) is not both:
+                both += own
+                family.update(dict.fromkeys(own, both))
+    numbered: dict[int, int] = {}
+    for members in family.values():
+        numbered.setdefault(id(members), len(numbered))
+    return {keys: (numbered[id(members)], members.index(keys)) for keys, members in family.items()}
+
+
+def _key_type(tables: Mapping[str, DataFrame], members: list[_Keys]) -> T.DataType:
+    """The type in which the keys of a family are compared."""
+    empty = [tables[m.table].select(F.col(m.column).alias("key")).limit(0) for m in members]
+    return reduce(DataFrame.union, empty).schema["key"].dataType
+
+
+def _key_columns(column: str, kind: T.DataType) -> tuple[Column, Column]:
+    """The key as a long or as a text; the other one is null."""
+    key = F.col(column).cast(kind)
+    if isinstance(kind, T.IntegralType):
+        return key.cast("long"), F.lit(None).cast("string")
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        key += F.lit(0.0)  # one zero
+    return F.lit(None).cast("long"), F.hex(key) if isinstance(kind, T.BinaryType) else key.cast("string")
+
+
 def run_contracts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]) -> DataFrame:
-    """Result table of the contracts.
+    """Result table of the contracts, in one scan of each table and one shuffle for all of them.
 
-    Each column that is tested for uniqueness or takes part in a relationship is counted per key once; its unique and
-    not-null tests are read off that count, and relationships join two such counts, whose shuffles Spark reuses. The
-    not-null tests left over are one aggregation of their table.
+    A row of a table becomes one small row for each tested column: the family of columns it is compared with, the key,
+    and which column of the family it is. One grouping counts every key of a family in all its columns at once, so a
+    unique test is a count above one, a relationship a key with children and no parent, and nothing is joined. The map
+    side combines a hot or null key. Columns tested for nulls only, and rules, send their failing rows as one count.
     """
     contracts = list(contracts)
-    counted: dict[tuple[str, str], DataFrame] = {}
+    places = _families(contracts)
+    members: dict[int, list[_Keys]] = {}
+    for keys, (family, _) in places.items():
+        members.setdefault(family, []).append(keys)
+    kinds = {family: _key_type(tables, own) for family, own in members.items()}
+
+    sent: dict[str, list[Column]] = {c.table: [] for c in contracts} | {keys.table: [] for keys in places}
+
+    def send(table: str, family: int, place: int, long: Column, text: Column, where: str | None) -> None:
+        row = F.struct(F.lit(family).alias("family"), F.lit(place).alias("place"), long.alias("long"), text.alias("text"))
+        sent[table].append(F.when(F.expr(where), row) if where else row)
 
-    def keys(table: str, column: str) -> DataFrame:
-        if (table, column) not in counted:
-            per_key = tables[table].groupBy(F.col(column).alias("key"))
-            counted[table, column] = per_key.agg(F.count(F.lit(1)).alias("n"))
-        return counted[table, column]
+    for keys, (family, place) in places.items():
+        send(keys.table, family, place, *_key_columns(keys.column, kinds[family]), keys.where)
 
-    parts: list[DataFrame] = []
+    no_key = F.col("long").isNull() & F.col("text").isNull()
+    found: list[Column] = []
     for c in contracts:
         if isinstance(c, Relationship):
-            children = keys(c.table, c.column) if c.null_is_orphan else keys(c.table, c.column).filter("key IS NOT NULL")
-            orphans = children.join(keys(c.parent, c.parent_column).select("key"), "key", "left_anti").agg(F.sum("n").alias("n"))
-            parts.append(_rows(orphans, [("relationship", c.table, c.column, "n")]))
-    simple = {(c.table, c.column): [] for c in contracts if not isinstance(c, Relationship)}
-    for c in contracts:
-        if isinstance(c, Unique):
-            simple[c.table, c.column].append(("unique", c.table, c.column, "repeated"))
-        elif isinstance(c, NotNull):
-            simple[c.table, c.column].append(("not_null", c.table, c.column, "nulls"))
-    plain: dict[str, list[str]] = {}
-    for (table, column), checks in simple.items():
-        if (table, column) in counted or any(check[0] == "unique" for check in checks):
-            repeated = F.count_if(F.col("key").isNotNull() & (F.col("n") > 1)).alias("repeated")
-            nulls = F.sum(F.when(F.col("key").isNull(), F.col("n"))).alias("nulls")
-            parts.append(_rows(keys(table, column).agg(repeated, nulls), checks))
+            (family, child), (_, parent) = places[_Keys(c.table, c.column, c.where)], places[_Keys(c.parent, c.parent_column)]
+            orphan = F.when(no_key, F.lit(c.null_is_orphan)).otherwise(F.col(f"n{parent}") == 0)
+            failing = F.sum(F.when((F.col("family") == family) & orphan, F.col(f"n{child}")))
+        elif isinstance(c, Unique):
+            family, place = places[_Keys(c.table, c.column)]
+            failing = F.count_if((F.col("family") == family) & ~no_key & (F.col(f"n{place}") > 1))
         else:
-            plain.setdefault(table, []).append(column)
-    for table, columns in plain.items():
-        nulls = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        parts.append(_rows(nulls, [("not_null", table, c, c) for c in columns]))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def rule_results(transactions: DataFrame, events: DataFrame) -> DataFrame:
-    """Business rules: a merchant for purchases and payments, a reason for failed events."""
-    missing = F.count_if(F.col("transaction_type").isin(*MERCHANT_TYPES) & F.col("merchant_id").isNull())
-    unexplained = F.count_if((F.col("event_type") == "failed") & F.col("failure_reason").isNull())
-    return _rows(
-        transactions.agg(missing.alias("n")),
-        [("merchant_required", "transactions", "merchant_id", "n")],
-    ).unionByName(
-        _rows(
-            events.agg(unexplained.alias("n")),
-            [("reason_required", "transaction_events", "failure_reason", "n")],
-        )
-    )
+            family, place = places.get(_Keys(c.table, c.column), (None, 0)) if isinstance(c, NotNull) else (None, 0)
+            if family is None:
+                family = len(members)
+                members[family] = []
+                where = f"`{c.column}` IS NULL" if isinstance(c, NotNull) else c.failing
+                send(c.table, family, 0, F.lit(None).cast("long"), F.lit(None).cast("string"), where)
+            failing = F.sum(F.when((F.col("family") == family) & no_key, F.col(f"n{place}")))
+        found.append(failing.alias(f"c{len(found)}"))
+
+    rows = [tables[t].select(F.inline(F.array_compact(F.array(*structs)))) for t, structs in sent.items()]
+    widest = max(1, *(len(own) for own in members.values()))
+    counted = reduce(DataFrame.unionAll, rows).groupBy("family", "long", "text")
+    counted = counted.agg(*[F.count_if(F.col("place") == i).alias(f"n{i}") for i in range(widest)])
+    names = {NotNull: "not_null", Unique: "unique", Relationship: "relationship"}
+    checks = [(c.name if isinstance(c, Rule) else names[type(c)], c.table, c.column, f"c{i}") for i, c in enumerate(contracts)]
+    return _rows(counted.agg(*found), checks)
 
 
 def parse_report(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -224,11 +282,4 @@ def bronze_report(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> D
     checks: list[Contract] = []
     for table, key in keys.items():
         checks += [NotNull(table, key), Unique(table, key)]
-    references = [r for r in BRONZE_REFERENCES if r.column != "merchant_id"]
-    merchants = [r for r in BRONZE_REFERENCES if r.column == "merchant_id"]
-    required = {**tables, "transactions": merchant_required(tables["transactions"])}
-    return (
-        run_contracts(tables, [*checks, *references])
-        .unionByName(run_contracts(required, merchants))
-        .unionByName(rule_results(tables["transactions"], tables["transaction_events"]))
-    )
+    return run_contracts(tables, [*checks, *BRONZE_REFERENCES, *BUSINESS_RULES])

@@ -103,3 +103,28 @@ def test_detection_metrics(spark):
     df = spark.createDataFrame([(True,), (False,), (False,)], "is_anomaly boolean")
     assert values(profile.detection_metrics(df)) == [(3, 1, 33.33)]
     assert values(profile.detection_metrics(df.limit(0))) == [(0, 0, None)]
+
+
+def test_contracts_scan_each_table_once(spark, tmp_path):
+    """Against a plain reading of each contract: hot, null and repeated keys, keys of two types, children without rows."""
+    rows = {
+        "p": ("id int, name string", [(1, "a"), (2, "b"), (2, None), (None, "c"), (9, "c")]),
+        "c": ("id string, p bigint, d double, kind string", [("x", 1, 0.0, "k"), ("x", 1, -0.0, None), ("y", 7, 1.5, "k"), (None, None, None, "k"), ("z", 7, 1.5, "m")]),
+        "e": ("p bigint", []),
+    }
+    tables = {}
+    for name, (ddl, own) in rows.items():
+        spark.createDataFrame(own, ddl).repartition(3).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    contracts = {
+        quality.NotNull("p", "id"): 1, quality.Unique("p", "id"): 1, quality.NotNull("p", "name"): 1, quality.Unique("p", "name"): 1,
+        quality.NotNull("c", "id"): 1, quality.Unique("c", "id"): 1, quality.Unique("c", "d"): 2, quality.NotNull("c", "kind"): 1,
+        quality.Relationship("c", "p", "p", "id"): 2, quality.Relationship("c", "p", "p", "id", True): 3,
+        quality.Relationship("c", "p", "p", "id", True, "kind = 'k'"): 2, quality.Relationship("p", "id", "c", "p"): 3,
+        quality.Relationship("c", "p", "e", "p"): 4, quality.Relationship("e", "p", "p", "id", True): 0, quality.Unique("e", "p"): 0,
+        quality.Rule("c", "kind", "named", "kind = 'k' AND p > 1"): 1,
+    }
+    results = quality.run_contracts(tables, contracts)
+    assert [r.failing_rows for r in results.collect()] == list(contracts.values())
+    plan = results._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 3 and "Join" not in plan
