@@ -246,7 +246,7 @@ def run_contracts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]
             failing = F.sum(F.when((F.col("family") == family) & no_key, F.col(f"n{place}")))
         found.append(failing.alias(f"c{len(found)}"))
 
-    rows = [tables[t].select(F.inline(F.array_compact(F.array(*structs)))) for t, structs in sent.items()]
+    rows = [tables[t].select(F.inline(F.array(*structs))).filter("family IS NOT NULL") for t, structs in sent.items()]
     widest = max(1, *(len(own) for own in members.values()))
     counted = reduce(DataFrame.unionAll, rows).groupBy("family", "long", "text")
     counted = counted.agg(*[F.count_if(F.col("place") == i).alias(f"n{i}") for i in range(widest)])
