@@ -10,7 +10,7 @@ most ``max(BINS, WINDOW)`` rows per column reach the driver.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,29 +38,124 @@ class _Bracket:
     whole: tuple[float, float, int]  # lowest and highest value, and rows of the column
 
 
+@dataclass
+class Summary:
+    """Rows with a value, moments, ends and sketched ranks of one column."""
+
+    n: int
+    low: float
+    high: float
+    mean: float
+    squares: float  # sum of the squared deviations from the mean
+    position: float
+    below: float
+    at: float
+    above: float
+
+    @property
+    def std(self) -> float | None:
+        return math.sqrt(self.squares / (self.n - 1)) if self.n > 1 else None
+
+
+def sketch_rows(df: DataFrame, columns: Iterable[str], *by: str) -> DataFrame:
+    """(by..., column_name, n, low, high, mean, squares, sketch): one row for each group and column.
+
+    Rows of groups add up in :func:`summaries`, so they can be stored per day and read again for any range of days.
+    Nulls, NaN and infinities are skipped; a column without any other value has n = 0.
+    """
+    columns = list(columns)
+    values = df.select(*by, *[as_number(F.col(c)).alias(f"value{i}_") for i, c in enumerate(columns)])
+    return _grouped(values, columns, [F.col(c) for c in by])
+
+
+def _grouped(values: DataFrame, columns: list[str], by: list[Column]) -> DataFrame:
+    rows = []
+    for i, c in enumerate(columns):
+        v = f"value{i}_"
+        measures = F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean")
+        squares, sketch = F.var_pop(v) * F.count(v), F.kll_sketch_agg_double(v, F.lit(SKETCH))
+        rows.append(F.struct(F.lit(c).alias("column_name"), *measures, squares.alias("squares"), sketch.alias("sketch")))
+    grouped = values.groupBy(*by).agg(F.array(*rows).alias("rows_"))
+    return grouped.select(*grouped.columns[: len(by)], F.inline("rows_"))
+
+
+def _added(rows: DataFrame, *keys: Column | str) -> DataFrame:
+    """Sketch rows of the same keys as one. Moments are merged pairwise, which keeps their digits."""
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+
+    def both(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        share = b["n"] / n
+        return F.struct(n.alias("n"), (a["mean"] + apart * share).alias("mean"), (a["squares"] + b["squares"] + apart * apart * a["n"] * share).alias("squares"))
+
+    return (
+        rows.groupBy(*keys)
+        .agg(
+            F.aggregate(F.collect_list(F.struct("n", "mean", "squares")), none, both).alias("moments"),
+            F.min("low").alias("low"), F.max("high").alias("high"), F.kll_merge_agg_double("sketch", F.lit(SKETCH)).alias("sketch"),
+        )
+        .select("*", "moments.*")
+        .drop("moments")
+    )
+
+
+def summaries(kept: DataFrame, wanted: Mapping[str, float]) -> dict[str, Summary]:
+    """The columns of ``wanted`` that have values, over all rows of ``kept``; ranks are those of its probabilities.
+
+    Rows are added up in groups first, so no task reads more than a share of them. One small row per column comes back.
+    """
+    if not wanted:
+        return {}
+    rows = kept.filter((F.col("n") > 0) & F.col("column_name").isin(*wanted))
+    added = _added(rows, "column_name", (F.spark_partition_id() % _MERGERS).alias("part"))
+    return _read(_added(added, "column_name"), wanted)
+
+
+def _read(added: DataFrame, wanted: Mapping[str, float]) -> dict[str, Summary]:
+    def at(away: float) -> Column:
+        own = [(F.col("column_name") == c, F.lit(min(1.0, max(0.0, p + away)))) for c, p in wanted.items()]
+        return F.coalesce(*[F.when(named, F.kll_sketch_get_quantile_double("sketch", rank)) for named, rank in own])
+
+    read = [at(-REACH).alias("below"), at(0.0).alias("at"), at(REACH).alias("above")]
+    found = added.select("column_name", "n", "low", "high", "mean", "squares", *read).collect()
+    return {r["column_name"]: Summary(*r[1:6], wanted[r["column_name"]] * (r["n"] - 1), *r[6:]) for r in found}
+
+
+def summarise(df: DataFrame, wanted: Mapping[str, float]) -> dict[str, Summary]:
+    """:func:`summaries` of a frame, from one scan."""
+    if not wanted:
+        return {}
+    values = df.select(*[as_number(F.col(c)).alias(f"value{i}_") for i, c in enumerate(wanted)])
+    parts = _grouped(values, list(wanted), [(F.spark_partition_id() % _MERGERS).alias("part")])
+    return _read(_added(parts.filter("n > 0"), "column_name"), wanted)
+
+
 def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, float], bins: int = BINS, window: int = WINDOW
+    df: DataFrame, wanted: Mapping[str, float], bins: int = BINS, window: int = WINDOW, known: Mapping[str, Summary] | None = None
 ) -> dict[str, float | None]:
     """Linearly interpolated quantile of each column, or None when it has no finite value.
 
-    ``wanted`` maps a numeric column to a probability. Nulls, NaN and infinities are skipped.
+    ``wanted`` maps a numeric column to a probability. Nulls, NaN and infinities are skipped. ``known`` are summaries
+    of the same rows and probabilities, if there are any, and saves the first scan.
     """
-    return _select(df, wanted, 0.0, bins, window)
+    return _select(df, wanted, 0.0, bins, window, known)
 
 
-def approx_quantiles(df: DataFrame, wanted: Mapping[str, float], tolerance: float = 1e-4) -> dict[str, float | None]:
+def approx_quantiles(
+    df: DataFrame, wanted: Mapping[str, float], tolerance: float = 1e-4, known: Mapping[str, Summary] | None = None
+) -> dict[str, float | None]:
     """As :func:`exact_quantiles`, but any value whose rank is off by ``tolerance`` of the rows will do."""
-    return _select(df, wanted, tolerance, BINS, WINDOW)
+    return _select(df, wanted, tolerance, BINS, WINDOW, known)
 
 
 def _select(
-    df: DataFrame, wanted: Mapping[str, float], tolerance: float, bins: int, window: int
+    df: DataFrame, wanted: Mapping[str, float], tolerance: float, bins: int, window: int, known: Mapping[str, Summary] | None
 ) -> dict[str, float | None]:
     result: dict[str, float | None] = dict.fromkeys(wanted)
     if not wanted:
         return result
     values = df.select(*[as_number(F.col(c)).alias(c) for c in wanted])
-    brackets = _sketched(values, wanted)
+    brackets = _brackets(summarise(df, wanted) if known is None else known, wanted)
     while brackets:
         for column, b in list(brackets.items()):
             if b.low == b.high and b.rows == b.whole[2] or b.rows <= tolerance * b.whole[2]:
@@ -76,28 +171,16 @@ def _select(
     return result
 
 
-def _sketched(values: DataFrame, wanted: Mapping[str, float]) -> dict[str, _Bracket]:
-    """A bracket for each column that has values, from one scan."""
-    firsts, merges, reads = [], [], []
-    for i, (column, p) in enumerate(wanted.items()):
-        firsts += [F.count(column).alias(f"n{i}"), F.min(column).alias(f"low{i}"), F.max(column).alias(f"high{i}")]
-        firsts.append(F.kll_sketch_agg_double(column, F.lit(SKETCH)).alias(f"sketch{i}"))
-        merges += [F.sum(f"n{i}").alias(f"n{i}"), F.min(f"low{i}").alias(f"low{i}"), F.max(f"high{i}").alias(f"high{i}")]
-        merges.append(F.kll_merge_agg_double(f"sketch{i}", F.lit(SKETCH)).alias(f"sketch{i}"))
-        reads += [f"n{i}", f"low{i}", f"high{i}"]
-        for side, rank in (("from", max(0.0, p - REACH)), ("to", min(1.0, p + REACH))):
-            at = F.kll_sketch_get_quantile_double(f"sketch{i}", F.lit(rank))
-            reads.append(F.when(F.col(f"n{i}") > 0, at).alias(f"{side}{i}"))
-    parts = values.groupBy((F.spark_partition_id() % _MERGERS).alias("part")).agg(*firsts)
-    row = parts.agg(*merges).select(*reads).first()
+def _brackets(known: Mapping[str, Summary], wanted: Mapping[str, float]) -> dict[str, _Bracket]:
+    """A bracket for each column that has values."""
     brackets = {}
-    for i, (column, p) in enumerate(wanted.items()):
-        if n := row[f"n{i}"]:
-            low = row[f"low{i}"] if p <= REACH else row[f"from{i}"]
-            high = row[f"high{i}"] if p >= 1 - REACH else row[f"to{i}"]
-            whole = row[f"low{i}"], row[f"high{i}"], n
-            rows = n if (low, high) == whole[:2] else min(n, math.ceil(3 * REACH * n))
-            brackets[column] = _Bracket(p * (n - 1), low, high, rows, whole)
+    for column, p in wanted.items():
+        if found := known.get(column):
+            low = found.low if p <= REACH else found.below
+            high = found.high if p >= 1 - REACH else found.above
+            whole = found.low, found.high, found.n
+            rows = found.n if (low, high) == whole[:2] else min(found.n, math.ceil(3 * REACH * found.n))
+            brackets[column] = _Bracket(p * (found.n - 1), low, high, rows, whole)
     return brackets
 
 

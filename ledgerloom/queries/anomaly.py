@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import features, incidents, isolation_forest, profile
@@ -17,21 +19,22 @@ query = REGISTRY.add
 FEATURES = ["amount", "quantity", "discount"]
 
 
-def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as measured transactions."""
+def measures(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """Line items as measured transactions, with more columns on request."""
     return table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("transaction_id"),
         F.col("l_orderkey").alias("account_id"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_discount").alias("discount"),
+        *more,
     )
 
 
-def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ruled(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     """Measures flagged by a plain rule, so that SQL can repeat it."""
     flag = (F.col("quantity") >= 49) & (F.col("discount") >= 0.09)
-    return measures(spark, sf_dir).withColumn("is_anomaly", flag).withColumn("anomaly_score", -F.col("discount"))
+    return measures(spark, sf_dir, *more).withColumn("is_anomaly", flag).withColumn("anomaly_score", -F.col("discount"))
 
 
 # A small forest written out, so that SQL can state it too. Inner nodes are (feature, split, left, right), leaves the
@@ -262,6 +265,30 @@ def baseline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incidents.baseline_frame(ruled(spark, sf_dir), FEATURES)
 
 
+@query(
+    "baseline_kept",
+    f"""
+    WITH {RULED.replace("FROM lineitem", "FROM lineitem WHERE l_shipdate >= DATE '1994-03-01' AND l_shipdate < DATE '1997-08-01'")}
+    SELECT column_name, CAST(format('{{:.2f}}', avg(v)) AS DOUBLE) AS mean, CAST(format('{{:.2f}}', median(v)) AS DOUBLE) AS median,
+           CAST(format('{{:.2f}}', stddev_samp(v)) AS DOUBLE) AS std, TRUE AS close
+    FROM (UNPIVOT (SELECT amount, quantity, discount FROM ruled WHERE NOT is_anomaly) ON amount, quantity, discount INTO NAME column_name VALUE v)
+    GROUP BY column_name
+    """,
+)
+def baseline_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of a range from stored sketches; close means that the sketched medians lie within 1 % of a deviation."""
+    lake = new_lake(spark, "baseline")
+    month = F.trunc("l_shipdate", "month").alias("month")
+    rows = ruled(spark, sf_dir, month)
+    lake.replace("ai", "baseline_sketches", incidents.baseline_sketches(rows, FEATURES, "month"))
+    span = F.col("month").between(F.lit(dt.date(1994, 3, 1)), F.lit(dt.date(1997, 7, 1)))
+    kept = lake.read("ai", "baseline_sketches").filter(span)
+    exact = incidents.kept_baseline(kept, FEATURES, rows.filter(span))
+    sketched = incidents.kept_baseline(kept, FEATURES)
+    found = [(c, *exact[c], abs(exact[c][1] - sketched[c][1]) <= 0.01 + 0.01 * exact[c][2]) for c in exact]
+    return spark.createDataFrame(found, f"{incidents.BASELINE_SCHEMA}, close boolean")
+
+
 @query(
     "incident_deviation",
     f"""

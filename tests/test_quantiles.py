@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from ledgerloom.functions.quantiles import approx_quantiles, exact_quantiles
+from ledgerloom.operators import incidents
 
 PROBABILITIES = [0.0, 0.05, 0.5, 0.93, 1.0]
 
@@ -65,3 +66,26 @@ def test_several_columns_at_once(spark):
 def test_tolerance(spark):
     df = spark.range(100_000).selectExpr("double(id) as a")
     assert approx_quantiles(df, {"a": 0.5}, 0.01)["a"] == pytest.approx(50_000, abs=1000)
+
+
+def test_kept_sketches_add_up(spark):
+    """Any range of days gives what its rows give, for columns of very different mean and spread, and an empty one."""
+    random = np.random.default_rng(4)
+    days = [int(d) for d in random.integers(0, 40, 6000)]
+    near, far = random.normal(1e9, 2.0, 6000).tolist(), random.lognormal(3, 2, 6000).tolist()
+    near[5], far[6] = float("nan"), float("inf")
+    rows = [(d, a, b if i % 3 else None, None, d % 7 == 0) for i, (d, a, b) in enumerate(zip(days, near, far, strict=True))]
+    df = spark.createDataFrame(rows, "day int, a double, b double, c double, odd boolean").repartition(5).cache()
+    kept = incidents.baseline_sketches(df, ["a", "b", "c"], "day", flag="odd").cache()
+    assert kept.count() == 3 * len({d for d in days if d % 7})
+    for first, last in ((0, 39), (9, 10), (12, 12)):
+        span = f"day BETWEEN {first} AND {last}"
+        expected = incidents.baseline(df.filter(span), ["a", "b", "c"], flag="odd")
+        found = incidents.kept_baseline(kept.filter(span), ["a", "b", "c"], df.filter(span), flag="odd")
+        assert found == expected and sorted(found) == ["a", "b"]
+        for i, c in enumerate("ab", 1):
+            own = np.array([r[i] for r in rows if first <= r[0] <= last and not r[4] and r[i] is not None and np.isfinite(r[i])])
+            assert found[c] == pytest.approx((own.mean(), np.median(own), own.std(ddof=1)), abs=0.006)
+            about = incidents.kept_baseline(kept.filter(span), [c], flag="odd")[c][1]
+            assert abs((own < about).mean() - 0.5) < 0.01
+    assert incidents.kept_baseline(kept.filter("day > 99"), ["a"]) == {}
