@@ -120,12 +120,16 @@ def _surroundings(texts: DataFrame, classes: DataFrame, length: int, span: int)
     """(f, s, place, r, l, rights, lefts) of each class: the bytes from its anchor on, the reversed bytes before it, and their hashes."""
     digest = xxhash.xxh3_64_intdigest
     wanted = classes.groupBy("k", "h").agg(F.collect_list(F.struct("f", "s", "place")).alias("wanted"))  # bounded by the text
-    joined = texts.select("k", "h", "text").join(wanted, ["k", "h"])  # a class in a repeated row would be no single one
+    joined = texts.select("k", "h", "text").join(wanted, ["k", "h"])
 
     def work(batches: Batches) -> Batches:
+        seen = set()  # of repeated rows each task takes one; the others would give the same again
         for batch in batches:
             rows = []
-            for text, classes_of in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+            for k, h, text, classes_of in zip(*(batch.column(n).to_pylist() for n in ("k", "h", "text", "wanted")), strict=True):
+                if (k, h) in seen:
+                    continue
+                seen.add((k, h))
                 raw = text.encode()
                 for c in classes_of:
                     m = c["place"] >> 20
@@ -136,7 +140,7 @@ def _surroundings(texts: DataFrame, classes: DataFrame, length: int, span: int)
             both = [pa.array([r[i] for r in rows], pa.binary()) for i in (3, 4)]
             yield pa.RecordBatch.from_arrays([*plain, *ids, *both], ["f", "s", "place", "r", "l", "rights", "lefts"])
 
-    return map_batches(joined.select("text", "wanted"), work, "f long, s long, place long, r long, l long, rights binary, lefts binary")
+    return map_batches(joined.select("k", "h", "text", "wanted"), work, "f long, s long, place long, r long, l long, rights binary, lefts binary")
 
 
 def _windows(candidates: DataFrame, length: int) -> DataFrame:
@@ -176,7 +180,7 @@ def repeated_stretches(texts: DataFrame, length: int = LENGTH, span: int = SPAN)
     low, high = F.greatest(near, F.lit(length) - F.col("right")), F.least(far, F.col("left"))
     single = F.col("n") == 1
     reach = reach.select("f", "s", single.alias("single"), F.when(single, low).otherwise(near).alias("low"), F.when(single, high).otherwise(far).alias("high"))
-    reach = cut(reach.filter("low <= high"), "reach")
+    reach = cut(reach.filter("low <= high").distinct(), "reach")  # a repeated row may have been taken by several tasks
     asked = reach.filter("single").groupBy("f").agg(F.min("low").alias("from"), F.max("high").alias("to"))
     reach = reach.join(cut(asked, "asked"), "f").withColumns({"low": F.greatest("low", "from"), "high": F.least("high", "to")}).filter("low <= high")
     windows = _windows(reach.join(around.select("f", "s", "rights", "lefts"), ["f", "s"]), length)
@@ -210,7 +214,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, span: int = SPAN, id_c
     """
     texts = keyed_texts(docs, id_col, text_col)
     found = repeated_stretches(texts, length, span)
-    found = found.groupBy("k", "h").agg(F.collect_list(F.struct("start", "stop")).alias("stretches"))  # bounded by the text
+    found = found.groupBy("k", "h").agg(F.collect_set(F.struct("start", "stop")).alias("stretches"))  # bounded by the text
 
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 

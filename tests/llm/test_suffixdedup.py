@@ -99,3 +99,16 @@ def test_production_length(make_docs):
 
 def test_empty_table(make_docs):
     assert run(make_docs([(1, "x")]).limit(0)) == []
+
+
+def test_a_row_repeated_many_times(spark, make_docs):
+    """A third of the table is one row without id; it shares a passage with single rows, so its class is mixed."""
+    random.seed(12)
+    prose = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    passage, hot = prose(60), prose(90)
+    rows = [(None, hot + passage + prose(0))] * 300 + [(i, prose(30) + passage + prose(30)) for i in range(5)] + [(9, prose(80) + hot[20:75])]
+    docs = make_docs(rows)
+    assert sorted(map(repr, run(docs))) == sorted(map(repr, brute(rows, LENGTH)))
+    texts = suffixdedup.keyed_texts(docs, "doc_id", "text")
+    one = texts.filter("doc_id IS NULL").limit(1).selectExpr("k", "h", "1L AS f", "2L AS s", "shiftleft(40L, 20) AS place")
+    assert suffixdedup._surroundings(texts, one, LENGTH, SPAN).count() <= 8  # not one for each of the 300
