@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerloom.llm.common import Batches, map_batches, partitions, texts_of
@@ -32,6 +33,8 @@ from ledgerloom.session import scratch_dir
 
 END_ID = 1
 SEQUENCE, BATCH_SEQUENCES = 1024, 64
+#: Characters of a text that order the rows of one doc_id.
+HEAD = 64
 #: Words that a worker remembers; twice as many at most while the older half is let go.
 CACHE_WORDS = 400_000
 
@@ -237,8 +240,9 @@ def write_sequences(
     ``words_apart`` says that the tokenizer drops blanks, that no token spans one, that it ignores the case of ASCII
     letters but in its special tokens (``<|``...) and before marks they may be composed with, and that it splits
     punctuation off letters and digits. A null text counts as empty and
-    has the end id only. Rows without doc_id come first; rows of one doc_id are ordered by text. Other columns are not
-    read. An empty table gives no file.
+    has the end id only. Rows without doc_id come first; rows of one doc_id are ordered by the first HEAD characters of
+    their text, then by a hash of it, then by their place in the table, and may lie in several files. Other columns are
+    not read. An empty table gives no file.
     """
 
     def work(batches: Batches) -> Batches:
@@ -270,7 +274,10 @@ def write_sequences(
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (name, documents, at)], ["name", "documents", "ids"])
 
     own = texts_of(docs, id_col, text_col)
-    ordered = own.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    # By the place in the table, too, so that no id and no repeated row must go into one task.
+    place = own.withColumn("place", F.monotonically_increasing_id())
+    order = [F.col("doc_id"), F.left("text", F.lit(HEAD)), F.xxhash64("text"), F.col("place")]
+    ordered = place.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order).drop("place")
     written = map_batches(ordered, work, "name string, documents long, ids long").collect()
     return sorted((r["name"], r["documents"], r["ids"]) for r in written)
 

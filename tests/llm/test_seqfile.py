@@ -92,3 +92,16 @@ def test_capitals_with_combining_marks(library):
     texts += ["".join(random.choice(["T", "J", "a", "B", " ", ".", "\u00c9", "\u6f22", *random.sample(marks, 4)]) for _ in range(20)) for _ in range(2000)]
     for text, ids in zip(texts, seqfile.WordCache(PATH).encode(texts), strict=True):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_a_hot_id_and_a_hot_row_are_split(library, spark, make_docs, tmp_path):
+    rows = [(None, f"row {i % 50} of none") for i in range(1000)] + [(7, "the same row")] * 1000 + [(i + 10, f"row {i}") for i in range(1000)]
+    files = seqfile.write_sequences(make_docs(rows), PATH, str(tmp_path))
+    assert sum(n for _, n, _ in files) == 3000 and max(n for _, n, _ in files) < 900
+    found = sorted(map(tuple, seqfile.packed_documents(make_docs(rows), PATH, folder=str(tmp_path / "again")).collect()), key=lambda r: r[1])
+    assert [r[0] for r in found] == [None] * 1000 + [7] * 1000 + list(range(10, 1010))
+    at = 0
+    for _, start, n, _ in found:
+        assert start == at
+        at += n
+    assert {r[2:] for r in found if r[0] == 7} == {(len(ids := [*library.encode("the same row").ids, 1]), zlib.crc32(np.array(ids, "<u4").tobytes()))}
