@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import Batches, map_batches, map_whole_rows, narrow, texts_of
@@ -138,33 +138,38 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
-def learn(docs: DataFrame, max_rows: int = 4000, windows_each: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
-    """Train on about ``max_rows`` labelled documents outside the held-out fold, as many of each language.
+def learn(docs: DataFrame, max_rows: int = 4000, windows_each: int = 4, max_languages: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
+    """Train on at most ``max_rows`` labelled documents outside the held-out fold, as many of each language.
 
-    Rows are drawn by a hash of doc_id, so the draw does not depend on partitions or retries; each gives up to
-    ``windows_each`` windows spread over its whole text. None if no row has a language and a text with letters.
+    Documents are drawn by a hash of doc_id and text, so the draw does not depend on partitions or retries, an id with
+    many rows is drawn like others, and rows that repeat are drawn once. Each gives up to ``windows_each`` windows spread
+    over its whole text. Of more languages the ``max_languages`` with most rows are learned. None if no row has a language
+    and a text with letters.
     """
     rows = narrow(docs, doc_id=id_col, text=text_col, lang=lang_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    largest = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(min(max_languages, max_rows))
+    counts = {r["lang"]: r["n"] for r in largest.collect()}
     if not counts:
         return None
     share = max(1, max_rows // len(counts))
-    place = F.pmod(F.xxhash64("doc_id", F.lit(seed := 11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text", F.lit(seed := 11)))
+    place = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
     limit = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, share / n))])[F.col("lang")]
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
-            langs, cut = [], []
-            for doc_id, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            cuts = []
+            for text, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True):
                 own = windows_of(text)
-                random = np.random.default_rng([seed, doc_id & 0xFFFFFFFF])
-                for i in sorted(random.choice(len(own), min(windows_each, len(own)), replace=False)):
-                    langs.append(lang)
-                    cut.append(own[i].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(cut, pa.binary())], ["lang", "cut"])
-
-    drawn = map_batches(rows.filter(place < limit), work, "lang string, cut binary").collect()
+                random = np.random.default_rng([seed, h & 0xFFFFFFFF])
+                cuts.append([own[i].tobytes() for i in sorted(random.choice(len(own), min(windows_each, len(own)), replace=False))])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(cuts, pa.list_(pa.binary()))], ["lang", "h", "cuts"])
+
+    drawn = map_batches(rows.filter(place < limit).select("lang", "h", "text"), work, "lang string, h long, cuts array<binary>")
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
+    drawn = drawn.dropDuplicates(["lang", "h"]).withColumn("rank", first).filter(F.col("rank") <= share)
+    drawn = drawn.select("lang", F.explode("cuts").alias("cut")).collect()
     drawn.sort(key=lambda r: (r["lang"], bytes(r["cut"])))
     languages = sorted({r["lang"] for r in drawn})
     if not languages:

@@ -82,3 +82,18 @@ def test_nothing_to_learn_from(make_docs, spark):
     assert langid.learn(unlabelled) is None
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
     assert langid.predict(docs.limit(0), None).collect() == []
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, table, monkeypatch):
+    """One id with a third of all rows, a row that repeats as often, and many languages of one row each."""
+    hot = next(i for i in range(1, 99) if zlib.crc32(str(i).encode()) % 5)
+    more = spark.range(3000).selectExpr(f"{hot}L AS doc_id", "concat('the row number ', id, ' of one id') AS text", "'en' AS lang")
+    same = spark.range(3000).selectExpr(f"{hot}L AS doc_id", "'le document qui se répète' AS text", "'fr' AS lang")
+    odd = spark.range(500).selectExpr("id + 10000 AS doc_id", "concat('text ', id) AS text", "concat('x', id) AS lang")
+    docs = table.select("doc_id", "text", "lang").unionByName(more).unionByName(same).unionByName(odd)
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda windows, labels, languages: seen.append((windows, labels, languages)))
+    langid.learn(docs, max_rows=200, max_languages=20)
+    windows, labels, languages = seen[0]
+    assert 40 <= len(windows) <= 800 and len(languages) <= 20 and {"en", "fr"} <= set(languages)
+    assert sum(w.tobytes().startswith("le document qui se répète\0".encode()) for w in windows) <= 1
