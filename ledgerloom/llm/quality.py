@@ -137,8 +137,9 @@ def score(
 
     labelled = described.join(known, "doc_id").select("doc_id", "x", "label")
     chance = min(1.0, max_rows / max(1, known.count()))
-    place = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = labelled.filter(place < chance).collect()
+    labelled = labelled.withColumn("h", F.xxhash64("doc_id", "x", F.lit(23)))  # repeated rows are drawn once
+    place = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = labelled.filter(place < chance).dropDuplicates(["h"]).orderBy(place, "h").limit(max_rows).collect()
     if drawn:
         drawn.sort(key=lambda r: (r["doc_id"], r["x"]))
         classifier = fit(np.array([r["x"] for r in drawn]), np.array([r["label"] for r in drawn]))

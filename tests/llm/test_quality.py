@@ -89,3 +89,13 @@ def test_fit_is_the_maximum():
     model = quality.fit(rows, good)
     x = (rows - model.center) / model.scale
     assert np.allclose(x.T @ (good - model.chance(rows)) - model.weights, 0, atol=1e-6)
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, sites, monkeypatch):
+    docs, labels = sites
+    hot = spark.range(5000).selectExpr("1L AS doc_id", "concat(repeat('word ', id % 900), id) AS text", "'good' AS host", "'good/0' AS path")
+    same = spark.range(5000).selectExpr("2L AS doc_id", "'one row' AS text", "'bad' AS host", "'bad/1' AS path")
+    sizes, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, good: (sizes.append(len(rows)), fit(rows, good))[1])
+    found = quality.score(docs.unionByName(hot).unionByName(same), labels, max_rows=100)
+    assert found.count() == docs.count() + 10_000 and 0 < sizes[0] <= 100
