@@ -27,22 +27,29 @@ def stream_land_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_jsonl(spark, f"{lake.root}/out", EVENTS_JSON).withColumn("ts", F.col("ts").try_cast("timestamp_ntz"))
 
 
+def land_files(records: DataFrame, path: str) -> int:
+    """Land records as JSON files, four for each part of the scan, so that none grows with the table; returns how many were asked for."""
+    files = 4 * records.rdd.getNumPartitions()
+    write_jsonl(text_times(records).repartition(files), path)
+    return files
+
+
 @query("stream_bronze", "SELECT transaction_id, account_id, count(*) AS rows FROM "
        "(SELECT DISTINCT transaction_id, account_id FROM raw_transactions) GROUP BY ALL")
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All transactions arrive as files; the ones before 1999 are in Bronze already.
+    """All transactions arrive as files, half of them in a micro-batch; the ones before 1999 are in Bronze already.
 
     The load is started twice from one checkpoint. Which copy of a repeated id stays depends on the
     order of the files, so only ids are returned.
     """
     lake = new_lake(spark, "stream")
     arriving = raw(spark, sf_dir, "transactions")
-    write_jsonl(text_times(arriving).repartition(4), f"{lake.root}/in")
+    files = land_files(arriving, f"{lake.root}/in")
     landed = scan_jsonl(spark, f"{lake.root}/in", STREAM)
     present = bronze.typed_transactions(landed).filter(F.col("transaction_timestamp") < "1999-01-01")
     lake.replace("bronze", "transactions", one_per_key(present, "transaction_id", on_duplicate="latest"))
     for _ in range(2):
-        source = landing.read_landing(spark, f"{lake.root}/in", STREAM, max_files=2, keep_corrupt=True)
+        source = landing.read_landing(spark, f"{lake.root}/in", STREAM, max_files=files // 2, keep_corrupt=True)
         bronze.load_stream(
             lake,
             bronze.typed_transactions(source),
@@ -66,7 +73,7 @@ def bronze_reload_after_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark, "reload")
     arriving = raw(spark, sf_dir, "transactions")
     arriving.filter(F.col("transaction_timestamp") < "1999-01-01").write.parquet(f"{lake.root}/raw/transactions")
-    write_jsonl(text_times(arriving).repartition(4), f"{lake.root}/in")
+    land_files(arriving, f"{lake.root}/in")
     for _ in range(2):
         lakehouse.load_bronze(lake, f"{lake.root}/raw", "transactions")
         records = bronze.typed_transactions(landing.read_landing(spark, f"{lake.root}/in", STREAM, keep_corrupt=True))

@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from ledgerloom.queries.streams import land_files
 from ledgerloom.schemas import STREAM_TRANSACTION
 from ledgerloom.streaming import bronze, landing
 from ledgerloom.streaming.key_index import KeyIndex
@@ -178,3 +179,15 @@ def test_key_index_follows_appends_and_new_snapshots(spark, lake):
     assert KeyIndex(lake, "bronze", "t", "k").root != index.root
     empty = spark.createDataFrame([], schema)
     assert KeyIndex(lake, "bronze", "t", "k").known(empty).collect() == []
+
+
+def test_landed_files_follow_the_parts_of_the_scan(spark, tmp_path):
+    """A fixed number of files let the part that one task shuffles and writes grow with the table."""
+    written = {}
+    for parts in (1, 10):
+        rows = spark.range(0, 4000, 1, parts).select(F.col("id").cast("string").alias("transaction_id"), F.timestamp_seconds("id").alias("transaction_timestamp"))
+        assert land_files(rows, str(tmp_path / f"in{parts}")) == 4 * parts
+        written[parts] = list((tmp_path / f"in{parts}").glob("*.json"))
+        found = spark.read.schema("transaction_id string, transaction_timestamp string").json(str(tmp_path / f"in{parts}"))
+        assert values(found, "transaction_id") == sorted((str(i),) for i in range(4000))
+    assert len(written[1]) == 4 and len(written[10]) == 40
