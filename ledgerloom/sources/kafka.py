@@ -25,9 +25,13 @@ def encode(df: DataFrame, key: str) -> DataFrame:
 
 
 def decode(df: DataFrame, schema: str) -> DataFrame:
-    """Columns of the JSON value; of a value that does not parse ``_corrupt_record`` has the text."""
+    """Columns of the JSON value; of a value that does not parse ``_corrupt_record`` has the text.
+
+    The record comes out of a generator: a filter on its columns is then not moved into what made the value, so each
+    value is made and parsed once.
+    """
     parsed = F.from_json(F.col("value").cast("string"), f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
-    return df.select(parsed.alias("record")).select("record.*")
+    return df.select(F.inline(F.array(parsed)))
 
 
 def topic_options(
