@@ -295,11 +295,11 @@ def load_forest(lake: Lake) -> Forest:
 
 
 def mean_paths_by_joins(df: DataFrame, lake: Lake, key: str) -> DataFrame:
-    """(key, mean_path) of each usable row from the stored forest, by one join with its nodes for each level.
+    """(key, mean_path) of each usable row from the stored forest, by one join with its trees.
 
-    The same as :meth:`Forest.mean_path` without Python: each row takes its place in every tree, and all step down
-    together. The nodes are at most trees * (2 * sample - 1) rows. A row's places stay in its task, so the average is
-    taken before anything moves. ``key`` must tell rows apart.
+    The same as :meth:`Forest.mean_path` without Python: each row meets every tree, whose nodes are arrays by number, and
+    steps down within its row, so a level costs three look-ups and no join. The trees are at most trees * (2 * sample - 1)
+    nodes. A row's trees stay in its task, so the average is taken before anything moves. ``key`` must tell rows apart.
     """
     settings = lake.read("ai", SETTINGS).orderBy("feature").collect()
     sample, trees = settings[0].sample, settings[0].trees
@@ -307,24 +307,25 @@ def mean_paths_by_joins(df: DataFrame, lake: Lake, key: str) -> DataFrame:
     points = with_any_feature(df, [r.name for r in settings]).select(key, F.array(*filled([r.name for r in settings], fill)).alias("point"))
     # Dealt by key once, while a row is one row; the average by key then moves nothing.
     points = points.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-    starts = F.sequence(F.lit(0).cast("long"), F.lit((trees - 1) * 2 * sample).cast("long"), F.lit(2 * sample).cast("long"))
-    place = points.select("*", F.explode(starts).alias("place"))
     inner = F.col("feature") >= 0
-    own = (F.col("tree_id") * 2 * sample + F.col("node_id")).cast("long")
     size, depth = F.col("size").cast("double"), F.col("depth")
     correction = F.when(size <= 1, 0.0).when(size == 2, 1.0).otherwise(2 * (F.log(size - 1) + float(np.euler_gamma)) - 2 * (size - 1) / size)
     nodes = lake.read("ai", NODES).select(
-        own.alias("place"),
+        "tree_id",
+        "node_id",
         F.when(inner, F.col("feature")).otherwise(0).alias("feature"),
         F.when(inner, F.col("split")).otherwise(float("inf")).alias("split"),  # a row in its leaf stays there
-        F.when(inner, F.col("tree_id") * 2 * sample + F.col("left_node")).otherwise(own).cast("long").alias("left"),
+        F.when(inner, F.col("left_node")).otherwise(F.col("node_id")).alias("left"),
         F.when(~inner, depth + correction).alias("path"),
     )
-    step = F.broadcast(nodes.select("place", "feature", "split", "left"))
+    # The nodes of a tree are numbered from 0 without gaps, so a node's number is its place.
+    listed = F.array_sort(F.collect_list(F.struct("node_id", "feature", "split", "left", "path")))
+    forest = nodes.groupBy("tree_id").agg(listed.alias("n")).select(*[F.col(f"n.{c}").alias(c) for c in ("feature", "split", "left", "path")])
+    place = points.crossJoin(F.broadcast(forest)).withColumn("node", F.lit(0))
     for _ in range(math.ceil(math.log2(max(sample, 2)))):
-        down = F.col("left") + (F.get("point", F.col("feature")) > F.col("split")).cast("long")
-        place = place.join(step, "place").select(key, "point", down.alias("place"))
-    ended = place.join(F.broadcast(nodes.select("place", "path")), "place")
+        right = F.get("point", F.get("feature", F.col("node"))) > F.get("split", F.col("node"))
+        place = place.withColumn("node", F.get("left", F.col("node")) + right.cast("int"))
+    ended = place.select(key, F.get("path", F.col("node")).alias("path"))
     return ended.groupBy(key).agg((F.sum("path") / trees).alias("mean_path"))
 
 

@@ -228,3 +228,15 @@ def test_stored_forest_scores_the_same_in_both_ways(spark, lake):
     lake.replace("ai", isolation_forest.NODES, lake.read("ai", isolation_forest.NODES).filter("tree_id <> 3"))
     with pytest.raises(ValueError, match="19 of 20 trees"):
         isolation_forest.load_forest(lake)
+
+
+def test_trees_are_walked_within_a_row(spark, lake):
+    """One join with the trees; a join for each level met every row once a tree each time."""
+    rows = [(f"t{i}", float(i % 17), float(i % 23)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, a double, b double")
+    forest = isolation_forest.fit_stored(lake, df, ["a", "b"], trees=8, sample=32, identity=["k"])
+    paths = isolation_forest.mean_paths_by_joins(df, lake, "k")
+    plan = paths._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Generate" not in plan
+    found = {r.k: r.mean_path for r in paths.collect()}
+    assert np.allclose([found[r[0]] for r in rows], forest.mean_path(np.array([r[1:] for r in rows])), rtol=1e-12)
