@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import os
 import random
 from collections import Counter
@@ -97,6 +98,21 @@ def test_production_length(make_docs):
     assert sorted(run(make_docs(rows), 400, 300)) == sorted(brute(rows, 400))
 
 
+def test_digests_of_passages_that_repeat_across_documents(make_docs):
+    """Passages of over 50 words go if they have 400 bytes; removal shows in ``n_removed``, never in ``n_bytes``."""
+    random.seed(13)
+    prose = lambda n: " ".join("".join(random.choice("abcdefgh") for _ in range(random.randint(3, 9))) for _ in range(n))
+    passages = [prose(n) for n in (51, 52, 55, 58, 60, 62, 65, 70, 80, 120)]
+    long = {10 * i + j for i, p in enumerate(passages) for j in range(2) if len(p) >= 400}
+    rows = [(10 * i + j, f"{prose(40)} | {p} | {prose(40)}") for i, p in enumerate(passages) for j in range(2)]
+    rows += [(1000 + i, prose(130)) for i in range(10)]
+    found = {r.doc_id: r for r in suffixdedup.digests(suffixdedup.remove_repeats(make_docs(rows))).collect()}
+    assert 0 < len(long) < 20 and {i for i, r in found.items() if r.n_removed} == long
+    expected = {i: (n, n - len(kept), len(spans), hashlib.sha256(kept).hexdigest()) for i, n, spans, kept in brute(rows, 400)}
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in found.items()} == expected
+    assert {i: r.n_bytes for i, r in found.items()} == {i: len(t) for i, t in rows}
+
+
 def test_empty_table(make_docs):
     assert run(make_docs([(1, "x")]).limit(0)) == []
 
